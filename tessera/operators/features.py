@@ -154,17 +154,17 @@ class FittedOneHot:
     def unseen(self, df: DataFrame) -> DataFrame:
         """Values present in ``df`` but not learned in fit: ``(column, value)``."""
         spark = df.sparkSession
-        out = None
+        out = spark.createDataFrame([], "column string, value string")
         for c, cats in self.categories.items():
             known = spark.createDataFrame([(str(v),) for v in cats], "value string")
             vals = (df.select(F.col(c).cast("string").alias("value")).where("value IS NOT NULL")
                     .distinct().join(F.broadcast(known), "value", "left_anti")
                     .select(F.lit(c).alias("column"), "value"))
-            out = vals if out is None else out.unionByName(vals)
+            out = out.unionByName(vals)
         return out
 
     def check(self, df: DataFrame) -> None:
-        if not self.strict:
+        if not self.strict or not self.categories:
             return
         bad = self.unseen(df).limit(20).collect()
         if bad:
