@@ -50,7 +50,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                  descending: bool = False, prefix: str = "cum_",
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: the running sum of each ``c`` in ``sum_cols`` in the
     (unique) order of ``order_cols``, inclusive of the current row.
 
@@ -61,6 +61,7 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     Small inputs use a single bucket.
     """
     lead = order_cols[0]
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     n = df.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
     if buckets == 1:

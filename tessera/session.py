@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
                   app: str = "tessera", checkpoint_dir: str | None = None,
-                  event_log_dir: str | None = None) -> SparkSession:
+                  event_log_dir: str | None = None, extra: dict | None = None) -> SparkSession:
     """A local session configured the way the library expects a cluster to be:
     AQE on (runtime coalescing, skew-join splitting), UTC, no UI."""
     parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else 8)
@@ -34,6 +34,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
                    .config("spark.eventLog.dir", event_log_dir))
