@@ -19,7 +19,7 @@ from tessera.operators import (distributions, evaluate, features, keyed, missing
                                quality, reports, split)
 from tessera.plans.bindings import (ORDER_BY, ORDER_KEY, SHEET_BANDS, SHEET_ITEMS, SHEET_UNKNOWN,
                                     item_sheet, order_loads, scored_labels, sparse_lines, tables)
-from tessera.session import scratch_path
+from tessera.session import scratch_dir, scratch_path
 from tessera.sources import catalog, files
 from tessera.sources.tables import register_views
 
@@ -364,11 +364,13 @@ def q_logreg_fit(spark: SparkSession, d: str) -> DataFrame:
                                                    "doc_id")
     data = data.withColumn("n_chars", F.col("n_chars").cast("double"))
     parts = split.stratified_split(data, "quality", "doc_id", test_size=0.2, seed=42)
-    train = parts.where(F.col("split") == "train")
+    # several fit passes follow: cut the lineage once (shared checkpoint folder)
+    scratch_dir(spark)
+    train = parts.where(F.col("split") == "train").checkpoint(eager=True)
     pre = features.fit_preprocessor(train, numeric=["n_chars"], cat_freq=["lang"],
                                     cat_const=["source"], keep=["doc_id", "quality"])
     prepared = pre.transform(train)
-    fit = models.fit_logistic(prepared, pre.feature_names(), "quality")
+    fit = models.fit_logistic(prepared, pre.feature_names(), "quality", cut_lineage=False)
     rows = [(f, float(w)) for f, w in zip(fit.features, fit.coefficients)] + \
            [("intercept", float(fit.intercept))]
     return (spark.createDataFrame(rows, "feature string, coefficient double")

@@ -20,6 +20,8 @@ BROADCAST_MAX_ROWS = 100_000
 ROWS_PER_BUCKET = 1_000_000
 # Upper bound on the number of running-sum buckets (size of the offsets table).
 MAX_BUCKETS = 10_000
+# A per-value count table up to this many rows is small enough to read once.
+SMALL_DISTINCT = 100_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int):
@@ -105,21 +107,35 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     return out.drop("_bucket", *[f"_w_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
 
 
-def exact_quantile_values(values: DataFrame, col: str, ranks: Sequence[int]) -> dict:
+def exact_quantile_values(values: DataFrame, col: str, ranks: Sequence[int],
+                          small_distinct: int | None = None) -> dict:
     """Exact order statistics: the value at each 0-based rank among the
-    non-NULL values of ``col``. Values are counted per distinct value (map-side
-    combined), the counts get a scalable running sum, and each rank is located
-    where the running count first reaches it. Nothing but the answers reaches
-    the driver."""
+    non-NULL values of ``col``.
+
+    Values are counted per distinct value (map-side combined). When that
+    table has at most ``small_distinct`` rows it is read once and the ranks
+    are located on the driver; otherwise the counts get a scalable running
+    sum and each rank is located where the running count first reaches it.
+    Either way only bounded data reaches the driver."""
     counts = (values.where(F.col(col).isNotNull()).groupBy(col)
               .agg(F.count(F.lit(1)).alias("_n")))
+    small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
+    small = bounded_rows(counts, small_distinct) if small_distinct > 0 else None
+    out = {}
+    if small is not None:
+        acc = 0
+        pending = sorted(ranks)
+        for r in sorted(small, key=lambda r: r[col]):
+            acc += r["_n"]
+            while pending and pending[0] < acc:
+                out[pending.pop(0)] = r[col]
+        return out
     cum = running_sums(counts, [col], ["_n"])
     conds = None
     for k in ranks:
         c = (F.col("cum__n") - F.col("_n") <= F.lit(k)) & (F.col("cum__n") > F.lit(k))
         conds = c if conds is None else conds | c
     rows = cum.where(conds).select(col, "cum__n", "_n").collect()
-    out = {}
     for k in ranks:
         for r in rows:
             if r["cum__n"] - r["_n"] <= k < r["cum__n"]:

@@ -45,8 +45,11 @@ def test_running_sums_bucketed_equals_single(spark, monkeypatch):
     assert asc[vals[-1]] == total and single[vals[0]] == total
 
 
-def test_exact_median_matches_numpy(spark, monkeypatch):
-    monkeypatch.setattr(strategy, "ROWS_PER_BUCKET", 13)
+@pytest.mark.parametrize("distributed", [False, True])
+def test_exact_median_matches_numpy(spark, monkeypatch, distributed):
+    if distributed:
+        monkeypatch.setattr(strategy, "ROWS_PER_BUCKET", 13)
+        monkeypatch.setattr(strategy, "SMALL_DISTINCT", 0)
     li = read_table(spark, SF_SMALL, "lineitem").select("l_extendedprice")
     vals = np.array([r[0] for r in li.collect()])
     assert features.exact_median(li, "l_extendedprice") == pytest.approx(float(np.median(vals)), abs=1e-9)
