@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import bounded_rows, running_sums
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_rows, running_sums
 
 MAX_CLASSES = 10_000
 
@@ -31,8 +31,12 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     spark = df.sparkSession
     ytype = counts.schema["y"].dataType.simpleString()
     grid = spark.createDataFrame([(a, b) for a in labels for b in labels], f"y {ytype}, yhat {ytype}")
-    return (grid.join(counts, ["y", "yhat"], "left")
-            .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    table = (grid.join(counts, ["y", "yhat"], "left")
+             .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    # classes^2 cells: kept as a local relation when small, so every metric
+    # derived from it reads the table, not the rows again
+    rows = bounded_rows(table, BROADCAST_MAX_ROWS)
+    return spark.createDataFrame(rows, table.schema) if rows is not None else table
 
 
 def _div(a, b):

@@ -14,9 +14,12 @@ first category (byte order) dropped.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
+from pyspark import StorageLevel
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,28 @@ def _clean(df: DataFrame, c: str) -> Column:
     return nan_to_null(c) if _floating(df, c) else F.col(c)
 
 
+def _has_shuffle_work(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(op in plan for op in ("Aggregate", "Join", "Window", "Sort", "Repartition"))
+
+
+@contextmanager
+def fit_input(df: DataFrame, cols: Sequence[str]):
+    """The columns a fit reads. When the input plan aggregates, joins or
+    sorts, those columns are persisted (memory, spilling to disk) for the
+    fit's passes and released afterwards, so the plan runs once; a plain scan
+    is re-read instead. A lost cached block is recomputed from lineage."""
+    src = df.select(*dict.fromkeys(cols))
+    if not _has_shuffle_work(src):
+        yield src
+        return
+    cached = src.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
+
+
 # ---------------------------------------------------------------- statistics
 
 def exact_median(df: DataFrame, c: str):
@@ -89,16 +114,23 @@ def fit_imputer(df: DataFrame, median: Sequence[str] = (), mean: Sequence[str] =
                 constant: Mapping[str, object] | None = None) -> FittedImputer:
     """Learn fill values: median / mean / most frequent / constant per column."""
     fills: dict = {}
-    for c in median:
-        fills[c] = exact_median(df, c)
-    fills.update(column_means(df, list(mean)))
-    for c in most_frequent_cols:
-        fills[c] = most_frequent(df, c)
+    passes = list(median) + list(most_frequent_cols)
+    with fit_input(df, passes + list(mean)) if len(passes) > 1 else _as_is(df) as src:
+        for c in median:
+            fills[c] = exact_median(src, c)
+        fills.update(column_means(src, list(mean)))
+        for c in most_frequent_cols:
+            fills[c] = most_frequent(src, c)
     for c, v in (constant or {}).items():
         fills[c] = v
     return FittedImputer(fills)
 
 
+@contextmanager
+def _as_is(df: DataFrame):
+    yield df
+
+
 # ------------------------------------------------------------------- scaling
 
 @dataclass
@@ -226,15 +258,16 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], cat_freq: Sequence[s
                      strict: bool = False) -> Preprocessor:
     """Fit all steps; ``impute=False`` with ``strict=True`` is the scale +
     strict one-hot preset (no imputation, unseen category raises)."""
-    if impute:
-        imputer = fit_imputer(df, median=list(numeric), most_frequent_cols=list(cat_freq),
-                              constant={c: fill_value for c in cat_const})
-    else:
-        imputer = FittedImputer({})
-    imp = imputer.transform(df)
-    scaler = fit_scaler(imp, list(numeric))
-    oh_f = fit_one_hot(imp, list(cat_freq), prefix="cat_f__" if impute else "cat__", strict=strict)
-    oh_c = fit_one_hot(imp, list(cat_const), prefix="cat_c__", strict=strict)
+    with fit_input(df, list(numeric) + list(cat_freq) + list(cat_const)) as src:
+        if impute:
+            imputer = fit_imputer(src, median=list(numeric), most_frequent_cols=list(cat_freq),
+                                  constant={c: fill_value for c in cat_const})
+        else:
+            imputer = FittedImputer({})
+        imp = imputer.transform(src)
+        scaler = fit_scaler(imp, list(numeric))
+        oh_f = fit_one_hot(imp, list(cat_freq), prefix="cat_f__" if impute else "cat__", strict=strict)
+        oh_c = fit_one_hot(imp, list(cat_const), prefix="cat_c__", strict=strict)
     return Preprocessor(imputer, scaler, oh_f, oh_c, list(numeric), list(keep))
 
 

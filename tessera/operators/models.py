@@ -45,6 +45,28 @@ class LinearFit:
                 .orderBy(F.abs("coefficient"), "feature"))
 
 
+def _fit_linear_moments(df: DataFrame, feats: list, label: str) -> LinearFit:
+    import numpy as np
+    cols = [F.col(c).cast("double") for c in feats]
+    y = F.col(label).cast("double")
+    data = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], y.alias("_y")).dropna()
+    xs = [F.col(f"_x{i}") for i in range(len(feats))]
+    aggs = [F.avg("_y").alias("my")] + [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
+    aggs += [F.covar_pop(xs[i], xs[j]).alias(f"c{i}_{j}")
+             for i in range(len(xs)) for j in range(i, len(xs))]
+    aggs += [F.covar_pop(xs[i], F.col("_y")).alias(f"cy{i}") for i in range(len(xs))]
+    row = data.agg(*aggs).first()
+    k = len(xs)
+    S = np.empty((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            S[i, j] = S[j, i] = row[f"c{i}_{j}"]
+    b = np.array([row[f"cy{i}"] for i in range(k)])
+    w = np.linalg.solve(S, b) if k else np.zeros(0)
+    intercept = row["my"] - float(sum(w[i] * row[f"m{i}"] for i in range(k)))
+    return LinearFit(feats, [float(v) for v in w], float(intercept))
+
+
 @dataclass
 class LogisticFit(LinearFit):
     def probability(self) -> Column:
@@ -61,8 +83,20 @@ def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
                                   F.col(label).cast("double").alias("_label")))
 
 
+# Up to this many features OLS is one covariance aggregate; beyond, pyspark.ml.
+CLOSED_FORM_MAX_FEATURES = 32
+
+
 def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
-    """Ordinary least squares (no penalty) by the normal equations."""
+    """Ordinary least squares (no penalty) by the normal equations.
+
+    With few features the centred moments (``covar_pop``/``var_pop``, one
+    pass, numerically stable) are gathered in a single aggregate and the
+    k x k system is solved on the driver; otherwise ``pyspark.ml``'s
+    normal-equation solver (tree aggregate of the Gram matrix) is used."""
+    feats = list(features)
+    if len(feats) <= CLOSED_FORM_MAX_FEATURES:
+        return _fit_linear_moments(df, feats, label)
     lr = LinearRegression(featuresCol="_features", labelCol="_label", solver="normal",
                           regParam=0.0, elasticNetParam=0.0, standardization=False,
                           fitIntercept=True)
