@@ -122,7 +122,11 @@ def share_table(df: DataFrame, group: str, predicate: Column | None = None,
     """Donut data: count per group, its percentage of the total and the total.
     The total is one aggregate over the (small) per-group table, used as a literal."""
     src = df.where(predicate) if predicate is not None else df
-    counts = src.groupBy(group).agg(F.count(F.lit(1)).alias(alias))
-    total = counts.agg(F.sum(alias)).first()[0] or 0
+    return shares(src.groupBy(group).agg(F.count(F.lit(1)).alias(alias)), alias)
+
+
+def shares(counts: DataFrame, count_col: str = "count") -> DataFrame:
+    """Add ``total`` (sum of ``count_col``) and ``pct`` to a per-group count table."""
+    total = counts.agg(F.sum(count_col)).first()[0] or 0
     return (counts.withColumn("total", F.lit(int(total)).cast("long"))
-            .withColumn("pct", F.round(percent(alias, "total"), 6)))
+            .withColumn("pct", F.round(percent(count_col, "total"), 6)))
