@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_rows, running_sums
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, bounded_rows, running_sums
 
 MAX_CLASSES = 10_000
 
@@ -35,8 +35,8 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
              .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
     # classes^2 cells: kept as a local relation when small, so every metric
     # derived from it reads the table, not the rows again
-    rows = bounded_rows(table, BROADCAST_MAX_ROWS)
-    return spark.createDataFrame(rows, table.schema) if rows is not None else table
+    local = bounded_local(table, BROADCAST_MAX_ROWS)
+    return local if local is not None else table
 
 
 def _div(a, b):
@@ -90,10 +90,10 @@ def score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
 def roc_points(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """One ROC point per distinct score, descending: cumulative true and
     false positives at ``score >= threshold`` and their rates."""
-    g = score_counts(df, y, score)
-    tot = g.agg(F.sum("tp").alias("pos"), F.sum("fp").alias("neg")).first()
+    cum = running_sums(score_counts(df, y, score), ["threshold"], ["tp", "fp"], descending=True)
+    # running counts never decrease: their maxima are the class totals
+    tot = cum.agg(F.max("cum_tp").alias("pos"), F.max("cum_fp").alias("neg")).first()
     pos, neg = tot["pos"] or 0, tot["neg"] or 0
-    cum = running_sums(g, ["threshold"], ["tp", "fp"], descending=True)
     return cum.select(
         "threshold",
         F.col("cum_tp").cast("long").alias("tp"),
@@ -105,8 +105,7 @@ def roc_points(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
 def roc_auc(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """Exact area under the ROC curve with ties (trapezoids between
     consecutive distinct scores): ``sum(fp * (2*ctp - tp)) / (2 * pos * neg)``."""
-    g = score_counts(df, y, score)
-    cum = running_sums(g, ["threshold"], ["tp"], descending=True)
+    cum = running_sums(score_counts(df, y, score), ["threshold"], ["tp"], descending=True)
     return cum.agg(
         (F.round(_div(F.sum(F.col("fp") * (2 * F.col("cum_tp") - F.col("tp"))).cast("double"),
                       (2 * F.sum("tp") * F.sum("fp")).cast("double")), digits) + F.lit(0.0))

@@ -34,6 +34,29 @@ def bounded_rows(df: DataFrame, max_rows: int):
     return rows if len(rows) <= max_rows else None
 
 
+def bounded_local(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` as a driver-held local table (Arrow transfer) when it has at most
+    ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(pdf, df.schema).coalesce(1)
+
+
+def materialize(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """A derived table that is read several times, computed once: a local
+    table when it has at most ``max_rows`` rows, otherwise an eager
+    checkpoint in the shared folder (reliable, lineage cut)."""
+    local = bounded_local(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+    return local if local is not None else checkpointed(df)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    from tessera.session import scratch_dir
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` with a side that is usually small (per-group statistics,
@@ -43,9 +66,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     as a local relation and broadcast (no shuffle of ``big``); beyond, the
     join falls back to a shuffle join where AQE splits skewed keys.
     """
-    rows = bounded_rows(small, max_rows)
-    if rows is not None:
-        local = big.sparkSession.createDataFrame(rows, small.schema)
+    local = bounded_local(small, max_rows)
+    if local is not None:
         return big.join(F.broadcast(local), on, how)
     return big.join(small, on, how)
 
@@ -60,10 +82,21 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     column (approximate quantile bounds, one mergeable aggregate), each
     bucket's totals form a small table whose offsets are computed once and
     broadcast, and the running sum within a bucket is a partitioned window.
-    Small inputs use a single bucket.
+    An input of at most ``SMALL_DISTINCT`` rows (typically an already
+    aggregated table) is read once into a local one-partition table and
+    summed there; a larger one is checkpointed once, since it is read
+    several times.
     """
     lead = order_cols[0]
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
+    local = bounded_local(df, min(SMALL_DISTINCT, rows_per_bucket))
+    if local is not None:
+        # one bucket of at most SMALL_DISTINCT rows, held locally
+        w = (Window.partitionBy(F.lit(0)).orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return local.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
+    df = checkpointed(df)
     n = df.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
     if buckets == 1:
@@ -94,7 +127,6 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     off_df = spark.createDataFrame(
         offsets, ["_bucket"] + [f"_o_{c}" for c in sum_cols]) if offsets else None
 
-    order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = (Window.partitionBy("_bucket").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = keyed.withColumns({f"_w_{c}": F.sum(c).over(w) for c in sum_cols})
