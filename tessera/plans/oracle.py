@@ -241,12 +241,13 @@ ORACLE: dict[str, str] = {
                         ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM m)
         SELECT CAST(v AS VARCHAR) AS label, ROUND(precision, 6) + 0.0 AS precision, ROUND(recall, 6) + 0.0 AS recall,
                ROUND(f1, 6) + 0.0 AS f1, support FROM f
-        UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(SUM(tp) * 1.0 / SUM(support), 6) + 0.0, SUM(support) FROM f
+        UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(SUM(tp) * 1.0 / SUM(support), 6) + 0.0,
+                         CAST(SUM(support) AS BIGINT) FROM f
         UNION ALL SELECT 'macro avg', ROUND(AVG(precision), 6) + 0.0, ROUND(AVG(recall), 6) + 0.0,
-                         ROUND(AVG(f1), 6) + 0.0, SUM(support) FROM f
+                         ROUND(AVG(f1), 6) + 0.0, CAST(SUM(support) AS BIGINT) FROM f
         UNION ALL SELECT 'weighted avg', ROUND(SUM(precision * support) / SUM(support), 6) + 0.0,
                          ROUND(SUM(recall * support) / SUM(support), 6) + 0.0,
-                         ROUND(SUM(f1 * support) / SUM(support), 6) + 0.0, SUM(support) FROM f""",
+                         ROUND(SUM(f1 * support) / SUM(support), 6) + 0.0, CAST(SUM(support) AS BIGINT) FROM f""",
     "roc_points": f"""WITH p AS ({P}),
         g AS (SELECT score AS threshold, SUM(y) AS tp, SUM(1 - y) AS fp FROM p GROUP BY score),
         w AS (SELECT threshold, SUM(tp) OVER (ORDER BY threshold DESC) AS ctp,

@@ -23,6 +23,10 @@ from tessera.plans.registry import QUERIES  # noqa: E402
 from tessera.sources.tables import TABLE_NAMES, table_path  # noqa: E402
 
 
+TYPE_NAMES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+              "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLE_NAMES:
@@ -66,8 +70,14 @@ def compare(spark, con, sf_dir: str, key: str):
     d_rows = res.fetchall()
     out = {"key": key, "rows": len(s_rows), "oracle_rows": len(d_rows), "sec": round(t1 - t0, 2)}
     out["cols_ok"] = sorted(s_cols) == sorted(d_cols)
+    d_types = {r[0]: TYPE_NAMES.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {ORACLE[key]}").fetchall()}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    out["types_ok"] = d_types == s_types
+    if not out["types_ok"]:
+        out["types"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                        if s_types.get(c) != d_types.get(c)}
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
-    out["ok"] = out["cols_ok"] and a == b
+    out["ok"] = out["cols_ok"] and out["types_ok"] and a == b
     if not out["ok"]:
         out["spark_cols"], out["duck_cols"] = s_cols, d_cols
         diff_a = [r for r in a if r not in set(b)][:3]
@@ -79,8 +89,14 @@ def compare(spark, con, sf_dir: str, key: str):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or sorted(QUERIES)
-    from tessera.session import local_session
-    spark = local_session(8)
+    if os.environ.get("VANILLA"):
+        # a session as the driver builds it: none of the library's settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        from tessera.session import local_session
+        spark = local_session(8)
     con = duck(sf_dir)
     bad = 0
     for k in keys:
