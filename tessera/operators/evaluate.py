@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, bounded_rows, running_sums
 
 MAX_CLASSES = 10_000
+# Up to this many classes the confusion table is dense (every pair, zeros included).
+DENSE_MAX_CLASSES = 300
 
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """``(y, yhat, n)`` for every pair of classes seen in truth or prediction;
-    empty cells are 0."""
+    empty cells are 0. Beyond ``DENSE_MAX_CLASSES`` classes only the non-empty
+    cells are returned (the dense table would grow with classes squared)."""
     counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")) \
         .agg(F.count(F.lit(1)).alias("n"))
     classes = bounded_rows(
@@ -29,6 +32,8 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
         raise ValueError(f"more than {MAX_CLASSES} classes")
     labels = sorted(r["c"] for r in classes)
     spark = df.sparkSession
+    if len(labels) > DENSE_MAX_CLASSES:
+        return counts.select("y", "yhat", F.col("n").cast("long").alias("n"))
     ytype = counts.schema["y"].dataType.simpleString()
     grid = spark.createDataFrame([(a, b) for a in labels for b in labels], f"y {ytype}, yhat {ytype}")
     table = (grid.join(counts, ["y", "yhat"], "left")

@@ -111,3 +111,34 @@ def test_results_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert before == after
+
+
+def test_confusion_sparse_beyond_dense_limit(spark, monkeypatch):
+    from tessera.operators import evaluate as ev
+    df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (2, 2)], "y int, p int")
+    monkeypatch.setattr(ev, "DENSE_MAX_CLASSES", 2)
+    got = {(r["y"], r["yhat"]): r["n"] for r in ev.confusion_matrix(df, "y", "p").collect()}
+    assert got == {(1, 1): 1, (1, 0): 1, (0, 0): 1, (2, 2): 1}
+    rep = {r["label"]: r for r in ev.classification_report(ev.confusion_matrix(df, "y", "p")).collect()}
+    assert rep["accuracy"]["f1"] == 0.75 and rep["1"]["recall"] == 0.5
+
+
+def test_skewed_key_results_whole(spark):
+    """One key holds a third of the rows: keep-last, upsert, group means,
+    split and histograms stay exact."""
+    n = 3000
+    df = spark.range(n).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("g"),
+        (F.col("id") * 0.5).alias("x"))
+    last = {r["g"]: r["k"] for r in keyed.dedup_keep_last(df, "g", "k").collect()}
+    assert last[0] == max(i for i in range(n) if i % 3 == 0) and len(last) == 1 + (n - n // 3)
+    from tessera.operators import reports
+    means = {r["g"]: r["group_avg"] for r in reports.group_mean_rows(df, "g", "x").where("g = 0").collect()}
+    assert means[0] == pytest.approx(np.mean([i * 0.5 for i in range(0, n, 3)]))
+    hot = df.withColumn("cls", F.when(F.col("g") == 0, "hot").otherwise("cold"))
+    s = split.stratified_split(hot, "cls", "k", 0.2)
+    got = {r[0]: r[1] for r in s.where("split = 'test'").groupBy("cls").count().collect()}
+    assert got == split.class_quotas({"hot": 1000, "cold": 2000}, 0.2)
+    h = distributions.histogram_by_group(hot, "cls", "x", 10)
+    assert {r[0]: r[1] for r in h.groupBy("cls").agg(F.sum("n")).collect()} == {"hot": 1000, "cold": 2000}
