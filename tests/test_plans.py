@@ -58,3 +58,8 @@ def test_group_mean_broadcasts_group_table(spark):
 def test_conditional_counts_single_scan(spark):
     p = plan_of(registry.QUERIES["conditional_counts"](spark, SF_SMALL))
     assert p.count("FileScan parquet") == 1 and "HashAggregate" in p
+
+
+def test_missing_profile_is_one_scan_one_aggregate(spark):
+    p = plan_of(registry.QUERIES["missing_counts"](spark, SF_SMALL))
+    assert p.count("FileScan parquet") == 1
