@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import join_small
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local
 
 
 def _edges(lo, hi):
@@ -76,8 +76,12 @@ def histogram_by_group(df: DataFrame, group: str, col: str, bins: int = 30,
     joined back (size-checked broadcast); the dense frame is generated from
     it with ``sequence``, not by a cross join."""
     ranges = _group_ranges(df, group, col)
+    local = bounded_local(ranges, BROADCAST_MAX_ROWS)
+    if local is not None:
+        ranges = local          # one pass computes the ranges for both uses below
     rows = df.where(F.col(col).isNotNull()).select(group, F.col(col).cast("double").alias("_x"))
-    counts = (join_small(rows, ranges, group)
+    joined = rows.join(F.broadcast(ranges), group) if local is not None else rows.join(ranges, group)
+    counts = (joined
               .select(group, bin_index(F.col("_x"), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
               .groupBy(group, "bin").agg(F.count(F.lit(1)).alias("n")))
     frame = ranges.select(group, "_lo", "_hi",

@@ -1,0 +1,32 @@
+"""Print the final (post-AQE) physical plan of selected queries.
+
+    python tools/explain_plans.py /root/testdata/sf0.1 key [key ...]
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tessera.plans.registry import QUERIES  # noqa: E402
+from tessera.session import local_session  # noqa: E402
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def main() -> None:
+    sf_dir, keys = sys.argv[1], sys.argv[2:]
+    spark = local_session(8)
+    for k in keys:
+        print(f"### {k}\n\n```")
+        print(final_plan(QUERIES[k](spark, sf_dir)).rstrip())
+        print("```\n")
+
+
+if __name__ == "__main__":
+    main()
