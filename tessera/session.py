@@ -48,8 +48,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    directory). Only when neither is set -- a local test session -- a private
-    folder is created and registered as the checkpoint directory.
+    directory). Only when neither is set and the master is local (a test or
+    bench session) a private folder is created and registered; on a cluster
+    an unset checkpoint directory is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for the cluster")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
