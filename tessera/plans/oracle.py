@@ -86,6 +86,18 @@ ORACLE: dict[str, str] = {
         FROM (SELECT UNNEST(range(1, (SELECT COUNT(*) FROM orders) + 1)) AS i) t""",
     "csv_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "json_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
+    "named_load": "SELECT * FROM nation",
+    "label_histograms": """WITH p AS (SELECT CASE l.quality WHEN 0 THEN 'low' WHEN 1 THEN 'high' END AS label,
+                             CAST(d.n_chars AS DOUBLE) AS x FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+        m AS (SELECT MIN(x) lo, MAX(x) hi FROM p WHERE x IS NOT NULL),
+        b AS (SELECT label, LEAST(29, CAST(FLOOR((x - lo) * 30 / (hi - lo)) AS INTEGER)) AS bin FROM p, m WHERE x IS NOT NULL),
+        h AS (SELECT label, bin, COUNT(*) AS n FROM b GROUP BY label, bin),
+        c AS (SELECT DISTINCT label FROM p WHERE x IS NOT NULL),
+        e AS (SELECT CAST(i AS INTEGER) AS bin FROM range(30) t(i))
+        SELECT c.label, e.bin, ROUND(lo + (hi - lo) * e.bin / 30, 6) + 0.0 AS lo_edge,
+               ROUND(lo + (hi - lo) * (e.bin + 1) / 30, 6) + 0.0 AS hi_edge, COALESCE(h.n, 0) AS n,
+               'n_chars' AS feature
+        FROM c CROSS JOIN e CROSS JOIN m LEFT JOIN h ON h.label = c.label AND h.bin = e.bin""",
     "table_profile": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", COUNT(*) AS n FROM {t}" for t in TABLES),
     "dedup_keep_last": """SELECT event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) t

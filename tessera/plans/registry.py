@@ -71,6 +71,11 @@ def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_json_typed(spark, path, PART_SCHEMA, required=["p_partkey"])
 
 
+def q_named_load(spark: SparkSession, d: str) -> DataFrame:
+    """A dataset resolved by name (catalog table, else Parquet under the data directory)."""
+    return catalog.load_named(spark, "nation", d)
+
+
 def q_table_profile(spark: SparkSession, d: str) -> DataFrame:
     return catalog.table_profile(spark, d)
 
@@ -397,6 +402,15 @@ def q_histogram_facets(spark: SparkSession, d: str) -> DataFrame:
     return distributions.histogram_facets(_scores(spark, d), "category", "total_score", order, 15)
 
 
+def q_label_histograms(spark: SparkSession, d: str) -> DataFrame:
+    """Pair-plot diagonal: per feature, a stacked histogram by decoded label."""
+    labels, docs = tables(spark, d, "labels", "documents")
+    data = labels.join(docs.select("doc_id", "n_chars"), "doc_id").select(
+        decode_codes("quality", ["low", "high"]).alias("label"),
+        F.col("n_chars").cast("double").alias("n_chars"))
+    return distributions.share_by_label(data, "label", ["n_chars"], 30)
+
+
 def q_density_2d(spark: SparkSession, d: str) -> DataFrame:
     return distributions.density_2d(tables(spark, d, "lineitem"), "l_quantity", "l_extendedprice",
                                     "l_returnflag", 20, 20)
