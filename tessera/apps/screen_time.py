@@ -1,8 +1,9 @@
 """The survey application: two CSV files -> typed keyed tables with upsert ->
 fixed reports -> chart tables.
 
-Tables live as versioned Parquet folders (``<table_dir>/<table>/v<n>``): a
-load writes a new version and never overwrites the one it reads. Every step
+Tables live as versioned Parquet folders (``<root>/<table>/v<n>`` plus a
+manifest of committed versions): a load writes a new version and never
+overwrites the one it reads. Every step
 is an operator from ``tessera.operators``; this module binds them to the
 survey's column names and thresholds.
 """
@@ -50,7 +51,7 @@ SEX_LABELS = {"girl": "Дзяўчаты", "boy": "Хлопцы"}
 
 # ---------------------------------------------------------------- storage
 
-def _versions(spark: SparkSession, table_dir: str) -> list[str]:
+def _versions(spark: SparkSession, table_dir: str) -> list[int]:
     from tessera.streaming.ingest import list_versions
     return list_versions(spark, table_dir)
 
@@ -66,12 +67,9 @@ def tables_exist(spark: SparkSession, root: str) -> bool:
 
 
 def _write_next(spark: SparkSession, root: str, table: str, df: DataFrame) -> str:
+    from tessera.streaming.ingest import commit_version, next_version
     d = f"{root.rstrip('/')}/{table}"
-    vs = _versions(spark, d)
-    nxt = int(vs[-1][1:]) + 1 if vs else 0
-    path = f"{d}/v{nxt:09d}"
-    df.write.parquet(path)
-    return path
+    return commit_version(spark, d, next_version(spark, d), df)
 
 
 # ------------------------------------------------------------------- load

@@ -38,19 +38,14 @@ def _clean(df: DataFrame, c: str) -> Column:
     return nan_to_null(c) if _floating(df, c) else F.col(c)
 
 
-def _has_shuffle_work(df: DataFrame) -> bool:
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(op in plan for op in ("Aggregate", "Join", "Window", "Sort", "Repartition"))
-
-
 @contextmanager
-def fit_input(df: DataFrame, cols: Sequence[str]):
-    """The columns a fit reads. When the input plan aggregates, joins or
-    sorts, those columns are persisted (memory, spilling to disk) for the
-    fit's passes and released afterwards, so the plan runs once; a plain scan
-    is re-read instead. A lost cached block is recomputed from lineage."""
+def fit_input(df: DataFrame, cols: Sequence[str], passes: int):
+    """The columns a fit reads. A fit with more than two passes persists them
+    (memory, spilling to disk) for its duration and releases them afterwards,
+    so the input plan runs once instead of once per statistic; a lost cached
+    block is recomputed from lineage."""
     src = df.select(*dict.fromkeys(cols))
-    if not _has_shuffle_work(src):
+    if passes <= 2:
         yield src
         return
     cached = src.persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,8 +109,9 @@ def fit_imputer(df: DataFrame, median: Sequence[str] = (), mean: Sequence[str] =
                 constant: Mapping[str, object] | None = None) -> FittedImputer:
     """Learn fill values: median / mean / most frequent / constant per column."""
     fills: dict = {}
-    passes = list(median) + list(most_frequent_cols)
-    with fit_input(df, passes + list(mean)) if len(passes) > 1 else _as_is(df) as src:
+    cols = list(median) + list(most_frequent_cols) + list(mean)
+    passes = len(median) + len(most_frequent_cols) + (1 if mean else 0)
+    with fit_input(df, cols, passes) as src:
         for c in median:
             fills[c] = exact_median(src, c)
         fills.update(column_means(src, list(mean)))
@@ -126,10 +122,6 @@ def fit_imputer(df: DataFrame, median: Sequence[str] = (), mean: Sequence[str] =
     return FittedImputer(fills)
 
 
-@contextmanager
-def _as_is(df: DataFrame):
-    yield df
-
 
 # ------------------------------------------------------------------- scaling
 
@@ -258,7 +250,9 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], cat_freq: Sequence[s
                      strict: bool = False) -> Preprocessor:
     """Fit all steps; ``impute=False`` with ``strict=True`` is the scale +
     strict one-hot preset (no imputation, unseen category raises)."""
-    with fit_input(df, list(numeric) + list(cat_freq) + list(cat_const)) as src:
+    passes = ((len(numeric) + len(cat_freq) if impute else 0) + (1 if numeric else 0)
+              + len(cat_freq) + len(cat_const))
+    with fit_input(df, list(numeric) + list(cat_freq) + list(cat_const), passes) as src:
         if impute:
             imputer = fit_imputer(src, median=list(numeric), most_frequent_cols=list(cat_freq),
                                   constant={c: fill_value for c in cat_const})

@@ -1,12 +1,16 @@
 """Incremental keyed loads with Structured Streaming.
 
 Loads arrive as files in a landing folder; a streaming query picks them up
-one file per micro-batch and upserts each batch into a versioned Parquet
-table: version ``v<epoch>`` = upsert(previous version, keep-last(batch)).
-Every version is written to a new location, never over the one being read,
-and an epoch whose version already exists is skipped, so a replayed batch
-after a failure does not apply twice (the streaming checkpoint records which
-files each epoch consumed).
+(one file per micro-batch by default) and upserts each batch into a
+versioned table: version ``v<n>`` = upsert(previous version,
+keep-last(batch)).
+
+A versioned table is a folder of Parquet versions plus a manifest (a small
+Parquet table of committed version numbers). A version is written to its own
+new folder, never over the one being read, and becomes visible only when its
+number is appended to the manifest. An epoch replayed after a failure
+rewrites its folder and is recorded once, so it never applies twice; the
+streaming checkpoint records which files each epoch consumed.
 """
 
 from __future__ import annotations
@@ -14,36 +18,52 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators.keyed import dedup_keep_last, upsert
 from tessera.session import scratch_path
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _manifest(table_dir: str) -> str:
+    return f"{table_dir.rstrip('/')}/manifest"
 
 
-def list_versions(spark: SparkSession, table_dir: str) -> list[str]:
-    """Committed versions (folders with a ``_SUCCESS`` marker), oldest first."""
-    fs, root = _fs(spark, table_dir)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v") and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(name)
-    return sorted(out)
+def version_path(table_dir: str, version: int) -> str:
+    return f"{table_dir.rstrip('/')}/v{version:09d}"
+
+
+def list_versions(spark: SparkSession, table_dir: str) -> list[int]:
+    """Committed version numbers, oldest first."""
+    try:
+        rows = spark.read.parquet(_manifest(table_dir)).select("version").distinct().collect()
+    except Exception as e:  # noqa: BLE001 - no manifest yet: no committed version
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return []
+        raise
+    return sorted(r[0] for r in rows)
 
 
 def latest_version(spark: SparkSession, table_dir: str, schema) -> DataFrame:
+    """The newest committed version, or an empty table of ``schema``."""
     versions = list_versions(spark, table_dir)
     if not versions:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{table_dir.rstrip('/')}/{versions[-1]}")
+    return spark.read.schema(schema).parquet(version_path(table_dir, versions[-1]))
+
+
+def commit_version(spark: SparkSession, table_dir: str, version: int, df: DataFrame) -> str:
+    """Write ``df`` as ``version`` (replacing a partial earlier attempt) and
+    record it in the manifest."""
+    path = version_path(table_dir, version)
+    df.write.mode("overwrite").parquet(path)
+    spark.range(1).select(F.lit(version).cast("long").alias("version")) \
+        .write.mode("append").parquet(_manifest(table_dir))
+    return path
+
+
+def next_version(spark: SparkSession, table_dir: str) -> int:
+    versions = list_versions(spark, table_dir)
+    return versions[-1] + 1 if versions else 0
 
 
 def upsert_stream(spark: SparkSession, landing_dir: str, schema, key: Sequence[str],
@@ -53,16 +73,15 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema, key: Sequence[s
     key, order = list(key), list(order)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        target = f"{table_dir.rstrip('/')}/v{epoch_id:09d}"
-        if f"v{epoch_id:09d}" in list_versions(spark, table_dir):
-            return  # already committed by an earlier attempt of this epoch
+        if epoch_id in list_versions(spark, table_dir):
+            return  # committed by an earlier attempt of this epoch
         current = latest_version(spark, table_dir, schema)
         incoming = dedup_keep_last(batch, key, order)
-        upsert(current, incoming, key).write.mode("overwrite").parquet(target)
+        commit_version(spark, table_dir, epoch_id, upsert(current, incoming, key))
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.parquet(landing_dir)
-    writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_dir)
+    writer = (reader.parquet(landing_dir).writeStream.foreachBatch(apply_batch)
+              .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
@@ -70,22 +89,14 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema, key: Sequence[s
 def run_upsert_stream(spark: SparkSession, loads: Sequence[DataFrame], key: Sequence[str],
                       order: Sequence[str]) -> DataFrame:
     """Land each load as one Parquet file, in order, run the stream until it
-    has consumed them, and return the final version of the table."""
+    has consumed them, and return the final version of the table. (Should two
+    loads share a batch, keep-last on ``order`` still gives the same table.)"""
     schema = loads[0].schema
     landing = scratch_path(spark, "landing")
     table_dir = scratch_path(spark, "table")
     ckpt = scratch_path(spark, "stream-ckpt")
     for i, load in enumerate(loads):
         load.coalesce(1).write.parquet(f"{landing}/load-{i:06d}")
-    import time
-    # one file per load; modification times order the batches
-    fs, _ = _fs(spark, landing)
-    for i in range(len(loads)):
-        jvm = spark.sparkContext._jvm
-        d = jvm.org.apache.hadoop.fs.Path(f"{landing}/load-{i:06d}")
-        for st in fs.listStatus(d):
-            if st.getPath().getName().endswith(".parquet"):
-                fs.setTimes(st.getPath(), int(time.time() * 1000) + i * 10_000, -1)
     q = upsert_stream(spark, f"{landing}/*", schema, key, order, table_dir, ckpt)
     q.awaitTermination()
     return latest_version(spark, table_dir, schema)
