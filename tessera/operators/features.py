@@ -229,13 +229,23 @@ class Preprocessor:
     onehot_c: FittedOneHot
     numeric: list
     keep: list
+    reg_target: str | None = None
+    reg_fit: object | None = None          # models.LinearFit for the regression fill
 
     def feature_names(self) -> list[str]:
         return ([f"num__{c}" for c in self.numeric] + self.onehot_f.output_names()
                 + self.onehot_c.output_names())
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def fill(self, df: DataFrame) -> DataFrame:
+        """Imputation only: strategy fills, then the regression fill of ``reg_target``."""
         imp = self.imputer.transform(df)
+        if self.reg_fit is not None:
+            t = self.reg_target
+            imp = imp.withColumn(t, F.coalesce(F.col(t).cast("double"), self.reg_fit.linear_term()))
+        return imp
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        imp = self.fill(df)
         self.onehot_f.check(imp)
         self.onehot_c.check(imp)
         cols = [F.col(c) for c in self.keep]
@@ -247,22 +257,38 @@ class Preprocessor:
 def fit_preprocessor(df: DataFrame, numeric: Sequence[str], cat_freq: Sequence[str] = (),
                      cat_const: Sequence[str] = (), fill_value: str = "Unknown",
                      keep: Sequence[str] = (), impute: bool = True,
-                     strict: bool = False) -> Preprocessor:
+                     strict: bool = False, reg_target: str | None = None,
+                     reg_predictors: Sequence[str] = ()) -> Preprocessor:
     """Fit all steps; ``impute=False`` with ``strict=True`` is the scale +
-    strict one-hot preset (no imputation, unseen category raises)."""
+    strict one-hot preset (no imputation, unseen category raises).
+
+    With ``reg_target`` (a numeric column) and ``reg_predictors`` (numeric
+    columns), the target's gaps are filled by a linear model fitted where the
+    target is present, on the already imputed predictors; nothing is fitted
+    when the target has no gaps."""
+    from tessera.operators.models import fit_linear
+    if reg_target and reg_target not in numeric:
+        raise ValueError("reg_target must be one of the numeric columns")
+    median_cols = [c for c in numeric if c != reg_target]
     passes = ((len(numeric) + len(cat_freq) if impute else 0) + (1 if numeric else 0)
               + len(cat_freq) + len(cat_const))
-    with fit_input(df, list(numeric) + list(cat_freq) + list(cat_const), passes) as src:
+    cols = list(numeric) + list(cat_freq) + list(cat_const) + list(reg_predictors)
+    with fit_input(df, cols, passes + (2 if reg_target else 0)) as src:
         if impute:
-            imputer = fit_imputer(src, median=list(numeric), most_frequent_cols=list(cat_freq),
+            imputer = fit_imputer(src, median=median_cols, most_frequent_cols=list(cat_freq),
                                   constant={c: fill_value for c in cat_const})
         else:
             imputer = FittedImputer({})
         imp = imputer.transform(src)
+        reg_fit = None
+        if reg_target and imp.where(F.col(reg_target).isNull()).limit(1).count():
+            reg_fit = fit_linear(imp.where(F.col(reg_target).isNotNull()), list(reg_predictors), reg_target)
+            imp = imp.withColumn(reg_target, F.coalesce(F.col(reg_target).cast("double"),
+                                                        reg_fit.linear_term()))
         scaler = fit_scaler(imp, list(numeric))
         oh_f = fit_one_hot(imp, list(cat_freq), prefix="cat_f__" if impute else "cat__", strict=strict)
         oh_c = fit_one_hot(imp, list(cat_const), prefix="cat_c__", strict=strict)
-    return Preprocessor(imputer, scaler, oh_f, oh_c, list(numeric), list(keep))
+    return Preprocessor(imputer, scaler, oh_f, oh_c, list(numeric), list(keep), reg_target, reg_fit)
 
 
 def prepare_label(c: str | Column, default: int = 0) -> Column:

@@ -170,3 +170,17 @@ def test_sequence(spark):
     got = [r[0] for r in run_sql(spark, "SELECT id * id FROM range(1, ? + 1) ORDER BY id", (10,)).collect()]
     assert got == [n * n for n in range(1, 11)]
     assert math.isclose(sum(got), 385)
+
+
+def test_preprocess_regression_fill(spark):
+    rows = [(1, 1.0, 3.0, "a"), (2, 2.0, 5.0, "b"), (3, 3.0, None, "a"), (4, None, 9.0, "b")]
+    df = spark.createDataFrame(rows, "k int, x double, y double, c string")
+    pre = features.fit_preprocessor(df, numeric=["x", "y"], cat_freq=["c"], keep=["k"],
+                                    reg_target="y", reg_predictors=["x"])
+    filled = {r["k"]: (r["x"], r["y"]) for r in pre.fill(df).collect()}
+    # x gap -> median of x (2.0); y gap -> OLS on rows with y (x = 1, 2, 2 -> y = 3, 5, 9):
+    # slope 4, intercept -1, so y(3) = 11
+    assert filled[4][0] == 2.0
+    assert filled[3][1] == pytest.approx(11.0)
+    out = pre.transform(df)
+    assert out.columns == ["k", "num__x", "num__y", "cat_f__c_b"]
