@@ -37,14 +37,21 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="tessera-bench-")
     spark = local_session(cpus, checkpoint_dir=os.path.join(scratch, "ckpt"),
                           extra={"spark.sql.warehouse.dir": os.path.join(scratch, "wh")})
-    times = {}
+    times, errors = {}, {}
     for name in only or sorted(QUERIES):
         fn = QUERIES[name]
-        run_once(spark, fn, sf_dir)
-        times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(reps)), 4)
+        try:
+            run_once(spark, fn, sf_dir)
+            times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(reps)), 4)
+        except Exception as e:  # noqa: BLE001 - record and go on; the line is still printed
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        print(f"{name}: {times.get(name, 'error')}", file=sys.stderr, flush=True)
     spark.stop()
-    print(json.dumps({"metric": "sum_of_median_query_sec", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "reps": reps, "cpus": cpus}))
+    out = {"metric": "sum_of_median_query_sec", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf, "reps": reps, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
