@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, materialize
 
 
 def _edges(lo, hi):
@@ -104,7 +104,7 @@ def histogram_stacked(df: DataFrame, category: str, col: str, bins: int = 30,
     rows = df.where(F.col(col).isNotNull())
     counts = (rows.select(category, bin_index(F.col(col).cast("double"), L, H, bins).alias("bin"))
               .groupBy(category, "bin").agg(F.count(F.lit(1)).alias("n")))
-    cats = rows.select(category).distinct()
+    cats = counts.select(category).distinct()      # from the (small) aggregate, not the rows
     frame = cats.select(category, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (frame.join(counts, [category, "bin"], "left")
             .select(category, "bin", _edge(L, H, F.col("bin"), bins, digits).alias("lo_edge"),
@@ -115,13 +115,14 @@ def histogram_stacked(df: DataFrame, category: str, col: str, bins: int = 30,
 def histogram_facets(df: DataFrame, category: str, col: str, order: Sequence[str],
                      bins: int = 15, digits: int = 6) -> DataFrame:
     """Faceted histogram: one panel per category present, in the declared
-    ``order``, own edges per panel, with the panel size ``facet_n``."""
+    ``order``, own edges per panel, with the panel size ``facet_n`` (rows with
+    a value, i.e. the panel's histogram total)."""
     spark = df.sparkSession
     pos = spark.createDataFrame([(v, i) for i, v in enumerate(order, start=1)],
                                 f"{category} string, position int")
     present = df.join(F.broadcast(pos), category, "left_semi")
-    hist = histogram_by_group(present, category, col, bins, digits)
-    sizes = present.groupBy(category).agg(F.count(F.lit(1)).alias("facet_n"))
+    hist = materialize(histogram_by_group(present, category, col, bins, digits))
+    sizes = hist.groupBy(category).agg(F.sum("n").cast("long").alias("facet_n"))
     return (hist.join(sizes, category).join(F.broadcast(pos), category)
             .select("position", category, "facet_n", "bin", "lo_edge", "hi_edge", "n"))
 

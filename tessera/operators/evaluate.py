@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, bounded_rows, running_sums
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, running_sums
 
 MAX_CLASSES = 10_000
 # Up to this many classes the confusion table is dense (every pair, zeros included).
@@ -22,26 +22,25 @@ DENSE_MAX_CLASSES = 300
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """``(y, yhat, n)`` for every pair of classes seen in truth or prediction;
     empty cells are 0. Beyond ``DENSE_MAX_CLASSES`` classes only the non-empty
-    cells are returned (the dense table would grow with classes squared)."""
+    cells are returned (the dense table would grow with classes squared).
+
+    The rows are aggregated once; the cell table (at most classes^2 rows) is
+    read once into a local table that every derived metric then uses."""
     counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    classes = bounded_rows(
-        counts.select(F.col("y").alias("c")).union(counts.select(F.col("yhat").alias("c")))
-        .distinct(), MAX_CLASSES)
-    if classes is None:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    labels = sorted(r["c"] for r in classes)
+        .agg(F.count(F.lit(1)).cast("long").alias("n"))
+    cells = bounded_local(counts, BROADCAST_MAX_ROWS)
+    if cells is None:
+        return counts
     spark = df.sparkSession
+    labels = sorted({r["c"] for r in cells.select(F.col("y").alias("c"))
+                    .union(cells.select(F.col("yhat").alias("c"))).collect()})
     if len(labels) > DENSE_MAX_CLASSES:
-        return counts.select("y", "yhat", F.col("n").cast("long").alias("n"))
+        return cells
     ytype = counts.schema["y"].dataType.simpleString()
     grid = spark.createDataFrame([(a, b) for a in labels for b in labels], f"y {ytype}, yhat {ytype}")
-    table = (grid.join(counts, ["y", "yhat"], "left")
+    table = (grid.join(cells, ["y", "yhat"], "left")
              .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
-    # classes^2 cells: kept as a local relation when small, so every metric
-    # derived from it reads the table, not the rows again
-    local = bounded_local(table, BROADCAST_MAX_ROWS)
-    return local if local is not None else table
+    return bounded_local(table, BROADCAST_MAX_ROWS)
 
 
 def _div(a, b):

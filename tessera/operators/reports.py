@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import band, band_position, percent, row_sum
-from tessera.plans.strategy import join_small
+from tessera.plans.strategy import join_small, materialize
 
 
 def run_sql(spark: SparkSession, sql: str, params: Sequence = ()) -> DataFrame:
@@ -126,7 +126,9 @@ def share_table(df: DataFrame, group: str, predicate: Column | None = None,
 
 
 def shares(counts: DataFrame, count_col: str = "count") -> DataFrame:
-    """Add ``total`` (sum of ``count_col``) and ``pct`` to a per-group count table."""
+    """Add ``total`` (sum of ``count_col``) and ``pct`` to a per-group count table.
+    The table is computed once: held locally when small, else checkpointed."""
+    counts = materialize(counts)
     total = counts.agg(F.sum(count_col)).first()[0] or 0
     return (counts.withColumn("total", F.lit(int(total)).cast("long"))
             .withColumn("pct", F.round(percent(count_col, "total"), 6)))

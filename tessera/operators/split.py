@@ -7,9 +7,11 @@ rank of a keyed md5 hash within each class -- deterministic, reproducible in
 SQL, and independent of partitioning and retries.
 
 Rank without a global sort: rows are bucketed by the leading hex digits of
-their hash; counts per (class, bucket) give every bucket's offset in the
-class order. Buckets entirely inside or outside the quota are decided
-without ranking; only the single boundary bucket per class is ranked by a
+their hash; one aggregate of counts per (class, bucket) gives the class sizes
+and every bucket's offset in the class order (more digits, in a second pass,
+only when a class is so large that a bucket would exceed
+``ROWS_PER_HASH_BUCKET`` rows). Buckets entirely inside or outside the
+quota are decided without ranking; only the single boundary bucket per class is ranked by a
 window partitioned on (class, bucket).
 """
 
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import join_small
+from tessera.plans.strategy import join_small, materialize
 
 MAX_CLASSES = 10_000
 ROWS_PER_HASH_BUCKET = 1_000_000
@@ -38,7 +40,8 @@ def class_quotas(class_counts: dict, test_size: float) -> dict:
     base = {c: (nc * n_test) // n for c, nc in class_counts.items()}
     rem = {c: (nc * n_test) % n for c, nc in class_counts.items()}
     left = n_test - sum(base.values())
-    order = sorted(class_counts, key=lambda c: (-rem[c], c))
+    # ties by class; a NULL class sorts last
+    order = sorted(class_counts, key=lambda c: (-rem[c], c is None, c if c is not None else 0))
     for c in order[:left]:
         base[c] += 1
     return base
@@ -47,24 +50,29 @@ def class_quotas(class_counts: dict, test_size: float) -> dict:
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """Add ``out`` = 'test' / 'train' to every row of ``df``."""
-    counts_rows = (df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-                   .limit(MAX_CLASSES + 1).collect())
-    if len(counts_rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    counts = {r[label]: r["n"] for r in counts_rows}
+    hashed = df.withColumn("_h", md5_rank_key(key, seed))
+    digits = 2
+    while True:
+        # one pass: rows per (class, hash bucket); class sizes are its sums
+        per_bucket = materialize(hashed.groupBy(label, F.substring("_h", 1, digits).alias("_b"))
+                                 .agg(F.count(F.lit(1)).alias("_c")))
+        counts_rows = (per_bucket.groupBy(label).agg(F.sum("_c").alias("n"))
+                       .limit(MAX_CLASSES + 1).collect())
+        if len(counts_rows) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes")
+        counts = {r[label]: r["n"] for r in counts_rows}
+        biggest = max(counts.values(), default=0)
+        need = digits
+        while need < 6 and biggest / (16 ** need) > ROWS_PER_HASH_BUCKET:
+            need += 1
+        if need == digits:
+            break
+        digits = need        # a class too large for these buckets: split finer
     quotas = class_quotas(counts, test_size)
-    biggest = max(counts.values(), default=0)
-    digits = 1
-    while digits < 6 and biggest / (16 ** digits) > ROWS_PER_HASH_BUCKET:
-        digits += 1
 
     spark = df.sparkSession
     label_type = df.schema[label].dataType.simpleString()
     quota_df = spark.createDataFrame(list(quotas.items()), f"{label} {label_type}, _q long")
-
-    hashed = (df.withColumn("_h", md5_rank_key(key, seed))
-              .withColumn("_b", F.substring("_h", 1, digits)))
-    per_bucket = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = (Window.partitionBy(label).orderBy("_b")
          .rowsBetween(Window.unboundedPreceding, -1))
     decided = (per_bucket.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
@@ -75,7 +83,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
                            .otherwise(F.lit("edge")))
                .select(label, "_b", "_before", "_q", "_state"))
 
-    tagged = join_small(hashed, decided, on=[label, "_b"], how="inner")
+    tagged = join_small(hashed.withColumn("_b", F.substring("_h", 1, digits)), decided,
+                        on=[label, "_b"], how="inner")
     settled = (tagged.where(F.col("_state") != "edge")
                .withColumn(out, F.col("_state")))
     rank_w = Window.partitionBy(label, "_b").orderBy("_h", key)

@@ -184,3 +184,10 @@ def test_preprocess_regression_fill(spark):
     assert filled[3][1] == pytest.approx(11.0)
     out = pre.transform(df)
     assert out.columns == ["k", "num__x", "num__y", "cat_f__c_b"]
+
+
+def test_split_quotas_with_null_class():
+    q = split.class_quotas({"a": 5, None: 5}, 0.2)
+    assert q == {"a": 1, None: 1}
+    q = split.class_quotas({"a": 3, None: 3}, 0.5)
+    assert sum(q.values()) == 3 and q["a"] == 2
