@@ -61,15 +61,14 @@ def exact_median(df: DataFrame, c: str):
     """Exact median of the non-missing values (mean of the middle pair).
 
     A global ``median`` aggregate merges every distinct value in one task;
-    here values are counted per distinct value and located by a two-level
-    running count (see ``plans.strategy.exact_quantile_values``)."""
-    vals = df.select(_clean(df, c).alias(c)).where(F.col(c).isNotNull())
-    n = vals.count()
-    if n == 0:
+    here values are counted per distinct value in one pass and the middle
+    pair is located in that table (see ``plans.strategy.exact_quantile_values``)."""
+    vals = df.select(_clean(df, c).alias(c))
+    at = exact_quantile_values(vals, c, lambda n: [(n - 1) // 2, n // 2])
+    if not at:
         return None
-    k1, k2 = (n - 1) // 2, n // 2
-    at = exact_quantile_values(vals, c, sorted({k1, k2}))
-    return (float(at[k1]) + float(at[k2])) / 2.0
+    lo, hi = min(at), max(at)
+    return (float(at[lo]) + float(at[hi])) / 2.0
 
 
 def most_frequent(df: DataFrame, c: str):

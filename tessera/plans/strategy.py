@@ -139,36 +139,42 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     return out.drop("_bucket", *[f"_w_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
 
 
-def exact_quantile_values(values: DataFrame, col: str, ranks: Sequence[int],
-                          small_distinct: int | None = None) -> dict:
+def exact_quantile_values(values: DataFrame, col: str, ranks, small_distinct: int | None = None) -> dict:
     """Exact order statistics: the value at each 0-based rank among the
-    non-NULL values of ``col``.
-
-    Values are counted per distinct value (map-side combined). When that
-    table has at most ``small_distinct`` rows it is read once and the ranks
-    are located on the driver; otherwise the counts get a scalable running
-    sum and each rank is located where the running count first reaches it.
+    non-NULL values of ``col``. ``ranks`` is a list of ranks, or a function of
+    the non-NULL count returning them (e.g. the middle pair for a median).
+
+    Values are counted per distinct value (map-side combined) in one pass
+    over the rows; the count total is taken from that table. When it has at
+    most ``small_distinct`` rows it is held locally and the ranks are located
+    on the driver; otherwise it is checkpointed, gets a scalable running sum,
+    and each rank is located where the running count first reaches it.
     Either way only bounded data reaches the driver."""
     counts = (values.where(F.col(col).isNotNull()).groupBy(col)
               .agg(F.count(F.lit(1)).alias("_n")))
     small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
-    small = bounded_rows(counts, small_distinct) if small_distinct > 0 else None
+    local = bounded_local(counts, small_distinct) if small_distinct > 0 else None
+    table = local if local is not None else checkpointed(counts)
+    n = table.agg(F.sum("_n")).first()[0] or 0
+    wanted = sorted(set(ranks(n) if callable(ranks) else ranks))
     out = {}
-    if small is not None:
+    if n == 0 or not wanted:
+        return out
+    if local is not None:
         acc = 0
-        pending = sorted(ranks)
-        for r in sorted(small, key=lambda r: r[col]):
+        pending = list(wanted)
+        for r in local.orderBy(col).collect():
             acc += r["_n"]
             while pending and pending[0] < acc:
                 out[pending.pop(0)] = r[col]
         return out
-    cum = running_sums(counts, [col], ["_n"])
+    cum = running_sums(table, [col], ["_n"])
     conds = None
-    for k in ranks:
+    for k in wanted:
         c = (F.col("cum__n") - F.col("_n") <= F.lit(k)) & (F.col("cum__n") > F.lit(k))
         conds = c if conds is None else conds | c
     rows = cum.where(conds).select(col, "cum__n", "_n").collect()
-    for k in ranks:
+    for k in wanted:
         for r in rows:
             if r["cum__n"] - r["_n"] <= k < r["cum__n"]:
                 out[k] = r[col]
