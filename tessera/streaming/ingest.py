@@ -1,9 +1,10 @@
 """Incremental keyed loads with Structured Streaming.
 
 Loads arrive as files in a landing folder; a streaming query picks them up
-(one file per micro-batch by default) and upserts each batch into a
-versioned table: version ``v<n>`` = upsert(previous version,
-keep-last(batch)).
+(optionally at most ``files_per_batch`` files per micro-batch) and upserts
+each batch into a versioned table: version ``v<n>`` = upsert(previous
+version, keep-last(batch)). Keep-last orders rows by the load's ordering
+columns, so how files are grouped into batches does not change the table.
 
 A versioned table is a folder of Parquet versions plus a manifest (a small
 Parquet table of committed version numbers). A version is written to its own
@@ -35,7 +36,8 @@ def version_path(table_dir: str, version: int) -> str:
 def list_versions(spark: SparkSession, table_dir: str) -> list[int]:
     """Committed version numbers, oldest first."""
     try:
-        rows = spark.read.parquet(_manifest(table_dir)).select("version").distinct().collect()
+        rows = (spark.read.schema("version long").parquet(_manifest(table_dir))
+                .select("version").distinct().collect())
     except Exception as e:  # noqa: BLE001 - no manifest yet: no committed version
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return []
@@ -43,9 +45,10 @@ def list_versions(spark: SparkSession, table_dir: str) -> list[int]:
     return sorted(r[0] for r in rows)
 
 
-def latest_version(spark: SparkSession, table_dir: str, schema) -> DataFrame:
+def latest_version(spark: SparkSession, table_dir: str, schema,
+                   versions: list[int] | None = None) -> DataFrame:
     """The newest committed version, or an empty table of ``schema``."""
-    versions = list_versions(spark, table_dir)
+    versions = list_versions(spark, table_dir) if versions is None else versions
     if not versions:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(version_path(table_dir, versions[-1]))
@@ -68,18 +71,21 @@ def next_version(spark: SparkSession, table_dir: str) -> int:
 
 def upsert_stream(spark: SparkSession, landing_dir: str, schema, key: Sequence[str],
                   order: Sequence[str], table_dir: str, checkpoint_dir: str,
-                  files_per_batch: int = 1, available_now: bool = True):
+                  files_per_batch: int | None = None, available_now: bool = True):
     """Start the streaming upsert; returns the ``StreamingQuery``."""
     key, order = list(key), list(order)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        if epoch_id in list_versions(spark, table_dir):
+        versions = list_versions(spark, table_dir)
+        if epoch_id in versions:
             return  # committed by an earlier attempt of this epoch
-        current = latest_version(spark, table_dir, schema)
+        current = latest_version(spark, table_dir, schema, versions)
         incoming = dedup_keep_last(batch, key, order)
         commit_version(spark, table_dir, epoch_id, upsert(current, incoming, key))
 
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     writer = (reader.parquet(landing_dir).writeStream.foreachBatch(apply_batch)
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -88,15 +94,14 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema, key: Sequence[s
 
 def run_upsert_stream(spark: SparkSession, loads: Sequence[DataFrame], key: Sequence[str],
                       order: Sequence[str]) -> DataFrame:
-    """Land each load as one Parquet file, in order, run the stream until it
-    has consumed them, and return the final version of the table. (Should two
-    loads share a batch, keep-last on ``order`` still gives the same table.)"""
+    """Land each load (a parallel write), run the stream until it has
+    consumed every landed file, and return the final version of the table."""
     schema = loads[0].schema
     landing = scratch_path(spark, "landing")
     table_dir = scratch_path(spark, "table")
     ckpt = scratch_path(spark, "stream-ckpt")
     for i, load in enumerate(loads):
-        load.coalesce(1).write.parquet(f"{landing}/load-{i:06d}")
+        load.write.parquet(f"{landing}/load-{i:06d}")
     q = upsert_stream(spark, f"{landing}/*", schema, key, order, table_dir, ckpt)
     q.awaitTermination()
     return latest_version(spark, table_dir, schema)
