@@ -74,7 +74,9 @@ def histogram_by_group(df: DataFrame, group: str, col: str, bins: int = 30,
     """One dense histogram per group, each with its **own** edges:
     ``(group, bin, lo_edge, hi_edge, n)``. Group ranges are a small table
     joined back (size-checked broadcast); the dense frame is generated from
-    it with ``sequence``, not by a cross join."""
+    it with ``sequence``, not by a cross join. Rows with a NULL group belong
+    to no panel and are left out, as a per-group chart leaves them out."""
+    df = df.where(F.col(group).isNotNull())
     ranges = _group_ranges(df, group, col)
     local = bounded_local(ranges, BROADCAST_MAX_ROWS)
     if local is not None:
@@ -95,7 +97,9 @@ def histogram_by_group(df: DataFrame, group: str, col: str, bins: int = 30,
 def histogram_stacked(df: DataFrame, category: str, col: str, bins: int = 30,
                       digits: int = 6) -> DataFrame:
     """Stacked histogram: **common** edges for all categories, dense per
-    category present: ``(category, bin, lo_edge, hi_edge, n)``."""
+    category present: ``(category, bin, lo_edge, hi_edge, n)``. Rows with a
+    NULL category have no layer and are left out, as the chart leaves them out."""
+    df = df.where(F.col(category).isNotNull())
     lo, hi = value_range(df.where(F.col(col).isNotNull()), col)
     spark = df.sparkSession
     if lo is None:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, running_sums
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, null_safe_join, running_sums
 
 MAX_CLASSES = 10_000
 # Up to this many classes the confusion table is dense (every pair, zeros included).
@@ -33,12 +33,13 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
         return counts
     spark = df.sparkSession
     labels = sorted({r["c"] for r in cells.select(F.col("y").alias("c"))
-                    .union(cells.select(F.col("yhat").alias("c"))).collect()})
+                    .union(cells.select(F.col("yhat").alias("c"))).collect()},
+                    key=lambda c: (c is None, c if c is not None else 0))
     if len(labels) > DENSE_MAX_CLASSES:
         return cells
     ytype = counts.schema["y"].dataType.simpleString()
     grid = spark.createDataFrame([(a, b) for a in labels for b in labels], f"y {ytype}, yhat {ytype}")
-    table = (grid.join(cells, ["y", "yhat"], "left")
+    table = (null_safe_join(grid, cells, ["y", "yhat"], "left", broadcast_right=True)
              .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
     return bounded_local(table, BROADCAST_MAX_ROWS)
 
@@ -54,7 +55,7 @@ def classification_report(confusion: DataFrame, digits: int = 6) -> DataFrame:
     tp = confusion.where(F.col("y") == F.col("yhat")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
     support = confusion.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
     predicted = confusion.groupBy(F.col("yhat").alias("c")).agg(F.sum("n").alias("predicted"))
-    per = (support.join(predicted, "c", "full_outer").join(tp, "c", "left")
+    per = (null_safe_join(null_safe_join(support, predicted, "c", "full_outer"), tp, "c", "left")
            .select("c", F.coalesce("tp", F.lit(0)).alias("tp"),
                    F.coalesce("support", F.lit(0)).alias("support"),
                    F.coalesce("predicted", F.lit(0)).alias("predicted")))

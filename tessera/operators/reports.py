@@ -75,7 +75,7 @@ def group_mean_rows(df: DataFrame, group: str, value: str, alias: str = "group_a
     """
     rows = df.where(F.col(value).isNotNull()).select(group, value)
     means = group_means(df, group, value, alias)
-    return (join_small(rows, means, on=group, how="left")
+    return (join_small(rows, means, on=group, how="left", null_safe=True)
             .select(group, value, alias)
             .orderBy(F.col(value).desc()))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import join_small, materialize
+from tessera.plans.strategy import join_small, materialize, null_safe_join
 
 MAX_CLASSES = 10_000
 ROWS_PER_HASH_BUCKET = 1_000_000
@@ -75,16 +75,17 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     quota_df = spark.createDataFrame(list(quotas.items()), f"{label} {label_type}, _q long")
     w = (Window.partitionBy(label).orderBy("_b")
          .rowsBetween(Window.unboundedPreceding, -1))
-    decided = (per_bucket.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-               .join(F.broadcast(quota_df), label)
+    with_before = per_bucket.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    decided = (null_safe_join(with_before, quota_df, label, broadcast_right=True)
                .withColumn("_state",
                            F.when(F.col("_before") + F.col("_c") <= F.col("_q"), F.lit("test"))
                            .when(F.col("_before") >= F.col("_q"), F.lit("train"))
                            .otherwise(F.lit("edge")))
                .select(label, "_b", "_before", "_q", "_state"))
 
+    # null-safe: rows whose class is NULL form their own class, none are dropped
     tagged = join_small(hashed.withColumn("_b", F.substring("_h", 1, digits)), decided,
-                        on=[label, "_b"], how="inner")
+                        on=[label, "_b"], how="inner", null_safe=True)
     settled = (tagged.where(F.col("_state") != "edge")
                .withColumn(out, F.col("_state")))
     rank_w = Window.partitionBy(label, "_b").orderBy("_h", key)

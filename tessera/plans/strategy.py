@@ -57,19 +57,38 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
+                   broadcast_right: bool = False) -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (``<=>``), so rows with a
+    NULL key keep their group. Spark still plans ``<=>`` keys as a hash or
+    sort-merge equi-join. The right side's key columns are dropped."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    if broadcast_right:
+        r = F.broadcast(r)
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_rows: int = BROADCAST_MAX_ROWS, null_safe: bool = False) -> DataFrame:
     """Join ``big`` with a side that is usually small (per-group statistics,
     category lists, offsets).
 
     The small side is measured first: within ``max_rows`` it is materialised
     as a local relation and broadcast (no shuffle of ``big``); beyond, the
-    join falls back to a shuffle join where AQE splits skewed keys.
+    join falls back to a shuffle join where AQE splits skewed keys. With
+    ``null_safe`` a NULL key matches a NULL key.
     """
     local = bounded_local(small, max_rows)
-    if local is not None:
-        return big.join(F.broadcast(local), on, how)
-    return big.join(small, on, how)
+    side = local if local is not None else small
+    if null_safe:
+        return null_safe_join(big, side, on, how, broadcast_right=local is not None)
+    return big.join(F.broadcast(side) if local is not None else side, on, how)
 
 
 def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],

@@ -147,3 +147,19 @@ def test_skewed_key_results_whole(spark):
     assert got == split.class_quotas({"hot": 1000, "cold": 2000}, 0.2)
     h = distributions.histogram_by_group(hot, "cls", "x", 10)
     assert {r[0]: r[1] for r in h.groupBy("cls").agg(F.sum("n")).collect()} == {"hot": 1000, "cold": 2000}
+
+
+def test_null_groups_keep_their_rows(spark):
+    """NULL class / group rows are neither dropped nor merged into another group."""
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else ("a" if i % 2 else "b"), float(i))
+                                for i in range(40)], "k long, g string, x double")
+    s = split.stratified_split(df, "g", "k", 0.25)
+    assert s.count() == 40
+    got = {r[0]: r[1] for r in s.where("split = 'test'").groupBy("g").count().collect()}
+    assert got == {k: v for k, v in split.class_quotas({None: 10, "a": 20, "b": 10}, 0.25).items() if v}
+    from tessera.operators import reports
+    rows = reports.group_mean_rows(df, "g", "x").collect()
+    assert len(rows) == 40
+    assert {r["group_avg"] for r in rows if r["g"] is None} == {float(np.mean(range(0, 40, 4)))}
+    cm = evaluate.confusion_matrix(df.select(F.col("g").alias("y"), F.col("g").alias("p")), "y", "p")
+    assert cm.agg(F.sum("n")).first()[0] == 40
