@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.plans.strategy import null_safe_join
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -38,10 +40,12 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str]) -> Da
     """Stored rows whose key is not in ``incoming`` plus every incoming row
     (incoming must already be one row per key, see :func:`dedup_keep_last`).
 
-    The anti join sees unique keys on both sides, so it has no skew.
+    The anti join sees unique keys on both sides, so it has no skew. Keys
+    match null-safely: a NULL key is one key, as it is one group in
+    :func:`dedup_keep_last`.
     """
     keys = _keys(key)
-    kept = base.join(incoming.select(*keys), keys, "left_anti")
+    kept = null_safe_join(base, incoming.select(*keys), keys, "left_anti")
     return incoming.select(*base.columns).unionByName(kept)
 
 
@@ -57,7 +61,7 @@ def upsert_counters(raw_incoming: DataFrame, incoming: DataFrame, base: DataFram
     csv_rows = raw_incoming.count()
     inc = incoming.select(*keys).withColumn("_in", F.lit(1))
     old = base.select(*keys).withColumn("_old", F.lit(1))
-    both = inc.join(old, keys, "full_outer")
+    both = null_safe_join(inc, old, keys, "full_outer")
     row = both.agg(
         F.count_if(F.col("_in").isNotNull()).alias("unique"),
         F.count_if(F.col("_in").isNotNull() & F.col("_old").isNull()).alias("inserted"),

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.plans.strategy import null_safe_join
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -24,7 +26,7 @@ def key_set_compare(left: DataFrame, right: DataFrame, key: str | Sequence[str])
     keys = _keys(key)
     lk = left.select(*keys).distinct().withColumn("_l", F.lit(1))
     rk = right.select(*keys).distinct().withColumn("_r", F.lit(1))
-    j = lk.join(rk, keys, "full_outer")
+    j = null_safe_join(lk, rk, keys, "full_outer")     # NULL matches NULL, as in a set
     return j.agg(
         F.count_if(F.col("_r").isNull()).alias("only_left"),
         F.count_if(F.col("_l").isNull()).alias("only_right"),
@@ -42,12 +44,14 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: str | Sequence[str],
                 parent_key: str | Sequence[str] | None = None) -> DataFrame:
     """Child rows whose key has no parent row (foreign-key violations).
 
-    The parent side is reduced to its distinct keys; AQE splits a skewed
-    child key in the anti join."""
+    As in SQL foreign keys, a child row with a NULL in its key references
+    nothing and is not a violation. The parent side is reduced to its
+    distinct keys; AQE splits a skewed child key in the anti join."""
     keys = _keys(key)
     pkeys = _keys(parent_key) if parent_key else keys
     pk = parent.select(*[F.col(p).alias(k) for p, k in zip(pkeys, keys)]).distinct()
-    return child.join(pk, keys, "left_anti")
+    referencing = child.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    return referencing.join(pk, keys, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "count") -> DataFrame:

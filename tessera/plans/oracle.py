@@ -118,7 +118,8 @@ ORACLE: dict[str, str] = {
                COUNT(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS both,
                (COUNT(*) FILTER (WHERE b IS NULL) = 0 AND COUNT(*) FILTER (WHERE a IS NULL) = 0) AS equal
         FROM j""",
-    "orphan_rows": """SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "orphan_rows": """SELECT * FROM documents d WHERE d.doc_id IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, COUNT(*) AS count FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
     "null_violations": f"""WITH g AS ({GAPS})

@@ -191,3 +191,16 @@ def test_split_quotas_with_null_class():
     assert q == {"a": 1, None: 1}
     q = split.class_quotas({"a": 3, None: 3}, 0.5)
     assert sum(q.values()) == 3 and q["a"] == 2
+
+
+def test_null_keys(spark):
+    base = spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string")
+    inc = spark.createDataFrame([(None, "z")], "k long, v string")
+    assert sorted(map(tuple, keyed.upsert(base, inc, "k").collect()), key=repr) == [(1, "b"), (None, "z")]
+    c = keyed.upsert_counters(inc, inc, base, "k").first()
+    assert (c["inserted"], c["updated"], c["total"]) == (0, 1, 2)
+    r = quality.key_set_compare(base, inc, "k").first()
+    assert (r["only_left"], r["only_right"], r["both"]) == (1, 0, 1)
+    parent = spark.createDataFrame([(1,)], "k long")
+    child = spark.createDataFrame([(None,), (1,), (2,)], "k long")
+    assert [r[0] for r in quality.orphan_rows(child, parent, "k").collect()] == [2]
