@@ -1,6 +1,7 @@
 """Distribution tables: the numbers every chart is drawn from.
 
-Only bins, cells and aggregates leave the cluster. Equal-width binning uses
+Only bins, cells and aggregates leave the cluster. NULL and NaN values are
+missing and fall in no bin. Equal-width binning uses
 ``lo + (hi - lo) * k / n`` edges; every bin is half-open except the last,
 which is closed; a constant column (``lo == hi``) widens to ``lo - 0.5 ..
 hi + 0.5``. ``width_bucket`` is not used: it returns ``n + 1`` at the maximum
@@ -14,11 +15,21 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.expressions import md5_rank_key
 from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, materialize
 
 
+def present(df: DataFrame, col: str) -> Column:
+    """The value exists: not NULL and, for floating columns, not NaN (Spark
+    sorts NaN above every number, so one NaN would become the maximum)."""
+    c = F.col(col)
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        return c.isNotNull() & ~F.isnan(c)
+    return c.isNotNull()
+
+
 def _edges(lo, hi):
     if lo is None or hi is None:
         return None, None
@@ -38,7 +49,7 @@ def _edge(lo: Column, hi: Column, k: Column, bins: int, digits: int) -> Column:
 
 
 def value_range(df: DataFrame, col: str):
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    row = df.where(present(df, col)).agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     return _edges(row["lo"], row["hi"])
 
 
@@ -51,7 +62,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, digits: int = 6) -> DataF
     if lo is None:
         return spark.createDataFrame([], "bin int, lo_edge double, hi_edge double, n long")
     L, H = F.lit(lo), F.lit(hi)
-    counts = (df.where(F.col(col).isNotNull())
+    counts = (df.where(present(df, col))
               .select(bin_index(F.col(col).cast("double"), L, H, bins).alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     frame = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -62,7 +73,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, digits: int = 6) -> DataF
 
 
 def _group_ranges(df: DataFrame, group: str, col: str) -> DataFrame:
-    r = df.where(F.col(col).isNotNull()).groupBy(group).agg(
+    r = df.where(present(df, col)).groupBy(group).agg(
         F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
     same = F.col("_lo") == F.col("_hi")
     return r.select(group, F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
@@ -81,7 +92,7 @@ def histogram_by_group(df: DataFrame, group: str, col: str, bins: int = 30,
     local = bounded_local(ranges, BROADCAST_MAX_ROWS)
     if local is not None:
         ranges = local          # one pass computes the ranges for both uses below
-    rows = df.where(F.col(col).isNotNull()).select(group, F.col(col).cast("double").alias("_x"))
+    rows = df.where(present(df, col)).select(group, F.col(col).cast("double").alias("_x"))
     joined = rows.join(F.broadcast(ranges), group) if local is not None else rows.join(ranges, group)
     counts = (joined
               .select(group, bin_index(F.col("_x"), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
@@ -100,12 +111,12 @@ def histogram_stacked(df: DataFrame, category: str, col: str, bins: int = 30,
     category present: ``(category, bin, lo_edge, hi_edge, n)``. Rows with a
     NULL category have no layer and are left out, as the chart leaves them out."""
     df = df.where(F.col(category).isNotNull())
-    lo, hi = value_range(df.where(F.col(col).isNotNull()), col)
+    lo, hi = value_range(df, col)
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], f"{category} string, bin int, lo_edge double, hi_edge double, n long")
     L, H = F.lit(lo), F.lit(hi)
-    rows = df.where(F.col(col).isNotNull())
+    rows = df.where(present(df, col))
     counts = (rows.select(category, bin_index(F.col(col).cast("double"), L, H, bins).alias("bin"))
               .groupBy(category, "bin").agg(F.count(F.lit(1)).alias("n")))
     cats = counts.select(category).distinct()      # from the (small) aggregate, not the rows
@@ -136,7 +147,7 @@ def density_2d(df: DataFrame, x: str, y: str, hue: str, nx: int = 20, ny: int =
     """Scatter re-aimed for big data: exact counts on an ``nx`` x ``ny`` grid
     per hue (non-empty cells), with common edges. Output size is bounded by
     the grid, not by the rows."""
-    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    rows = df.where(present(df, x) & present(df, y))
     r = rows.agg(F.min(x).alias("xlo"), F.max(x).alias("xhi"),
                  F.min(y).alias("ylo"), F.max(y).alias("yhi")).first()
     xlo, xhi = _edges(r["xlo"], r["xhi"])

@@ -204,3 +204,9 @@ def test_null_keys(spark):
     parent = spark.createDataFrame([(1,)], "k long")
     child = spark.createDataFrame([(None,), (1,), (2,)], "k long")
     assert [r[0] for r in quality.orphan_rows(child, parent, "k").collect()] == [2]
+
+
+def test_histogram_ignores_nan(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (float("nan"),), (None,), (10.0,)], "x double")
+    h = distributions.histogram(df, "x", 5).orderBy("bin").collect()
+    assert [r["n"] for r in h] == [2, 0, 0, 0, 1] and h[-1]["hi_edge"] == 10.0
