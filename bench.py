@@ -35,11 +35,13 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     scratch = tempfile.mkdtemp(prefix="tessera-bench-")
-    spark = local_session(cpus, checkpoint_dir=os.path.join(scratch, "ckpt"),
+    event_log = os.environ.get("BENCH_EVENT_LOG")       # a folder; read with tools/stage_times.py
+    spark = local_session(cpus, checkpoint_dir=os.path.join(scratch, "ckpt"), event_log_dir=event_log,
                           extra={"spark.sql.warehouse.dir": os.path.join(scratch, "wh")})
     times, errors = {}, {}
     for name in only or sorted(QUERIES):
         fn = QUERIES[name]
+        spark.sparkContext.setJobGroup(name, name)
         try:
             run_once(spark, fn, sf_dir)
             times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(reps)), 4)

@@ -14,20 +14,23 @@ first category (byte order) dropped.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import math
+
+import numpy as np
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
-from pyspark import StorageLevel
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.expressions import nan_to_null
-from tessera.plans.strategy import exact_quantile_values
+from tessera.plans import strategy
+from tessera.plans.strategy import bounded_pandas, checkpointed, quantiles_from_counts
 
 MAX_CATEGORIES = 10_000
+ROWS_ENTRY = "\u0000rows"
 
 
 def _floating(df: DataFrame, c: str) -> bool:
@@ -38,21 +41,188 @@ def _clean(df: DataFrame, c: str) -> Column:
     return nan_to_null(c) if _floating(df, c) else F.col(c)
 
 
-@contextmanager
-def fit_input(df: DataFrame, cols: Sequence[str], passes: int):
-    """The columns a fit reads. A fit with more than two passes persists them
-    (memory, spilling to disk) for its duration and releases them afterwards,
-    so the input plan runs once instead of once per statistic; a lost cached
-    block is recomputed from lineage."""
-    src = df.select(*dict.fromkeys(cols))
-    if passes <= 2:
-        yield src
-        return
-    cached = src.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield cached
-    finally:
-        cached.unpersist()
+# ------------------------------------------------------------ column profile
+
+def _numeric(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.NumericType)
+
+
+def _integral(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.IntegralType)
+
+
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, num, str, n)``: rows per distinct non-missing value of every
+    listed column, in **one pass** for all of them. Each row becomes one
+    (column, value) pair per column (numeric values in ``num``, others as text
+    in ``str``), then a partial + final aggregate counts them, so the shuffle
+    carries distinct values per task, not rows."""
+    pairs = F.array(*([
+        F.struct(F.lit(c).alias("column"),
+                 (_clean(df, c).cast("double") if _numeric(df, c) else F.lit(None).cast("double")).alias("num"),
+                 (F.lit(None).cast("string") if _numeric(df, c) else F.col(c).cast("string")).alias("str"))
+        for c in cols] + [
+        # one entry per row: its count is the row count
+        F.struct(F.lit(ROWS_ENTRY).alias("column"), F.lit(0.0).alias("num"),
+                 F.lit(None).cast("string").alias("str"))]))
+    long = df.select(F.inline(pairs)).where(F.col("num").isNotNull() | F.col("str").isNotNull())
+    return long.groupBy("column", "num", "str").agg(F.count(F.lit(1)).alias("n"))
+
+
+@dataclass
+class ColumnProfile:
+    """What the fits need: per-value counts of the counted columns, the row
+    count, and count, mean and population variance of the present values of
+    the measured columns. The per-value table is either a small pandas frame
+    (at most ``SMALL_DISTINCT`` rows, read once) or a checkpointed DataFrame
+    that the lookups query with Spark."""
+    df_schema: T.StructType
+    local: object | None          # pandas frame (column, num, str, n) when small
+    counts: DataFrame | None      # checkpointed table when large
+    rows: int
+    present: dict
+    mean: dict
+    var: dict
+
+    def _val(self, c: str) -> str:
+        return "num" if isinstance(self.df_schema[c].dataType, T.NumericType) else "str"
+
+    def _typed(self, c: str, v):
+        if v is None:
+            return None
+        if isinstance(self.df_schema[c].dataType, T.IntegralType):
+            return int(v)
+        return float(v) if self._val(c) == "num" else str(v)
+
+    def _sub_local(self, c: str):
+        v = self._val(c)
+        sub = self.local[self.local["column"] == c][[v, "n"]]
+        return sub.sort_values(v, kind="stable"), v
+
+    def median(self, c: str):
+        """Exact median (mean of the middle pair) of the present values."""
+        if self.local is not None:
+            sub, v = self._sub_local(c)
+            n = int(sub["n"].sum())
+            if n == 0:
+                return None
+            cum = sub["n"].cumsum().to_numpy()
+            vals = sub[v].to_numpy()
+            lo = vals[int(np.searchsorted(cum, (n - 1) // 2, side="right"))]
+            hi = vals[int(np.searchsorted(cum, n // 2, side="right"))]
+            return (float(lo) + float(hi)) / 2.0
+        at = quantiles_from_counts(self.counts.where(F.col("column") == F.lit(c))
+                                   .select(F.col("num").alias("_v"), "n"), "_v", "n",
+                                   lambda n: [(n - 1) // 2, n // 2])
+        if not at:
+            return None
+        return (float(at[min(at)]) + float(at[max(at)])) / 2.0
+
+    def mode(self, c: str):
+        """Most frequent present value, ties to the smallest."""
+        v = self._val(c)
+        if self.local is not None:
+            sub, _ = self._sub_local(c)
+            if sub.empty:
+                return None
+            best = sub[sub["n"] == sub["n"].max()]
+            return self._typed(c, best[v].iloc[0])          # sorted by value: smallest first
+        row = (self.counts.where(F.col("column") == F.lit(c))
+               .orderBy(F.col("n").desc(), F.col(v).asc()).select(v).limit(1).first())
+        return None if row is None else self._typed(c, row[0])
+
+    def categories(self, c: str, max_categories: int = 0) -> list:
+        """Distinct present values, sorted (numbers numerically, text by code point)."""
+        cap = max_categories or MAX_CATEGORIES
+        v = self._val(c)
+        if self.local is not None:
+            vals = self._sub_local(c)[0][v].tolist()
+        else:
+            vals = [r[0] for r in self.counts.where(F.col("column") == F.lit(c)).select(v)
+                    .limit(cap + 1).collect()]
+        if len(vals) > cap:
+            raise ValueError(f"{c}: more than {cap} categories")
+        out = [self._typed(c, x) for x in vals]
+        return sorted(out, key=lambda x: x.encode("utf-8") if isinstance(x, str) else x)
+
+    def missing(self, c: str) -> int:
+        return self.rows - self.present[c]
+
+    def filled_moments(self, c: str, fill) -> tuple:
+        """Mean and population std after ``missing(c)`` copies of ``fill`` join
+        the present values (exact merge of moments, no pass over the data)."""
+        n_a, mean_a, var_a = self.present[c], self.mean[c], self.var[c]
+        m = self.missing(c) if fill is not None else 0
+        if n_a == 0:
+            return (float(fill), 0.0) if m else (None, None)
+        if m == 0:
+            return mean_a, math.sqrt(var_a)
+        n = n_a + m
+        delta = float(fill) - mean_a
+        mean = mean_a + delta * m / n
+        m2 = var_a * n_a + delta * delta * n_a * m / n
+        return mean, math.sqrt(max(m2 / n, 0.0))
+
+
+def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequence[str] = ()) -> ColumnProfile:
+    """Pass 1 (when anything is counted): :func:`value_counts` of ``counted``
+    plus the row count -- read once into pandas when small, else
+    checkpointed. The present count, mean and population variance of a
+    counted column come from that per-value table (centred, so stable), not
+    from the rows. Pass 2 runs only for ``measured`` columns that are not
+    counted: one aggregate."""
+    counted, measured = list(dict.fromkeys(counted)), list(dict.fromkeys(measured))
+    present, mean, var, rows = {}, {}, {}, None
+    local = counts = None
+    if counted:
+        raw = value_counts(df, counted)
+        local = bounded_pandas(raw, strategy.SMALL_DISTINCT) if strategy.SMALL_DISTINCT > 0 else None
+        if local is not None:
+            totals = local.groupby("column")["n"].sum().to_dict()
+            rows = int(totals.get(ROWS_ENTRY, 0))
+            for c in counted:
+                present[c] = int(totals.get(c, 0))
+                if c in measured:
+                    sub = local[local["column"] == c]
+                    n = float(sub["n"].sum())
+                    if n:
+                        mu = float((sub["n"] * sub["num"]).sum()) / n
+                        mean[c] = mu
+                        var[c] = float((sub["n"] * (sub["num"] - mu) ** 2).sum()) / n
+                    else:
+                        mean[c], var[c] = None, None
+        else:
+            counts = checkpointed(raw)
+            per = {r["column"]: r for r in counts.groupBy("column").agg(
+                F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("num")) / F.sum("n")).alias("mean")).collect()}
+            rows = per[ROWS_ENTRY]["n"] if ROWS_ENTRY in per else 0
+            for c in counted:
+                present[c] = per[c]["n"] if c in per else 0
+            num_counted = [c for c in counted if c in measured and c in per]
+            if num_counted:
+                centre = F.lit(None).cast("double")
+                for c in num_counted:
+                    centre = F.when(F.col("column") == F.lit(c), F.lit(per[c]["mean"])).otherwise(centre)
+                dev = F.col("num") - centre
+                m2 = {r["column"]: r["m2"] for r in counts.where(F.col("column").isin(num_counted))
+                      .groupBy("column").agg(F.sum(F.col("n") * dev * dev).alias("m2")).collect()}
+                for c in num_counted:
+                    mean[c] = per[c]["mean"]
+                    var[c] = m2[c] / per[c]["n"]
+            for c in measured:
+                if c in counted and c not in per:
+                    mean[c], var[c] = None, None
+    rest = [c for c in measured if c not in counted]
+    if rest or rows is None:
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, c in enumerate(rest):
+            x = _clean(df, c).cast("double")
+            aggs += [F.count(x).alias(f"p{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+        row = df.agg(*aggs).first()
+        rows = row["_rows"]
+        for i, c in enumerate(rest):
+            present[c], mean[c], var[c] = row[f"p{i}"], row[f"m{i}"], row[f"v{i}"]
+    return ColumnProfile(df.schema, local, counts, rows, present, mean, var)
 
 
 # ---------------------------------------------------------------- statistics
@@ -62,22 +232,14 @@ def exact_median(df: DataFrame, c: str):
 
     A global ``median`` aggregate merges every distinct value in one task;
     here values are counted per distinct value in one pass and the middle
-    pair is located in that table (see ``plans.strategy.exact_quantile_values``)."""
-    vals = df.select(_clean(df, c).alias(c))
-    at = exact_quantile_values(vals, c, lambda n: [(n - 1) // 2, n // 2])
-    if not at:
-        return None
-    lo, hi = min(at), max(at)
-    return (float(at[lo]) + float(at[hi])) / 2.0
+    pair is located in that table (see ``plans.strategy.quantiles_from_counts``)."""
+    return profile_columns(df, counted=[c]).median(c)
 
 
 def most_frequent(df: DataFrame, c: str):
     """Most frequent non-missing value, ties to the smallest. Counted per
     value with map-side combine; only the winner reaches the driver."""
-    row = (df.select(_clean(df, c).alias(c)).where(F.col(c).isNotNull())
-           .groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.col("_n").desc(), F.col(c).asc()).limit(1).first())
-    return None if row is None else row[0]
+    return profile_columns(df, counted=[c]).mode(c)
 
 
 def column_means(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -103,24 +265,28 @@ class FittedImputer:
         return df.withColumns(todo) if todo else df
 
 
-def fit_imputer(df: DataFrame, median: Sequence[str] = (), mean: Sequence[str] = (),
-                most_frequent_cols: Sequence[str] = (),
-                constant: Mapping[str, object] | None = None) -> FittedImputer:
-    """Learn fill values: median / mean / most frequent / constant per column."""
+def _fills(profile: ColumnProfile, median, mean, most_frequent_cols, constant) -> dict:
     fills: dict = {}
-    cols = list(median) + list(most_frequent_cols) + list(mean)
-    passes = len(median) + len(most_frequent_cols) + (1 if mean else 0)
-    with fit_input(df, cols, passes) as src:
-        for c in median:
-            fills[c] = exact_median(src, c)
-        fills.update(column_means(src, list(mean)))
-        for c in most_frequent_cols:
-            fills[c] = most_frequent(src, c)
+    for c in median:
+        fills[c] = profile.median(c)
+    for c in mean:
+        fills[c] = profile.mean.get(c)
+    for c in most_frequent_cols:
+        fills[c] = profile.mode(c)
     for c, v in (constant or {}).items():
         fills[c] = v
-    return FittedImputer(fills)
+    return fills
 
 
+def fit_imputer(df: DataFrame, median: Sequence[str] = (), mean: Sequence[str] = (),
+                most_frequent_cols: Sequence[str] = (),
+                constant: Mapping[str, object] | None = None) -> FittedImputer:
+    """Learn fill values: median / mean / most frequent / constant per column,
+    from one value-count pass (medians, modes) and one moments pass (means),
+    whatever the number of columns."""
+    profile = profile_columns(df, counted=list(median) + list(most_frequent_cols), measured=list(mean))
+    return FittedImputer(_fills(profile, median, mean, most_frequent_cols, constant))
+
 
 # ------------------------------------------------------------------- scaling
 
@@ -201,16 +367,13 @@ class FittedOneHot:
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str], prefix: str = "", drop_first: bool = True,
                 strict: bool = False, max_categories: int = MAX_CATEGORIES) -> FittedOneHot:
-    """Sorted distinct values per column (byte order, as the reference's
-    encoder sorts them). Category lists are capped: more raises."""
-    cats = {}
-    for c in cols:
-        rows = (df.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
-                .limit(max_categories + 1).collect())
-        if len(rows) > max_categories:
-            raise ValueError(f"{c}: more than {max_categories} categories")
-        vals = [r[0] for r in rows]
-        cats[c] = sorted(vals, key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
+    """Sorted distinct values per column (byte order for text, numeric order
+    for numbers, as the reference's encoder sorts them), all columns from one
+    value-count pass. Category lists are capped: more raises."""
+    if not cols:
+        return FittedOneHot({}, prefix, drop_first, strict)
+    profile = profile_columns(df, counted=list(cols))
+    cats = {c: profile.categories(c, max_categories) for c in cols}
     return FittedOneHot(cats, prefix, drop_first, strict)
 
 
@@ -268,26 +431,38 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], cat_freq: Sequence[s
     from tessera.operators.models import fit_linear
     if reg_target and reg_target not in numeric:
         raise ValueError("reg_target must be one of the numeric columns")
-    median_cols = [c for c in numeric if c != reg_target]
-    passes = ((len(numeric) + len(cat_freq) if impute else 0) + (1 if numeric else 0)
-              + len(cat_freq) + len(cat_const))
-    cols = list(numeric) + list(cat_freq) + list(cat_const) + list(reg_predictors)
-    with fit_input(df, cols, passes + (2 if reg_target else 0)) as src:
-        if impute:
-            imputer = fit_imputer(src, median=median_cols, most_frequent_cols=list(cat_freq),
-                                  constant={c: fill_value for c in cat_const})
-        else:
-            imputer = FittedImputer({})
-        imp = imputer.transform(src)
-        reg_fit = None
-        if reg_target and imp.where(F.col(reg_target).isNull()).limit(1).count():
+    numeric, cat_freq, cat_const = list(numeric), list(cat_freq), list(cat_const)
+    median_cols = [c for c in numeric if c != reg_target] if impute else []
+    counted = median_cols + cat_freq + cat_const
+    # two passes over the rows for every column: value counts, then moments
+    profile = profile_columns(df, counted=counted, measured=numeric)
+    if impute:
+        fills = _fills(profile, median_cols, (), cat_freq, {c: fill_value for c in cat_const})
+    else:
+        fills = {}
+    imputer = FittedImputer(fills)
+    stats = {c: profile.filled_moments(c, fills.get(c)) for c in numeric if c != reg_target}
+
+    def cats(c):
+        present = profile.categories(c)
+        fill = fills.get(c)
+        if fill is not None and profile.missing(c) and fill not in present:
+            present = sorted(present + [fill], key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
+        return present
+
+    oh_f = FittedOneHot({c: cats(c) for c in cat_freq}, "cat_f__" if impute else "cat__", True, strict)
+    oh_c = FittedOneHot({c: cats(c) for c in cat_const}, "cat_c__", True, strict)
+    reg_fit = None
+    if reg_target:
+        # the target's fill depends on a model: fit it, then measure the filled column
+        imp = imputer.transform(df)
+        if imp.where(F.col(reg_target).isNull()).limit(1).count():
             reg_fit = fit_linear(imp.where(F.col(reg_target).isNotNull()), list(reg_predictors), reg_target)
             imp = imp.withColumn(reg_target, F.coalesce(F.col(reg_target).cast("double"),
                                                         reg_fit.linear_term()))
-        scaler = fit_scaler(imp, list(numeric))
-        oh_f = fit_one_hot(imp, list(cat_freq), prefix="cat_f__" if impute else "cat__", strict=strict)
-        oh_c = fit_one_hot(imp, list(cat_const), prefix="cat_c__", strict=strict)
-    return Preprocessor(imputer, scaler, oh_f, oh_c, list(numeric), list(keep), reg_target, reg_fit)
+        stats.update(fit_scaler(imp, [reg_target]).stats)
+    scaler = FittedScaler({c: stats[c] for c in numeric})
+    return Preprocessor(imputer, scaler, oh_f, oh_c, numeric, list(keep), reg_target, reg_fit)
 
 
 def prepare_label(c: str | Column, default: int = 0) -> Column:

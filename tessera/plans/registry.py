@@ -162,7 +162,7 @@ def q_filtered_group_count2(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_sql_call(spark: SparkSession, d: str) -> DataFrame:
-    """Generic SQL call with a bound positional parameter."""
+    """Generic SQL call with bound positional parameters."""
     register_views(spark, d, ["orders"])
     return reports.run_sql(
         spark,

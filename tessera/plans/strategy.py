@@ -34,11 +34,18 @@ def bounded_rows(df: DataFrame, max_rows: int):
     return rows if len(rows) <= max_rows else None
 
 
+def bounded_pandas(df: DataFrame, max_rows: int):
+    """``df`` as a pandas frame (Arrow transfer) when it has at most
+    ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    return None if len(pdf) > max_rows else pdf
+
+
 def bounded_local(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``df`` as a driver-held local table (Arrow transfer) when it has at most
     ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read."""
-    pdf = df.limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
+    pdf = bounded_pandas(df, max_rows)
+    if pdf is None:
         return None
     return df.sparkSession.createDataFrame(pdf, df.schema).coalesce(1)
 
@@ -162,15 +169,23 @@ def exact_quantile_values(values: DataFrame, col: str, ranks, small_distinct: in
     """Exact order statistics: the value at each 0-based rank among the
     non-NULL values of ``col``. ``ranks`` is a list of ranks, or a function of
     the non-NULL count returning them (e.g. the middle pair for a median).
-
     Values are counted per distinct value (map-side combined) in one pass
-    over the rows; the count total is taken from that table. When it has at
-    most ``small_distinct`` rows it is held locally and the ranks are located
-    on the driver; otherwise it is checkpointed, gets a scalable running sum,
-    and each rank is located where the running count first reaches it.
-    Either way only bounded data reaches the driver."""
+    over the rows; see :func:`quantiles_from_counts` for the rest."""
     counts = (values.where(F.col(col).isNotNull()).groupBy(col)
               .agg(F.count(F.lit(1)).alias("_n")))
+    return quantiles_from_counts(counts, col, "_n", ranks, small_distinct)
+
+
+def quantiles_from_counts(counts: DataFrame, col: str, n_col: str, ranks,
+                          small_distinct: int | None = None) -> dict:
+    """Order statistics from a table of (distinct value, count).
+
+    The count total comes from the table. A table of at most
+    ``small_distinct`` rows is held locally and the ranks are located on the
+    driver; a larger one is checkpointed, gets a scalable running sum, and
+    each rank is located where the running count first reaches it. Either
+    way only bounded data reaches the driver."""
+    counts = counts.select(F.col(col), F.col(n_col).alias("_n"))
     small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
     local = bounded_local(counts, small_distinct) if small_distinct > 0 else None
     table = local if local is not None else checkpointed(counts)

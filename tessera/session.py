@@ -38,7 +38,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
-                   .config("spark.eventLog.dir", event_log_dir))
+                   .config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -210,3 +210,21 @@ def test_histogram_ignores_nan(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (float("nan"),), (None,), (10.0,)], "x double")
     h = distributions.histogram(df, "x", 5).orderBy("bin").collect()
     assert [r["n"] for r in h] == [2, 0, 0, 0, 1] and h[-1]["hi_edge"] == 10.0
+
+
+def test_filled_moments_equal_direct_pass(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (4.0,), (float("nan"),), (10.0,)], "x double")
+    pre = features.fit_preprocessor(df, numeric=["x"])
+    mean, std = pre.scaler.stats["x"]
+    filled = pre.imputer.transform(df)
+    r = filled.agg(F.avg("x"), F.stddev_pop("x")).first()
+    assert mean == pytest.approx(r[0], abs=1e-12) and std == pytest.approx(r[1], abs=1e-12)
+    assert pre.imputer.fills["x"] == 4.0
+
+
+def test_integer_categories_sort_numerically(spark):
+    df = spark.createDataFrame([(10,), (9,), (2,), (None,)], "p int")
+    oh = features.fit_one_hot(df, ["p"])
+    assert oh.categories["p"] == [2, 9, 10] and oh.output_names() == ["p_9", "p_10"]
+    pre = features.fit_preprocessor(df, numeric=[], cat_freq=["p"])
+    assert pre.onehot_f.categories["p"] == [2, 9, 10]
