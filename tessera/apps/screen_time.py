@@ -90,13 +90,13 @@ def _read(spark, path, schema, required, order_col):
     return files.read_csv_typed(spark, path, schema, required=required)
 
 
-def _load_one(spark, root, table, schema, raw, key, order_col, force):
+def _prepare(spark, root, table, schema, raw, key, order_col, force):
+    """The upserted next version of one table (lazy) and its load counters."""
     raw, order = _with_order(raw, order_col)
     incoming = keyed.dedup_keep_last(raw, key, order).select(*schema.fieldNames())
     base = spark.createDataFrame([], schema) if force else read_current(spark, root, table, schema)
     counters = keyed.upsert_counters(raw, incoming, base, key).first().asDict()
-    _write_next(spark, root, table, keyed.upsert(base, incoming, key))
-    return counters
+    return keyed.upsert(base, incoming, key), counters
 
 
 def import_csv(spark: SparkSession, screen_csv: str, items_csv: str, root: str,
@@ -107,23 +107,26 @@ def import_csv(spark: SparkSession, screen_csv: str, items_csv: str, root: str,
     Columns bind by name with the declared types; duplicates keep the last
     row per ``subject_id``; each table is upserted (an incoming NULL replaces a
     stored value) into a new version; ``force`` starts from empty tables.
-    Returns the key-set comparison and the counters of both tables. Item rows
-    whose subject has no ``screen_time`` row violate the foreign key and raise.
+    Item rows whose subject has no ``screen_time`` row violate the foreign
+    key: this is checked on the would-be versions, before anything is
+    written, and raises. Returns the key-set comparison and the counters of
+    both tables.
     """
     screen_raw = _read(spark, screen_csv, SCREEN_TIME_SCHEMA, ["subject_id", "sex"], order_col)
     items_raw = _read(spark, items_csv, BDI_ITEMS_SCHEMA, ["subject_id"], order_col)
     keys = quality.key_set_compare(screen_raw, items_raw, "subject_id").first().asDict()
     out = {"key_sets": keys}
-    out[SCREEN_TIME] = _load_one(spark, root, SCREEN_TIME, SCREEN_TIME_SCHEMA, screen_raw,
-                                 "subject_id", order_col, force)
-    out[BDI_ITEMS] = _load_one(spark, root, BDI_ITEMS, BDI_ITEMS_SCHEMA, items_raw,
-                               "subject_id", order_col, force)
+    new_screen, out[SCREEN_TIME] = _prepare(spark, root, SCREEN_TIME, SCREEN_TIME_SCHEMA, screen_raw,
+                                            "subject_id", order_col, force)
+    new_items, out[BDI_ITEMS] = _prepare(spark, root, BDI_ITEMS, BDI_ITEMS_SCHEMA, items_raw,
+                                         "subject_id", order_col, force)
     if check_foreign_key:
-        screen = read_current(spark, root, SCREEN_TIME, SCREEN_TIME_SCHEMA)
-        items = read_current(spark, root, BDI_ITEMS, BDI_ITEMS_SCHEMA)
-        orphans = quality.orphan_rows(items.select("subject_id"), screen, "subject_id").limit(5).collect()
+        orphans = quality.orphan_rows(new_items.select("subject_id"), new_screen, "subject_id") \
+            .limit(5).collect()
         if orphans:
             raise ValueError(f"foreign key violated by subject_id {[r[0] for r in orphans]}")
+    _write_next(spark, root, SCREEN_TIME, new_screen)
+    _write_next(spark, root, BDI_ITEMS, new_items)
     return out
 
 

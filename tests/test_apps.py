@@ -105,6 +105,22 @@ def test_foreign_key_violation_raises(spark, tmp_path):
     i_csv = _items_csv(tmp_path, [(1, {}), (9, {})], "i.csv")
     with pytest.raises(ValueError, match="foreign key"):
         st.import_csv(spark, s_csv, i_csv, root)
+    assert not st.tables_exist(spark, root)          # nothing was written
+
+
+def test_import_with_order_column(spark, tmp_path):
+    root = scratch_path(spark, "survey-order")
+    cols = [f.name for f in st.SCREEN_TIME_SCHEMA.fields] + ["seq"]
+    rows = [(5, "Girl", 1.0, 2.0, 1.0, 8.0, 1.0, 1.0, 3, 0, 2),
+            (5, "Girl", 1.0, 9.0, 1.0, 8.0, 1.0, 1.0, 3, 1, 1)]   # seq decides: the first line is last
+    p = tmp_path / "s.csv"
+    p.write_text("\n".join([",".join(cols)] + [",".join(map(str, r)) for r in rows]) + "\n")
+    icols = ["seq"] + [f.name for f in st.BDI_ITEMS_SCHEMA.fields]
+    q = tmp_path / "i.csv"
+    q.write_text(",".join(icols) + "\n" + ",".join(["1", "5"] + [""] * (len(icols) - 2)) + "\n")
+    st.import_csv(spark, str(p), str(q), root, order_col="seq")
+    r = st.read_current(spark, root, st.SCREEN_TIME, st.SCREEN_TIME_SCHEMA).first()
+    assert (r["est_leisure_screen_hours"], r["depressed"]) == (2.0, 0)
 
 
 def test_classification_flow(spark):
