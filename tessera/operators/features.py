@@ -260,6 +260,9 @@ class FittedImputer:
         for c, v in self.fills.items():
             if v is None:
                 todo[c] = _clean(df, c)
+            elif isinstance(v, float) and _integral(df, c) and not v.is_integer():
+                # a fractional fill (median 2.5) widens an integer column instead of truncating
+                todo[c] = F.coalesce(F.col(c).cast("double"), F.lit(v))
             else:
                 todo[c] = F.coalesce(_clean(df, c), F.lit(v).cast(df.schema[c].dataType))
         return df.withColumns(todo) if todo else df

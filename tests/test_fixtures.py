@@ -228,3 +228,9 @@ def test_integer_categories_sort_numerically(spark):
     assert oh.categories["p"] == [2, 9, 10] and oh.output_names() == ["p_9", "p_10"]
     pre = features.fit_preprocessor(df, numeric=[], cat_freq=["p"])
     assert pre.onehot_f.categories["p"] == [2, 9, 10]
+
+
+def test_fractional_fill_widens_integer_column(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "x int")
+    out = features.fit_imputer(df, median=["x"]).transform(df)
+    assert sorted(r[0] for r in out.collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
