@@ -59,9 +59,22 @@ def read_json_typed(spark: SparkSession, path: str, schema: T.StructType,
     """
     raw = (spark.read.schema(_string_schema(schema)).option("multiLine", multiline)
            .option("mode", "PERMISSIVE").json(path))
+    _reject_column_oriented(raw, schema)
     return _typed(raw, schema, set(required))
 
 
+def _reject_column_oriented(raw: DataFrame, schema: T.StructType) -> None:
+    """A column-oriented object (``{"col": {"0": v, ...}}``) is one record whose
+    scalar fields hold objects; looking at the first record is enough."""
+    scalar = [f.name for f in schema.fields
+              if not isinstance(f.dataType, (T.StringType, T.StructType, T.MapType, T.ArrayType))]
+    if not scalar:
+        return
+    first = raw.select(*scalar).limit(1).collect()
+    if first and any(isinstance(v, str) and v.lstrip().startswith("{") for v in first[0]):
+        raise ValueError("column-oriented JSON is not a record layout: write JSON lines or an array of records")
+
+
 def cast_rejects(spark: SparkSession, path: str, schema: T.StructType,
                  fmt: str = "csv") -> DataFrame:
     """One row: per declared non-string field, how many present values failed

@@ -117,3 +117,9 @@ def test_stream_upsert_incremental_and_replay_safe(spark):
     got = sorted(map(tuple, latest_version(spark, table, orders.schema).collect()))
     want = keyed.upsert(keyed.dedup_keep_last(first, key, order), keyed.dedup_keep_last(second, key, order), key)
     assert got == sorted(map(tuple, want.select(*orders.columns).collect()))
+
+
+def test_json_column_oriented_rejected(spark, tmp_path):
+    path = _write(tmp_path, '{"subject_id": {"0": 1, "1": 2}, "sex": {"0": "Girl", "1": "Boy"}}\n', "c.json")
+    with pytest.raises(ValueError, match="column-oriented"):
+        files.read_json_typed(spark, path, SCHEMA)
