@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, null_safe_join, running_sums
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_pandas, null_safe_join, running_sums
 
 MAX_CLASSES = 10_000
 # Up to this many classes the confusion table is dense (every pair, zeros included).
@@ -25,23 +25,25 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     cells are returned (the dense table would grow with classes squared).
 
     The rows are aggregated once; the cell table (at most classes^2 rows) is
-    read once into a local table that every derived metric then uses."""
+    read once and the dense one-partition table built from it, which every
+    derived metric then uses."""
     counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")) \
         .agg(F.count(F.lit(1)).cast("long").alias("n"))
-    cells = bounded_local(counts, BROADCAST_MAX_ROWS)
+    cells = bounded_pandas(counts, BROADCAST_MAX_ROWS)
     if cells is None:
         return counts
     spark = df.sparkSession
-    labels = sorted({r["c"] for r in cells.select(F.col("y").alias("c"))
-                    .union(cells.select(F.col("yhat").alias("c"))).collect()},
-                    key=lambda c: (c is None, c if c is not None else 0))
+
+    def plain(v):
+        return None if v is None or v != v else (v.item() if hasattr(v, "item") else v)
+
+    got = {(plain(a), plain(b)): int(n) for a, b, n in zip(cells["y"], cells["yhat"], cells["n"])}
+    labels = sorted({k for pair in got for k in pair}, key=lambda c: (c is None, c if c is not None else 0))
     if len(labels) > DENSE_MAX_CLASSES:
-        return cells
-    ytype = counts.schema["y"].dataType.simpleString()
-    grid = spark.createDataFrame([(a, b) for a in labels for b in labels], f"y {ytype}, yhat {ytype}")
-    table = (null_safe_join(grid, cells, ["y", "yhat"], "left", broadcast_right=True)
-             .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
-    return bounded_local(table, BROADCAST_MAX_ROWS)
+        rows = [(a, b, n) for (a, b), n in got.items()]
+    else:
+        rows = [(a, b, got.get((a, b), 0)) for a in labels for b in labels]
+    return spark.createDataFrame(rows, counts.schema).coalesce(1)
 
 
 def _div(a, b):
