@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluate, features, missing, models, split
+from tessera.operators import distributions, evaluate, features, missing, models, split
 from tessera.session import scratch_dir
 from tessera.sources import catalog, files
 
@@ -53,13 +53,16 @@ class ClassificationResult:
     auc: DataFrame
     coefficients: DataFrame
     missing: DataFrame
+    head: DataFrame             # first predictions beside the truth, in key order
+    scatter: DataFrame | None   # 2-D density of (x, y) by label, when asked for
 
 
 def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[str],
                         cat_freq: Sequence[str] = (), cat_const: Sequence[str] = (),
                         test_size: float = 0.2, seed: int = 42, C: float = 1.0,
                         max_iter: int = 1000, label_default: int = 0,
-                        fit_on_all_rows: bool = False) -> ClassificationResult:
+                        fit_on_all_rows: bool = False, scatter: tuple | None = None,
+                        head_rows: int = 20) -> ClassificationResult:
     """Logistic regression on prepared features with an exact stratified split.
 
     The preprocessor is fitted on the train rows (no leak); ``fit_on_all_rows``
@@ -80,10 +83,14 @@ def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[s
                               cut_lineage=False)
     pred = fit.predict(pre.transform(test)).select(key, label, "prediction", "probability")
     confusion = evaluate.confusion_matrix(pred, label, "prediction")
+    head = (pred.orderBy(key).limit(head_rows)
+            .select(key, F.col(label).alias("y_true"), F.col("prediction").alias("y_pred")))
+    density = (distributions.density_2d(data, scatter[0], scatter[1], label)
+               if scatter else None)
     return ClassificationResult(
         pre, fit, pred, confusion, evaluate.classification_report(confusion),
         evaluate.roc_points(pred, label, "probability"), evaluate.roc_auc(pred, label, "probability"),
-        fit.coefficient_table(spark), profile)
+        fit.coefficient_table(spark), profile, head, density)
 
 
 @dataclass

@@ -127,7 +127,10 @@ def test_classification_flow(spark):
     labels, docs = read_table(spark, SF_SMALL, "labels"), read_table(spark, SF_SMALL, "documents")
     data = docs.join(labels, "doc_id", "left").select(
         "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"), "lang", "source")
-    res = tabular_ml.classification_flow(data, "doc_id", "quality", ["n_chars"], ["lang"], ["source"])
+    res = tabular_ml.classification_flow(data, "doc_id", "quality", ["n_chars"], ["lang"], ["source"],
+                                         scatter=("n_chars", "doc_id"))
+    assert res.head.count() == 20
+    assert res.scatter.agg(F.sum("n")).first()[0] == data.count()
     n = data.count()
     assert res.predictions.count() == math.ceil(0.2 * n)
     assert res.confusion.agg(F.sum("n")).first()[0] == res.predictions.count()
