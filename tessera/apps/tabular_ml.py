@@ -55,6 +55,7 @@ class ClassificationResult:
     missing: DataFrame
     head: DataFrame             # first predictions beside the truth, in key order
     scatter: DataFrame | None   # 2-D density of (x, y) by label, when asked for
+    missing_summary: DataFrame  # cells, missing cells and their share over the feature columns
 
 
 def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[str],
@@ -62,22 +63,27 @@ def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[s
                         test_size: float = 0.2, seed: int = 42, C: float = 1.0,
                         max_iter: int = 1000, label_default: int = 0,
                         fit_on_all_rows: bool = False, scatter: tuple | None = None,
-                        head_rows: int = 20) -> ClassificationResult:
+                        head_rows: int = 20, reg_target: str | None = None,
+                        reg_predictors: Sequence[str] = ()) -> ClassificationResult:
     """Logistic regression on prepared features with an exact stratified split.
 
     The preprocessor is fitted on the train rows (no leak); ``fit_on_all_rows``
-    reproduces fitting it before the split.
+    reproduces fitting it before the split. ``reg_target`` / ``reg_predictors``
+    select the regression fill of one numeric column.
     """
     spark = df.sparkSession
     data = df.withColumn(label, features.prepare_label(label, label_default))
-    profile = missing.missing_counts(data, [c for c in data.columns if c not in (key, label)])
+    feature_cols = [c for c in data.columns if c not in (key, label)]
+    profile = missing.missing_counts(data, feature_cols)
+    summary = missing.missing_totals(data, feature_cols)
     parts = split.stratified_split(data, label, key, test_size, seed)
     scratch_dir(spark)
     parts = parts.checkpoint(eager=True)          # many passes follow
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
     pre = features.fit_preprocessor(parts if fit_on_all_rows else train, numeric, cat_freq, cat_const,
-                                    keep=[key, label])
+                                    keep=[key, label], reg_target=reg_target,
+                                    reg_predictors=reg_predictors)
     names = pre.feature_names()
     fit = models.fit_logistic(pre.transform(train), names, label, C=C, max_iter=max_iter,
                               cut_lineage=False)
@@ -90,7 +96,7 @@ def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[s
     return ClassificationResult(
         pre, fit, pred, confusion, evaluate.classification_report(confusion),
         evaluate.roc_points(pred, label, "probability"), evaluate.roc_auc(pred, label, "probability"),
-        fit.coefficient_table(spark), profile, head, density)
+        fit.coefficient_table(spark), profile, head, density, summary)
 
 
 @dataclass

@@ -130,6 +130,7 @@ def test_classification_flow(spark):
     res = tabular_ml.classification_flow(data, "doc_id", "quality", ["n_chars"], ["lang"], ["source"],
                                          scatter=("n_chars", "doc_id"))
     assert res.head.count() == 20
+    assert res.missing_summary.first()["total_cells"] == 3 * data.count()
     assert res.scatter.agg(F.sum("n")).first()[0] == data.count()
     n = data.count()
     assert res.predictions.count() == math.ceil(0.2 * n)
