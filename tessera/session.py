@@ -72,3 +72,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Session settings for a cluster job reading about ``input_bytes``.
+
+    Shuffles start with enough partitions for ~``partition_bytes`` each at the
+    input size (AQE then coalesces small ones and splits skewed ones), scan
+    splits are ``partition_bytes``, and broadcasts stay under Spark's own
+    size-checked threshold. Apply with ``SparkSession.builder.config(map=...)``
+    or ``spark.conf.set`` for the SQL keys."""
+    parts = max(200, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

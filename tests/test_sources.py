@@ -123,3 +123,10 @@ def test_json_column_oriented_rejected(spark, tmp_path):
     path = _write(tmp_path, '{"subject_id": {"0": 1, "1": 2}, "sex": {"0": "Girl", "1": "Boy"}}\n', "c.json")
     with pytest.raises(ValueError, match="column-oriented"):
         files.read_json_typed(spark, path, SCHEMA)
+
+
+def test_scale_settings():
+    from tessera.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4)             # 100 TB
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
