@@ -1,17 +1,14 @@
 """The survey application and the model flows on small hand-made inputs."""
 
 import math
-import os
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from tessera.apps import screen_time as st
 from tessera.apps import tabular_ml
-from tessera.functions.expressions import BDI_BANDS, BDI_UNKNOWN
+from tessera.functions.expressions import BDI_BANDS
 from tessera.session import scratch_path
 from tessera.sources.tables import read_table
 

@@ -4,7 +4,6 @@ import os
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF_SMALL
