@@ -95,7 +95,7 @@ def _prepare(spark, root, table, schema, raw, key, order_col, force):
     raw, order = _with_order(raw, order_col)
     incoming = keyed.dedup_keep_last(raw, key, order).select(*schema.fieldNames())
     base = spark.createDataFrame([], schema) if force else read_current(spark, root, table, schema)
-    counters = keyed.upsert_counters(raw, incoming, base, key).first().asDict()
+    counters = keyed.upsert_counters(raw, base, key).first().asDict()
     return keyed.upsert(base, incoming, key), counters
 
 

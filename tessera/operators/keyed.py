@@ -49,29 +49,25 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str]) -> Da
     return incoming.select(*base.columns).unionByName(kept)
 
 
-def upsert_counters(raw_incoming: DataFrame, incoming: DataFrame, base: DataFrame,
-                    key: str | Sequence[str]) -> DataFrame:
+def upsert_counters(raw_incoming: DataFrame, base: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """One row: ``csv_rows`` (incoming rows before de-duplication), ``unique``
     keys, ``csv_dupes`` removed, ``inserted`` (new keys), ``updated``
     (``unique - inserted``) and ``total`` rows after the upsert.
 
-    Key sets are compared in one full outer join of tagged key tables, then
-    a single aggregate."""
+    Key-only work: the raw load is aggregated per key (its row count is the
+    sum of the per-key counts), the base is reduced to its keys, and one full
+    outer join of the two key tables feeds a single aggregate."""
     keys = _keys(key)
-    csv_rows = raw_incoming.count()
-    inc = incoming.select(*keys).withColumn("_in", F.lit(1))
+    inc = raw_incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     old = base.select(*keys).withColumn("_old", F.lit(1))
     both = null_safe_join(inc, old, keys, "full_outer")
-    row = both.agg(
-        F.count_if(F.col("_in").isNotNull()).alias("unique"),
-        F.count_if(F.col("_in").isNotNull() & F.col("_old").isNull()).alias("inserted"),
+    return both.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("csv_rows"),
+        F.count("_rows").alias("unique"),
+        F.count_if(F.col("_rows").isNotNull() & F.col("_old").isNull()).alias("inserted"),
         F.count(F.lit(1)).alias("total"),
-    ).first()
-    unique, inserted, total = row["unique"], row["inserted"], row["total"]
-    spark = base.sparkSession
-    return spark.createDataFrame(
-        [(csv_rows, unique, csv_rows - unique, inserted, unique - inserted, total)],
-        "csv_rows long, unique long, csv_dupes long, inserted long, updated long, total long")
+    ).select("csv_rows", "unique", (F.col("csv_rows") - F.col("unique")).alias("csv_dupes"),
+             "inserted", (F.col("unique") - F.col("inserted")).alias("updated"), "total")
 
 
 def write_version(df: DataFrame, path: str, mode: str = "errorifexists") -> str:

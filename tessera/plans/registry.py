@@ -99,8 +99,8 @@ def q_upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_upsert_counters(spark: SparkSession, d: str) -> DataFrame:
-    _, inc_raw, base, inc = _loads(spark, d)
-    return keyed.upsert_counters(inc_raw, inc, base, ORDER_KEY)
+    _, inc_raw, base, _inc = _loads(spark, d)
+    return keyed.upsert_counters(inc_raw, base, ORDER_KEY)
 
 
 def q_stream_upsert(spark: SparkSession, d: str) -> DataFrame:

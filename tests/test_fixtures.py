@@ -60,12 +60,12 @@ def test_upsert_and_counters(spark):
     inc = spark.createDataFrame([(2, None), (3, "c")], "k long, v string")
     out = keyed.upsert(base, inc, "k")
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a"), (2, None), (3, "c")]
-    c = keyed.upsert_counters(inc, inc, base, "k").first()
+    c = keyed.upsert_counters(inc, base, "k").first()
     assert (c["inserted"], c["updated"], c["total"]) == (1, 1, 3)
     # the same incoming again: same rows, nothing inserted
     again = keyed.upsert(out, inc, "k")
     assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in out.collect())
-    c2 = keyed.upsert_counters(inc, inc, out, "k").first()
+    c2 = keyed.upsert_counters(inc, out, "k").first()
     assert (c2["inserted"], c2["updated"], c2["total"]) == (0, 2, 3)
 
 
@@ -197,7 +197,7 @@ def test_null_keys(spark):
     base = spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string")
     inc = spark.createDataFrame([(None, "z")], "k long, v string")
     assert sorted(map(tuple, keyed.upsert(base, inc, "k").collect()), key=repr) == [(1, "b"), (None, "z")]
-    c = keyed.upsert_counters(inc, inc, base, "k").first()
+    c = keyed.upsert_counters(inc, base, "k").first()
     assert (c["inserted"], c["updated"], c["total"]) == (0, 1, 2)
     r = quality.key_set_compare(base, inc, "k").first()
     assert (r["only_left"], r["only_right"], r["both"]) == (1, 0, 1)
