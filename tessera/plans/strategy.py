@@ -41,13 +41,23 @@ def bounded_pandas(df: DataFrame, max_rows: int):
     return None if len(pdf) > max_rows else pdf
 
 
+def _arrow_on(spark) -> bool:
+    return str(spark.conf.get("spark.sql.execution.arrow.pyspark.enabled", "false")).lower() == "true"
+
+
 def bounded_local(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a driver-held local table (Arrow transfer) when it has at most
-    ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read."""
-    pdf = bounded_pandas(df, max_rows)
-    if pdf is None:
-        return None
-    return df.sparkSession.createDataFrame(pdf, df.schema).coalesce(1)
+    """``df`` as a driver-held local one-partition table when it has at most
+    ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read:
+    through Arrow when the session enables it (types, NULLs included, survive
+    the round trip), else as rows."""
+    spark = df.sparkSession
+    if _arrow_on(spark):
+        pdf = bounded_pandas(df, max_rows)
+        if pdf is None:
+            return None
+        return spark.createDataFrame(pdf, df.schema).coalesce(1)
+    rows = bounded_rows(df, max_rows)
+    return None if rows is None else spark.createDataFrame(rows, df.schema).coalesce(1)
 
 
 def materialize(df: DataFrame, max_rows: int | None = None) -> DataFrame:
