@@ -234,3 +234,51 @@ def bdi_stacked(scored: DataFrame, bins: int = 30) -> DataFrame:
 def bdi_facets(scored: DataFrame, bins: int = 15) -> DataFrame:
     return distributions.histogram_facets(scored, "depression_category", "total_score",
                                           [b[2] for b in BDI_BANDS], bins)
+
+
+# ------------------------------------------------------------------- main
+
+def run(spark: SparkSession, screen_csv: str, items_csv: str, root: str, out_dir: str,
+        force: bool = False, heads: int = 3) -> dict:
+    """The whole application: load both files, run the reports, print their
+    first rows, and write every chart table as Parquet under ``out_dir``."""
+    loaded = import_csv(spark, screen_csv, items_csv, root, force=force)
+    print("loaded:", loaded)
+    table_info(spark, root).show(truncate=False)
+    st = read_current(spark, root, SCREEN_TIME, SCREEN_TIME_SCHEMA)
+    items = read_current(spark, root, BDI_ITEMS, BDI_ITEMS_SCHEMA)
+    by_gender = screen_time_by_gender(st)
+    over = screen_by_sex_over_hours(st)
+    stats = screen_and_depression_stats(st)
+    scored = bdi_with_categories(items)
+    for name, df in (("sleep", sleep(st)), ("screen_by_sex_over_5_hours", over),
+                     ("screen_time_by_gender", by_gender), ("screen_and_depression_stats", stats),
+                     ("depression_stats", depression_stats(items)), ("bdi_with_categories", scored)):
+        print(name)
+        df.limit(heads).show(truncate=False)
+    hist, means = leisure_histogram(by_gender)
+    charts = {"leisure_histogram": hist, "leisure_means": means, "screen_bars": screen_bars(stats),
+              "screen_donut": screen_donut(over), "sleep_histogram": sleep_histogram(st),
+              "bdi_stacked": bdi_stacked(scored), "bdi_facets": bdi_facets(scored)}
+    for name, df in charts.items():
+        df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
+    return loaded
+
+
+def main(argv=None) -> None:
+    import argparse
+    from tessera.session import local_session
+    p = argparse.ArgumentParser(description="survey load, reports and chart tables")
+    p.add_argument("screen_csv")
+    p.add_argument("items_csv")
+    p.add_argument("root", help="folder of the versioned tables")
+    p.add_argument("out_dir", help="folder for the chart tables")
+    p.add_argument("--force", action="store_true", help="start from empty tables")
+    p.add_argument("--master", default=None, help="local[N] for a local run; omit on a cluster")
+    a = p.parse_args(argv)
+    spark = local_session(a.master[6:-1]) if a.master else SparkSession.builder.getOrCreate()
+    run(spark, a.screen_csv, a.items_csv, a.root, a.out_dir, a.force)
+
+
+if __name__ == "__main__":
+    main()

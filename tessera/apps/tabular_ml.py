@@ -123,3 +123,37 @@ def regression_flow(df: DataFrame, target: str, numeric: Sequence[str] = REGRESS
     fit = models.fit_linear(prepared, pre.feature_names(), target)
     pred = fit.predict(prepared)
     return RegressionResult(pre, fit, pred, evaluate.regression_metrics(pred, target, "prediction"))
+
+
+def main(argv=None) -> None:
+    """``classify`` or ``regress`` a named dataset (catalog table or Parquet
+    under ``--data-dir``) and print the evaluation tables."""
+    import argparse
+    p = argparse.ArgumentParser(description="model flows on a named dataset")
+    p.add_argument("mode", choices=["classify", "regress"])
+    p.add_argument("name")
+    p.add_argument("--data-dir", default=None)
+    p.add_argument("--target", required=True)
+    p.add_argument("--key", required=True)
+    p.add_argument("--numeric", default="")
+    p.add_argument("--cat-freq", default="")
+    p.add_argument("--cat-const", default="")
+    p.add_argument("--master", default=None, help="local[N] for a local run; omit on a cluster")
+    a = p.parse_args(argv)
+    from tessera.session import local_session
+    spark = local_session(a.master[6:-1]) if a.master else SparkSession.builder.getOrCreate()
+    split_list = lambda s: [x for x in s.split(",") if x]
+    df = catalog.load_named(spark, a.name, a.data_dir)
+    if a.mode == "classify":
+        res = classification_flow(df, a.key, a.target, split_list(a.numeric), split_list(a.cat_freq),
+                                  split_list(a.cat_const))
+        for name in ("missing", "report", "confusion", "auc", "coefficients", "head"):
+            print(name)
+            getattr(res, name).show(50, truncate=False)
+    else:
+        res = regression_flow(df, a.target, split_list(a.numeric), split_list(a.cat_freq), a.key)
+        res.metrics.show()
+
+
+if __name__ == "__main__":
+    main()

@@ -145,3 +145,15 @@ def test_regression_flow(spark):
     m = res.metrics.first()
     assert m["mse"] >= 0 and m["r2"] <= 1
     assert res.preprocessor.feature_names()[0] == "num__p_size"
+
+
+def test_mains_run(spark, tmp_path, capsys):
+    root = scratch_path(spark, "survey-main")
+    out = scratch_path(spark, "charts")
+    s_csv = _screen_csv(tmp_path, SCREEN_ROWS, "m1.csv")
+    i_csv = _items_csv(tmp_path, [(1, {}), (2, {"bdi_item_05": 20}), (3, {})], "m2.csv")
+    st.run(spark, s_csv, i_csv, root, out)
+    assert spark.read.parquet(f"{out}/bdi_facets").count() > 0
+    tabular_ml.main(["regress", "part", "--data-dir", SF_SMALL, "--target", "p_retailprice",
+                     "--key", "p_partkey", "--numeric", "p_size", "--cat-freq", "p_type"])
+    assert "mse" in capsys.readouterr().out
