@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import null_safe_join
+from tessera.plans.strategy import null_safe_anti, null_safe_full_outer
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -45,7 +45,7 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str]) -> Da
     :func:`dedup_keep_last`.
     """
     keys = _keys(key)
-    kept = null_safe_join(base, incoming.select(*keys), keys, "left_anti")
+    kept = null_safe_anti(base, incoming.select(*keys), keys)
     return incoming.select(*base.columns).unionByName(kept)
 
 
@@ -60,7 +60,7 @@ def upsert_counters(raw_incoming: DataFrame, base: DataFrame, key: str | Sequenc
     keys = _keys(key)
     inc = raw_incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     old = base.select(*keys).withColumn("_old", F.lit(1))
-    both = null_safe_join(inc, old, keys, "full_outer")
+    both = null_safe_full_outer(inc, old, keys)
     return both.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("csv_rows"),
         F.count("_rows").alias("unique"),
@@ -74,3 +74,18 @@ def write_version(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Write an upsert result to a new location and return it."""
     df.write.mode(mode).parquet(path)
     return path
+
+
+def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int,
+                   path: str | None = None) -> DataFrame:
+    """Store a keyed table bucketed (and sorted) by its key as a catalog table,
+    optionally at ``path`` in the shared folder. Later upserts against it
+    shuffle only the incoming keys: the anti join reads the stored table
+    bucket by bucket (``Bucketed: true``, no exchange on that side) when the
+    shuffle partition count equals ``buckets``."""
+    keys = _keys(key)
+    w = df.write.bucketBy(buckets, *keys).sortBy(*keys).mode("errorifexists").format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)

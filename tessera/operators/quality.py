@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.strategy import null_safe_join
+from tessera.plans.strategy import null_safe_full_outer
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -26,7 +26,7 @@ def key_set_compare(left: DataFrame, right: DataFrame, key: str | Sequence[str])
     keys = _keys(key)
     lk = left.select(*keys).distinct().withColumn("_l", F.lit(1))
     rk = right.select(*keys).distinct().withColumn("_r", F.lit(1))
-    j = null_safe_join(lk, rk, keys, "full_outer")     # NULL matches NULL, as in a set
+    j = null_safe_full_outer(lk, rk, keys)     # NULL matches NULL, as in a set
     return j.agg(
         F.count_if(F.col("_r").isNull()).alias("only_left"),
         F.count_if(F.col("_l").isNull()).alias("only_right"),

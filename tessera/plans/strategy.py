@@ -11,7 +11,7 @@ import math
 from typing import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest row count of a derived side that is shipped to every executor.
@@ -91,6 +91,41 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def keys_present(keys) -> Column:
+    """Every key column is non-NULL."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def null_safe_anti(left: DataFrame, right_keys: DataFrame, keys) -> DataFrame:
+    """Rows of ``left`` whose key is not among ``right_keys``, NULL matching
+    NULL. Rows with complete keys take a plain equi anti join, which keeps
+    existing hash partitioning and bucketing (no shuffle of a bucketed
+    ``left``). Rows with a NULL in the key meet the right side's NULL-keyed
+    rows through a size-checked broadcast, so a hot NULL key is not shuffled."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ok = keys_present(keys)
+    main = left.where(ok).join(right_keys.where(ok), keys, "left_anti")
+    rest = join_small(left.where(~ok), right_keys.where(~ok).select(*keys).distinct(), keys,
+                      "left_anti", null_safe=True)
+    return main.unionByName(rest)
+
+
+def null_safe_full_outer(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Full outer join on ``keys`` with NULL matching NULL: complete keys by a
+    plain equi-join (partitioning and bucketing kept), NULL-keyed rows (a
+    handful once the sides are de-duplicated by key) by a null-safe join."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ok = keys_present(keys)
+    main = left.where(ok).join(right.where(ok), keys, "full_outer")
+    rest = null_safe_join(left.where(~ok), right.where(~ok), keys, "full_outer")
+    return main.unionByName(rest)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS, null_safe: bool = False) -> DataFrame:
     """Join ``big`` with a side that is usually small (per-group statistics,

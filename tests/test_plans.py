@@ -63,3 +63,25 @@ def test_conditional_counts_single_scan(spark):
 def test_missing_profile_is_one_scan_one_aggregate(spark):
     p = plan_of(registry.QUERIES["missing_counts"](spark, SF_SMALL))
     assert p.count("FileScan parquet") == 1
+
+
+def test_upsert_against_bucketed_base_shuffles_only_incoming(spark):
+    import uuid
+
+    from tessera.operators import keyed
+    from tessera.sources.tables import read_table
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        o = read_table(spark, SF_SMALL, "orders")
+        key, order = ["o_custkey"], ["o_orderdate", "o_orderkey"]
+        base = keyed.dedup_keep_last(o.where("o_orderdate < '1998-01-01'"), key, order)
+        stored = keyed.write_bucketed(base, f"base_{uuid.uuid4().hex[:8]}", key, 8)
+        inc = keyed.dedup_keep_last(o.where("o_orderdate >= '1998-01-01'"), key, order)
+        lines = plan_of(keyed.upsert(stored, inc, key)).splitlines()
+        j = next(n for n, line in enumerate(lines) if "LeftAnti" in line and "Join" in line)
+        s = next(n for n in range(j, len(lines)) if "FileScan" in lines[n] and "base_" in lines[n])
+        assert "Bucketed: true" in lines[s]
+        # the stored (left) side, from the join down to its scan, is never shuffled
+        assert not any("Exchange" in line for line in lines[j + 1:s])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
