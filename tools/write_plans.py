@@ -18,7 +18,7 @@ from tessera.session import local_session  # noqa: E402
 NOTES = {
     "conditional_counts": "One scan reading 3 of 6 columns; partial aggregate per task, so the shuffle carries at most (tasks x priorities) rows. At 100 TB the shuffle stays tiny; the work is the column-pruned scan.",
     "dedup_keep_last": "`max_by(struct(row), struct(order))` is a partial + final aggregate. The struct buffer is not fixed-width, so Spark picks SortAggregate: each task sorts its rows by key (spillable) and emits one partial per key; the shuffle moves at most one row per key per task. A key holding a third of all rows costs a third of the scan, spread over all tasks; it never lands whole in one task, as it would with a `row_number()` window.",
-    "upsert_by_key": "Both loads are de-duplicated by the aggregate above, so the anti join sees unique keys on both sides and cannot skew. Catalyst broadcast the incoming key set because its estimated size is under `autoBroadcastJoinThreshold` (a statistics-checked bound); a larger one stays a sort-merge join on the key. The date filter is pushed into the Parquet scan (`PushedFilters`), so row groups outside a load are skipped.",
+    "upsert_by_key": "Both loads are de-duplicated by the aggregate above, so the anti join sees unique keys on both sides and cannot skew. Catalyst broadcast the incoming key set because its estimated size is under `autoBroadcastJoinThreshold` (a statistics-checked bound); a larger one stays a sort-merge join on the key. The date filter is pushed into the Parquet scan (`PushedFilters`), so row groups outside a load are skipped. The third branch carries rows whose key has a NULL: its `isnull` filter reaches the scan (row groups without NULLs are skipped by their statistics). It meets the incoming NULL keys through a size-checked broadcast; with none, Spark drops that join. Against a table stored with `keyed.write_bucketed`, the complete-key anti join reads the stored side bucket by bucket, with no exchange (see `tests/test_plans.py`).",
     "group_mean_rows": "Per-group means come from a partial + final aggregate, read once as a local table (at most 100,000 rows, checked) and broadcast. The rows are never shuffled by the group key, so two groups do not mean two tasks. The final `ORDER BY` is the report's own order (range partitioning with sampled bounds).",
     "stratified_split": "One aggregate counts rows per (class, 2-hex-digit hash bucket). That small table gives the class sizes, the quotas and each bucket's offset. Rows in buckets wholly inside or outside the quota are labelled by a broadcast join (map-only). Only each class's single boundary bucket goes through a window partitioned by (class, bucket). Classes large enough that a bucket would exceed 1M rows get more digits, so a class holding a third of all rows is cut into up to 16^6 pieces.",
     "roc_points": "One row per distinct score (map-side-combined aggregate). At this size the score table fits under 100,000 rows and is summed as a local one-partition table. Larger score tables take the two-level path: range buckets from `percentile_approx` bounds (Bucketizer), bucket totals turned into offsets, and a window partitioned by bucket (plan-checked in `tests/test_plans.py` with a forced small bucket size).",
