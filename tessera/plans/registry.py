@@ -35,7 +35,7 @@ ITEM_COLS = [f"item_{k}" for k in range(1, SHEET_ITEMS + 1)]
 def q_seq_squares(spark: SparkSession, d: str) -> DataFrame:
     """Squares of 1..n, n = number of orders (sequence + per-element expression)."""
     n = catalog.row_count(tables(spark, d, "orders")).first()["n"]
-    return spark.range(1, n + 1).select(F.col("id").alias("n"), (F.col("id") * F.col("id")).alias("square"))
+    return reports.sequence_squares(spark, n)
 
 
 CUSTOMER_SCHEMA = T.StructType([
