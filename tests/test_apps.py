@@ -157,3 +157,16 @@ def test_mains_run(spark, tmp_path, capsys):
     tabular_ml.main(["regress", "part", "--data-dir", SF_SMALL, "--target", "p_retailprice",
                      "--key", "p_partkey", "--numeric", "p_size", "--cat-freq", "p_type"])
     assert "mse" in capsys.readouterr().out
+
+
+def test_flow_loaders_keep_label_on_rows(spark, tmp_path):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("age", T.DoubleType()),
+                           T.StructField("y", T.IntegerType())])
+    c = tmp_path / "d.csv"
+    c.write_text("y,age,id\n1,30.5,1\n0,,2\n")
+    df = tabular_ml.load_csv(spark, str(c), schema, target="y")
+    assert sorted(map(tuple, df.select("id", "age", "label").collect()), key=repr) == [(1, 30.5, 1), (2, None, 0)]
+    j = tmp_path / "d.json"
+    j.write_text('{"id": 3, "age": 7, "y": 1}\n')
+    assert tabular_ml.load_json(spark, str(j), schema, target="y").first()["label"] == 1
