@@ -45,18 +45,28 @@ class LinearFit:
                 .orderBy(F.abs("coefficient"), "feature"))
 
 
-def _fit_linear_moments(df: DataFrame, feats: list, label: str) -> LinearFit:
+def _fit_linear_moments(df: DataFrame, feats: list, label: str) -> tuple:
+    """OLS on the rows where the label and every feature are present, from
+    one aggregate of centred moments; also returns how many rows lack the
+    label (same pass)."""
     import numpy as np
-    cols = [F.col(c).cast("double") for c in feats]
-    y = F.col(label).cast("double")
-    data = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], y.alias("_y")).dropna()
+    y0 = F.col(label).cast("double")
+    x0 = [F.col(c).cast("double") for c in feats]
+    complete = y0.isNotNull()
+    for x in x0:
+        complete = complete & x.isNotNull()
+    data = df.select(*[F.when(complete, x).alias(f"_x{i}") for i, x in enumerate(x0)],
+                     F.when(complete, y0).alias("_y"), y0.isNull().alias("_gap"))
     xs = [F.col(f"_x{i}") for i in range(len(feats))]
-    aggs = [F.avg("_y").alias("my")] + [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
+    aggs = [F.avg("_y").alias("my"), F.count_if(F.col("_gap")).alias("gaps")]
+    aggs += [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
     aggs += [F.covar_pop(xs[i], xs[j]).alias(f"c{i}_{j}")
              for i in range(len(xs)) for j in range(i, len(xs))]
     aggs += [F.covar_pop(xs[i], F.col("_y")).alias(f"cy{i}") for i in range(len(xs))]
     row = data.agg(*aggs).first()
     k = len(xs)
+    if row["my"] is None:
+        return LinearFit(feats, [0.0] * k, 0.0), row["gaps"]
     S = np.empty((k, k))
     for i in range(k):
         for j in range(i, k):
@@ -64,7 +74,7 @@ def _fit_linear_moments(df: DataFrame, feats: list, label: str) -> LinearFit:
     b = np.array([row[f"cy{i}"] for i in range(k)])
     w = np.linalg.solve(S, b) if k else np.zeros(0)
     intercept = row["my"] - float(sum(w[i] * row[f"m{i}"] for i in range(k)))
-    return LinearFit(feats, [float(v) for v in w], float(intercept))
+    return LinearFit(feats, [float(v) for v in w], float(intercept)), row["gaps"]
 
 
 @dataclass
@@ -96,7 +106,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
     normal-equation solver (tree aggregate of the Gram matrix) is used."""
     feats = list(features)
     if len(feats) <= CLOSED_FORM_MAX_FEATURES:
-        return _fit_linear_moments(df, feats, label)
+        return _fit_linear_moments(df, feats, label)[0]
     lr = LinearRegression(featuresCol="_features", labelCol="_label", solver="normal",
                           regParam=0.0, elasticNetParam=0.0, standardization=False,
                           fitIntercept=True)
@@ -142,8 +152,15 @@ def logistic_gradient(df: DataFrame, fit: LogisticFit, label: str, C: float = 1.
 def regression_impute(df: DataFrame, target: str, predictors: Sequence[str]) -> DataFrame:
     """Fill ``target`` where it is NULL with a linear model fitted on the rows
     where it is present; rows with a value keep it. No-op when nothing is
-    missing. Predictors must already be complete (impute them first)."""
-    if df.where(F.col(target).isNull()).limit(1).count() == 0:
-        return df
-    fit = fit_linear(df.where(F.col(target).isNotNull()), predictors, target)
+    missing (known from the fit's own pass). Predictors must already be
+    complete (impute them first)."""
+    feats = list(predictors)
+    if len(feats) <= CLOSED_FORM_MAX_FEATURES:
+        fit, gaps = _fit_linear_moments(df, feats, target)
+        if gaps == 0:
+            return df
+    else:
+        if df.where(F.col(target).isNull()).limit(1).count() == 0:
+            return df
+        fit = fit_linear(df.where(F.col(target).isNotNull()), feats, target)
     return df.withColumn(target, F.coalesce(F.col(target).cast("double"), fit.linear_term()))
