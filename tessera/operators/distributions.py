@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_local, materialize
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, materialize, read_once
 
 
 def present(df: DataFrame, col: str) -> Column:
@@ -88,10 +88,8 @@ def histogram_by_group(df: DataFrame, group: str, col: str, bins: int = 30,
     it with ``sequence``, not by a cross join. Rows with a NULL group belong
     to no panel and are left out, as a per-group chart leaves them out."""
     df = df.where(F.col(group).isNotNull())
-    ranges = _group_ranges(df, group, col)
-    local = bounded_local(ranges, BROADCAST_MAX_ROWS)
-    if local is not None:
-        ranges = local          # one pass computes the ranges for both uses below
+    local, stored = read_once(_group_ranges(df, group, col), BROADCAST_MAX_ROWS)
+    ranges = local if local is not None else stored     # computed once, used twice below
     rows = df.where(present(df, col)).select(group, F.col(col).cast("double").alias("_x"))
     joined = rows.join(F.broadcast(ranges), group) if local is not None else rows.join(ranges, group)
     counts = (joined

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, bounded_pandas, null_safe_join, running_sums
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, null_safe_join, read_once_pandas, running_sums
 
 MAX_CLASSES = 10_000
 # Up to this many classes the confusion table is dense (every pair, zeros included).
@@ -29,9 +29,9 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     derived metric then uses."""
     counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")) \
         .agg(F.count(F.lit(1)).cast("long").alias("n"))
-    cells = bounded_pandas(counts, BROADCAST_MAX_ROWS)
+    cells, stored = read_once_pandas(counts, BROADCAST_MAX_ROWS)
     if cells is None:
-        return counts
+        return stored
     spark = df.sparkSession
 
     def plain(v):

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.expressions import nan_to_null
 from tessera.plans import strategy
-from tessera.plans.strategy import bounded_pandas, checkpointed, quantiles_from_counts
+from tessera.plans.strategy import checkpointed, quantiles_from_counts, read_once_pandas
 
 MAX_CATEGORIES = 10_000
 ROWS_ENTRY = "\u0000rows"
@@ -176,7 +176,10 @@ def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequen
     local = counts = None
     if counted:
         raw = value_counts(df, counted)
-        local = bounded_pandas(raw, strategy.SMALL_DISTINCT) if strategy.SMALL_DISTINCT > 0 else None
+        if strategy.SMALL_DISTINCT > 0:
+            local, stored = read_once_pandas(raw, strategy.SMALL_DISTINCT)
+        else:
+            local, stored = None, checkpointed(raw)
         if local is not None:
             totals = local.groupby("column")["n"].sum().to_dict()
             rows = int(totals.get(ROWS_ENTRY, 0))
@@ -192,7 +195,7 @@ def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequen
                     else:
                         mean[c], var[c] = None, None
         else:
-            counts = checkpointed(raw)
+            counts = stored
             per = {r["column"]: r for r in counts.groupBy("column").agg(
                 F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("num")) / F.sum("n")).alias("mean")).collect()}
             rows = per[ROWS_ENTRY]["n"] if ROWS_ENTRY in per else 0

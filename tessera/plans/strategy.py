@@ -60,6 +60,22 @@ def bounded_local(df: DataFrame, max_rows: int) -> DataFrame | None:
     return None if rows is None else spark.createDataFrame(rows, df.schema).coalesce(1)
 
 
+def read_once(df: DataFrame, max_rows: int):
+    """Compute ``df`` exactly once: an eager checkpoint in the shared folder,
+    then a bounded read of it. Returns ``(local, stored)``: ``local`` is the
+    one-partition local copy when there are at most ``max_rows`` rows (else
+    None), ``stored`` the checkpointed table, for use beyond the bound without
+    recomputing ``df``."""
+    stored = checkpointed(df)
+    return bounded_local(stored, max_rows), stored
+
+
+def read_once_pandas(df: DataFrame, max_rows: int):
+    """As :func:`read_once`, with the small copy as a pandas frame."""
+    stored = checkpointed(df)
+    return bounded_pandas(stored, max_rows), stored
+
+
 def materialize(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """A derived table that is read several times, computed once: a local
     table when it has at most ``max_rows`` rows, otherwise an eager
@@ -136,8 +152,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     join falls back to a shuffle join where AQE splits skewed keys. With
     ``null_safe`` a NULL key matches a NULL key.
     """
-    local = bounded_local(small, max_rows)
-    side = local if local is not None else small
+    local, stored = read_once(small, max_rows)
+    side = local if local is not None else stored
     if null_safe:
         return null_safe_join(big, side, on, how, broadcast_right=local is not None)
     return big.join(F.broadcast(side) if local is not None else side, on, how)
@@ -161,13 +177,13 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     lead = order_cols[0]
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    local = bounded_local(df, min(SMALL_DISTINCT, rows_per_bucket))
+    local, stored = read_once(df, min(SMALL_DISTINCT, rows_per_bucket))
     if local is not None:
         # one bucket of at most SMALL_DISTINCT rows, held locally
         w = (Window.partitionBy(F.lit(0)).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return local.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
-    df = checkpointed(df)
+    df = stored
     n = df.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
     if buckets == 1:
@@ -232,8 +248,8 @@ def quantiles_from_counts(counts: DataFrame, col: str, n_col: str, ranks,
     way only bounded data reaches the driver."""
     counts = counts.select(F.col(col), F.col(n_col).alias("_n"))
     small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
-    local = bounded_local(counts, small_distinct) if small_distinct > 0 else None
-    table = local if local is not None else checkpointed(counts)
+    local, stored = read_once(counts, small_distinct) if small_distinct > 0 else (None, checkpointed(counts))
+    table = local if local is not None else stored
     n = table.agg(F.sum("_n")).first()[0] or 0
     wanted = sorted(set(ranks(n) if callable(ranks) else ranks))
     out = {}
