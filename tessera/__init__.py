@@ -14,8 +14,10 @@ Layout:
 * ``plans``      -- join/prefix-sum strategies, driver-table bindings, the
                     query registry and its SQL oracle
 * ``streaming``  -- incremental keyed loads with Structured Streaming
+* ``apps``       -- the survey application and the model flows, with
+                    command-line entry points
 """
 
-from tessera.session import local_session, scratch_dir
+from tessera.session import local_session, scale_settings, scratch_dir
 
-__all__ = ["local_session", "scratch_dir"]
+__all__ = ["local_session", "scale_settings", "scratch_dir"]
