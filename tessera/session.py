@@ -31,6 +31,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoints of derived tables are removed once no DataFrame uses them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
@@ -91,4 +93,5 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 ** 2) ->
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
