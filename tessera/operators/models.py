@@ -95,6 +95,8 @@ def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 # Up to this many features OLS is one covariance aggregate; beyond, pyspark.ml.
 CLOSED_FORM_MAX_FEATURES = 32
+# Training rows per task for iterative fits.
+ROWS_PER_TASK = 1_000_000
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
@@ -129,6 +131,8 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, C: float =
         scratch_dir(df.sparkSession)
         data = data.checkpoint(eager=True)
     n = data.count()
+    # one task per ~ROWS_PER_TASK rows for the iterations (coalesce never adds partitions)
+    data = data.coalesce(max(1, -(-n // ROWS_PER_TASK)))
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", family="binomial",
                             maxIter=max_iter, tol=tol, regParam=1.0 / (C * max(n, 1)),
                             elasticNetParam=0.0, standardization=False, fitIntercept=True)
