@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.strategy import null_safe_full_outer
+from tessera.plans.strategy import join_small, keys_present, null_safe_full_outer
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -45,13 +45,18 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: str | Sequence[str],
     """Child rows whose key has no parent row (foreign-key violations).
 
     As in SQL foreign keys, a child row with a NULL in its key references
-    nothing and is not a violation. The parent side is reduced to its
-    distinct keys; AQE splits a skewed child key in the anti join."""
+    nothing and is not a violation. Keys are settled first, key-only: the
+    child's distinct keys (map-side combined, so a hot key costs one row per
+    task) anti-joined with the parent's distinct keys. The child rows then
+    meet that orphan-key set through a size-checked broadcast semi join, so
+    they are not shuffled; past the bound it is a shuffle semi join on a
+    checkpointed key set, where AQE splits a skewed key."""
     keys = _keys(key)
     pkeys = _keys(parent_key) if parent_key else keys
     pk = parent.select(*[F.col(p).alias(k) for p, k in zip(pkeys, keys)]).distinct()
-    referencing = child.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    return referencing.join(pk, keys, "left_anti")
+    referencing = child.where(keys_present(keys))
+    orphan_keys = referencing.select(*keys).distinct().join(pk, keys, "left_anti")
+    return join_small(referencing, orphan_keys, keys, "left_semi")
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "count") -> DataFrame:

@@ -23,7 +23,7 @@ NOTES = {
     "stratified_split": "One aggregate counts rows per (class, 2-hex-digit hash bucket). That small table gives the class sizes, the quotas and each bucket's offset. Rows in buckets wholly inside or outside the quota are labelled by a broadcast join (map-only). Only each class's single boundary bucket goes through a window partitioned by (class, bucket). Classes large enough that a bucket would exceed 1M rows get more digits, so a class holding a third of all rows is cut into up to 16^6 pieces.",
     "roc_points": "One row per distinct score (map-side-combined aggregate). At this size the score table fits under 100,000 rows and is summed as a local one-partition table. Larger score tables take the two-level path: range buckets from `percentile_approx` bounds (Bucketizer), bucket totals turned into offsets, and a window partitioned by bucket (plan-checked in `tests/test_plans.py` with a forced small bucket size).",
     "histogram_by_group": "Pass 1: per-group min and max (partial + final aggregate), read once as a checked local table that serves both the broadcast and the dense frame. Pass 2: bin index by arithmetic, count per (group, bin) with a partial aggregate. The dense frame is `explode(sequence(0, bins-1))` over the group table, not a cross join; output size is groups x bins, independent of rows.",
-    "orphan_rows": "The parent side is reduced to distinct keys and joined `left_anti`; Catalyst broadcast it here on its size estimate. A large parent stays a shuffle join, where AQE's skew handling splits a hot child key (left anti is a supported skew-join type).",
+    "orphan_rows": "Keys first: the child's distinct keys (map-side combined, so a hot key costs one row per task) are anti-joined with the parent's distinct keys, key-only. The orphan-key set is checkpointed, checked against the 100,000-row bound and broadcast into a semi join with the child rows, so those rows, text included, are never shuffled. Past the bound the semi join shuffles, and AQE splits a skewed key (left semi is a supported skew-join type).",
     "impute_all": "The fill values were fitted first, in one pass: a single long-format value-count aggregate gives the exact median of `value` and the most frequent `category` (and the row count). The transform is a projection with literals (`coalesce(value, 29.0)`, `coalesce(category, R)`), with no join. The aggregate underneath is the binding (`sparse_lines`), not the imputer.",
     "classification_report": "The rows are aggregated once into (y, yhat) cells. That classes^2 table is read once as a local table, and precision, recall, F1 and the averages are derived from it, never from the rows again.",
 }
