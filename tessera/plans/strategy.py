@@ -1,8 +1,11 @@
-"""Physical-strategy helpers: size-checked broadcast and scalable running sums.
-
-Both avoid the two shapes that do not scale: broadcasting a side whose size is
-not known, and a window with no partition key (``Exchange SinglePartition``),
-which runs in one task.
+"""Physical-strategy helpers: derived tables computed once, size-checked
+broadcasts, key joins that keep partitioning, scalable running sums and exact
+order statistics.
+
+They avoid the shapes that do not scale: broadcasting a side whose size is
+not known, recomputing an aggregate when it turns out to be large, and a
+window with no partition key (``Exchange SinglePartition``), which runs in
+one task.
 """
 
 from __future__ import annotations
@@ -80,8 +83,8 @@ def materialize(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """A derived table that is read several times, computed once: a local
     table when it has at most ``max_rows`` rows, otherwise an eager
     checkpoint in the shared folder (reliable, lineage cut)."""
-    local = bounded_local(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
-    return local if local is not None else checkpointed(df)
+    local, stored = read_once(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+    return local if local is not None else stored
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
