@@ -236,3 +236,24 @@ def test_fractional_fill_widens_integer_column(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "x int")
     out = features.fit_imputer(df, median=["x"]).transform(df)
     assert sorted(r[0] for r in out.collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
+
+
+@pytest.mark.parametrize("rows,share,test_rows", [([], 0.2, 0), ([(i, "a") for i in range(10)], 0.0, 0),
+                                                  ([(i, "a") for i in range(10)], 1.0, 10),
+                                                  ([(i, "a") for i in range(7)], 0.2, 2)])
+def test_split_edges(spark, rows, share, test_rows):
+    df = spark.createDataFrame(rows, "k long, c string")
+    out = split.stratified_split(df, "c", "k", share)
+    assert out.count() == len(rows)
+    assert out.where("split = 'test'").count() == test_rows
+
+
+def test_empty_inputs_give_empty_tables(spark):
+    e = spark.createDataFrame([], "k long, g string, y int, s double, x double")
+    assert evaluate.roc_points(e, "y", "s").count() == 0
+    assert evaluate.roc_auc(e, "y", "s").first()["auc"] == 0.0
+    assert evaluate.confusion_matrix(e, "y", "y").count() == 0
+    assert evaluate.classification_report(evaluate.confusion_matrix(e, "y", "y")).count() == 3
+    assert distributions.histogram_by_group(e, "g", "x", 5).count() == 0
+    pre = features.fit_preprocessor(e, numeric=["x"], cat_freq=["g"], keep=["k"])
+    assert pre.transform(e).count() == 0
