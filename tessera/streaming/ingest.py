@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.keyed import dedup_keep_last, upsert
 from tessera.session import scratch_path
+from tessera.sources.files import _string_schema, _typed
 
 
 def _manifest(table_dir: str) -> str:
@@ -71,22 +72,39 @@ def next_version(spark: SparkSession, table_dir: str) -> int:
 
 def upsert_stream(spark: SparkSession, landing_dir: str, schema, key: Sequence[str],
                   order: Sequence[str], table_dir: str, checkpoint_dir: str,
-                  files_per_batch: int | None = None, available_now: bool = True):
-    """Start the streaming upsert; returns the ``StreamingQuery``."""
+                  files_per_batch: int | None = None, available_now: bool = True,
+                  fmt: str = "parquet", required: Sequence[str] = ()):
+    """Start the streaming upsert; returns the ``StreamingQuery``.
+
+    ``fmt="csv"`` lands CSV files with a header: every declared column is read
+    as text, the header is checked against the declared names
+    (``enforceSchema=false``, so a file with other or reordered columns fails
+    instead of loading wrong values), and each batch is cast by name as the
+    batch reader does (malformed optional values become NULL, required ones
+    raise)."""
     key, order = list(key), list(order)
+    typed_batch = (lambda b: b) if fmt == "parquet" else (
+        lambda b: _typed(b, schema, set(required)))
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         versions = list_versions(spark, table_dir)
         if epoch_id in versions:
             return  # committed by an earlier attempt of this epoch
         current = latest_version(spark, table_dir, schema, versions)
-        incoming = dedup_keep_last(batch, key, order)
+        incoming = dedup_keep_last(typed_batch(batch), key, order)
         commit_version(spark, table_dir, epoch_id, upsert(current, incoming, key))
 
-    reader = spark.readStream.schema(schema)
+    if fmt == "parquet":
+        reader = spark.readStream.schema(schema)
+    elif fmt == "csv":
+        reader = (spark.readStream.schema(_string_schema(schema)).option("header", True)
+                  .option("enforceSchema", False))
+    else:
+        raise ValueError(f"unsupported landing format {fmt!r}")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    writer = (reader.parquet(landing_dir).writeStream.foreachBatch(apply_batch)
+    source = reader.parquet(landing_dir) if fmt == "parquet" else reader.csv(landing_dir)
+    writer = (source.writeStream.foreachBatch(apply_batch)
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

@@ -129,3 +129,27 @@ def test_scale_settings():
     s = scale_settings(100 * 1024 ** 4)             # 100 TB
     assert int(s["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_stream_upsert_from_csv_landing(spark):
+    from tessera.streaming.ingest import latest_version, upsert_stream
+    landing, table, ckpt = (scratch_path(spark, n) for n in ("csvland", "csvtbl", "csvck"))
+    os.makedirs(landing)
+    seq = T.StructType(SCHEMA.fields + [T.StructField("seq", T.LongType())])
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write("subject_id,sex,hours,depressed,seq\n1,Girl,5.5,1,1\n2,Boy,abc,0,2\n1,Girl,6.5,0,3\n")
+    upsert_stream(spark, landing, seq, ["subject_id"], ["seq"], table, ckpt, fmt="csv",
+                  required=["subject_id"]).awaitTermination()
+    got = sorted(map(tuple, latest_version(spark, table, seq).collect()))
+    assert got == [(1, "Girl", 6.5, 0, 3), (2, "Boy", None, 0, 2)]
+
+
+def test_stream_csv_reordered_header_fails(spark):
+    from tessera.streaming.ingest import upsert_stream
+    landing, table, ckpt = (scratch_path(spark, n) for n in ("csvbad", "csvbadtbl", "csvbadck"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "b.csv"), "w") as f:
+        f.write("sex,subject_id,hours,depressed\nGirl,1,5.5,1\n")
+    q = upsert_stream(spark, landing, SCHEMA, ["subject_id"], ["subject_id"], table, ckpt, fmt="csv")
+    with pytest.raises(Exception):
+        q.awaitTermination()
