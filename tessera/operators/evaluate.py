@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, null_safe_join, read_once_pandas, running_sums
+from tessera.plans.strategy import (BROADCAST_MAX_ROWS, bounded_local, null_safe_join, read_once_pandas,
+                                    running_sums)
 
 MAX_CLASSES = 10_000
 # Up to this many classes the confusion table is dense (every pair, zeros included).
@@ -65,6 +66,10 @@ def classification_report(confusion: DataFrame, digits: int = 6) -> DataFrame:
            .withColumn("recall", _div(F.col("tp").cast("double"), F.col("support")))
            .withColumn("f1", _div(2 * F.col("precision") * F.col("recall"),
                                   F.col("precision") + F.col("recall"))))
+    # one row per class (derived from the local cell table, so cheap to
+    # recompute); held locally so the four parts below read it once
+    local_per = bounded_local(per, BROADCAST_MAX_ROWS)
+    per = local_per if local_per is not None else per
     classes = per.select(F.col("c").cast("string").alias("label"), "precision", "recall", "f1",
                          F.col("support").cast("long").alias("support"))
     tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
