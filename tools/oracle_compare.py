@@ -4,6 +4,9 @@ Comparison is by column name (sorted), row count and the multiset of rows
 after normalising values (floats by repr, timestamps by ISO text). Usage:
 
     python tools/oracle_compare.py [sf_dir] [key ...]
+
+``VANILLA=1`` uses a session without the library's settings, as the driver
+does; ``ORACLE_JSON=<file>`` also writes the results as JSON.
 """
 
 from __future__ import annotations
@@ -98,15 +101,20 @@ def main():
         from tessera.session import local_session
         spark = local_session(8)
     con = duck(sf_dir)
-    bad = 0
+    bad, results = 0, []
     for k in keys:
         try:
             r = compare(spark, con, sf_dir, k)
         except Exception as e:  # noqa: BLE001
             r = {"key": k, "ok": False, "error": f"{type(e).__name__}: {str(e)[:400]}"}
         bad += r.get("ok") is False
+        results.append(r)
         print(r, flush=True)
     print(f"failures: {bad}")
+    if os.environ.get("ORACLE_JSON"):
+        import json
+        with open(os.environ["ORACLE_JSON"], "w") as f:
+            json.dump({"sf_dir": sf_dir, "failures": bad, "results": results}, f, indent=1, default=str)
 
 
 if __name__ == "__main__":
