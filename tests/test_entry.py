@@ -38,3 +38,9 @@ def test_every_oracle_plans_in_duckdb():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path('/root/testdata/sf0.001', t)}')")
     for key, sql in m.oracle_sql().items():
         con.execute(f"EXPLAIN {sql}")
+
+
+def test_readme_lists_every_query():
+    from tessera.plans.registry import QUERIES
+    readme = open(os.path.join(ROOT, "README.md")).read()
+    assert [k for k in QUERIES if f"`{k}`" not in readme] == []
