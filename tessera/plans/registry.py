@@ -383,6 +383,17 @@ def q_logreg_fit(spark: SparkSession, d: str) -> DataFrame:
             .orderBy(F.abs("coefficient"), "feature"))
 
 
+def q_logreg_report(spark: SparkSession, d: str) -> DataFrame:
+    """The model script end to end on labelled documents: exact stratified
+    split, preprocessing fitted on the train rows, logistic regression,
+    predictions on the test rows, and their classification report."""
+    from tessera.apps.tabular_ml import classification_flow
+    labels, docs = tables(spark, d, "labels", "documents")
+    data = docs.join(labels.select("doc_id", "quality"), "doc_id").select(
+        "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"), "lang", "source")
+    return classification_flow(data, "doc_id", "quality", ["n_chars"], ["lang"], ["source"]).report
+
+
 # -------------------------------------------------------------- distributions
 
 def q_histogram(spark: SparkSession, d: str) -> DataFrame:

@@ -27,7 +27,7 @@ def test_entry_runs_on_smallest_scale(spark):
 def test_queries_and_oracles_line_up():
     m = _entry_module()
     q, o = m.queries(), m.oracle_sql()
-    assert set(o) <= set(q) and set(q) - set(o) == {"logreg_fit"}
+    assert set(o) <= set(q) and set(q) - set(o) == {"logreg_fit", "logreg_report"}
     assert all(callable(f) for f in q.values())
 
 
