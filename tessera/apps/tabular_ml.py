@@ -9,6 +9,7 @@ with a key, so nothing has to be re-joined after splitting.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +50,21 @@ class ClassificationResult:
     predictions: DataFrame      # test rows: key, label, prediction, probability
     confusion: DataFrame
     report: DataFrame
-    roc: DataFrame
-    auc: DataFrame
     coefficients: DataFrame
     missing: DataFrame
     head: DataFrame             # first predictions beside the truth, in key order
     scatter: DataFrame | None   # 2-D density of (x, y) by label, when asked for
     missing_summary: DataFrame  # cells, missing cells and their share over the feature columns
+    label: str = "label"
+
+    # the ROC tables run their running sums when first asked for, not before
+    @cached_property
+    def roc(self) -> DataFrame:
+        return evaluate.roc_points(self.predictions, self.label, "probability")
+
+    @cached_property
+    def auc(self) -> DataFrame:
+        return evaluate.roc_auc(self.predictions, self.label, "probability")
 
 
 def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[str],
@@ -95,8 +104,7 @@ def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[s
                if scatter else None)
     return ClassificationResult(
         pre, fit, pred, confusion, evaluate.classification_report(confusion),
-        evaluate.roc_points(pred, label, "probability"), evaluate.roc_auc(pred, label, "probability"),
-        fit.coefficient_table(spark), profile, head, density, summary)
+        fit.coefficient_table(spark), profile, head, density, summary, label)
 
 
 @dataclass
