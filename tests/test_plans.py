@@ -85,3 +85,12 @@ def test_upsert_against_bucketed_base_shuffles_only_incoming(spark):
         assert not any("Exchange" in line for line in lines[j + 1:s])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_orphan_rows_do_not_shuffle_child_rows(spark):
+    lines = plan_of(registry.QUERIES["orphan_rows"](spark, SF_SMALL)).splitlines()
+    j = next(n for n, line in enumerate(lines) if "LeftSemi" in line)
+    assert "BroadcastHashJoin" in lines[j]
+    # the child (documents, with text) is scanned under the join without an exchange
+    s = next(n for n in range(j, len(lines)) if "FileScan" in lines[n] and "text" in lines[n])
+    assert not any("Exchange" in line for line in lines[j + 1:s])
