@@ -94,3 +94,8 @@ def test_orphan_rows_do_not_shuffle_child_rows(spark):
     # the child (documents, with text) is scanned under the join without an exchange
     s = next(n for n in range(j, len(lines)) if "FileScan" in lines[n] and "text" in lines[n])
     assert not any("Exchange" in line for line in lines[j + 1:s])
+
+
+def test_keep_last_combines_map_side(spark):
+    p = plan_of(registry.QUERIES["dedup_keep_last"](spark, SF_SMALL))
+    assert "partial_max_by" in p and "Window" not in p
