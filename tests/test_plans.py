@@ -99,3 +99,14 @@ def test_orphan_rows_do_not_shuffle_child_rows(spark):
 def test_keep_last_combines_map_side(spark):
     p = plan_of(registry.QUERIES["dedup_keep_last"](spark, SF_SMALL))
     assert "partial_max_by" in p and "Window" not in p
+
+
+def test_split_ranks_only_boundary_buckets(spark):
+    from conftest import SF_ORACLE
+    # tiny classes may have no boundary bucket at all: then nothing is ranked
+    assert plan_of(registry.QUERIES["stratified_split"](spark, SF_SMALL)).count("Window [") <= 1
+    p = plan_of(registry.QUERIES["stratified_split"](spark, SF_ORACLE))
+    windows = [line for line in p.splitlines() if "Window [" in line]
+    assert len(windows) == 1
+    # one window, partitioned by (class, hash bucket), never by class alone
+    assert "windowspecdefinition(event_type#" in windows[0] and ", _b#" in windows[0]
