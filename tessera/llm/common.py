@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_dir
@@ -86,8 +86,18 @@ def _join_same(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     return left.join(right, on).drop(*[f"{c}__j" for c in key])
 
 
-def batches(columns: Iterable[str], it):
-    """Arrow record batches as tuples of Python lists, in the order of ``columns``."""
-    for b in it:
-        if b.num_rows:
-            yield tuple(b.column(c).to_pylist() for c in columns)
+def for_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, in
+    sessions started without it on the path (on a cluster it is installed or
+    sent along with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package importable in the workers."""
+    for_workers(df.sparkSession)
+    return df.mapInArrow(run, schema)

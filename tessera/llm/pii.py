@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import map_arrow
+
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "id")
 BASE = KINDS[:4]
 THRESHOLD = 0.5
@@ -154,8 +156,8 @@ def detect(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                       for s, e, k, p in find_spans(t, threshold)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, SPANS)], ["id", "pii"])
 
-    out = df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run, f"id {kind}, pii array<struct<kind:string,start:bigint,end:bigint,score:double,value:string>>")
+    out = map_arrow(df.select(F.col(id_col), F.col(text_col).cast("string")), run,
+                    f"id {kind}, pii array<struct<kind:string,start:bigint,end:bigint,score:double,value:string>>")
     return out.withColumnRenamed("id", id_col)
 
 

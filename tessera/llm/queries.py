@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact, pii, sharding, simhash
+from tessera.llm import decontam, exact, pii, sharding, simhash
 from tessera.sources.tables import read_table
 
 
@@ -23,6 +23,17 @@ def op1_pii(spark: SparkSession, d: str) -> DataFrame:
         F.array_join(F.transform("pii", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"))
 
 
+def op2_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Benchmark windows of 10 words found in every whole document through an
+    FM-index per shard: hit words, items, and the merged removal spans."""
+    leaks = decontam.find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+    hit = F.aggregate("words", F.lit(0).cast("bigint"), lambda n, s: n + s[1] - s[0])
+    return leaks.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+        F.array_join(F.transform("chars", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removal_spans"))
+
+
 def op7_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
     """All documents ordered along a Hilbert curve through (lang, source, size)
     and cut into 24 runs whose row counts differ by at most one (law ``rows``)."""
@@ -52,6 +63,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_decontamination": op2_decontamination,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,

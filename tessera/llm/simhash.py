@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tessera.llm.common import cut_lineage
+from tessera.llm.common import cut_lineage, for_workers, map_arrow
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -81,7 +81,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             fp = np.fromiter((fingerprint(t, shingle) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
-    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind.simpleString()}, fp long")
+    return map_arrow(df.select(F.col(id_col), F.col(text_col).cast("string")), run, f"id {kind.simpleString()}, fp long")
 
 
 def _keys(fp: Column) -> Column:
@@ -148,6 +148,7 @@ def links_between(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
     ``max_bits``; ``fps`` holds distinct fingerprints in ``fp``."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the 24 keys meet for up to 3 differing bits")
+    for_workers(fps.sparkSession)
     filed = fps.select("fp", F.explode(_keys(F.col("fp"))).alias("key"))
     shared = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = filed.join(shared, "key")
