@@ -3,10 +3,11 @@ the contract's columns from the operators' results, and SQL where it can say it.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, exact, pii, sharding, simhash
+from tessera.llm import decontam, exact, langid, pii, sharding, simhash
 from tessera.sources.tables import read_table
 
 
@@ -49,6 +50,16 @@ def op7_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "cell")
 
 
+def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every whole text by segmentation-marginalised unigrams,
+    learnt from documents whose crc32(doc_id) mod 3 is not 1."""
+    docs = read_table(spark, d, "documents")
+    held = F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(3)) == 1, F.lit(False))
+    model = langid.train(docs, ~held, public_tokenizers.path("byte_bpe_50k.json"))
+    out = langid.identify(docs, model)
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
     """SimHash fingerprints of all documents (3-word shingles) and the smallest
     doc_id reachable over links of at most 3 differing bits."""
@@ -65,6 +76,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
