@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, exact, langid, pii, sharding, simhash
+from tessera.llm import decontam, exact, langid, pii, sharding, simhash, spans
 from tessera.sources.tables import read_table
 
 
@@ -35,6 +35,14 @@ def op2_decontamination(spark: SparkSession, d: str) -> DataFrame:
         F.array_join(F.transform("chars", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removal_spans"))
 
 
+def op3_sentence_spans(spark: SparkSession, d: str) -> DataFrame:
+    """All documents without the sentences covered by a later occurrence of a
+    run of two consecutive sentences."""
+    out = spans.remove_repeats(read_table(spark, d, "documents"))
+    return out.select("doc_id", "n_sentences", "n_removed", F.array_join(
+        F.transform("removed", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removed"), "text")
+
+
 def op7_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
     """All documents ordered along a Hilbert curve through (lang, source, size)
     and cut into 24 runs whose row counts differ by at most one (law ``rows``)."""
@@ -75,6 +83,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
+    "op3_sentence_spans": op3_sentence_spans,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
