@@ -97,7 +97,7 @@ def for_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with this package importable in the workers."""
     for_workers(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, exact, langid, pii, sharding, simhash, spans
+from tessera.llm import decontam, exact, langid, pii, sharding, simhash, spans, toxicity
 from tessera.sources.tables import read_table
 
 
@@ -43,6 +43,19 @@ def op3_sentence_spans(spark: SparkSession, d: str) -> DataFrame:
         F.transform("removed", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removed"), "text")
 
 
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Every whole document scored by a classifier chain: low quality, then
+    toxic given the probability of low quality."""
+    out = toxicity.score(read_table(spark, d, "documents"), toxicity_chain(spark, read_table(spark, d, "documents"), d))
+    return out.select("doc_id", "p_low_quality", "p_toxic", "is_low_quality", F.col("is_toxic").alias("toxic"))
+
+
+def toxicity_chain(spark: SparkSession, docs: DataFrame, d: str) -> toxicity.Chain:
+    """The chain fitted on the labelled rows among ``docs``."""
+    labels = read_table(spark, d, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.train(docs, labels, ["low_quality", "toxic"])
+
+
 def op7_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
     """All documents ordered along a Hilbert curve through (lang, source, size)
     and cut into 24 runs whose row counts differ by at most one (law ``rows``)."""
@@ -84,6 +97,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_sentence_spans": op3_sentence_spans,
+    "op4_toxicity": op4_toxicity,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
