@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, exact, langid, pii, sharding, simhash, spans, toxicity
+from tessera.llm import decontam, exact, langid, packing, pii, sharding, simhash, spans, toxicity
 from tessera.sources.tables import read_table
 
 
@@ -56,6 +56,12 @@ def toxicity_chain(spark: SparkSession, docs: DataFrame, d: str) -> toxicity.Cha
     return toxicity.train(docs, labels, ["low_quality", "toxic"])
 
 
+def op6_packing(spark: SparkSession, d: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens, windows
+    filled with the BM25 neighbours of a seed document."""
+    return packing.pack(read_table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
     """All documents ordered along a Hilbert curve through (lang, source, size)
     and cut into 24 runs whose row counts differ by at most one (law ``rows``)."""
@@ -98,6 +104,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_sentence_spans": op3_sentence_spans,
     "op4_toxicity": op4_toxicity,
+    "op6_packing": op6_packing,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
