@@ -247,10 +247,8 @@ FOUND = pa.struct([("words", pa.list_(pa.list_(pa.int64()))), ("chars", pa.list_
                    ("items", pa.list_(pa.string()))])
 
 
-def _search(phrases: Phrases, shard_words: int, keep_text: bool):
-    """One block of phrases against batches of documents, adding to what
-    earlier blocks found; the text goes on only if another block follows."""
-
+def _searcher(phrases: Phrases, shard_words: int):
+    """A function from texts to words per text, word spans and items found."""
     def hits(texts: list[str | None]) -> tuple[list[int], dict[int, list], dict[int, set]]:
         spans: dict[int, list] = {}
         items: dict[int, set] = {}
@@ -278,6 +276,13 @@ def _search(phrases: Phrases, shard_words: int, keep_text: bool):
                     close()
         close()
         return n_words, spans, items
+    return hits
+
+
+def _search(phrases: Phrases, shard_words: int, keep_text: bool):
+    """One block of phrases against batches of documents, adding to what
+    earlier blocks found; the text goes on only if another block follows."""
+    hits = _searcher(phrases, shard_words)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -297,26 +302,52 @@ def _search(phrases: Phrases, shard_words: int, keep_text: bool):
     return run
 
 
+def phrase_blocks(benchmark: DataFrame, item_col: str, item_text: str, window: int, block_words: int) -> Iterator[Phrases]:
+    """The benchmark's phrases in blocks of about ``block_words`` words."""
+    queries = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
+    words = queries.agg(F.sum(F.length("t") / 2 + 1)).first()[0] or 0       # at most so many words
+    blocks = max(1, -(-int(words) // block_words))
+    for k in range(blocks):
+        mine = queries.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == k).collect()
+        yield Phrases([(r["i"], r["t"]) for r in mine], window)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
                block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(id, n_words, words, chars, items) for every row: merged spans in words
     and in code points, and the item ids (strings, sorted) with an occurrence."""
     kind = docs.schema[id_col].dataType.simpleString()
-    queries = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
-    words = queries.agg(F.sum(F.length("t") / 2 + 1)).first()[0] or 0       # at most so many words
-    blocks = max(1, -(-int(words) // block_words))
     found = "struct<words:array<array<bigint>>,chars:array<array<bigint>>,items:array<string>>"
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast(found).alias("found"))
-    for k in range(blocks):
-        mine = queries.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == k).collect()
-        phrases = Phrases([(r["i"], r["t"]) for r in mine], window)
-        out = map_arrow(out, _search(phrases, shard_words, k + 1 < blocks),
+    blocks = list(phrase_blocks(benchmark, item_col, item_text, window, block_words))
+    for k, phrases in enumerate(blocks):
+        out = map_arrow(out, _search(phrases, shard_words, k + 1 < len(blocks)),
                         f"id {kind}, text string, n_words bigint, found {found}")
     return out.select(F.col("id").alias(id_col), "n_words", "found.*")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+                      shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The rows, with all their columns, that hold no occurrence."""
+    at = docs.columns.index(text_col)
+
+    def clean(phrases: Phrases):
+        hits = _searcher(phrases, shard_words)
+
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in it:
+                _, spans, _ = hits(b.column(at).to_pylist())
+                yield b.filter(pa.array([d not in spans for d in range(b.num_rows)], pa.bool_()))
+        return run
+
+    for phrases in phrase_blocks(benchmark, item_col, item_text, window, block_words):
+        docs = map_arrow(docs, clean(phrases), docs.schema)
+    return docs
+
+
 def cut_out(text: str | None, chars: list[tuple[int, int]]) -> str | None:
     """The text without its spans; a line break stands for each."""
     if not text or not chars:

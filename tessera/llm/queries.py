@@ -43,19 +43,18 @@ def op3_sentence_spans(spark: SparkSession, d: str) -> DataFrame:
         F.transform("removed", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removed"), "text")
 
 
+def toxicity_labels(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
 def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     """Every whole document scored by a classifier chain: low quality, then
     toxic given the probability of low quality."""
-    out = toxicity.score(read_table(spark, d, "documents"), toxicity_chain(spark, read_table(spark, d, "documents"), d))
+    docs = read_table(spark, d, "documents")
+    out = toxicity.score(docs, toxicity.train(docs, toxicity_labels(spark, d), ["low_quality", "toxic"]))
     return out.select("doc_id", "p_low_quality", "p_toxic", "is_low_quality", F.col("is_toxic").alias("toxic"))
 
 
-def toxicity_chain(spark: SparkSession, docs: DataFrame, d: str) -> toxicity.Chain:
-    """The chain fitted on the labelled rows among ``docs``."""
-    labels = read_table(spark, d, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    return toxicity.train(docs, labels, ["low_quality", "toxic"])
-
-
 def op6_packing(spark: SparkSession, d: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens, windows
     filled with the BM25 neighbours of a seed document."""

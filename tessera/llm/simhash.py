@@ -200,5 +200,14 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     return docs.join(names, F.col("fp") == F.col("f")).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                         shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows, with all their columns, whose id names their component; rows
+    with one id count as one document."""
+    near = near_duplicates(df, text_col, id_col, shingle, max_bits)
+    stay = near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("component_id").alias("stay__id"))
+    return df.join(stay, F.col(id_col).eqNullSafe(F.col("stay__id")), "left_semi")
+
+
 def hex_fingerprint(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
