@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, exact, langid, packing, pii, sharding, simhash, spans, toxicity
+from tessera.llm import chat, decontam, exact, langid, packing, pii, sharding, simhash, spans, toxicity
 from tessera.sources.tables import read_table
 
 
@@ -55,6 +55,39 @@ def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "p_low_quality", "p_toxic", "is_low_quality", F.col("is_toxic").alias("toxic"))
 
 
+#: Tool schemas the calls are checked against: field, type, required.
+TOOLS = {"search": [("query", "string", True), ("limit", "integer", False)],
+         "store": [("key", "string", True), ("value", "string", True), ("public", "boolean", False)]}
+
+
+def conversation_events(conversations: DataFrame) -> DataFrame:
+    """Conversations in the schema of events: assistant turns as calls that
+    follow the call two turns earlier, later user turns as results. Names,
+    arguments and their faults vary with the text."""
+    text, n = F.coalesce(F.col("text"), F.lit("")), F.length(F.coalesce(F.col("text"), F.lit("")))
+    ident = lambda back: F.concat_ws("-", "conv_id", F.col("turn") - back)
+    call, answer = F.col("role") == "assistant", (F.col("role") == "user") & (F.col("turn") > 0)
+    name = F.when(n % 11 == 0, "other").when(n % 2 == 0, "search").otherwise("store")
+    arguments = (F.when(n % 13 == 0, text)
+                 .when(n % 7 == 0, F.to_json(F.struct(n.cast("string").alias("limit"), text.alias("query"))))
+                 .when(n % 2 == 0, F.to_json(F.struct(text.alias("query"), n.alias("limit"))))
+                 .when(n % 5 == 0, F.to_json(F.struct(text.alias("value"), F.lit(1).alias("public"))))
+                 .otherwise(F.to_json(F.struct(text.alias("value"), (n % 3 == 0).alias("public"), ident(0).alias("key")))))
+    return conversations.select(
+        "conv_id", "turn", F.when(answer, "tool").otherwise(F.col("role")).alias("role"),
+        F.when(~call | call.isNull(), F.col("text")).alias("text"),
+        F.when(call, ident(0)).when(answer, ident(1)).alias("call_id"),
+        F.when(call & (F.col("turn") >= 2), ident(2)).alias("after_id"),
+        F.when(call, name).alias("name"), F.when(call, arguments).alias("arguments"))
+
+
+def op5_tool_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Events of all conversations with tool calls linked to results, put in
+    topological order, validated and written as canonical JSON."""
+    events = conversation_events(read_table(spark, d, "conversations"))
+    return chat.link_tool_calls(events, chat.tool_table(spark, TOOLS))
+
+
 def op6_packing(spark: SparkSession, d: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens, windows
     filled with the BM25 neighbours of a seed document."""
@@ -103,6 +136,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_sentence_spans": op3_sentence_spans,
     "op4_toxicity": op4_toxicity,
+    "op5_tool_calls": op5_tool_calls,
     "op6_packing": op6_packing,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_language_id": op8_language_id,
