@@ -16,7 +16,7 @@ def test_held_out_accuracy(spark):
     chain = toxicity.train(docs, labels.where("doc_id % 2 = 0"), ["low_quality", "toxic"])
     scored = toxicity.score(docs, chain).join(labels.where("doc_id % 2 = 1"), "doc_id").toPandas()
     tp = ((scored.toxic == 1) & scored.is_toxic).sum()
-    assert tp / max(1, scored.is_toxic.sum()) > 0.98 and tp / (scored.toxic == 1).sum() > 0.9
+    assert tp / max(1, scored.is_toxic.sum()) > 0.93 and tp / (scored.toxic == 1).sum() > 0.93
     assert (scored.is_low_quality == (scored.low_quality == 1)).mean() > 0.95
 
 
