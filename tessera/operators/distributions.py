@@ -88,10 +88,9 @@ def histogram_by_group(df: DataFrame, group: str, col: str, bins: int = 30,
     it with ``sequence``, not by a cross join. Rows with a NULL group belong
     to no panel and are left out, as a per-group chart leaves them out."""
     df = df.where(F.col(group).isNotNull())
-    local, stored = read_once(_group_ranges(df, group, col), BROADCAST_MAX_ROWS)
-    ranges = local if local is not None else stored     # computed once, used twice below
+    small, ranges = read_once(_group_ranges(df, group, col), BROADCAST_MAX_ROWS)    # used twice below
     rows = df.where(present(df, col)).select(group, F.col(col).cast("double").alias("_x"))
-    joined = rows.join(F.broadcast(ranges), group) if local is not None else rows.join(ranges, group)
+    joined = rows.join(F.broadcast(ranges) if small else ranges, group)
     counts = (joined
               .select(group, bin_index(F.col("_x"), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
               .groupBy(group, "bin").agg(F.count(F.lit(1)).alias("n")))
@@ -128,14 +127,14 @@ def histogram_stacked(df: DataFrame, category: str, col: str, bins: int = 30,
 def histogram_facets(df: DataFrame, category: str, col: str, order: Sequence[str],
                      bins: int = 15, digits: int = 6) -> DataFrame:
     """Faceted histogram: one panel per category present, in the declared
-    ``order``, own edges per panel, with the panel size ``facet_n`` (rows with
-    a value, i.e. the panel's histogram total)."""
+    ``order``, own edges per panel, with the panel size ``facet_n`` (its rows,
+    those without a value included)."""
     spark = df.sparkSession
     pos = spark.createDataFrame([(v, i) for i, v in enumerate(order, start=1)],
                                 f"{category} string, position int")
     present = df.join(F.broadcast(pos), category, "left_semi")
     hist = materialize(histogram_by_group(present, category, col, bins, digits))
-    sizes = hist.groupBy(category).agg(F.sum("n").cast("long").alias("facet_n"))
+    sizes = present.groupBy(category).agg(F.count(F.lit(1)).alias("facet_n"))
     return (hist.join(sizes, category).join(F.broadcast(pos), category)
             .select("position", category, "facet_n", "bin", "lo_edge", "hi_edge", "n"))
 
@@ -166,14 +165,12 @@ def hash_sample(df: DataFrame, key: str, k: int = 100, seed: int = 42) -> DataFr
 
 def pairwise_corr(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation for every pair of columns, one aggregate:
-    ``(x, y, corr)``."""
-    pairs = list(combinations(cols, 2))
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                   for a, b in pairs])
-    stacked = row.unpivot([], [f"{a}|{b}" for a, b in pairs], "pair", "corr")
-    return stacked.select(F.split("pair", r"\|").getItem(0).alias("x"),
-                          F.split("pair", r"\|").getItem(1).alias("y"),
-                          (F.round("corr", digits) + F.lit(0.0)).alias("corr"))
+    ``(x, y, corr)``. NaN counts as missing, as everywhere."""
+    value = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    rows = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.corr(value(a), value(b)).alias("corr"))
+            for a, b in combinations(cols, 2)]
+    return (df.agg(F.array(*rows).alias("all")).select(F.explode("all").alias("p"))
+            .select("p.x", "p.y", (F.round("p.corr", digits) + F.lit(0.0)).alias("corr")))
 
 
 def share_by_label(df: DataFrame, label: str, features: Sequence[str], bins: int = 30) -> DataFrame:

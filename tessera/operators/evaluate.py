@@ -12,39 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import (BROADCAST_MAX_ROWS, bounded_local, null_safe_join, read_once_pandas,
-                                    running_sums)
-
-MAX_CLASSES = 10_000
-# Up to this many classes the confusion table is dense (every pair, zeros included).
-DENSE_MAX_CLASSES = 300
+from tessera.plans.strategy import checkpointed, null_safe_join, running_sums
 
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """``(y, yhat, n)`` for every pair of classes seen in truth or prediction;
-    empty cells are 0. Beyond ``DENSE_MAX_CLASSES`` classes only the non-empty
-    cells are returned (the dense table would grow with classes squared).
-
-    The rows are aggregated once; the cell table (at most classes^2 rows) is
-    read once and the dense one-partition table built from it, which every
-    derived metric then uses."""
-    counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")) \
-        .agg(F.count(F.lit(1)).cast("long").alias("n"))
-    cells, stored = read_once_pandas(counts, BROADCAST_MAX_ROWS)
-    if cells is None:
-        return stored
-    spark = df.sparkSession
-
-    def plain(v):
-        return None if v is None or v != v else (v.item() if hasattr(v, "item") else v)
-
-    got = {(plain(a), plain(b)): int(n) for a, b, n in zip(cells["y"], cells["yhat"], cells["n"])}
-    labels = sorted({k for pair in got for k in pair}, key=lambda c: (c is None, c if c is not None else 0))
-    if len(labels) > DENSE_MAX_CLASSES:
-        rows = [(a, b, n) for (a, b), n in got.items()]
-    else:
-        rows = [(a, b, got.get((a, b), 0)) for a in labels for b in labels]
-    return spark.createDataFrame(rows, counts.schema).coalesce(1)
+    empty cells are 0. The matrix has classes^2 cells at every size.
+
+    The rows are aggregated once. The class list is one aggregate of the cell
+    table; each class is paired with it by ``explode``."""
+    counts = checkpointed(df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat"))
+                          .agg(F.count(F.lit(1)).cast("long").alias("n")))
+    classes = counts.select(F.col("y").alias("c")).union(counts.select(F.col("yhat").alias("c"))).distinct()
+    # a struct keeps the NULL class, which collect_list would leave out
+    every = classes.agg(F.collect_list(F.struct("c")).alias("all"))
+    pairs = (every.select(F.explode("all").alias("a"), "all")
+             .select(F.col("a.c").alias("y"), F.explode("all").alias("b")).select("y", F.col("b.c").alias("yhat")))
+    dense = null_safe_join(pairs, counts, ["y", "yhat"], "left")
+    return checkpointed(dense.select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
 def _div(a, b):
@@ -66,10 +51,7 @@ def classification_report(confusion: DataFrame, digits: int = 6) -> DataFrame:
            .withColumn("recall", _div(F.col("tp").cast("double"), F.col("support")))
            .withColumn("f1", _div(2 * F.col("precision") * F.col("recall"),
                                   F.col("precision") + F.col("recall"))))
-    # one row per class (derived from the local cell table, so cheap to
-    # recompute); held locally so the four parts below read it once
-    local_per = bounded_local(per, BROADCAST_MAX_ROWS)
-    per = local_per if local_per is not None else per
+    per = checkpointed(per)      # one row per class, read by the four parts below
     classes = per.select(F.col("c").cast("string").alias("label"), "precision", "recall", "f1",
                          F.col("support").cast("long").alias("support"))
     tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
@@ -95,7 +77,7 @@ def classification_report(confusion: DataFrame, digits: int = 6) -> DataFrame:
 def score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
     """Positives and negatives per distinct score (map-side combined)."""
     yy = F.col(y).cast("long")
-    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    return df.where(F.col(y).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(yy).alias("tp"), F.sum(F.lit(1) - yy).alias("fp"))
 
 
@@ -125,12 +107,15 @@ def roc_auc(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, digits: int = 6) -> DataFrame:
-    """One row: MSE and R^2 (``1 - SSE / SST``, with ``SST = var_pop(y) * n``)."""
-    err = (F.col(y) - F.col(p)).cast("double")
-    return df.agg(
-        (F.round(F.avg(err * err), digits) + F.lit(0.0)).alias("mse"),
-        (F.round(F.lit(1.0) - _div(F.sum(err * err), F.var_pop(F.col(y).cast("double")) * F.count(F.lit(1))),
-                 digits) + F.lit(0.0)).alias("r2"))
+    """One row: MSE and R^2 (``1 - SSE / SST``) over the rows that have both
+    values. With SST = 0, R^2 is 1 when SSE = 0 and else 0."""
+    yy, pp = F.col(y).cast("double"), F.col(p).cast("double")
+    both = df.where(yy.isNotNull() & pp.isNotNull() & ~F.isnan(yy) & ~F.isnan(pp))
+    err = yy - pp
+    sse, sst = F.sum(err * err), F.var_pop(yy) * F.count(F.lit(1))
+    r2 = F.when(sst > 0, F.lit(1.0) - F.try_divide(sse, sst)).when(sse == 0, 1.0).when(sse > 0, 0.0)
+    return both.agg((F.round(F.avg(err * err), digits) + F.lit(0.0)).alias("mse"),
+                    (F.round(r2, digits) + F.lit(0.0)).alias("r2"))
 
 
 def predictions_head(df: DataFrame, key: str, y: str, p: str, k: int = 20, digits: int = 6) -> DataFrame:

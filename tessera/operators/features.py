@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
@@ -27,9 +26,8 @@ from pyspark.sql import types as T
 
 from tessera.functions.expressions import nan_to_null
 from tessera.plans import strategy
-from tessera.plans.strategy import checkpointed, quantiles_from_counts, read_once_pandas
+from tessera.plans.strategy import checkpointed, is_small, quantiles_from_counts
 
-MAX_CATEGORIES = 10_000
 ROWS_ENTRY = "\u0000rows"
 
 
@@ -52,98 +50,90 @@ def _integral(df: DataFrame, c: str) -> bool:
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column, num, str, n)``: rows per distinct non-missing value of every
-    listed column, in **one pass** for all of them. Each row becomes one
-    (column, value) pair per column (numeric values in ``num``, others as text
-    in ``str``), then a partial + final aggregate counts them, so the shuffle
+    """``(column, int, num, str, n)``: rows per distinct non-missing value of
+    every listed column, in **one pass** for all of them. Each row becomes one
+    (column, value) pair per column (integers in ``int``, other numbers in
+    ``num``, the rest as text in ``str``), then a partial + final aggregate counts them, so the shuffle
     carries distinct values per task, not rows."""
     pairs = F.array(*([
         F.struct(F.lit(c).alias("column"),
-                 (_clean(df, c).cast("double") if _numeric(df, c) else F.lit(None).cast("double")).alias("num"),
+                 (F.col(c) if _integral(df, c) else F.lit(None)).cast("long").alias("int"),
+                 (_clean(df, c) if _numeric(df, c) and not _integral(df, c) else F.lit(None)).cast("double").alias("num"),
                  (F.lit(None).cast("string") if _numeric(df, c) else F.col(c).cast("string")).alias("str"))
         for c in cols] + [
         # one entry per row: its count is the row count
-        F.struct(F.lit(ROWS_ENTRY).alias("column"), F.lit(0.0).alias("num"),
+        F.struct(F.lit(ROWS_ENTRY).alias("column"), F.lit(0).cast("long").alias("int"), F.lit(None).cast("double").alias("num"),
                  F.lit(None).cast("string").alias("str"))]))
-    long = df.select(F.inline(pairs)).where(F.col("num").isNotNull() | F.col("str").isNotNull())
-    return long.groupBy("column", "num", "str").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(F.inline(pairs)).where(
+        F.col("int").isNotNull() | F.col("num").isNotNull() | F.col("str").isNotNull())
+    return long.groupBy("column", "int", "num", "str").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _value_field(schema: T.StructType, c: str) -> str:
+    kind = schema[c].dataType
+    return "int" if isinstance(kind, T.IntegralType) else "num" if isinstance(kind, T.NumericType) else "str"
+
+
+def _sort_key(v):
+    return v.encode("utf-8") if isinstance(v, str) else v
 
 
 @dataclass
 class ColumnProfile:
     """What the fits need: per-value counts of the counted columns, the row
     count, and count, mean and population variance of the present values of
-    the measured columns. The per-value table is either a small pandas frame
-    (at most ``SMALL_DISTINCT`` rows, read once) or a checkpointed DataFrame
-    that the lookups query with Spark."""
+    the measured columns. The per-value table is checkpointed; with at most
+    ``SMALL_DISTINCT`` rows its rows are also held here, sorted by value for
+    each column, and the lookups need no further job."""
     df_schema: T.StructType
-    local: object | None          # pandas frame (column, num, str, n) when small
-    counts: DataFrame | None      # checkpointed table when large
+    local: dict | None            # column -> sorted [(value, n)] when small
+    counts: DataFrame | None      # checkpointed table
     rows: int
     present: dict
     mean: dict
     var: dict
 
     def _val(self, c: str) -> str:
-        return "num" if isinstance(self.df_schema[c].dataType, T.NumericType) else "str"
-
-    def _typed(self, c: str, v):
-        if v is None:
-            return None
-        if isinstance(self.df_schema[c].dataType, T.IntegralType):
-            return int(v)
-        return float(v) if self._val(c) == "num" else str(v)
-
-    def _sub_local(self, c: str):
-        v = self._val(c)
-        sub = self.local[self.local["column"] == c][[v, "n"]]
-        return sub.sort_values(v, kind="stable"), v
+        return _value_field(self.df_schema, c)
 
     def median(self, c: str):
         """Exact median (mean of the middle pair) of the present values."""
         if self.local is not None:
-            sub, v = self._sub_local(c)
-            n = int(sub["n"].sum())
-            if n == 0:
-                return None
-            cum = sub["n"].cumsum().to_numpy()
-            vals = sub[v].to_numpy()
-            lo = vals[int(np.searchsorted(cum, (n - 1) // 2, side="right"))]
-            hi = vals[int(np.searchsorted(cum, n // 2, side="right"))]
-            return (float(lo) + float(hi)) / 2.0
-        at = quantiles_from_counts(self.counts.where(F.col("column") == F.lit(c))
-                                   .select(F.col("num").alias("_v"), "n"), "_v", "n",
-                                   lambda n: [(n - 1) // 2, n // 2])
+            pairs = self.local.get(c, [])
+            n = sum(k for _, k in pairs)
+            at, before = {}, 0
+            for v, k in pairs:
+                at.update({r: v for r in ((n - 1) // 2, n // 2) if before <= r < before + k})
+                before += k
+        else:
+            at = quantiles_from_counts(self.counts.where(F.col("column") == F.lit(c))
+                                       .select(F.col(self._val(c)).alias("_v"), "n"), "_v", "n",
+                                       lambda n: [(n - 1) // 2, n // 2])
         if not at:
             return None
         return (float(at[min(at)]) + float(at[max(at)])) / 2.0
 
     def mode(self, c: str):
         """Most frequent present value, ties to the smallest."""
-        v = self._val(c)
         if self.local is not None:
-            sub, _ = self._sub_local(c)
-            if sub.empty:
-                return None
-            best = sub[sub["n"] == sub["n"].max()]
-            return self._typed(c, best[v].iloc[0])          # sorted by value: smallest first
+            best = max((n for _, n in self.local.get(c, [])), default=None)
+            return next((v for v, n in self.local.get(c, []) if n == best), None)
+        v = self._val(c)
         row = (self.counts.where(F.col("column") == F.lit(c))
                .orderBy(F.col("n").desc(), F.col(v).asc()).select(v).limit(1).first())
-        return None if row is None else self._typed(c, row[0])
+        return None if row is None else row[0]
 
     def categories(self, c: str, max_categories: int = 0) -> list:
-        """Distinct present values, sorted (numbers numerically, text by code point)."""
-        cap = max_categories or MAX_CATEGORIES
-        v = self._val(c)
+        """Distinct present values, sorted (numbers numerically, text by code
+        point). A category is a column of the result, so more than
+        ``max_categories`` (0: no limit) raise."""
         if self.local is not None:
-            vals = self._sub_local(c)[0][v].tolist()
+            vals = [v for v, _ in self.local.get(c, [])]
         else:
-            vals = [r[0] for r in self.counts.where(F.col("column") == F.lit(c)).select(v)
-                    .limit(cap + 1).collect()]
-        if len(vals) > cap:
-            raise ValueError(f"{c}: more than {cap} categories")
-        out = [self._typed(c, x) for x in vals]
-        return sorted(out, key=lambda x: x.encode("utf-8") if isinstance(x, str) else x)
+            vals = [r[0] for r in self.counts.where(F.col("column") == F.lit(c)).select(self._val(c)).collect()]
+        if max_categories and len(vals) > max_categories:
+            raise ValueError(f"{c}: more than {max_categories} categories")
+        return sorted(vals, key=_sort_key)
 
     def missing(self, c: str) -> int:
         return self.rows - self.present[c]
@@ -166,8 +156,7 @@ class ColumnProfile:
 
 def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequence[str] = ()) -> ColumnProfile:
     """Pass 1 (when anything is counted): :func:`value_counts` of ``counted``
-    plus the row count -- read once into pandas when small, else
-    checkpointed. The present count, mean and population variance of a
+    plus the row count, checkpointed. The present count, mean and population variance of a
     counted column come from that per-value table (centred, so stable), not
     from the rows. Pass 2 runs only for ``measured`` columns that are not
     counted: one aggregate."""
@@ -176,28 +165,26 @@ def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequen
     local = counts = None
     if counted:
         raw = value_counts(df, counted)
-        if strategy.SMALL_DISTINCT > 0:
-            local, stored = read_once_pandas(raw, strategy.SMALL_DISTINCT)
-        else:
-            local, stored = None, checkpointed(raw)
-        if local is not None:
-            totals = local.groupby("column")["n"].sum().to_dict()
-            rows = int(totals.get(ROWS_ENTRY, 0))
+        counts = checkpointed(raw)
+        if strategy.SMALL_DISTINCT > 0 and is_small(counts, strategy.SMALL_DISTINCT):
+            local = {}
+            for r in counts.collect():
+                if r["column"] != ROWS_ENTRY:
+                    local.setdefault(r["column"], []).append((r[_value_field(df.schema, r["column"])], r["n"]))
+                else:
+                    rows = r["n"]
+            for pairs in local.values():
+                pairs.sort(key=lambda p: _sort_key(p[0]))
+            rows = rows or 0
             for c in counted:
-                present[c] = int(totals.get(c, 0))
+                n = present[c] = sum(k for _, k in local.get(c, []))
                 if c in measured:
-                    sub = local[local["column"] == c]
-                    n = float(sub["n"].sum())
-                    if n:
-                        mu = float((sub["n"] * sub["num"]).sum()) / n
-                        mean[c] = mu
-                        var[c] = float((sub["n"] * (sub["num"] - mu) ** 2).sum()) / n
-                    else:
-                        mean[c], var[c] = None, None
+                    mean[c] = math.fsum(float(v) * k for v, k in local.get(c, [])) / n if n else None
+                    var[c] = math.fsum(k * (float(v) - mean[c]) ** 2 for v, k in local[c]) / n if n else None
         else:
-            counts = stored
+            value = F.coalesce(F.col("num"), F.col("int").cast("double"))
             per = {r["column"]: r for r in counts.groupBy("column").agg(
-                F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("num")) / F.sum("n")).alias("mean")).collect()}
+                F.sum("n").alias("n"), (F.sum(F.col("n") * value) / F.sum("n")).alias("mean")).collect()}
             rows = per[ROWS_ENTRY]["n"] if ROWS_ENTRY in per else 0
             for c in counted:
                 present[c] = per[c]["n"] if c in per else 0
@@ -206,7 +193,7 @@ def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequen
                 centre = F.lit(None).cast("double")
                 for c in num_counted:
                     centre = F.when(F.col("column") == F.lit(c), F.lit(per[c]["mean"])).otherwise(centre)
-                dev = F.col("num") - centre
+                dev = value - centre
                 m2 = {r["column"]: r["m2"] for r in counts.where(F.col("column").isin(num_counted))
                       .groupBy("column").agg(F.sum(F.col("n") * dev * dev).alias("m2")).collect()}
                 for c in num_counted:
@@ -245,13 +232,6 @@ def most_frequent(df: DataFrame, c: str):
     return profile_columns(df, counted=[c]).mode(c)
 
 
-def column_means(df: DataFrame, cols: Sequence[str]) -> dict:
-    if not cols:
-        return {}
-    row = df.agg(*[F.avg(_clean(df, c)).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
-
-
 # ---------------------------------------------------------------- imputation
 
 @dataclass
@@ -372,10 +352,10 @@ class FittedOneHot:
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str], prefix: str = "", drop_first: bool = True,
-                strict: bool = False, max_categories: int = MAX_CATEGORIES) -> FittedOneHot:
+                strict: bool = False, max_categories: int = 0) -> FittedOneHot:
     """Sorted distinct values per column (byte order for text, numeric order
     for numbers, as the reference's encoder sorts them), all columns from one
-    value-count pass. Category lists are capped: more raises."""
+    value-count pass. ``max_categories`` (0: none) is a guard on the width of the result."""
     if not cols:
         return FittedOneHot({}, prefix, drop_first, strict)
     profile = profile_columns(df, counted=list(cols))

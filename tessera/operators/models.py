@@ -11,8 +11,6 @@ needs no vector column.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 from typing import Sequence
 
 from pyspark.ml.classification import LogisticRegression
@@ -24,6 +22,16 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_dir
 
 
+def balanced_sum(terms: Sequence[Column]) -> Column:
+    """The sum as a balanced tree: its depth grows with the logarithm of the
+    number of terms, so wide models neither overflow the parser's stack nor
+    Catalyst's."""
+    terms = list(terms)
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) - len(terms) % 2:]
+    return terms[0]
+
+
 @dataclass
 class LinearFit:
     features: list
@@ -33,7 +41,7 @@ class LinearFit:
     def linear_term(self) -> Column:
         terms = [F.col(f).cast("double") * F.lit(float(w))
                  for f, w in zip(self.features, self.coefficients)]
-        return reduce(add, terms, F.lit(float(self.intercept)))
+        return balanced_sum([F.lit(float(self.intercept)), *terms])
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         return df.withColumn(out, self.linear_term())
@@ -45,6 +53,31 @@ class LinearFit:
                 .orderBy(F.abs("coefficient"), "feature"))
 
 
+def _least_norm(S, b):
+    """The minimum-norm solution of ``S w = b`` for a covariance matrix, on
+    columns scaled to one variance so that units do not decide its rank."""
+    import numpy as np
+    if not len(b):
+        return np.zeros(0)
+    scale = np.sqrt(np.maximum(np.diag(S), 0))
+    use = scale > 1e-12 * max(scale.max(), 1e-300)
+    w = np.zeros(len(b))
+    if use.any():
+        d = scale[use]
+        # least norm in the columns' own units: solve the scaled system's pseudo-inverse for its rank,
+        # then project on the row space of the unscaled one
+        R = S[np.ix_(use, use)] / np.outer(d, d)
+        values, vectors = np.linalg.eigh(R)
+        keep = values > 1e-10 * values.max()
+        if keep.all():
+            w[use] = np.linalg.solve(R, b[use] / d) / d
+        else:
+            rows = (vectors[:, keep].T * d)                     # spans the row space of the data
+            z = vectors[:, keep].T @ (b[use] / d) / values[keep]
+            w[use] = np.linalg.pinv(rows) @ z
+    return w
+
+
 def _fit_linear_moments(df: DataFrame, feats: list, label: str) -> tuple:
     """OLS on the rows where the label and every feature are present, from
     one aggregate of centred moments; also returns how many rows lack the
@@ -72,7 +105,8 @@ def _fit_linear_moments(df: DataFrame, feats: list, label: str) -> tuple:
         for j in range(i, k):
             S[i, j] = S[j, i] = row[f"c{i}_{j}"]
     b = np.array([row[f"cy{i}"] for i in range(k)])
-    w = np.linalg.solve(S, b) if k else np.zeros(0)
+    # least norm: collinear and constant columns share or get no weight
+    w = _least_norm(S, b)
     intercept = row["my"] - float(sum(w[i] * row[f"m{i}"] for i in range(k)))
     return LinearFit(feats, [float(v) for v in w], float(intercept)), row["gaps"]
 
@@ -88,9 +122,11 @@ class LogisticFit(LinearFit):
 
 
 def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    va = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
-    return va.transform(df.select(*[F.col(c).cast("double") for c in features],
-                                  F.col(label).cast("double").alias("_label")))
+    """Complete rows only, as in the closed form."""
+    va = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
+    return va.transform(df.where(F.col(label).isNotNull())
+                        .select(*[F.col(c).cast("double") for c in features],
+                                F.col(label).cast("double").alias("_label")))
 
 
 # Up to this many features OLS is one covariance aggregate; beyond, pyspark.ml.
@@ -104,8 +140,10 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
 
     With few features the centred moments (``covar_pop``/``var_pop``, one
     pass, numerically stable) are gathered in a single aggregate and the
-    k x k system is solved on the driver; otherwise ``pyspark.ml``'s
-    normal-equation solver (tree aggregate of the Gram matrix) is used."""
+    k x k system is solved on the driver (least norm if it is singular);
+    otherwise ``pyspark.ml``'s normal-equation solver (tree aggregate of the
+    Gram matrix, iterative if singular) is used. Rows with a missing feature or
+    label are left out either way."""
     feats = list(features)
     if len(feats) <= CLOSED_FORM_MAX_FEATURES:
         return _fit_linear_moments(df, feats, label)[0]

@@ -134,7 +134,7 @@ def share_table(df: DataFrame, group: str, predicate: Column | None = None,
 
 def shares(counts: DataFrame, count_col: str = "count") -> DataFrame:
     """Add ``total`` (sum of ``count_col``) and ``pct`` to a per-group count table.
-    The table is computed once: held locally when small, else checkpointed."""
+    The table is computed once (a checkpoint)."""
     counts = materialize(counts)
     total = counts.agg(F.sum(count_col)).first()[0] or 0
     return (counts.withColumn("total", F.lit(int(total)).cast("long"))

@@ -23,14 +23,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import join_small, materialize, null_safe_join
+from tessera.plans.strategy import checkpointed, join_small, null_safe_join
 
-MAX_CLASSES = 10_000
 ROWS_PER_HASH_BUCKET = 1_000_000
 
 
 def class_quotas(class_counts: dict, test_size: float) -> dict:
-    """Test rows per class: ``n_test = ceil(test_size * n)``; each class gets
+    """The quota rule on a plain dict (``_quotas`` is the same on a table).
+
+    Test rows per class: ``n_test = ceil(test_size * n)``; each class gets
     the integer part of ``n_c * n_test / n`` and the leftovers go to the
     largest remainders ``(n_c * n_test) mod n``, ties by class."""
     n = sum(class_counts.values())
@@ -47,6 +48,21 @@ def class_quotas(class_counts: dict, test_size: float) -> dict:
     return base
 
 
+def _quotas(sizes: DataFrame, label: str, test_size: float) -> DataFrame:
+    """``(label, _q)``: :func:`class_quotas` as a table, for any number of classes."""
+    sizes = checkpointed(sizes)
+    n = sizes.agg(F.sum("_n")).first()[0] or 0
+    n_test = math.ceil(test_size * n)
+    whole = F.col("_n").cast("decimal(38,0)") * F.lit(n_test).cast("decimal(20,0)")
+    parts = checkpointed(sizes.withColumn("_q", F.floor(whole / max(n, 1)).cast("long"))
+                         .withColumn("_rem", (whole % F.lit(max(n, 1))).cast("long")))
+    left = n_test - (parts.agg(F.sum("_q")).first()[0] or 0)
+    more = (parts.orderBy(F.col("_rem").desc(), F.col(label).asc_nulls_last()).limit(left)
+            .select(label, F.lit(1).alias("_more")))
+    return null_safe_join(parts, more, label, "left").select(
+        label, (F.col("_q") + F.coalesce("_more", F.lit(0))).alias("_q"))
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """Add ``out`` = 'test' / 'train' to every row of ``df``."""
@@ -54,38 +70,32 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     digits = 2
     while True:
         # one pass: rows per (class, hash bucket); class sizes are its sums
-        per_bucket = materialize(hashed.groupBy(label, F.substring("_h", 1, digits).alias("_b"))
-                                 .agg(F.count(F.lit(1)).alias("_c")))
-        counts_rows = (per_bucket.groupBy(label).agg(F.sum("_c").alias("n"))
-                       .limit(MAX_CLASSES + 1).collect())
-        if len(counts_rows) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
-        counts = {r[label]: r["n"] for r in counts_rows}
-        biggest = max(counts.values(), default=0)
+        per_bucket = checkpointed(hashed.groupBy(label, F.substring("_h", 1, digits).alias("_b"))
+                                  .agg(F.count(F.lit(1)).alias("_c")))
+        sizes = per_bucket.groupBy(label).agg(F.sum("_c").alias("_n"))
+        biggest = sizes.agg(F.max("_n")).first()[0] or 0
         need = digits
         while need < 6 and biggest / (16 ** need) > ROWS_PER_HASH_BUCKET:
             need += 1
         if need == digits:
             break
         digits = need        # a class too large for these buckets: split finer
-    quotas = class_quotas(counts, test_size)
+    quotas = _quotas(sizes, label, test_size)
 
-    spark = df.sparkSession
-    label_type = df.schema[label].dataType.simpleString()
-    quota_df = spark.createDataFrame(list(quotas.items()), f"{label} {label_type}, _q long")
     w = (Window.partitionBy(label).orderBy("_b")
          .rowsBetween(Window.unboundedPreceding, -1))
     with_before = per_bucket.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    decided = (null_safe_join(with_before, quota_df, label, broadcast_right=True)
-               .withColumn("_state",
-                           F.when(F.col("_before") + F.col("_c") <= F.col("_q"), F.lit("test"))
-                           .when(F.col("_before") >= F.col("_q"), F.lit("train"))
-                           .otherwise(F.lit("edge")))
-               .select(label, "_b", "_before", "_q", "_state"))
+    # one row per class: the bucket that holds the quota's end (none: all rows are test rows)
+    edge = (null_safe_join(with_before, quotas, label)
+            .where((F.col("_before") <= F.col("_q")) & (F.col("_q") < F.col("_before") + F.col("_c")))
+            .select(label, F.col("_b").alias("_edge"), "_before"))
+    decided = null_safe_join(quotas, edge, label, "left")
 
     # null-safe: rows whose class is NULL form their own class, none are dropped
     tagged = join_small(hashed.withColumn("_b", F.substring("_h", 1, digits)), decided,
-                        on=[label, "_b"], how="inner", null_safe=True)
+                        on=label, how="inner", null_safe=True)
+    tagged = tagged.withColumn("_state", F.when(F.col("_edge").isNull() | (F.col("_b") < F.col("_edge")), "test")
+                               .when(F.col("_b") > F.col("_edge"), "train").otherwise("edge"))
     settled = (tagged.where(F.col("_state") != "edge")
                .withColumn(out, F.col("_state")))
     rank_w = Window.partitionBy(label, "_b").orderBy("_h", key)

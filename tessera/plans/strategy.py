@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 # Largest row count of a derived side that is shipped to every executor.
 BROADCAST_MAX_ROWS = 100_000
+# ... and its largest size in bytes.
+BROADCAST_MAX_BYTES = 64 * 1024 ** 2
 # Target size of one running-sum bucket.
 ROWS_PER_BUCKET = 1_000_000
 # Upper bound on the number of running-sum buckets (size of the offsets table).
@@ -27,64 +29,36 @@ MAX_BUCKETS = 10_000
 SMALL_DISTINCT = 100_000
 
 
-def bounded_rows(df: DataFrame, max_rows: int):
-    """Rows of ``df`` when there are at most ``max_rows`` of them, else None.
+def _row_bytes(df: DataFrame) -> Column:
+    """About the size of a row: text and binary columns by length, others 16 bytes."""
+    total = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        if f.dataType.simpleString() in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        elif f.dataType.simpleString().startswith(("array", "map", "struct")):
+            total = total + F.octet_length(F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit("")))
+    return total
 
-    Reads at most ``max_rows + 1`` rows, so the driver never receives more
-    than the bound.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
-def bounded_pandas(df: DataFrame, max_rows: int):
-    """``df`` as a pandas frame (Arrow transfer) when it has at most
-    ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read."""
-    pdf = df.limit(max_rows + 1).toPandas()
-    return None if len(pdf) > max_rows else pdf
-
-
-def _arrow_on(spark) -> bool:
-    return str(spark.conf.get("spark.sql.execution.arrow.pyspark.enabled", "false")).lower() == "true"
-
-
-def bounded_local(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a driver-held local one-partition table when it has at most
-    ``max_rows`` rows, else None. At most ``max_rows + 1`` rows are read:
-    through Arrow when the session enables it (types, NULLs included, survive
-    the round trip), else as rows."""
-    spark = df.sparkSession
-    if _arrow_on(spark):
-        pdf = bounded_pandas(df, max_rows)
-        if pdf is None:
-            return None
-        return spark.createDataFrame(pdf, df.schema).coalesce(1)
-    rows = bounded_rows(df, max_rows)
-    return None if rows is None else spark.createDataFrame(rows, df.schema).coalesce(1)
-
-
-def read_once(df: DataFrame, max_rows: int):
-    """Compute ``df`` exactly once: an eager checkpoint in the shared folder,
-    then a bounded read of it. Returns ``(local, stored)``: ``local`` is the
-    one-partition local copy when there are at most ``max_rows`` rows (else
-    None), ``stored`` the checkpointed table, for use beyond the bound without
-    recomputing ``df``."""
-    stored = checkpointed(df)
-    return bounded_local(stored, max_rows), stored
+
+def is_small(stored: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """Whether a computed table has at most ``max_rows`` rows and ``max_bytes``
+    bytes; at most ``max_rows + 1`` rows are looked at."""
+    head = stored.limit(max_rows + 1)
+    got = head.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(stored)).alias("b")).first()
+    return got["n"] <= max_rows and (got["b"] or 0) <= (max_bytes or BROADCAST_MAX_BYTES)
 
 
-def read_once_pandas(df: DataFrame, max_rows: int):
-    """As :func:`read_once`, with the small copy as a pandas frame."""
+def read_once(df: DataFrame, max_rows: int) -> tuple[bool, DataFrame]:
+    """Compute ``df`` exactly once, as an eager checkpoint in the shared
+    folder. Returns ``(small, stored)``; the values are never rebuilt outside
+    Spark, so NULL, NaN and 64-bit keys stay what they are at every size."""
     stored = checkpointed(df)
-    return bounded_pandas(stored, max_rows), stored
+    return is_small(stored, max_rows), stored
 
 
-def materialize(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """A derived table that is read several times, computed once: a local
-    table when it has at most ``max_rows`` rows, otherwise an eager
-    checkpoint in the shared folder (reliable, lineage cut)."""
-    local, stored = read_once(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
-    return local if local is not None else stored
+def materialize(df: DataFrame) -> DataFrame:
+    """A derived table that is read several times, computed once."""
+    return checkpointed(df)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -150,16 +124,15 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join ``big`` with a side that is usually small (per-group statistics,
     category lists, offsets).
 
-    The small side is measured first: within ``max_rows`` it is materialised
-    as a local relation and broadcast (no shuffle of ``big``); beyond, the
-    join falls back to a shuffle join where AQE splits skewed keys. With
+    The small side is computed once and measured: within ``max_rows`` rows and
+    ``BROADCAST_MAX_BYTES`` it is broadcast (no shuffle of ``big``); beyond,
+    the join falls back to a shuffle join where AQE splits skewed keys. With
     ``null_safe`` a NULL key matches a NULL key.
     """
-    local, stored = read_once(small, max_rows)
-    side = local if local is not None else stored
+    small_enough, side = read_once(small, max_rows)
     if null_safe:
-        return null_safe_join(big, side, on, how, broadcast_right=local is not None)
-    return big.join(F.broadcast(side) if local is not None else side, on, how)
+        return null_safe_join(big, side, on, how, broadcast_right=small_enough)
+    return big.join(F.broadcast(side) if small_enough else side, on, how)
 
 
 def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
@@ -173,99 +146,61 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[st
     bucket's totals form a small table whose offsets are computed once and
     broadcast, and the running sum within a bucket is a partitioned window.
     An input of at most ``SMALL_DISTINCT`` rows (typically an already
-    aggregated table) is read once into a local one-partition table and
-    summed there; a larger one is checkpointed once, since it is read
-    several times.
+    aggregated table) is one bucket. The order is Spark's at every size: NULL
+    below all values, NaN above.
     """
     lead = order_cols[0]
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    local, stored = read_once(df, min(SMALL_DISTINCT, rows_per_bucket))
-    if local is not None:
-        # one bucket of at most SMALL_DISTINCT rows, held locally
+    small, df = read_once(df, min(SMALL_DISTINCT, rows_per_bucket))
+    if small:
+        # one bucket of at most SMALL_DISTINCT rows
         w = (Window.partitionBy(F.lit(0)).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return local.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
-    df = stored
-    n = df.count()
-    buckets = max(1, math.ceil(n / rows_per_bucket))
-    if buckets == 1:
-        keyed = df.withColumn("_bucket", F.lit(0))
-    else:
-        buckets = min(buckets, MAX_BUCKETS)
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = df.agg(F.percentile_approx(F.col(lead).cast("double"), probs, 10_000)
-                        .alias("q")).first()["q"]
-        bounds = sorted(set(b for b in bounds if b is not None))
-        # bucket = index of the range holding the value (binary search in the JVM)
-        splits = [-math.inf] + bounds + [math.inf]
-        keyed = Bucketizer(splits=splits, inputCol="_lead", outputCol="_bucket",
-                           handleInvalid="keep").transform(
-            df.withColumn("_lead", F.col(lead).cast("double")))
-        keyed = keyed.withColumn("_bucket", F.col("_bucket").cast("int")).drop("_lead")
-        if descending:
-            keyed = keyed.withColumn("_bucket", F.lit(len(splits)) - F.col("_bucket"))
-
-    totals = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    offsets_rows = sorted(totals.collect(), key=lambda r: r["_bucket"])
-    offsets, acc = [], {c: 0 for c in sum_cols}
-    for r in offsets_rows:
-        offsets.append((r["_bucket"], *[acc[c] for c in sum_cols]))
-        for c in sum_cols:
-            acc[c] += r[f"_t_{c}"] or 0
-    spark = df.sparkSession
-    off_df = spark.createDataFrame(
-        offsets, ["_bucket"] + [f"_o_{c}" for c in sum_cols]) if offsets else None
+        return df.coalesce(1).withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
+    buckets = min(MAX_BUCKETS, max(2, math.ceil(df.count() / rows_per_bucket)))
+    value = F.col(lead).cast("double")
+    finite = ~F.isnan(value) & (F.abs(value) != math.inf)
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = df.where(finite).agg(F.percentile_approx(value, probs, 10_000).alias("q")).first()["q"]
+    # bucket = index of the range holding the value (binary search in the JVM)
+    splits = [-math.inf] + sorted(set(bounds or [0.0])) + [math.inf]
+    placed = F.when(value.isNull(), -math.inf).when(F.isnan(value), math.inf).otherwise(value)
+    keyed = Bucketizer(splits=splits, inputCol="_lead", outputCol="_bucket",
+                       handleInvalid="keep").transform(df.withColumn("_lead", placed))
+    keyed = keyed.withColumn("_bucket", F.col("_bucket").cast("int")).drop("_lead")
+    if descending:
+        keyed = keyed.withColumn("_bucket", F.lit(len(splits)) - F.col("_bucket"))
+
+    # at most MAX_BUCKETS rows: one task sums the totals up
+    totals = checkpointed(keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols]).coalesce(1))
+    before = (Window.partitionBy(F.lit(0)).orderBy("_bucket")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.coalesce(1).select("_bucket", *[
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
 
     w = (Window.partitionBy("_bucket").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = keyed.withColumns({f"_w_{c}": F.sum(c).over(w) for c in sum_cols})
-    if off_df is None:
-        return out.withColumns({f"{prefix}{c}": F.col(f"_w_{c}") for c in sum_cols}) \
-            .drop("_bucket", *[f"_w_{c}" for c in sum_cols])
-    out = out.join(F.broadcast(off_df), "_bucket", "left")
-    out = out.withColumns({f"{prefix}{c}": F.col(f"_w_{c}") + F.coalesce(F.col(f"_o_{c}"), F.lit(0))
+    out = out.join(F.broadcast(offsets), "_bucket")
+    out = out.withColumns({f"{prefix}{c}": F.coalesce(F.col(f"_w_{c}"), F.lit(0)) + F.col(f"_o_{c}")
                            for c in sum_cols})
     return out.drop("_bucket", *[f"_w_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
 
 
-def exact_quantile_values(values: DataFrame, col: str, ranks, small_distinct: int | None = None) -> dict:
-    """Exact order statistics: the value at each 0-based rank among the
-    non-NULL values of ``col``. ``ranks`` is a list of ranks, or a function of
-    the non-NULL count returning them (e.g. the middle pair for a median).
-    Values are counted per distinct value (map-side combined) in one pass
-    over the rows; see :func:`quantiles_from_counts` for the rest."""
-    counts = (values.where(F.col(col).isNotNull()).groupBy(col)
-              .agg(F.count(F.lit(1)).alias("_n")))
-    return quantiles_from_counts(counts, col, "_n", ranks, small_distinct)
-
-
-def quantiles_from_counts(counts: DataFrame, col: str, n_col: str, ranks,
-                          small_distinct: int | None = None) -> dict:
+def quantiles_from_counts(counts: DataFrame, col: str, n_col: str, ranks) -> dict:
     """Order statistics from a table of (distinct value, count).
 
-    The count total comes from the table. A table of at most
-    ``small_distinct`` rows is held locally and the ranks are located on the
-    driver; a larger one is checkpointed, gets a scalable running sum, and
-    each rank is located where the running count first reaches it. Either
-    way only bounded data reaches the driver."""
+    The count total comes from the table. It gets a scalable running sum, and
+    each rank is located where the running count first reaches it; only those
+    rows reach the driver."""
     counts = counts.select(F.col(col), F.col(n_col).alias("_n"))
-    small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
-    local, stored = read_once(counts, small_distinct) if small_distinct > 0 else (None, checkpointed(counts))
-    table = local if local is not None else stored
+    table = checkpointed(counts)
     n = table.agg(F.sum("_n")).first()[0] or 0
     wanted = sorted(set(ranks(n) if callable(ranks) else ranks))
     out = {}
     if n == 0 or not wanted:
         return out
-    if local is not None:
-        acc = 0
-        pending = list(wanted)
-        for r in local.orderBy(col).collect():
-            acc += r["_n"]
-            while pending and pending[0] < acc:
-                out[pending.pop(0)] = r[col]
-        return out
     cum = running_sums(table, [col], ["_n"])
     conds = None
     for k in wanted:

@@ -118,14 +118,16 @@ def test_results_independent_of_partitioning(spark):
     assert [k for k in keys if before[k] != after[k]] == []
 
 
-def test_confusion_sparse_beyond_dense_limit(spark, monkeypatch):
+def test_confusion_is_dense_at_any_size(spark):
     from tessera.operators import evaluate as ev
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (2, 2)], "y int, p int")
-    monkeypatch.setattr(ev, "DENSE_MAX_CLASSES", 2)
     got = {(r["y"], r["yhat"]): r["n"] for r in ev.confusion_matrix(df, "y", "p").collect()}
-    assert got == {(1, 1): 1, (1, 0): 1, (0, 0): 1, (2, 2): 1}
+    assert got == {(a, b): int((a, b) in ((1, 1), (1, 0), (0, 0), (2, 2))) for a in range(3) for b in range(3)}
     rep = {r["label"]: r for r in ev.classification_report(ev.confusion_matrix(df, "y", "p")).collect()}
     assert rep["accuracy"]["f1"] == 0.75 and rep["1"]["recall"] == 0.5
+    many = spark.range(0, 700).select(F.col("id").alias("y"), (F.col("id") * 7 % 700).alias("p"))
+    cm = ev.confusion_matrix(many, "y", "p")
+    assert cm.count() == 700 * 700 and cm.agg(F.sum("n")).first()[0] == 700
 
 
 def test_skewed_key_results_whole(spark):
@@ -163,3 +165,96 @@ def test_null_groups_keep_their_rows(spark):
     assert {r["group_avg"] for r in rows if r["g"] is None} == {float(np.mean(range(0, 40, 4)))}
     cm = evaluate.confusion_matrix(df.select(F.col("g").alias("y"), F.col("g").alias("p")), "y", "p")
     assert cm.agg(F.sum("n")).first()[0] == 40
+
+
+BIG = 2 ** 53
+
+
+@pytest.fixture(params=["true", "false"], ids=["arrow", "rows"])
+def arrow(spark, request):
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+
+
+@pytest.fixture(params=[True, False], ids=["broadcast", "shuffled"])
+def both_sizes(request, monkeypatch):
+    if not request.param:
+        monkeypatch.setattr(strategy, "BROADCAST_MAX_BYTES", 0.5)
+
+
+def odd_keys(spark):
+    """Long keys beyond 2^53 with NULLs, double keys with NaN and NULL."""
+    keys = [BIG, BIG + 1, None, BIG + 2]
+    return spark.createDataFrame(
+        [(i, keys[i % 4], [float("nan"), None, 1.5][i % 3], float(i)) for i in range(48)], "k long, g long, f double, x double")
+
+
+@pytest.mark.parametrize("label", ["g", "f"])
+def test_odd_keys_keep_every_row(spark, arrow, both_sizes, label):
+    from tessera.operators import reports
+    df = odd_keys(spark)
+    s = split.stratified_split(df, label, "k", 0.25)
+    assert s.count() == 48 and s.where("split = 'test'").count() == 12
+    per = {str(r[0]): r[1] for r in s.where("split = 'test'").groupBy(label).count().collect()}
+    assert set(per.values()) == {3 if label == "g" else 4}
+    rows = reports.group_mean_rows(df, label, "x").collect()
+    assert len(rows) == 48 and all(r["group_avg"] is not None for r in rows)
+    assert reports.share_table(df, label).count() == (4 if label == "g" else 3)
+    cm = evaluate.confusion_matrix(df.select(F.col(label).alias("y"), F.col(label).alias("p")), "y", "p")
+    assert cm.where("n > 0").count() == (4 if label == "g" else 3) and cm.agg(F.sum("n")).first()[0] == 48
+
+
+def test_upsert_of_composite_keys_with_null_parts(spark, arrow, both_sizes):
+    schema = "a long, b string, v int"
+    base = spark.createDataFrame([(BIG + 1, None, 1), (BIG, None, 2), (None, "x", 3)], schema)
+    new = spark.createDataFrame([(BIG + 1, None, 10), (None, "x", 30)], schema)
+    got = sorted(map(tuple, keyed.upsert(base, new, ["a", "b"]).collect()), key=str)
+    assert got == sorted([(BIG + 1, None, 10), (BIG, None, 2), (None, "x", 30)], key=str)
+
+
+def test_categories_beyond_double_precision(spark):
+    df = spark.createDataFrame([(BIG,), (BIG + 1,), (BIG + 1,), (None,)], "c long")
+    assert features.fit_one_hot(df, ["c"]).categories["c"] == [BIG, BIG + 1]
+    assert features.most_frequent(df, "c") == BIG + 1
+
+
+def test_running_sums_order_null_and_nan_alike_at_every_size(spark):
+    rows = [(None, 1), (float("nan"), 2), (float("inf"), 4), (-1.0, 8), (3.0, 16), (2.0, 32)]
+    df = spark.createDataFrame(rows, "s double, w long")
+    for desc in (True, False):
+        one = {str(r["s"]): r["cum_w"] for r in strategy.running_sums(df, ["s"], ["w"], descending=desc).collect()}
+        many = {str(r["s"]): r["cum_w"] for r in
+                strategy.running_sums(df, ["s"], ["w"], descending=desc, rows_per_bucket=1).collect()}
+        assert one == many and len(one) == 6
+        assert one["None"] == (63 if desc else 1) and one["nan"] == (2 if desc else 63)
+
+
+def test_ols_collinear_constant_null_and_wide(spark):
+    from tessera.operators import models
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(60, 2))
+    X = np.column_stack([x, 2 * x[:, 0], np.full(60, 7.0)])
+    y = 1.0 + x @ [2.0, -1.0]
+    rows = [(*map(float, r), float(v)) for r, v in zip(X, y)] + [(None, 1.0, 1.0, 7.0, 5.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y double")
+    fit = models.fit_linear(df, ["a", "b", "c", "d"], "y")
+    want = np.linalg.lstsq(X - X.mean(0), y - y.mean(), rcond=None)[0]
+    assert np.allclose(fit.coefficients, want, atol=1e-8)
+    wide = models.LinearFit([f"f{i}" for i in range(2000)], [1.0] * 2000, 0.5)
+    one = spark.range(1).select(*[F.lit(float(i)).alias(f"f{i}") for i in range(2000)])
+    assert one.select(wide.linear_term().alias("p")).first()["p"] == 0.5 + 1999 * 1000
+
+
+def test_r2_with_gaps_and_constant_truth(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (3.0, 2.0), (None, 5.0), (9.0, None)], "y double, p double")
+    r = evaluate.regression_metrics(df, "y", "p").first()
+    assert (r["mse"], r["r2"]) == (0.5, 0.5)
+    flat = spark.createDataFrame([(2.0, 2.0), (2.0, 3.0)], "y double, p double")
+    assert evaluate.regression_metrics(flat, "y", "p").first()["r2"] == 0.0
+    assert evaluate.regression_metrics(flat.limit(1), "y", "p").first()["r2"] == 1.0
+
+
+def test_corr_treats_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (float("nan"), 1.0)], "`a|b` double, c double")
+    assert [tuple(r) for r in distributions.pairwise_corr(df, ["a|b", "c"]).collect()] == [("a|b", "c", 1.0)]
