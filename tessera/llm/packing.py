@@ -6,9 +6,9 @@ packed by retrieval: a BM25 inverted index, sharded, returns the unused
 neighbours of a seed document, which greedily fill its window.
 
 1. Tokenise (Arrow batches). Words, cut at ASCII white space, are tokenised
-   once a task and remembered: no token reaches over white space, letter case
-   does not matter to the vocabulary, and a letter run ends before ``.`` or
-   ``,``, so the ids are those of the whole text. Per document one row leaves:
+   once a task and remembered: no token reaches over white space and letter
+   case does not matter to the vocabulary, so the ids are those of the whole
+   text. Per document one row leaves:
    counts, checksums of its pieces, and its terms (token ids with counts).
    The rows are checkpointed, so tokens are made once.
 2. Corpus statistics over all documents: documents per term (at most one row
@@ -31,6 +31,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -42,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from tessera.llm.common import cut_lineage, for_workers, map_arrow
 
@@ -51,33 +53,70 @@ SHARD_DOCS = 2048
 K1, B = 1.2, 0.75
 #: Words a task remembers before it starts anew.
 KEEP = 600_000
-_APART = re.compile(rb"(?<=[a-z])(?=[.,])")
+#: Words, in lower case, that are one run of letters in composed normal form,
+#: or such a run and one of signs (an apostrophe can join both, so it is none).
+_LATIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 
 class Encoder:
-    """Whole texts to little-endian 32-bit ids, remembering words."""
+    """Whole texts to little-endian 32-bit ids, remembering words.
+
+    A new word that is one run of Latin letters needs no pattern to be split
+    and is already in normal form, so it goes to the same model without them;
+    one that ends in a single ``.`` or ``,`` is the word before it and the sign."""
 
     def __init__(self, vocabulary: str, end_id: int = END_ID, keep: int = KEEP):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        #: Ids that end a word: the model marks them.
+        mark = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if mark and token.endswith(mark)]] = True
         self.end = np.array([end_id], "<u4").tobytes()
         self.keep, self.known = keep, {}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn_letters(self, words: list[bytes], lower: list[str]) -> None:
+        """Many words as one text; the ids that end a word cut its ids apart."""
+        for k in range(0, len(words), 20_000):
+            part = words[k:k + 20_000]
+            ids = np.array(self.letters.encode(" ".join(lower[k:k + 20_000]), add_special_tokens=False).ids, "<u4")
+            raw, cut = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            self.known.update((w, raw[a:b]) for w, a, b in zip(part, [0, *cut], cut, strict=False))
+
+    def _learn(self, words: set[bytes]) -> None:
+        runs = {w: None for w in words if w.isalpha()}      # of bytes: a-z only, they are in lower case
+        ended, others = [], []
+        for w in words.difference(runs):
+            m = _LATIN(w.decode("utf-8").lower())
+            if m is None:
+                others.append(w)
+            elif m[2]:
+                ended.append((w, m[1].encode(), m[2].encode()))
+            else:
+                runs[w] = m[1]
+        known = self.known
+        runs.update((base, None) for _, base, _ in ended if base not in known and base not in runs)
+        self._learn_letters(list(runs), [s or w.decode("utf-8") for w, s in runs.items()])
+        others += {sign for _, _, sign in ended}.difference(known)
+        for k in range(0, len(others), 10_000):
+            part = others[k:k + 10_000]
+            known.update(zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True))
+        known.update([(w, known[base] + known[sign]) for w, base, sign in ended])
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         if len(self.known) > self.keep:
             self.known = {}
-        known = self.known
         # a special token's name counts in its own letter case: such texts go whole
-        split = [None if "<|" in (t or "") else _APART.sub(b" ", (t or "").encode("utf-8", "replace").lower()).split() for t in texts]
-        new = list({w for s in split if s for w in s}.difference(known))
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            known.update(zip(part, self._plain([w.decode("utf-8") for w in part]), strict=True))
+        split = [None if "<|" in (t or "") else (t or "").encode("utf-8", "replace").lower().split() for t in texts]
+        self._learn({w for s in split if s for w in s}.difference(self.known))
+        get = self.known.__getitem__
         for t, s in zip(texts, split, strict=True):
-            yield (self._plain([t])[0] if s is None else b"".join(map(known.__getitem__, s))) + self.end
+            yield (self._ids([t])[0] if s is None else b"".join(map(get, s))) + self.end
 
 
 ROW = ("n_tokens bigint, full array<bigint>, rest int, rest_crc bigint, terms binary, counts binary")

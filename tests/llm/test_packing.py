@@ -61,7 +61,7 @@ def test_odd_rows(odd, empty, plain):
 
 def test_words_give_the_ids_of_whole_texts(plain):
     texts = ["It's A Test, of U.S.A.'s   odd spaces... and\x1cmore", "<|endoftext|> x <|ENDOFTEXT|>", "é é ́a İI ẞß",
-             "a,b.c ,d ..e 12.5 don't DON'T 'll", "\U0001F600, \U0001F600. 漢字.かな,", "tab\tnew\nline\x0bv\x0cf\rr"]
+             "a,b.c ,d ..e 12.5 don't DON'T 'll", "\U0001F600, \U0001F600. 漢字.かな,", "K Å \u212A\u212B ǅ ŉ ª º µ ÿŸ ẞ", "tab\tnew\nline\x0bv\x0cf\rr"]
     for raw, text in zip(packing.Encoder(PATH).encode(texts), texts):
         assert np.frombuffer(raw, "<u4").tolist() == plain(text), text
 
