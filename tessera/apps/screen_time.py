@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.expressions import BDI_BANDS, BDI_UNKNOWN, strip_lower, value_map
 from tessera.operators import distributions, keyed, quality, reports
+from tessera.plans.strategy import checkpointed
 from tessera.sources import files
 
 # Table names, declared columns and types of the two survey tables.
@@ -51,11 +52,6 @@ SEX_LABELS = {"girl": "Дзяўчаты", "boy": "Хлопцы"}
 
 # ---------------------------------------------------------------- storage
 
-def _versions(spark: SparkSession, table_dir: str) -> list[int]:
-    from tessera.streaming.ingest import list_versions
-    return list_versions(spark, table_dir)
-
-
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """Latest committed version of a table, or an empty typed table."""
     from tessera.streaming.ingest import latest_version
@@ -63,36 +59,44 @@ def read_current(spark: SparkSession, root: str, table: str, schema: T.StructTyp
 
 
 def tables_exist(spark: SparkSession, root: str) -> bool:
-    return all(_versions(spark, f"{root.rstrip('/')}/{t}") for t in (SCREEN_TIME, BDI_ITEMS))
+    from tessera.streaming.ingest import newest_version
+    return all(newest_version(spark, f"{root.rstrip('/')}/{t}") is not None for t in (SCREEN_TIME, BDI_ITEMS))
 
 
-def _write_next(spark: SparkSession, root: str, table: str, df: DataFrame) -> str:
-    from tessera.streaming.ingest import commit_version, next_version
-    d = f"{root.rstrip('/')}/{table}"
-    return commit_version(spark, d, next_version(spark, d), df)
+def _write_next(spark: SparkSession, root: str, table: str, df: DataFrame) -> int:
+    from tessera.streaming.ingest import commit_version
+    return commit_version(spark, f"{root.rstrip('/')}/{table}", df, ["subject_id"])
 
 
 # ------------------------------------------------------------------- load
 
 def _with_order(df: DataFrame, order_col: str | None) -> tuple[DataFrame, str]:
-    if order_col:
-        return df, order_col
-    # file order of a single input file: row ids grow with the byte offset
-    if len(df.inputFiles()) > 1:          # file listing only, no scan
-        raise ValueError("several input files: pass order_col to define which row is last")
-    return df.withColumn("_row", F.monotonically_increasing_id()), "_row"
+    return (df, order_col) if order_col else (df, "_row")
 
 
 def _read(spark, path, schema, required, order_col):
+    """The typed rows, parsed once (a checkpoint), and the reject counts."""
+    ext = schema
     if order_col:
         ext = T.StructType(schema.fields + [T.StructField(order_col, T.LongType(), False)])
-        return files.read_csv_typed(spark, path, ext, required=list(required) + [order_col])
-    return files.read_csv_typed(spark, path, schema, required=required)
+        required = list(required) + [order_col]
+    df = files.read_csv_typed(spark, path, ext, required=required, rejects="_rejects")
+    if not order_col:
+        # file order of a single input file: row ids grow with the byte offset
+        if len(spark.read.text(path).inputFiles()) > 1:          # file listing only, no scan
+            raise ValueError("several input files: pass order_col to define which row is last")
+        df = df.withColumn("_row", F.monotonically_increasing_id())
+    df = checkpointed(df)
+    bad = df.select(F.explode("_rejects").alias("c")).groupBy("c").count().collect()     # one row a column
+    return df.drop("_rejects"), {r["c"]: r["count"] for r in bad}
 
 
 def _prepare(spark, root, table, schema, raw, key, order_col, force):
-    """The upserted next version of one table (lazy) and its load counters."""
+    """The upserted next version of one table (lazy) and its load counters.
+    Raises on a NULL in a column declared NOT NULL; afterwards keys are unique
+    by construction (keep-last, then upsert)."""
     raw, order = _with_order(raw, order_col)
+    quality.assert_not_null(raw, [f.name for f in schema.fields if not f.nullable])
     incoming = keyed.dedup_keep_last(raw, key, order).select(*schema.fieldNames())
     base = spark.createDataFrame([], schema) if force else read_current(spark, root, table, schema)
     counters = keyed.upsert_counters(raw, base, key).first().asDict()
@@ -109,13 +113,16 @@ def import_csv(spark: SparkSession, screen_csv: str, items_csv: str, root: str,
     stored value) into a new version; ``force`` starts from empty tables.
     Item rows whose subject has no ``screen_time`` row violate the foreign
     key: this is checked on the would-be versions, before anything is
-    written, and raises. Returns the key-set comparison and the counters of
-    both tables.
+    written, and raises. So does a NULL in a NOT NULL column. Labels of ``sex``
+    are normalised here (white space, letter case), once. Each file is parsed
+    once, into a checkpoint. Returns the key-set comparison, the counters of
+    both tables, and how many present values each optional column rejected.
     """
-    screen_raw = _read(spark, screen_csv, SCREEN_TIME_SCHEMA, ["subject_id", "sex"], order_col)
-    items_raw = _read(spark, items_csv, BDI_ITEMS_SCHEMA, ["subject_id"], order_col)
+    screen_raw, screen_rejects = _read(spark, screen_csv, SCREEN_TIME_SCHEMA, ["subject_id", "sex"], order_col)
+    items_raw, items_rejects = _read(spark, items_csv, BDI_ITEMS_SCHEMA, ["subject_id"], order_col)
+    screen_raw = screen_raw.withColumn("sex", strip_lower("sex"))
     keys = quality.key_set_compare(screen_raw, items_raw, "subject_id").first().asDict()
-    out = {"key_sets": keys}
+    out = {"key_sets": keys, "rejects": {SCREEN_TIME: screen_rejects, BDI_ITEMS: items_rejects}}
     new_screen, out[SCREEN_TIME] = _prepare(spark, root, SCREEN_TIME, SCREEN_TIME_SCHEMA, screen_raw,
                                             "subject_id", order_col, force)
     new_items, out[BDI_ITEMS] = _prepare(spark, root, BDI_ITEMS, BDI_ITEMS_SCHEMA, items_raw,
@@ -200,10 +207,9 @@ def sex_label(c: str | Column = "sex") -> Column:
 def leisure_histogram(by_gender: DataFrame, bins: int = 30) -> tuple[DataFrame, DataFrame]:
     """Per-sex histograms of leisure screen hours (own edges per sex) and the
     per-sex mean lines."""
-    df = by_gender.withColumn("sex", sex_label())
+    df = by_gender.select(sex_label().alias("sex"), "est_leisure_screen_hours")
     hist = distributions.histogram_by_group(df, "sex", "est_leisure_screen_hours", bins)
-    means = df.groupBy("sex").agg(F.first("gender_avg").alias("mean"))
-    return hist, means
+    return hist, reports.group_means(df, "sex", "est_leisure_screen_hours", "mean")
 
 
 def screen_bars(stats: DataFrame) -> DataFrame:

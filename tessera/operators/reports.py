@@ -26,11 +26,11 @@ def run_sql(spark: SparkSession, sql: str, params: Sequence = ()) -> DataFrame:
     return spark.sql(sql, args=list(params)) if params else spark.sql(sql)
 
 
-def sequence_squares(spark: SparkSession, n: int) -> DataFrame:
-    """``(n, square)`` for 1..n: a distributed range and a per-element
-    expression (64-bit; ANSI raises on overflow past about 3.03e9)."""
-    i = F.col("id")
-    return spark.range(1, n + 1).select(i.alias("n"), (i * i).alias("square"))
+def squares(df: DataFrame, col: str) -> DataFrame:
+    """``(n, square)`` of a column: a per-element expression (64-bit; ANSI
+    raises on overflow past about 3.03e9). ``spark.range`` gives 1..n."""
+    n = F.col(col).cast("long")
+    return df.select(n.alias("n"), (n * n).alias("square"))
 
 
 def sorted_desc(df: DataFrame, col: str) -> DataFrame:

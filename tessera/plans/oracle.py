@@ -81,9 +81,19 @@ FROM r CROSS JOIN e LEFT JOIN h ON h.{grp} = r.{grp} AND h.bin = e.bin"""
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+WIDE = """SELECT l.doc_id + 9007199254740992 AS wide, d.lang, d.n_chars, d.doc_id
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+
 ORACLE: dict[str, str] = {
-    "seq_squares": """SELECT i AS n, i * i AS square
-        FROM (SELECT UNNEST(range(1, (SELECT COUNT(*) FROM orders) + 1)) AS i) t""",
+    "seq_squares": "SELECT o_orderkey AS n, o_orderkey * o_orderkey AS square FROM orders",
+    "csv_rejects": """SELECT CAST(0 AS BIGINT) AS c_custkey, COUNT(c_name) AS c_name,
+        COUNT(*) FILTER (WHERE c_acctbal <> FLOOR(c_acctbal)) AS c_acctbal, CAST(0 AS BIGINT) AS c_nationkey FROM customer""",
+    "upsert_wide_keys": f"""WITH r AS ({WIDE}),
+        b AS (SELECT * FROM r WHERE n_chars < 2000 QUALIFY row_number() OVER (PARTITION BY wide, lang ORDER BY doc_id DESC) = 1),
+        i AS (SELECT * FROM r WHERE n_chars >= 1000 QUALIFY row_number() OVER (PARTITION BY wide, lang ORDER BY doc_id DESC) = 1)
+        SELECT * FROM i UNION ALL SELECT * FROM b WHERE NOT EXISTS (
+            SELECT 1 FROM i WHERE i.wide IS NOT DISTINCT FROM b.wide AND i.lang IS NOT DISTINCT FROM b.lang)""",
+    "group_mean_wide_keys": f"""SELECT wide, n_chars, AVG(n_chars) OVER (PARTITION BY wide) AS group_avg FROM ({WIDE}) w""",
     "csv_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "json_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "named_load": "SELECT * FROM nation",
@@ -98,7 +108,12 @@ ORACLE: dict[str, str] = {
                ROUND(lo + (hi - lo) * (e.bin + 1) / 30, 6) + 0.0 AS hi_edge, COALESCE(h.n, 0) AS n,
                'n_chars' AS feature
         FROM c CROSS JOIN e CROSS JOIN m LEFT JOIN h ON h.label = c.label AND h.bin = e.bin""",
-    "table_profile": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", COUNT(*) AS n FROM {t}" for t in TABLES),
+    "table_profile": "SELECT p.*, c.position, c.\"column\", c.type FROM (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", COUNT(*) AS n FROM {t}" for t in TABLES) + """) p JOIN (
+        SELECT table_name AS "table", CAST(column_index AS INTEGER) AS position, column_name AS "column",
+               CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                    WHEN 'FLOAT[]' THEN 'array<float>' ELSE LOWER(data_type) END AS type
+        FROM duckdb_columns()) c ON c."table" = p."table\"""",
     "dedup_keep_last": """SELECT event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) t
         WHERE rn = 1""",

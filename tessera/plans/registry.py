@@ -33,9 +33,8 @@ ITEM_COLS = [f"item_{k}" for k in range(1, SHEET_ITEMS + 1)]
 # ------------------------------------------------------------- sources, catalog
 
 def q_seq_squares(spark: SparkSession, d: str) -> DataFrame:
-    """Squares of 1..n, n = number of orders (sequence + per-element expression)."""
-    n = catalog.row_count(tables(spark, d, "orders")).first()["n"]
-    return reports.sequence_squares(spark, n)
+    """The order keys and their squares (sequence + per-element expression)."""
+    return reports.squares(tables(spark, d, "orders"), "o_orderkey")
 
 
 CUSTOMER_SCHEMA = T.StructType([
@@ -71,13 +70,29 @@ def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_json_typed(spark, path, PART_SCHEMA, required=["p_partkey"])
 
 
+REJECT_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType(), False),
+    T.StructField("c_name", T.IntegerType()),           # text: every value is a reject
+    T.StructField("c_acctbal", T.IntegerType()),        # only whole amounts fit
+    T.StructField("c_nationkey", T.IntegerType()),
+])
+
+
+def q_csv_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """customer written as CSV and read with types that do not fit: rejects per field."""
+    path = scratch_path(spark, "csv-rejects")
+    files.write_csv(tables(spark, d, "customer"), path)
+    return files.cast_rejects(spark, path, REJECT_SCHEMA)
+
+
 def q_named_load(spark: SparkSession, d: str) -> DataFrame:
     """A dataset resolved by name (catalog table, else Parquet under the data directory)."""
     return catalog.load_named(spark, "nation", d)
 
 
 def q_table_profile(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.table_profile(spark, d)
+    """Every table's row count with its columns, their order and types."""
+    return catalog.table_profile(spark, d).join(F.broadcast(catalog.table_columns(spark, d)), "table")
 
 
 # ----------------------------------------------------------------- keyed loads
@@ -111,6 +126,26 @@ def q_stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return run_upsert_stream(spark, [base_raw, inc_raw], ORDER_KEY, ORDER_BY)
 
 
+def _wide_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a 64-bit key past 2^53, NULL where the document has no label."""
+    docs, labels = tables(spark, d, "documents", "labels")
+    wide = labels.select(F.col("doc_id").alias("id"), (F.col("doc_id") + F.lit(2 ** 53)).alias("wide"))
+    return docs.join(wide, F.col("doc_id") == F.col("id"), "left").select("wide", "lang", "n_chars", "doc_id")
+
+
+def q_upsert_wide_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Upsert by a composite key with a part past 2^53 or NULL."""
+    rows = _wide_keys(spark, d)
+    key = ["wide", "lang"]
+    base = keyed.dedup_keep_last(rows.where("n_chars < 2000"), key, "doc_id")
+    return keyed.upsert(base, keyed.dedup_keep_last(rows.where("n_chars >= 1000"), key, "doc_id"), key)
+
+
+def q_group_mean_wide_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Group means on every row for a key past 2^53 that may be NULL."""
+    return reports.group_mean_rows(_wide_keys(spark, d), "wide", "n_chars")
+
+
 # -------------------------------------------------------------------- quality
 
 def q_key_set_compare(spark: SparkSession, d: str) -> DataFrame:

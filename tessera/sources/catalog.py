@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,8 +73,11 @@ def load_named(spark: SparkSession, name_or_id, data_dir: str | None = None,
                version: int = 1) -> DataFrame:
     """Load a dataset by name or numeric id: a catalog table of that name, or
     Parquet under ``data_dir`` (``<name>.parquet``, or ``<name>/v<version>``)."""
-    if isinstance(name_or_id, str) and spark.catalog.tableExists(name_or_id):
-        return spark.table(name_or_id)
+    if isinstance(name_or_id, str):
+        # a name such as breast-cancer needs quotes in the catalog
+        quoted = ".".join(f"`{part.replace('`', '``')}`" for part in name_or_id.split("."))
+        if spark.catalog.tableExists(quoted):
+            return spark.table(quoted)
     if data_dir is None:
         raise ValueError(f"dataset {name_or_id!r} not in the catalog and no data_dir given")
     key = f"id={name_or_id}" if isinstance(name_or_id, int) else str(name_or_id)
@@ -81,8 +85,9 @@ def load_named(spark: SparkSession, name_or_id, data_dir: str | None = None,
     for path in (f"{base}/{key}.parquet", f"{base}/{key}/v{version}"):
         try:
             return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - try the next layout
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":        # only then try the next layout
+                raise
     raise FileNotFoundError(f"dataset {name_or_id!r} (version {version}) not found under {data_dir}")
 
 

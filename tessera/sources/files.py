@@ -1,66 +1,118 @@
 """Typed CSV and JSON scans that bind columns by name.
 
-Spark's CSV reader with a declared schema binds columns by *position*, so a
-file with reordered columns would load silently wrong values. These readers
-read the header as strings, then select and cast every declared field by
-name: a required field that is absent raises, an optional one becomes a typed
-NULL. Required fields use a strict ``cast`` (ANSI raises on malformed text);
-optional ones use ``try_cast`` and their rejects can be counted with
-:func:`cast_rejects`. Floating columns have NaN normalised to NULL.
+Spark's CSV reader binds columns by *position*, within one file and, for a
+folder, with the header of one of its files. These readers read every column
+as text from files that share one header (a folder with differing headers is
+read header by header), then select and cast every declared field by name: a
+required field that is absent raises, an optional one becomes a typed NULL.
+
+Fields may be quoted, with doubled quotes and line breaks inside
+(``multiline``, the default for CSV; turn it off to split large files without
+such fields). The usual tokens for a missing value become NULL. Integers may be
+written with a zero fraction (``3.0``). A required value that is missing or
+malformed raises; an optional one becomes NULL and is reported: see
+``rejects`` and :func:`cast_rejects`. Floating columns have NaN normalised to
+NULL.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.expressions import nan_to_null
+#: Texts that data-frame tools read as a missing value.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+           "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_CORRUPT = "_malformed_record"
 
 
 def _string_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
-def _typed(raw: DataFrame, schema: T.StructType, required: set[str]) -> DataFrame:
+def _cast(text: Column, kind: T.DataType) -> Column:
+    """NULL where the text is not a value of the type. Whole numbers go through
+    decimal, so ``3.0`` and ``3e2`` are integers and long ids stay exact."""
+    if isinstance(kind, T.IntegralType):
+        number = F.coalesce(text.try_cast("decimal(38,10)"), text.try_cast("double").try_cast("decimal(38,10)"))
+        return F.when(number == F.floor(number), F.floor(number).try_cast(kind))
+    return text.try_cast(kind)
+
+
+def _typed(raw: DataFrame, schema: T.StructType, required: set[str], missing=MISSING,
+           rejects: str | None = None) -> DataFrame:
     present = set(raw.columns)
     missing_required = sorted(n for n in required if n not in present)
     if missing_required:
         raise ValueError(f"required columns absent from input: {missing_required}")
     cols: list[Column] = []
+    bad: list[Column] = []
     for f in schema.fields:
         if f.name not in present:
-            c = F.lit(None).cast(f.dataType)
-        elif f.name in required or isinstance(f.dataType, T.StringType):
-            c = F.col(f.name).cast(f.dataType)
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        text = F.col(f"`{f.name}`")
+        text = F.when(~F.trim(text).isin(*missing), text)
+        value = text if isinstance(f.dataType, T.StringType) else _cast(F.trim(text), f.dataType)
+        if f.name in required:
+            value = F.when(value.isNotNull(), value).otherwise(
+                F.raise_error(F.concat(F.lit(f"required {f.name}: bad value "), F.coalesce(F.col(f"`{f.name}`"), F.lit("(none)"))))
+                .cast(f.dataType))
         else:
-            c = F.try_cast(F.col(f.name), f.dataType) if hasattr(F, "try_cast") \
-                else F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
+            bad.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = nan_to_null(c)
-        cols.append(c.alias(f.name))
+            value = F.when(~F.isnan(value), value)
+        cols.append(value.alias(f.name))
+    if rejects:
+        cols.append(F.filter(F.array(*bad, F.lit(None).cast("string")), lambda c: c.isNotNull()).alias(rejects))
     return raw.select(*cols)
 
 
+def _csv_text(spark: SparkSession, path: str, sep: str, multiline: bool) -> DataFrame:
+    """All columns as text by name, whatever order each file's header has."""
+    files = sorted(spark.read.text(path).inputFiles())          # a listing, no scan
+    reader = lambda: (spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
+                      .option("quote", '"').option("escape", '"').option("mode", "FAILFAST"))
+    headers: dict[tuple, list[str]] = {}
+    for file in files:          # the first line of each file
+        headers.setdefault(tuple(reader().csv(file).columns), []).append(file)
+    parts = [reader().csv(group) for group in headers.values()]
+    if not parts:
+        raise ValueError(f"no files under {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   required: list[str] | tuple[str, ...] = (), sep: str = ",") -> DataFrame:
-    """CSV with a header row, bound by name to ``schema`` (no inference pass)."""
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
-    return _typed(raw, schema, set(required))
+                   required: list[str] | tuple[str, ...] = (), sep: str = ",", multiline: bool = True,
+                   missing=MISSING, rejects: str | None = None) -> DataFrame:
+    """CSV with a header row, bound by name to ``schema`` (no inference pass).
+    With ``rejects``, a column of that name lists the fields of the row whose
+    present value was malformed."""
+    return _typed(_csv_text(spark, path, sep, multiline), schema, set(required), missing, rejects)
 
 
 def read_json_typed(spark: SparkSession, path: str, schema: T.StructType,
-                    required: list[str] | tuple[str, ...] = (), multiline: bool = False) -> DataFrame:
+                    required: list[str] | tuple[str, ...] = (), multiline: bool = False,
+                    rejects: str | None = None) -> DataFrame:
     """JSON lines (splittable) or, with ``multiline``, a JSON array of records.
 
     Fields are read as raw text under their declared names, then cast. A
+    malformed line raises; so does a record without a required field. A
     column-oriented object (``{"col": {"0": v}}``) is not a record layout and
     is rejected.
     """
-    raw = (spark.read.schema(_string_schema(schema)).option("multiLine", multiline)
-           .option("mode", "PERMISSIVE").json(path))
+    text = T.StructType(_string_schema(schema).fields + [T.StructField(_CORRUPT, T.StringType(), True)])
+    raw = (spark.read.schema(text).option("multiLine", multiline).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", _CORRUPT).json(path))
     _reject_column_oriented(raw, schema)
-    return _typed(raw, schema, set(required))
+    # the check sits in the first column, so it runs whenever rows are read
+    first = schema.fields[0].name
+    raw = raw.withColumn(first, F.when(F.col(_CORRUPT).isNull(), F.col(f"`{first}`")).otherwise(
+        F.raise_error(F.concat(F.lit("malformed JSON record: "), F.col(_CORRUPT)))))
+    return _typed(raw.drop(_CORRUPT), schema, set(required), missing=("\0",), rejects=rejects)
 
 
 def _reject_column_oriented(raw: DataFrame, schema: T.StructType) -> None:
@@ -77,21 +129,11 @@ def _reject_column_oriented(raw: DataFrame, schema: T.StructType) -> None:
 
 def cast_rejects(spark: SparkSession, path: str, schema: T.StructType,
                  fmt: str = "csv") -> DataFrame:
-    """One row: per declared non-string field, how many present values failed
-    to cast (they were loaded as NULL). One scan, one aggregate."""
-    if fmt == "csv":
-        raw = spark.read.option("header", True).csv(path)
-    else:
-        raw = spark.read.schema(_string_schema(schema)).json(path)
-    aggs = []
-    for f in schema.fields:
-        if f.name in raw.columns and not isinstance(f.dataType, T.StringType):
-            bad = F.col(f.name).isNotNull() & F.expr(
-                f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").isNull()
-            aggs.append(F.count_if(bad).alias(f.name))
-    if not aggs:
-        aggs = [F.lit(0).cast("long").alias("none")]
-    return raw.agg(*aggs)
+    """One row: per declared field, how many present values were malformed
+    (they are loaded as NULL). One scan, one aggregate."""
+    read = read_csv_typed if fmt == "csv" else read_json_typed
+    rows = read(spark, path, schema, rejects="_rejects")
+    return rows.agg(*[F.count_if(F.array_contains("_rejects", f.name)).alias(f.name) for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

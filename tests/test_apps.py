@@ -56,14 +56,14 @@ def test_import_reports_and_charts(spark, tmp_path):
 
     screen = st.read_current(spark, root, st.SCREEN_TIME, st.SCREEN_TIME_SCHEMA)
     row2 = screen.where("subject_id = 2").first()
-    assert (row2["sex"], row2["est_leisure_screen_hours"], row2["avg_sleep_hours"]) == ("Boy", 5.5, None)
+    assert (row2["sex"], row2["est_leisure_screen_hours"], row2["avg_sleep_hours"]) == ("boy", 5.5, None)
 
     over = {r["sex"]: r["count"] for r in st.screen_by_sex_over_hours(screen).collect()}
-    assert over == {"Girl": 1, "Boy": 2}
+    assert over == {"girl": 1, "boy": 2}
     stats = {r["sex"]: tuple(r)[1:] for r in st.screen_and_depression_stats(screen).collect()}
-    assert stats["Boy"] == (2, 2, 2, 2) and stats["Girl"] == (1, 1, 1, 1)
+    assert stats["boy"] == (2, 2, 2, 2) and stats["girl"] == (1, 1, 1, 1)
     means = {r["sex"]: r["gender_avg"] for r in st.screen_time_by_gender(screen).collect()}
-    assert means == {"Girl": 6.0, "Boy": 6.25}
+    assert means == {"girl": 6.0, "boy": 6.25}
     assert [r[0] for r in st.sleep(screen).collect()] == [8.0, 7.0, None]
 
     items = st.read_current(spark, root, st.BDI_ITEMS, st.BDI_ITEMS_SCHEMA)
@@ -105,6 +105,25 @@ def test_foreign_key_violation_raises(spark, tmp_path):
     assert not st.tables_exist(spark, root)          # nothing was written
 
 
+@pytest.mark.parametrize("bad", [("", "Girl"), (7, "")])
+def test_missing_key_or_label_stops_the_load(spark, tmp_path, bad):
+    root = scratch_path(spark, "survey-null")
+    s_csv = _screen_csv(tmp_path, [SCREEN_ROWS[0], (*bad, *SCREEN_ROWS[1][2:])], "s.csv")
+    with pytest.raises(Exception, match="required|NULL"):
+        st.import_csv(spark, s_csv, _items_csv(tmp_path, [(1, {})], "i.csv"), root)
+    assert not st.tables_exist(spark, root)
+
+
+def test_load_reports_rejects_and_reads_whole_floats(spark, tmp_path):
+    root = scratch_path(spark, "survey-rejects")
+    s_csv = _screen_csv(tmp_path, [(1, "GIRL ", "x", 6.0, 1.0, 8.0, 1.0, 1.0, "10.0", "1.5")], "s.csv")
+    out = st.import_csv(spark, s_csv, _items_csv(tmp_path, [(1, {"bdi_item_01": "2.0"})], "i.csv"), root)
+    assert out["rejects"] == {st.SCREEN_TIME: {"screen_time_index": 1, "depressed": 1}, st.BDI_ITEMS: {}}
+    row = st.read_current(spark, root, st.SCREEN_TIME, st.SCREEN_TIME_SCHEMA).first()
+    assert (row["sex"], row["bdi_total"], row["depressed"]) == ("girl", 10, None)
+    assert st.read_current(spark, root, st.BDI_ITEMS, st.BDI_ITEMS_SCHEMA).first()["bdi_item_01"] == 2
+
+
 def test_import_with_order_column(spark, tmp_path):
     root = scratch_path(spark, "survey-order")
     cols = [f.name for f in st.SCREEN_TIME_SCHEMA.fields] + ["seq"]

@@ -124,6 +124,90 @@ def test_json_column_oriented_rejected(spark, tmp_path):
         files.read_json_typed(spark, path, SCHEMA)
 
 
+def test_csv_folder_with_reordered_headers(spark, tmp_path):
+    _write(tmp_path, "subject_id,sex,hours\n1,Girl,5.5\n")
+    _write(tmp_path, "hours,subject_id,sex\n6.5,2,Boy\n", "b.csv")
+    got = files.read_csv_typed(spark, str(tmp_path), SCHEMA, required=["subject_id"])
+    assert sorted(map(tuple, got.collect())) == [(1, "Girl", 5.5, None), (2, "Boy", 6.5, None)]
+
+
+def test_csv_quotes_line_breaks_missing_tokens_and_whole_floats(spark, tmp_path):
+    text = 'subject_id,sex,hours,depressed\n9007199254740993,"say ""hi"", ok",1.5,3.0\n2,"two\nlines",NA,n/a\n3,NULL,2,3e0\n'
+    got = files.read_csv_typed(spark, _write(tmp_path, text), SCHEMA, required=["subject_id"])
+    assert sorted(map(tuple, got.collect())) == [
+        (2, "two\nlines", None, None), (3, None, 2.0, 3), (9007199254740993, 'say "hi", ok', 1.5, 3)]
+
+
+def test_csv_required_value_missing_or_malformed_raises(spark, tmp_path):
+    for value in ("", "NA", "x", "1.5"):
+        path = _write(tmp_path, f"subject_id,sex\n{value},Girl\n", f"r{len(value)}{value[:1]}.csv")
+        with pytest.raises(Exception, match="required subject_id"):
+            files.read_csv_typed(spark, path, SCHEMA, required=["subject_id"]).collect()
+
+
+def test_json_required_field_and_malformed_line(spark, tmp_path):
+    absent = _write(tmp_path, '{"sex": "Boy"}\n', "d.json")
+    with pytest.raises(Exception, match="required subject_id"):
+        files.read_json_typed(spark, absent, SCHEMA, required=["subject_id"]).collect()
+    broken = _write(tmp_path, '{"subject_id": 1, "sex": "Boy"}\n{"subject_id": 2,\n', "e.json")
+    with pytest.raises(Exception, match="malformed JSON"):
+        files.read_json_typed(spark, broken, SCHEMA).collect()
+
+
+def test_load_named_quotes_names(spark, tmp_path):
+    # the catalog allows no such table name, but asking for one must not fail to parse
+    spark.range(3).write.parquet(f"{tmp_path}/breast-cancer.parquet")
+    assert catalog.load_named(spark, "breast-cancer", str(tmp_path)).count() == 3
+    with pytest.raises(FileNotFoundError):
+        catalog.load_named(spark, "no-such", str(tmp_path))
+
+
+def _landed(spark, landing, rows, name):
+    spark.createDataFrame(rows, "k long, o long, v string").coalesce(1).write.parquet(f"{landing}/{name}")
+
+
+def test_stream_on_a_table_with_earlier_versions(spark):
+    from tessera.streaming import ingest
+    landing, table, ckpt = (scratch_path(spark, n) for n in ("land", "tbl", "ck"))
+    schema = spark.createDataFrame([], "k long, o long, v string").schema
+    for i in range(3):
+        ingest.commit_version(spark, table, spark.createDataFrame([(1, 1, f"batch{i}"), (2, 1, "b")], schema), ["k"])
+    _landed(spark, landing, [(1, 5, "stream")], "a")
+    ingest.upsert_stream(spark, f"{landing}/*", schema, ["k"], ["o"], table, ckpt).awaitTermination()
+    want = [(1, 5, "stream"), (2, 1, "b")]
+    assert sorted(map(tuple, ingest.latest_version(spark, table, schema).collect())) == want
+    # the same epoch again changes nothing; only the touched bucket was rewritten
+    again = spark.createDataFrame([(1, 9, "replayed")], schema)
+    stream = ingest._manifest(spark, table).where("stream IS NOT NULL").first()
+    assert ingest.merge_batch(spark, table, schema, again, ["k"], ["o"], stream["stream"], stream["epoch"]) is None
+    assert sorted(map(tuple, ingest.latest_version(spark, table, schema).collect())) == want
+    assert ingest._manifest(spark, table).where("version = 3").count() == 1
+
+
+def test_stream_result_does_not_depend_on_batching(spark):
+    from tessera.streaming import ingest
+    schema = spark.createDataFrame([], "k long, o long, v string").schema
+    results = []
+    for per_batch in (None, 1):
+        landing, table, ckpt = (scratch_path(spark, n) for n in ("land", "tbl", "ck"))
+        _landed(spark, landing, [(1, 10, "late"), (2, 1, "x")], "a")
+        _landed(spark, landing, [(1, 5, "early"), (3, 1, "y")], "b")
+        ingest.upsert_stream(spark, f"{landing}/*", schema, ["k"], ["o"], table, ckpt, files_per_batch=per_batch).awaitTermination()
+        assert len(ingest.list_versions(spark, table)) == (1 if per_batch is None else 2)
+        results.append(sorted(map(tuple, ingest.latest_version(spark, table, schema).collect())))
+    assert results[0] == results[1] == [(1, 10, "late"), (2, 1, "x"), (3, 1, "y")]
+
+
+def test_stream_upsert_runs_two_batches(spark, monkeypatch):
+    from tessera.plans import registry
+    from tessera.streaming import ingest
+    made = []
+    merge = ingest.merge_batch
+    monkeypatch.setattr(ingest, "merge_batch", lambda *a: made.append(merge(*a)))
+    registry.QUERIES["stream_upsert"](spark, SF_SMALL).count()
+    assert made == [0, 1]
+
+
 def test_scale_settings():
     from tessera.session import scale_settings
     s = scale_settings(100 * 1024 ** 4)             # 100 TB
