@@ -127,6 +127,8 @@ def import_csv(spark: SparkSession, screen_csv: str, items_csv: str, root: str,
                                             "subject_id", order_col, force)
     new_items, out[BDI_ITEMS] = _prepare(spark, root, BDI_ITEMS, BDI_ITEMS_SCHEMA, items_raw,
                                          "subject_id", order_col, force)
+    for df in (new_screen, new_items):
+        quality.assert_unique(df, "subject_id")
     if check_foreign_key:
         orphans = quality.orphan_rows(new_items.select("subject_id"), new_screen, "subject_id") \
             .limit(5).collect()

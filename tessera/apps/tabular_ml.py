@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import distributions, evaluate, features, missing, models, split
+from tessera.operators import distributions, evaluate, features, missing, models, quality, split
 from tessera.session import scratch_dir
 from tessera.sources import catalog, files
 
@@ -81,11 +81,14 @@ def classification_flow(df: DataFrame, key: str, label: str, numeric: Sequence[s
     select the regression fill of one numeric column.
     """
     spark = df.sparkSession
+    used = list(dict.fromkeys([key, label, *numeric, *cat_freq, *cat_const, *reg_predictors]))
+    quality.require_columns(df, used)
     data = df.withColumn(label, features.prepare_label(label, label_default))
     feature_cols = [c for c in data.columns if c not in (key, label)]
     profile = missing.missing_counts(data, feature_cols)
     summary = missing.missing_totals(data, feature_cols)
-    parts = split.stratified_split(data, label, key, test_size, seed)
+    # the split, its checkpoint and the fits read only the columns they need
+    parts = split.stratified_split(data.select(*used), label, key, test_size, seed)
     scratch_dir(spark)
     parts = parts.checkpoint(eager=True)          # many passes follow
     train = parts.where(F.col("split") == "train")

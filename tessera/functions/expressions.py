@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import add
-from typing import Iterable, Mapping, Sequence
+from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The depression bands of the reference report (inclusive integer
 # bounds, labels as the reference prints them, and its default label).
@@ -35,16 +34,6 @@ def nan_to_null(c: str | Column) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
-def normalise_nan(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """Replace NaN by NULL in every (or the listed) floating column."""
-    floating = {f.name for f in df.schema.fields
-                if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    todo = [c for c in (cols or df.columns) if c in floating]
-    if not todo:
-        return df
-    return df.withColumns({c: nan_to_null(c) for c in todo})
-
-
 def is_missing(c: str | Column, floating: bool) -> Column:
     c = col_(c)
     return (c.isNull() | F.isnan(c)) if floating else c.isNull()

@@ -40,8 +40,13 @@ def _edges(lo, hi):
 
 
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """``least(bins - 1, floor((x - lo) * bins / (hi - lo)))``."""
-    return F.least(F.lit(bins - 1), F.floor((x - lo) * F.lit(bins) / (hi - lo)).cast("int"))
+    """The bin whose edges ``lo + k * ((hi - lo) / bins)`` hold the value: the
+    quotient's floor, moved by one where rounding put it beyond an edge."""
+    k = F.least(F.lit(bins - 1), F.floor((x - lo) * F.lit(bins) / (hi - lo)).cast("int"))
+    step = (hi - lo) / F.lit(bins)
+    below = (x < lo + k * step).cast("int")
+    above = ((k < bins - 1) & (x >= lo + (k + 1) * step)).cast("int")
+    return k - below + above
 
 
 def _edge(lo: Column, hi: Column, k: Column, bins: int, digits: int) -> Column:

@@ -3,8 +3,8 @@
 Files carry no global row order in Spark, so "last" is defined by an explicit
 ordering column (or columns). Upsert is a full-row replace: an incoming NULL
 overwrites a stored value, as ``ON CONFLICT DO UPDATE SET col = excluded.col``
-does. Results are new DataFrames; writing them to a new location (never the
-path being read) is :func:`write_version`.
+does. Results are new DataFrames; versions are written by
+``streaming.ingest.commit_version``, never over the path being read.
 """
 
 from __future__ import annotations
@@ -70,12 +70,6 @@ def upsert_counters(raw_incoming: DataFrame, base: DataFrame, key: str | Sequenc
              "inserted", (F.col("unique") - F.col("inserted")).alias("updated"), "total")
 
 
-def write_version(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """Write an upsert result to a new location and return it."""
-    df.write.mode(mode).parquet(path)
-    return path
-
-
 def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int,
                    path: str | None = None) -> DataFrame:
     """Store a keyed table bucketed (and sorted) by its key as a catalog table,

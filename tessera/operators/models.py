@@ -121,6 +121,26 @@ class LogisticFit(LinearFit):
                 .withColumn(out, (self.linear_term() > F.lit(0.0)).cast("int")))
 
 
+@dataclass
+class MultinomialFit:
+    """One coefficient row and intercept per class ``0..k-1``."""
+    features: list
+    classes: list                  # one LinearFit per class
+
+    def predict(self, df: DataFrame, out: str = "prediction", prob: str = "probability") -> DataFrame:
+        """The class with the largest score (ties: the smallest) and its probability."""
+        best = F.array_max("_scores")
+        share = F.aggregate("_scores", F.lit(0.0), lambda acc, s: acc + F.exp(s - best))
+        return (df.withColumn("_scores", F.array(*[c.linear_term() for c in self.classes]))
+                .withColumn(prob, F.lit(1.0) / share)
+                .withColumn(out, (F.array_position("_scores", best) - 1).cast("int")).drop("_scores"))
+
+    def coefficient_table(self, spark) -> DataFrame:
+        rows = [(k, f, float(w)) for k, c in enumerate(self.classes) for f, w in zip(self.features, c.coefficients)]
+        return (spark.createDataFrame(rows, "class int, feature string, coefficient double")
+                .orderBy("class", F.abs("coefficient"), "feature"))
+
+
 def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Complete rows only, as in the closed form."""
     va = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
@@ -131,8 +151,6 @@ def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 # Up to this many features OLS is one covariance aggregate; beyond, pyspark.ml.
 CLOSED_FORM_MAX_FEATURES = 32
-# Training rows per task for iterative fits.
-ROWS_PER_TASK = 1_000_000
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
@@ -155,26 +173,29 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
 
 
 def fit_logistic(df: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
-                 max_iter: int = 1000, tol: float = 1e-10, cut_lineage: bool = True) -> LogisticFit:
-    """Binary logistic regression with the L2 objective
-    ``C * sum(logloss) + ||w||^2 / 2`` (intercept not penalised).
+                 max_iter: int = 1000, tol: float = 1e-10, cut_lineage: bool = True) -> LogisticFit | MultinomialFit:
+    """Logistic regression (multinomial for labels ``0..k-1`` with k > 2) with
+    the L2 objective ``C * sum(logloss) + ||w||^2 / 2`` (intercept not penalised).
 
     Spark minimises ``mean(logloss) + regParam/2 * ||w||^2``, so
     ``regParam = 1 / (C * n)`` gives the same optimum. The training frame is
-    checkpointed to the shared folder first, so the iterations re-read a
-    short lineage and survive executor loss.
+    checkpointed to the shared folder first, in as many tasks as it has, so the
+    iterations re-read a short lineage and survive executor loss.
     """
     data = _assembled(df, features, label)
     if cut_lineage:
         scratch_dir(df.sparkSession)
         data = data.checkpoint(eager=True)
-    n = data.count()
-    # one task per ~ROWS_PER_TASK rows for the iterations (coalesce never adds partitions)
-    data = data.coalesce(max(1, -(-n // ROWS_PER_TASK)))
-    lr = LogisticRegression(featuresCol="_features", labelCol="_label", family="binomial",
+    n, top = data.agg(F.count(F.lit(1)), F.max("_label")).first()
+    lr = LogisticRegression(featuresCol="_features", labelCol="_label",
+                            family="multinomial" if top and top > 1 else "binomial",
                             maxIter=max_iter, tol=tol, regParam=1.0 / (C * max(n, 1)),
                             elasticNetParam=0.0, standardization=False, fitIntercept=True)
     m = lr.fit(data)
+    if top and top > 1:
+        return MultinomialFit(list(features), [
+            LinearFit(list(features), [float(x) for x in row], float(b))
+            for row, b in zip(m.coefficientMatrix.toArray(), m.interceptVector.toArray())])
     return LogisticFit(list(features), [float(x) for x in m.coefficients], float(m.intercept))
 
 

@@ -94,16 +94,6 @@ def assert_not_null(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValueError(f"NULL in NOT NULL columns: {bad}")
 
 
-def ordered_present(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
-    """``[c for c in order if c in df[col].unique()]`` as a table
-    ``(col, position)``: the distinct values joined with the literal order."""
-    spark = df.sparkSession
-    pos = spark.createDataFrame([(v, i) for i, v in enumerate(order, start=1)],
-                                f"{col} string, position int")
-    present = df.select(F.col(col).cast("string").alias(col)).distinct()
-    return pos.join(present, col, "left_semi").orderBy("position")
-
-
 def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
     """Schema guard: raise naming the absent columns."""
     missing = [c for c in cols if c not in df.columns]

@@ -13,7 +13,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.expressions import band, band_position, percent, row_sum
+from tessera.functions.expressions import answered_count, band, band_position, percent, row_sum
 from tessera.plans.strategy import join_small, materialize
 
 
@@ -101,8 +101,7 @@ def item_scores(df: DataFrame, key: str, items: Sequence[str], bands: Sequence[t
     items gets a NULL score (and the default band) instead of a low score."""
     s = row_sum(items)
     if min_answered is not None:
-        answered = sum((F.col(c).isNotNull().cast("int") for c in items), F.lit(0))
-        s = F.when(answered >= F.lit(min_answered), s)
+        s = F.when(answered_count(items) >= F.lit(min_answered), s)
     scored = df.select(F.col(key), s.alias(score))
     return (scored.withColumn(category, band(score, bands, default))
             .orderBy(F.col(score).desc_nulls_last()))

@@ -48,12 +48,20 @@ SELECT * FROM base b WHERE NOT EXISTS (
   SELECT 1 FROM inc i WHERE i.o_custkey = b.o_custkey AND i.o_orderpriority = b.o_orderpriority)"""
 
 
+def _bin(x: str, lo: str, hi: str, n: int) -> str:
+    """Bin of a value by the edges ``lo + k * ((hi - lo) / n)``, last bin closed."""
+    k = f"LEAST({n - 1}, CAST(FLOOR(({x} - {lo}) * {n} / ({hi} - {lo})) AS INTEGER))"
+    step = f"(({hi} - {lo}) / {n})"
+    return (f"({k} - CAST({x} < {lo} + {k} * {step} AS INTEGER)"
+            f" + CAST({k} < {n - 1} AND {x} >= {lo} + ({k} + 1) * {step} AS INTEGER))")
+
+
 def _hist(src: str, col: str, bins: int) -> str:
     return f"""WITH src AS ({src}),
 m0 AS (SELECT MIN({col}) lo0, MAX({col}) hi0 FROM src WHERE {col} IS NOT NULL),
 m AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
              CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM m0),
-b AS (SELECT LEAST({bins - 1}, CAST(FLOOR(({col} - lo) * {bins} / (hi - lo)) AS INTEGER)) AS bin
+b AS (SELECT {_bin(col, 'lo', 'hi', bins)} AS bin
       FROM src, m WHERE {col} IS NOT NULL),
 h AS (SELECT bin, COUNT(*) AS n FROM b GROUP BY bin),
 e AS (SELECT CAST(i AS INTEGER) AS bin FROM range({bins}) t(i))
@@ -69,7 +77,7 @@ r0 AS (SELECT {grp}, CAST(MIN({col}) AS DOUBLE) lo0, CAST(MAX({col}) AS DOUBLE)
        FROM src WHERE {col} IS NOT NULL GROUP BY {grp}),
 r AS (SELECT {grp}, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
              CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0),
-b AS (SELECT s.{grp}, LEAST({bins - 1}, CAST(FLOOR((CAST(s.{col} AS DOUBLE) - r.lo) * {bins} / (r.hi - r.lo)) AS INTEGER)) AS bin
+b AS (SELECT s.{grp}, {_bin(f'CAST(s.{col} AS DOUBLE)', 'r.lo', 'r.hi', bins)} AS bin
       FROM src s JOIN r ON s.{grp} = r.{grp} WHERE s.{col} IS NOT NULL),
 h AS (SELECT {grp}, bin, COUNT(*) AS n FROM b GROUP BY {grp}, bin),
 e AS (SELECT CAST(i AS INTEGER) AS bin FROM range({bins}) t(i))
@@ -84,7 +92,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 WIDE = """SELECT l.doc_id + 9007199254740992 AS wide, d.lang, d.n_chars, d.doc_id
     FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
+
+
+def _newton(steps: int = 12) -> str:
+    """Logistic regression of y on x with C = 1 by Newton steps, one CTE each:
+    gradient and 2 x 2 Hessian of the log-loss plus w^2 / 2 (intercept free)."""
+    out = ["s0 AS (SELECT CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS w)"]
+    for k in range(steps):
+        out.append(f"""a{k} AS (SELECT s.b, s.w, SUM(p - y) AS g0, SUM((p - y) * x) + s.w AS g1, SUM(p * (1 - p)) AS h00,
+            SUM(p * (1 - p) * x) AS h01, SUM(p * (1 - p) * x * x) + 1 AS h11
+            FROM (SELECT d.x, d.y, s.b, s.w, 1 / (1 + EXP(-(s.b + s.w * d.x))) AS p FROM d CROSS JOIN s{k} s) s GROUP BY s.b, s.w),
+        s{k + 1} AS (SELECT b - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS b,
+            w - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS w FROM a{k})""")
+    return ",\n        ".join(out)
+
+
 ORACLE: dict[str, str] = {
+    "logreg_coefficients": f"""WITH r AS (SELECT CAST(d.n_chars AS DOUBLE) AS v, l.quality AS y
+            FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+        d AS MATERIALIZED (SELECT (v - m.mu) / m.sd AS x, y FROM r CROSS JOIN (SELECT AVG(v) AS mu, STDDEV_POP(v) AS sd FROM r) m),
+        {_newton()}
+        SELECT 'n_chars' AS feature, ROUND(w, 5) + 0.0 AS coefficient FROM s12
+        UNION ALL SELECT 'intercept', ROUND(b, 5) + 0.0 FROM s12""",
     "seq_squares": "SELECT o_orderkey AS n, o_orderkey * o_orderkey AS square FROM orders",
     "csv_rejects": """SELECT CAST(0 AS BIGINT) AS c_custkey, COUNT(c_name) AS c_name,
         COUNT(*) FILTER (WHERE c_acctbal <> FLOOR(c_acctbal)) AS c_acctbal, CAST(0 AS BIGINT) AS c_nationkey FROM customer""",
@@ -100,7 +129,7 @@ ORACLE: dict[str, str] = {
     "label_histograms": """WITH p AS (SELECT CASE l.quality WHEN 0 THEN 'low' WHEN 1 THEN 'high' END AS label,
                              CAST(d.n_chars AS DOUBLE) AS x FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
         m AS (SELECT MIN(x) lo, MAX(x) hi FROM p WHERE x IS NOT NULL),
-        b AS (SELECT label, LEAST(29, CAST(FLOOR((x - lo) * 30 / (hi - lo)) AS INTEGER)) AS bin FROM p, m WHERE x IS NOT NULL),
+        b AS (SELECT label, """ + _bin("x", "lo", "hi", 30) + """ AS bin FROM p, m WHERE x IS NOT NULL),
         h AS (SELECT label, bin, COUNT(*) AS n FROM b GROUP BY label, bin),
         c AS (SELECT DISTINCT label FROM p WHERE x IS NOT NULL),
         e AS (SELECT CAST(i AS INTEGER) AS bin FROM range(30) t(i))
@@ -308,7 +337,7 @@ ORACLE: dict[str, str] = {
     "histogram": _hist("SELECT value FROM events", "value", 30),
     "histogram_by_group": _hist_by_group("SELECT event_type, value FROM events", "event_type", "value", 30),
     "histogram_stacked": """WITH m AS (SELECT MIN(value) lo, MAX(value) hi FROM events WHERE value IS NOT NULL),
-        b AS (SELECT event_type, LEAST(29, CAST(FLOOR((value - lo) * 30 / (hi - lo)) AS INTEGER)) AS bin
+        b AS (SELECT event_type, """ + _bin("value", "lo", "hi", 30) + """ AS bin
               FROM events, m WHERE value IS NOT NULL),
         h AS (SELECT event_type, bin, COUNT(*) AS n FROM b GROUP BY event_type, bin),
         c AS (SELECT DISTINCT event_type FROM events WHERE value IS NOT NULL),
@@ -327,8 +356,8 @@ ORACLE: dict[str, str] = {
                              MAX(l_extendedprice) yhi0 FROM lineitem),
         e AS (SELECT CASE WHEN xlo0 = xhi0 THEN xlo0 - 0.5 ELSE xlo0 END xlo, CASE WHEN xlo0 = xhi0 THEN xhi0 + 0.5 ELSE xhi0 END xhi,
                      CASE WHEN ylo0 = yhi0 THEN ylo0 - 0.5 ELSE ylo0 END ylo, CASE WHEN ylo0 = yhi0 THEN yhi0 + 0.5 ELSE yhi0 END yhi FROM m)
-        SELECT l_returnflag, LEAST(19, CAST(FLOOR((l_quantity - xlo) * 20 / (xhi - xlo)) AS INTEGER)) AS bx,
-               LEAST(19, CAST(FLOOR((l_extendedprice - ylo) * 20 / (yhi - ylo)) AS INTEGER)) AS "by",
+        SELECT l_returnflag, """ + _bin("l_quantity", "xlo", "xhi", 20) + """ AS bx,
+               """ + _bin("l_extendedprice", "ylo", "yhi", 20) + """ AS "by",
                COUNT(*) AS n
         FROM lineitem, e GROUP BY ALL""",
     "hash_sample": """SELECT event_id, event_type, value, md5(concat('42:', CAST(event_id AS VARCHAR))) AS sample_hash

@@ -418,6 +418,16 @@ def q_logreg_fit(spark: SparkSession, d: str) -> DataFrame:
             .orderBy(F.abs("coefficient"), "feature"))
 
 
+def q_logreg_coefficients(spark: SparkSession, d: str) -> DataFrame:
+    """Quality from the standardised length: the fitted coefficients by magnitude."""
+    labels, docs = tables(spark, d, "labels", "documents")
+    data = labels.select("doc_id", "quality").join(docs.select("doc_id", F.col("n_chars").cast("double")), "doc_id")
+    fit = models.fit_logistic(features.fit_scaler(data, ["n_chars"]).transform(data), ["n_chars"], "quality")
+    rows = fit.coefficient_table(spark).unionByName(
+        spark.createDataFrame([("intercept", fit.intercept)], "feature string, coefficient double"))
+    return rows.select("feature", rounded("coefficient", 5).alias("coefficient")).orderBy(F.abs("coefficient"), "feature")
+
+
 def q_logreg_report(spark: SparkSession, d: str) -> DataFrame:
     """The model script end to end on labelled documents: exact stratified
     split, preprocessing fitted on the train rows, logistic regression,

@@ -167,7 +167,7 @@ def test_mse_r2(spark):
 
 def test_sequence(spark):
     from tessera.operators.reports import run_sql
-    assert [r["square"] for r in reports.sequence_squares(spark, 10).orderBy("n").collect()] == \
+    assert [r["square"] for r in reports.squares(spark.range(1, 11), "id").orderBy("n").collect()] == \
         [n * n for n in range(1, 11)]
     got = [r[0] for r in run_sql(spark, "SELECT id * id FROM range(1, ? + 1) ORDER BY id", (10,)).collect()]
     assert got == [n * n for n in range(1, 11)]

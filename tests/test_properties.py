@@ -258,3 +258,32 @@ def test_r2_with_gaps_and_constant_truth(spark):
 def test_corr_treats_nan_as_missing(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (float("nan"), 1.0)], "`a|b` double, c double")
     assert [tuple(r) for r in distributions.pairwise_corr(df, ["a|b", "c"]).collect()] == [("a|b", "c", 1.0)]
+
+
+def test_bins_are_those_of_the_library_histogram(spark):
+    rng = np.random.default_rng(7)
+    for values, bins in ((np.arange(11) / 10, 10), (np.round(rng.random(400), 2), 30), (np.arange(50) * 0.7, 7)):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        got = [r["n"] for r in distributions.histogram(df, "x", bins).orderBy("bin").collect()]
+        assert got == np.histogram(values, bins)[0].tolist()
+
+
+def test_logistic_with_three_classes(spark):
+    from tessera.operators import models
+    rng = np.random.default_rng(1)
+    rows = [(float(rng.normal(c * 3, 0.3)), float(rng.normal(-c, 0.3)), c) for c in (0, 1, 2) for _ in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    fit = models.fit_logistic(df, ["a", "b"], "y")
+    assert fit.predict(df).where("prediction = y").count() == 120
+    table = fit.coefficient_table(spark)
+    assert table.count() == 6 and table.columns == ["class", "feature", "coefficient"]
+
+
+def test_split_with_many_classes_shuffles_no_rows_but_the_boundary_ones(spark):
+    df = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 1000).alias("c"))
+    out = split.stratified_split(df, "c", "k", 0.2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1 and "SortMergeJoin" not in plan
+    # the only hash exchange is under the rank of the boundary buckets
+    assert plan.count("Exchange hashpartitioning") <= 1
+    assert out.where("split = 'test'").count() == 4000 and out.count() == 20_000
