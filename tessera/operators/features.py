@@ -92,26 +92,14 @@ class ColumnProfile:
     present: dict
     mean: dict
     var: dict
+    medians: dict
 
     def _val(self, c: str) -> str:
         return _value_field(self.df_schema, c)
 
     def median(self, c: str):
         """Exact median (mean of the middle pair) of the present values."""
-        if self.local is not None:
-            pairs = self.local.get(c, [])
-            n = sum(k for _, k in pairs)
-            at, before = {}, 0
-            for v, k in pairs:
-                at.update({r: v for r in ((n - 1) // 2, n // 2) if before <= r < before + k})
-                before += k
-        else:
-            at = quantiles_from_counts(self.counts.where(F.col("column") == F.lit(c))
-                                       .select(F.col(self._val(c)).alias("_v"), "n"), "_v", "n",
-                                       lambda n: [(n - 1) // 2, n // 2])
-        if not at:
-            return None
-        return (float(at[min(at)]) + float(at[max(at)])) / 2.0
+        return self.medians[c]
 
     def mode(self, c: str):
         """Most frequent present value, ties to the smallest."""
@@ -154,7 +142,48 @@ class ColumnProfile:
         return mean, math.sqrt(max(m2 / n, 0.0))
 
 
-def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequence[str] = ()) -> ColumnProfile:
+# Brackets around a median, tried one after the other: shares of the values
+# (their approximate quantiles come with the moments), at last everything.
+MEDIAN_BRACKETS = ((0.4995, 0.5005), (0.25, 0.75))
+
+
+def _medians(df: DataFrame, found: dict) -> dict:
+    """Exact medians of several columns from ``found``: column -> (present
+    values, approximate quantiles at ``MEDIAN_BRACKETS``).
+
+    One pass for all columns counts the values below each bracket and, per
+    distinct value, those inside it: a small share of the rows, however many
+    distinct values a column has. The middle ranks are located among them. A
+    column whose middle lies outside its bracket takes part in another pass
+    with the next one."""
+    out = {c: None for c, (n, _) in found.items() if not n}
+    todo, k = [c for c in found if c not in out], 0
+    while todo:
+        last = k >= len(MEDIAN_BRACKETS)
+        parts = []
+        for i, c in enumerate(todo):
+            x = _clean(df, c).cast("double")
+            lo, hi = (-math.inf, math.inf) if last else found[c][1][2 * k:2 * k + 2]
+            parts.append(F.struct(F.lit(i).alias("i"), F.when(x <= hi, F.coalesce(x < lo, F.lit(False))).alias("below"),
+                                  F.when(x >= lo, x).alias("v")))
+        counts = checkpointed(df.select(F.inline(F.array(*parts))).where(F.col("below").isNotNull())
+                              .groupBy("i", "below", "v").agg(F.count(F.lit(1)).alias("n")))
+        size = {(r["i"], r["below"]): r["n"] for r in counts.groupBy("i", "below").agg(F.sum("n").alias("n")).collect()}
+        again = []
+        for i, c in enumerate(todo):
+            n, before, inside = found[c][0], size.get((i, True), 0), size.get((i, False), 0)
+            ranks = [(n - 1) // 2 - before, n // 2 - before]
+            if ranks[0] < 0 or ranks[1] >= inside:
+                again.append(c)
+                continue
+            at = quantiles_from_counts(counts.where((F.col("i") == i) & ~F.col("below")), "v", "n", ranks)
+            out[c] = (at[ranks[0]] + at[ranks[1]]) / 2.0
+        todo, k = again, k + 1
+    return out
+
+
+def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequence[str] = (),
+                    medians: Sequence[str] = ()) -> ColumnProfile:
     """Pass 1 (when anything is counted): :func:`value_counts` of ``counted``
     plus the row count, checkpointed. The present count, mean and population variance of a
     counted column come from that per-value table (centred, so stable), not
@@ -202,17 +231,21 @@ def profile_columns(df: DataFrame, counted: Sequence[str] = (), measured: Sequen
             for c in measured:
                 if c in counted and c not in per:
                     mean[c], var[c] = None, None
-    rest = [c for c in measured if c not in counted]
+    rest = [c for c in dict.fromkeys([*measured, *medians]) if c not in counted or c in medians]
     if rest or rows is None:
         aggs = [F.count(F.lit(1)).alias("_rows")]
         for i, c in enumerate(rest):
             x = _clean(df, c).cast("double")
             aggs += [F.count(x).alias(f"p{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+            if c in medians:
+                ends = [p for pair in MEDIAN_BRACKETS for p in pair]
+                aggs.append(F.percentile_approx(x, ends, 10_000).alias(f"q{i}"))
         row = df.agg(*aggs).first()
         rows = row["_rows"]
         for i, c in enumerate(rest):
             present[c], mean[c], var[c] = row[f"p{i}"], row[f"m{i}"], row[f"v{i}"]
-    return ColumnProfile(df.schema, local, counts, rows, present, mean, var)
+    middle = _medians(df, {c: (row[f"p{i}"], row[f"q{i}"]) for i, c in enumerate(rest) if c in medians})
+    return ColumnProfile(df.schema, local, counts, rows, present, mean, var, middle)
 
 
 # ---------------------------------------------------------------- statistics
@@ -221,9 +254,8 @@ def exact_median(df: DataFrame, c: str):
     """Exact median of the non-missing values (mean of the middle pair).
 
     A global ``median`` aggregate merges every distinct value in one task;
-    here values are counted per distinct value in one pass and the middle
-    pair is located in that table (see ``plans.strategy.quantiles_from_counts``)."""
-    return profile_columns(df, counted=[c]).median(c)
+    here only values near the middle are counted (see :func:`_medians`)."""
+    return profile_columns(df, medians=[c]).median(c)
 
 
 def most_frequent(df: DataFrame, c: str):
@@ -268,9 +300,9 @@ def fit_imputer(df: DataFrame, median: Sequence[str] = (), mean: Sequence[str] =
                 most_frequent_cols: Sequence[str] = (),
                 constant: Mapping[str, object] | None = None) -> FittedImputer:
     """Learn fill values: median / mean / most frequent / constant per column,
-    from one value-count pass (medians, modes) and one moments pass (means),
-    whatever the number of columns."""
-    profile = profile_columns(df, counted=list(median) + list(most_frequent_cols), measured=list(mean))
+    from one value-count pass (modes), one moments pass (means, median
+    brackets) and one pass around the medians, whatever the number of columns."""
+    profile = profile_columns(df, counted=list(most_frequent_cols), measured=list(mean), medians=list(median))
     return FittedImputer(_fills(profile, median, mean, most_frequent_cols, constant))
 
 
@@ -322,8 +354,8 @@ class FittedOneHot:
         for c, cats in self.categories.items():
             kept = cats[1:] if self.drop_first else cats
             for v in kept:
-                cols.append(F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0))
-                            .alias(f"{self.prefix}{c}_{v}"))
+                same = F.col(c).isNull() if v is None else F.coalesce(F.col(c) == F.lit(v), F.lit(False))
+                cols.append(same.cast("double").alias(f"{self.prefix}{c}_{v}"))
         return cols
 
     def unseen(self, df: DataFrame) -> DataFrame:
@@ -331,10 +363,12 @@ class FittedOneHot:
         spark = df.sparkSession
         out = spark.createDataFrame([], "column string, value string")
         for c, cats in self.categories.items():
-            known = spark.createDataFrame([(str(v),) for v in cats], "value string")
-            vals = (df.select(F.col(c).cast("string").alias("value")).where("value IS NOT NULL")
-                    .distinct().join(F.broadcast(known), "value", "left_anti")
+            known = spark.createDataFrame([(None if v is None else str(v),) for v in cats], "known string")
+            vals = (df.select(F.col(c).cast("string").alias("value")).distinct()
+                    .join(F.broadcast(known), F.col("value").eqNullSafe(F.col("known")), "left_anti")
                     .select(F.lit(c).alias("column"), "value"))
+            if not self.strict:
+                vals = vals.where("value IS NOT NULL")
             out = out.unionByName(vals)
         return out
 
@@ -359,10 +393,15 @@ def fit_one_hot(df: DataFrame, cols: Sequence[str], prefix: str = "", drop_first
     if not cols:
         return FittedOneHot({}, prefix, drop_first, strict)
     profile = profile_columns(df, counted=list(cols))
-    cats = {c: profile.categories(c, max_categories) for c in cols}
+    cats = {c: profile.categories(c, max_categories) + _missing_category(profile, c, strict) for c in cols}
     return FittedOneHot(cats, prefix, drop_first, strict)
 
 
+def _missing_category(profile: ColumnProfile, c: str, strict: bool) -> list:
+    """The strict encoder takes a missing value as a category of its own, the last."""
+    return [None] if strict and profile.missing(c) else []
+
+
 # -------------------------------------------------------- combined preprocess
 
 @dataclass
@@ -419,9 +458,9 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], cat_freq: Sequence[s
         raise ValueError("reg_target must be one of the numeric columns")
     numeric, cat_freq, cat_const = list(numeric), list(cat_freq), list(cat_const)
     median_cols = [c for c in numeric if c != reg_target] if impute else []
-    counted = median_cols + cat_freq + cat_const
-    # two passes over the rows for every column: value counts, then moments
-    profile = profile_columns(df, counted=counted, measured=numeric)
+    counted = cat_freq + cat_const
+    # three passes over the rows for all columns: value counts, moments, around the medians
+    profile = profile_columns(df, counted=counted, measured=numeric, medians=median_cols)
     if impute:
         fills = _fills(profile, median_cols, (), cat_freq, {c: fill_value for c in cat_const})
     else:
@@ -433,8 +472,8 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], cat_freq: Sequence[s
         present = profile.categories(c)
         fill = fills.get(c)
         if fill is not None and profile.missing(c) and fill not in present:
-            present = sorted(present + [fill], key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
-        return present
+            present = sorted(present + [fill], key=_sort_key)
+        return present + _missing_category(profile, c, strict and fill is None)
 
     oh_f = FittedOneHot({c: cats(c) for c in cat_freq}, "cat_f__" if impute else "cat__", True, strict)
     oh_c = FittedOneHot({c: cats(c) for c in cat_const}, "cat_c__", True, strict)

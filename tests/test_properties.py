@@ -287,3 +287,26 @@ def test_split_with_many_classes_shuffles_no_rows_but_the_boundary_ones(spark):
     # the only hash exchange is under the rank of the boundary buckets
     assert plan.count("Exchange hashpartitioning") <= 1
     assert out.where("split = 'test'").count() == 4000 and out.count() == 20_000
+
+
+def test_medians_of_several_columns_share_passes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4001, 3)).round(2)
+    rows = [(float(a), None if b > 1 else float(b), 7.0) for a, b, _ in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    want = {"a": np.median(x[:, 0]), "b": np.median([b for _, b, _ in rows if b is not None]), "c": 7.0}
+    assert features.fit_imputer(df, median=["a", "b", "c"]).fills == pytest.approx(want, abs=1e-12)
+    # brackets that miss the middle are widened until they hold it
+    monkeypatch.setattr(features, "MEDIAN_BRACKETS", ((0.9, 0.95), (0.0, 0.1)))
+    assert features.fit_imputer(df, median=["a", "b", "c"]).fills == pytest.approx(want, abs=1e-12)
+    none = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    assert features.fit_imputer(none, median=["a", "b"]).fills == {"a": None, "b": 1.0}
+
+
+def test_strict_encoder_takes_missing_as_a_category(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    hot = features.fit_one_hot(df, ["c"], strict=True)
+    got = {tuple(r) for r in hot.transform(df).collect()}
+    assert hot.output_names() == ["c_b", "c_None"] and got == {(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)}
+    with pytest.raises(ValueError, match="unknown"):
+        features.fit_one_hot(df.where("c IS NOT NULL"), ["c"], strict=True).transform(df)
