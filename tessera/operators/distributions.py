@@ -178,10 +178,27 @@ def pairwise_corr(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFr
             .select("p.x", "p.y", (F.round("p.corr", digits) + F.lit(0.0)).alias("corr")))
 
 
-def share_by_label(df: DataFrame, label: str, features: Sequence[str], bins: int = 30) -> DataFrame:
-    """Pair-plot diagonal re-aimed: per feature, a stacked histogram by label."""
-    out = None
-    for f in features:
-        h = histogram_stacked(df, label, f, bins).withColumn("feature", F.lit(f))
-        out = h if out is None else out.unionByName(h)
-    return out
+def share_by_label(df: DataFrame, label: str, features: Sequence[str], bins: int = 30,
+                   digits: int = 6) -> DataFrame:
+    """Pair-plot diagonal re-aimed: per feature, a stacked histogram by label
+    (common edges per feature). Two scans for any number of features: all
+    ranges in one aggregate, all counts per (feature, label, bin) in another."""
+    df = df.where(F.col(label).isNotNull())
+    value = {f: F.when(present(df, f), F.col(f).cast("double")) for f in features}
+    row = df.agg(*[g(value[f]).alias(f"{g.__name__}_{i}") for i, f in enumerate(features) for g in (F.min, F.max)]).first()
+    edges = {f: _edges(row[f"min_{i}"], row[f"max_{i}"]) for i, f in enumerate(features)}
+    used = [f for f in features if edges[f][0] is not None]
+    spark = df.sparkSession
+    if not used:
+        return spark.createDataFrame([], f"{label} string, bin int, lo_edge double, hi_edge double, n long, feature string")
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), bin_index(value[f], *map(F.lit, edges[f]), bins).alias("bin"))
+                      for f in used])
+    counts = (df.select(label, F.inline(cells)).where(F.col("bin").isNotNull())
+              .groupBy("feature", label, "bin").agg(F.count(F.lit(1)).alias("n")))
+    ranges = spark.createDataFrame([(f, *edges[f]) for f in used], "feature string, lo double, hi double")
+    frame = (counts.select("feature", label).distinct()
+             .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))))
+    return (frame.join(counts, ["feature", label, "bin"], "left").join(F.broadcast(ranges), "feature")
+            .select(label, "bin", _edge(F.col("lo"), F.col("hi"), F.col("bin"), bins, digits).alias("lo_edge"),
+                    _edge(F.col("lo"), F.col("hi"), F.col("bin") + 1, bins, digits).alias("hi_edge"),
+                    F.coalesce("n", F.lit(0)).cast("long").alias("n"), "feature"))

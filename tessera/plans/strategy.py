@@ -99,12 +99,12 @@ def null_safe_anti(left: DataFrame, right_keys: DataFrame, keys) -> DataFrame:
     NULL. Rows with complete keys take a plain equi anti join, which keeps
     existing hash partitioning and bucketing (no shuffle of a bucketed
     ``left``). Rows with a NULL in the key meet the right side's NULL-keyed
-    rows through a size-checked broadcast, so a hot NULL key is not shuffled."""
+    rows in a null-safe join, where AQE splits a hot key. Nothing runs before
+    the result is asked for."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     ok = keys_present(keys)
     main = left.where(ok).join(right_keys.where(ok), keys, "left_anti")
-    rest = join_small(left.where(~ok), right_keys.where(~ok).select(*keys).distinct(), keys,
-                      "left_anti", null_safe=True)
+    rest = null_safe_join(left.where(~ok), right_keys.where(~ok).select(*keys).distinct(), keys, "left_anti")
     return main.unionByName(rest)
 
 
