@@ -147,6 +147,15 @@ class ColumnProfile:
 MEDIAN_BRACKETS = ((0.4995, 0.5005), (0.25, 0.75))
 
 
+def _at_ranks(pairs: list, ranks: list) -> dict:
+    """The value at each rank of sorted (value, count) pairs."""
+    at, before = {}, 0
+    for v, n in pairs:
+        at.update({r: v for r in ranks if before <= r < before + n})
+        before += n
+    return at
+
+
 def _medians(df: DataFrame, found: dict) -> dict:
     """Exact medians of several columns from ``found``: column -> (present
     values, approximate quantiles at ``MEDIAN_BRACKETS``).
@@ -168,7 +177,12 @@ def _medians(df: DataFrame, found: dict) -> dict:
                                   F.when(x >= lo, x).alias("v")))
         counts = checkpointed(df.select(F.inline(F.array(*parts))).where(F.col("below").isNotNull())
                               .groupBy("i", "below", "v").agg(F.count(F.lit(1)).alias("n")))
-        size = {(r["i"], r["below"]): r["n"] for r in counts.groupBy("i", "below").agg(F.sum("n").alias("n")).collect()}
+        size = {(r["i"], r["below"]): r["n"] for r in
+                counts.groupBy("i", "below").agg(F.sum("n").alias("n")).collect()}      # two rows a column
+        # few values near the middles: read once; many: located by running counts
+        local = None
+        if is_small(counts, strategy.SMALL_DISTINCT):
+            local = sorted((r["i"], r["v"], r["n"]) for r in counts.where(~F.col("below")).collect())
         again = []
         for i, c in enumerate(todo):
             n, before, inside = found[c][0], size.get((i, True), 0), size.get((i, False), 0)
@@ -176,7 +190,10 @@ def _medians(df: DataFrame, found: dict) -> dict:
             if ranks[0] < 0 or ranks[1] >= inside:
                 again.append(c)
                 continue
-            at = quantiles_from_counts(counts.where((F.col("i") == i) & ~F.col("below")), "v", "n", ranks)
+            if local is not None:
+                at = _at_ranks([(v, k) for j, v, k in local if j == i], ranks)
+            else:
+                at = quantiles_from_counts(counts.where((F.col("i") == i) & ~F.col("below")), "v", "n", ranks)
             out[c] = (at[ranks[0]] + at[ranks[1]]) / 2.0
         todo, k = again, k + 1
     return out

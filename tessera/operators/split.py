@@ -48,14 +48,13 @@ def class_quotas(class_counts: dict, test_size: float) -> dict:
     return base
 
 
-def _quotas(sizes: DataFrame, label: str, test_size: float) -> DataFrame:
-    """``(label, _q)``: :func:`class_quotas` as a table, for any number of classes."""
-    sizes = checkpointed(sizes)
-    n = sizes.agg(F.sum("_n")).first()[0] or 0
+def _quotas(sizes: DataFrame, n: int, label: str, test_size: float) -> DataFrame:
+    """``(label, _q)``: :func:`class_quotas` as a table, for any number of
+    classes; ``n`` is their total."""
     n_test = math.ceil(test_size * n)
     whole = F.col("_n").cast("decimal(38,0)") * F.lit(n_test).cast("decimal(20,0)")
-    parts = checkpointed(sizes.withColumn("_q", F.floor(whole / max(n, 1)).cast("long"))
-                         .withColumn("_rem", (whole % F.lit(max(n, 1))).cast("long")))
+    parts = (sizes.withColumn("_q", F.floor(whole / max(n, 1)).cast("long"))
+             .withColumn("_rem", (whole % F.lit(max(n, 1))).cast("long")))
     left = n_test - (parts.agg(F.sum("_q")).first()[0] or 0)
     more = (parts.orderBy(F.col("_rem").desc(), F.col(label).asc_nulls_last()).limit(left)
             .select(label, F.lit(1).alias("_more")))
@@ -73,14 +72,14 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
         per_bucket = checkpointed(hashed.groupBy(label, F.substring("_h", 1, digits).alias("_b"))
                                   .agg(F.count(F.lit(1)).alias("_c")))
         sizes = per_bucket.groupBy(label).agg(F.sum("_c").alias("_n"))
-        biggest = sizes.agg(F.max("_n")).first()[0] or 0
+        biggest, n = (v or 0 for v in sizes.agg(F.max("_n"), F.sum("_n")).first())
         need = digits
         while need < 6 and biggest / (16 ** need) > ROWS_PER_HASH_BUCKET:
             need += 1
         if need == digits:
             break
         digits = need        # a class too large for these buckets: split finer
-    quotas = _quotas(sizes, label, test_size)
+    quotas = _quotas(sizes, n, label, test_size)
 
     w = (Window.partitionBy(label).orderBy("_b")
          .rowsBetween(Window.unboundedPreceding, -1))
