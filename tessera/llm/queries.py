@@ -26,13 +26,13 @@ def op1_pii(spark: SparkSession, d: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, d: str) -> DataFrame:
     """Benchmark windows of 10 words found in every whole document through an
-    FM-index per shard: hit words, items, and the merged removal spans."""
+    FM-index per shard: hit words, items, and the merged removal spans (in words, end exclusive)."""
     leaks = decontam.find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
     hit = F.aggregate("words", F.lit(0).cast("bigint"), lambda n, s: n + s[1] - s[0])
     return leaks.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
-        F.array_join(F.transform("chars", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removal_spans"))
+        F.array_join(F.transform("words", lambda s: F.concat_ws(":", s[0], s[1])), ",").alias("removal_spans"))
 
 
 def op3_sentence_spans(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +144,26 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE: dict[str, str] = {
+    "op2_decontamination": f"""WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        phrase AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+            FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) t(i) WHERE len(w) > 0),
+        d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+        found AS (SELECT o.doc_id, o.i, o.n, p.item_id FROM (
+            SELECT d.doc_id, i, s.n, array_to_string(d.w[i:i + s.n - 1], ' ') AS g
+            FROM d, (SELECT DISTINCT n FROM phrase) s, unnest(range(1, len(d.w) - s.n + 2)) t(i)) o JOIN phrase p ON p.g = o.g AND p.n = o.n),
+        hit AS (SELECT DISTINCT doc_id, unnest(range(i - 1, i - 1 + n)) AS p FROM found),
+        span AS (SELECT doc_id, min(p) AS a, max(p) + 1 AS z, count(*) AS n FROM (
+            SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS island FROM hit) h GROUP BY doc_id, island),
+        h AS (SELECT doc_id, sum(n) AS n_hit, string_agg(a || ':' || z, ',' ORDER BY a) AS spans FROM span GROUP BY doc_id),
+        m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) f GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated, coalesce(spans, '') AS removal_spans
+        FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
