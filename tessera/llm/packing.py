@@ -6,7 +6,7 @@ packed by retrieval: a BM25 inverted index, sharded, returns the unused
 neighbours of a seed document, which greedily fill its window.
 
 1. Tokenise (Arrow batches). Words, cut at ASCII white space, are tokenised
-   once a task and remembered: no token reaches over white space and letter
+   once and remembered by the worker: no token reaches over white space and letter
    case does not matter to the vocabulary, so the ids are those of the whole
    text. Per document one row leaves:
    counts, checksums of its pieces, and its terms (token ids with counts).
@@ -36,6 +36,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -51,7 +52,7 @@ WINDOW = 4096
 END_ID = 2
 SHARD_DOCS = 2048
 K1, B = 1.2, 0.75
-#: Words a task remembers before it starts anew.
+#: Above so many remembered words only the last batch's are kept.
 KEEP = 600_000
 #: Words, in lower case, that are one run of letters in composed normal form,
 #: or such a run and one of signs (an apostrophe can join both, so it is none).
@@ -109,14 +110,21 @@ class Encoder:
         known.update([(w, known[base] + known[sign]) for w, base, sign in ended])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        if len(self.known) > self.keep:
-            self.known = {}
         # a special token's name counts in its own letter case: such texts go whole
         split = [None if "<|" in (t or "") else (t or "").encode("utf-8", "replace").lower().split() for t in texts]
-        self._learn({w for s in split if s for w in s}.difference(self.known))
+        words = {w for s in split if s for w in s}
+        self._learn(words.difference(self.known))
         get = self.known.__getitem__
         for t, s in zip(texts, split, strict=True):
             yield (self._ids([t])[0] if s is None else b"".join(map(get, s))) + self.end
+        if len(self.known) > self.keep:
+            self.known = {w: get(w) for w in words}
+
+
+@lru_cache(maxsize=1)
+def encoder(vocabulary: str, end_id: int) -> Encoder:
+    """A worker process keeps its encoder, and the words it knows, for later tasks."""
+    return Encoder(vocabulary, end_id)
 
 
 ROW = ("n_tokens bigint, full array<bigint>, rest int, rest_crc bigint, terms binary, counts binary")
@@ -124,10 +132,10 @@ ROW = ("n_tokens bigint, full array<bigint>, rest int, rest_crc bigint, terms bi
 
 def _tokenise(vocabulary: str, window: int, end_id: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, size = Encoder(vocabulary, end_id), 4 * window
+        size = 4 * window
         for b in it:
             rows = []
-            for raw in encoder.encode(b.column(1).to_pylist()):
+            for raw in encoder(vocabulary, end_id).encode(b.column(1).to_pylist()):
                 whole = len(raw) // size * size
                 term, count = np.unique(np.frombuffer(raw, "<u4")[:-1], return_counts=True)
                 rows.append((len(raw) // 4, [zlib.crc32(raw[k:k + size]) for k in range(0, whole, size)],
