@@ -181,7 +181,8 @@ def train(df: DataFrame, learn: Column, vocabulary: str, text_col: str = "text",
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
     per_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).select(
         F.col("lang").alias("l"), F.least(F.lit(1.0), train_docs / F.col("rows")).alias("share"))
-    sample = rows.join(per_lang, F.col("lang") == F.col("l")).where(
+    # one row a language, as the model sent to every task has one column a language
+    sample = rows.join(F.broadcast(per_lang), F.col("lang") == F.col("l")).where(
         F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000).select("lang", "text")
     counts = map_arrow(sample, _count, "lang string, word string, n bigint")
     for_workers(df.sparkSession)
