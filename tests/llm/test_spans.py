@@ -72,3 +72,27 @@ def test_shared_passage(spark):
 def test_long_sentence_is_cut_alike():
     long = " ".join(f"w{k}" for k in range(60))
     assert [w for _, _, w in spans.sentences("Intro here. " + long + ". End.")] == [2, 24, 24, 12, 1]
+
+
+def test_passage_inside_long_sentences_at_any_offset(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    some = lambda n: [word() for _ in range(n)]
+    passage = some(60)
+    docs = [(k, " ".join(some(k) + passage + some(40 - k))) for k in range(30)]
+    edited = [*passage[:5], "inserted", *passage[5:]]
+    docs += [(30, " ".join(some(30) + edited + some(9))), (31, " ".join(passage))]
+    got = {r.doc_id: r.text.split() for r in spans.remove_repeats(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[0] == docs[0][1].split()
+    left = {k: [w for w in passage if w in set(got[k])] for k in range(1, 32)}
+    # only the parts before the first and after the last cut inside the passage stay
+    assert max(map(len, left.values())) < 30, {k: len(w) for k, w in left.items()}
+
+
+def test_long_sentences_without_any_cut_of_their_own():
+    for n in (25, 48, 49, 1000):
+        cut = spans.cuts(["ha"] * n)
+        assert cut[-1] == n and all(0 < b - a <= spans.MAX_WORDS for a, b in zip([0, *cut], cut))
+        text = " ".join(["ha"] * n)
+        assert sum(w for _, _, w in spans.sentences(text)) == n
