@@ -3,7 +3,7 @@
 Base kinds (email, ip, card, phone) follow fixed patterns, leftmost and
 non-overlapping per kind; matches failing their check are dropped without a
 retry. Further kinds come from the same three steps: ``iban`` (pattern, then
-mod-97), ``ssn`` (pattern, then number ranges), ``id`` (digit strings that pass
+mod-97 at each end it may have), ``ssn`` (pattern, then number ranges), ``id`` (digit strings that pass
 Luhn next to a context word). Each span gets a score: its kind's prior, raised
 by a passed checksum and by context words of the kind nearby, lowered by words
 that point elsewhere. Base spans always stay; a further kind's span stays at
@@ -40,7 +40,14 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# a lookahead, so that an account number may begin inside what another start could read
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))")
+#: Characters of an account number by country.
+IBAN_LENGTH = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "AE BG BH CR DE GB GE IE ME RS VA", 23: "GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in codes.split()}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _ID = re.compile(r"(?<![0-9A-Za-z])[0-9]{8,11}(?![0-9A-Za-z])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -95,6 +102,27 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping account numbers. Every end at a border of letters
+    and digits is tried, the country's length first, then from the longest down."""
+    found, last = [], 0
+    for m in _IBAN.finditer(text):
+        a, run = m.start(), m[1]
+        if a < last:
+            continue
+        ends = []
+        for k in range(15, len(run) + 1):
+            after = text[a + k:a + k + 1]
+            if run[k - 1] != " " and not (after.isascii() and after.isalnum()) and (n := k - run.count(" ", 0, k)) >= 15:
+                ends.append((n != IBAN_LENGTH.get(run[:2]), -k))
+        for _, k in sorted(ends):
+            if mod97(run[:-k]):
+                last = a - k
+                found.append((a, last))
+                break
+    return found
+
+
 def _digits(s: str) -> str:
     return _NOT_DIGIT.sub("", s)
 
@@ -104,7 +132,7 @@ def _proposals(text: str) -> Iterator[tuple[int, int, str, bool]]:
     for a, b in emails(text):
         yield a, b, "email", False
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(n := p.lstrip("0")) <= 3 and int(n or "0") <= 255 for p in m[0].split(".")):
             yield m.start(), m.end(), "ip", False
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
@@ -112,9 +140,8 @@ def _proposals(text: str) -> Iterator[tuple[int, int, str, bool]]:
     for m in _PHONE.finditer(text):
         if 9 <= len(_digits(m[0])) <= 15:
             yield m.start(), m.end(), "phone", False
-    for m in _IBAN.finditer(text):
-        if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0]):
-            yield m.start(), m.end(), "iban", True
+    for a, b in ibans(text):
+        yield a, b, "iban", True
     for m in _SSN.finditer(text):
         a, b, c = m[0].split("-")
         if a not in ("000", "666") and a < "900" and b != "00" and c != "0000":

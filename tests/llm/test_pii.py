@@ -79,3 +79,20 @@ def test_random_digit_soup():
     for _ in range(500):
         text = "".join(rng.choice("0123456789 .-+()@a") for _ in range(80))
         assert base_of(text) == brute(text)
+
+
+def test_account_numbers_before_and_after_other_tokens():
+    for text, want in (("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00"),
+                       ("DE89370400440532013000 BIC COBADEFF", "DE89370400440532013000"),
+                       ("GB82WEST12345698765432 EUR 500", "GB82WEST12345698765432"),
+                       ("REF AB12 CD34 DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+                       ("NO9386011117947 BE68539007547034", "NO9386011117947|BE68539007547034"),
+                       ("pay DE89370400440532013000 now", "DE89370400440532013000"),
+                       ("DE89370400440532013000x and DE89370400440532013001 EUR", "")):
+        assert "|".join(text[a:b] for a, b, k, _ in pii.find_spans(text) if k == "iban") == want, text
+    pii.find_spans("AB12 " * 100_000)
+
+
+def test_ip_part_of_many_zeros():
+    text = "host " + "0" * 5000 + ".1.2.255 and 0.0.0.256"
+    assert [(a, b) for a, b, k, _ in pii.find_spans(text) if k == "ip"] == [(5, 5013)]
