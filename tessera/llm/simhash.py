@@ -186,27 +186,51 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
 
 
-def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """(id, fp, component_id) for every row; component_id is the smallest id
-    reachable over links."""
-    docs = cut_lineage(fingerprints(df, text_col, id_col, shingle))
+def _named(docs: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """(id, fp, label, component_id) of fingerprinted rows; the label is the component's own."""
     classes = cut_lineage(docs.groupBy("fp").agg(F.min("id").alias("least")))
     nodes = components(links_between(classes.select("fp"), max_bits, block))
     named = classes.join(nodes, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    names = named.join(least, "label").select(F.col("fp").alias("f"), "component_id")
-    return docs.join(names, F.col("fp") == F.col("f")).select(F.col("id").alias(id_col), "fp", "component_id")
+    names = named.join(least, "label").select(F.col("fp").alias("f"), "label", "component_id")
+    return docs.join(names, F.col("fp") == F.col("f")).drop("f")
+
+
+def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """(id, fp, component_id) for every row; component_id is the smallest id
+    reachable over links."""
+    docs = cut_lineage(fingerprints(df, text_col, id_col, shingle))
+    return _named(docs, max_bits, block).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                          shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows, with all their columns, whose id names their component; rows
-    with one id count as one document."""
-    near = near_duplicates(df, text_col, id_col, shingle, max_bits)
-    stay = near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("component_id").alias("stay__id"))
-    return df.join(stay, F.col(id_col).eqNullSafe(F.col("stay__id")), "left_semi")
+    """One row of each component, with all its columns: the one with the
+    smallest id, NULL last. Rows whose id is NULL or not theirs alone are
+    numbered, and of several with that id any one stays."""
+    docs = cut_lineage(fingerprints(df, text_col, id_col, shingle))
+    named = _named(docs, max_bits, BLOCK)
+    shared = cut_lineage(docs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("id IS NULL OR n > 1").select(
+        F.col("id").alias("shared__id")))
+    if shared.isEmpty():
+        stay = named.where("id = component_id").select(F.col("component_id").alias("stay__id"))
+        return df.join(stay, F.col(id_col) == F.col("stay__id"), "left_semi")
+    # NULL ids take no part in the join, so they do not meet in one task
+    same = F.col(id_col) == F.col("shared__id")
+    rows = cut_lineage(df.where(F.col(id_col).isNull()).unionByName(df.join(shared, same, "left_semi"))
+                       .withColumn("stay__row", F.monotonically_increasing_id()))
+    named = cut_lineage(named)
+    alone = named.where("id = component_id").join(shared, F.col("id") == F.col("shared__id"), "left_anti").select(
+        F.col("id").alias("stay__id"))
+    labels = named.groupBy("fp").agg(F.first("label").alias("label"), F.first("component_id").alias("component_id"))
+    numbered = fingerprints(rows, text_col, "stay__row", shingle).select(F.col("id").alias("row__n"), F.col("fp").alias("f"))
+    chosen = (rows.select("stay__row", F.col(id_col).alias("own__id")).join(numbered, F.col("stay__row") == F.col("row__n"))
+              .join(labels, F.col("f") == F.col("fp")).where(F.col("own__id").eqNullSafe(F.col("component_id")))
+              .groupBy("label").agg(F.min("row__n").alias("row__n")))
+    return df.join(alone, F.col(id_col) == F.col("stay__id"), "left_semi").unionByName(
+        rows.join(chosen, F.col("stay__row") == F.col("row__n"), "left_semi").drop("stay__row"))
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -93,3 +93,12 @@ def test_components_of_a_long_path(spark):
     path = spark.range(1, 60).selectExpr("id AS a", "id - 1 AS b")
     got = simhash.components(path)
     assert {r.label for r in got.collect()} == {0} and got.count() == 60
+
+
+def test_one_row_of_each_component_stays_with_null_and_repeated_ids(spark):
+    said = {k: " ".join(f"{k}{j}" for j in range(30)) for k in "abcde"}
+    rows = [(1, said["a"], 0), (None, said["a"], 1), (None, said["b"], 2), (None, said["b"], 3), (2, said["c"], 4),
+            (2, said["a"], 5), (2, said["c"], 6), (3, said["d"], 7), (3, said["e"], 8), (None, said["d"], 9)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(
+        [("1", said["a"]), ("None", said["b"]), ("2", said["c"]), ("3", said["d"]), ("3", said["e"])])
