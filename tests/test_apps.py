@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera.apps import screen_time as st
 from tessera.apps import tabular_ml
 from tessera.functions.expressions import BDI_BANDS

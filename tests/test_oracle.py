@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 from tessera.plans.oracle import ORACLE
 from tessera.plans.registry import QUERIES
 

@@ -3,7 +3,7 @@ Python UDFs anywhere."""
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera.plans import registry, strategy
 
 
@@ -102,7 +102,7 @@ def test_keep_last_combines_map_side(spark):
 
 
 def test_split_ranks_only_boundary_buckets(spark):
-    from conftest import SF_ORACLE
+    from paths import SF_ORACLE
     # tiny classes may have no boundary bucket at all: then nothing is ranked
     assert plan_of(registry.QUERIES["stratified_split"](spark, SF_SMALL)).count("Window [") <= 1
     p = plan_of(registry.QUERIES["stratified_split"](spark, SF_ORACLE))

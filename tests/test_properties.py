@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera.operators import distributions, evaluate, features, keyed, models, split
 from tessera.plans import registry, strategy
 from tessera.plans.bindings import scored_labels

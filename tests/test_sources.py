@@ -6,7 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera.operators import keyed
 from tessera.session import scratch_path
 from tessera.sources import catalog, files
