@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontam, exact, langid, packing, pii, sharding, simhash, spans, toxicity
+from tessera.llm import (chat, codes, credentials, decontam, exact, langid, packing, pii, sharding, simhash, spans,
+                         toxicity, tries)
 from tessera.sources.tables import read_table
 
 
@@ -131,6 +132,34 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.exact_duplicates(read_table(spark, d, "documents"))
 
 
+def op11_credentials(spark: SparkSession, d: str) -> DataFrame:
+    """Secrets in every whole document: counts, digest of the base spans, all
+    spans with the weak parts of multipart credentials, and the credentials."""
+    found = credentials.detect(read_table(spark, d, "documents"))
+    of = lambda kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    said = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[F.size(of([k])).cast("bigint").alias(f"n_{k}") for k in credentials.BASE],
+        F.sha2(said(of(credentials.BASE)), 256).alias("base_sha256"), said(F.col("secrets")).alias("spans"),
+        F.size("secrets").cast("bigint").alias("n_spans"), F.size("credentials").cast("bigint").alias("n_credentials"),
+        F.array_join(F.transform("secrets", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"))
+
+
+def op12_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Product codes of all valid embeddings (8 parts, 16 integer entries, 6
+    rounds) by equal-average search."""
+    coded, books = codes.compress(read_table(spark, d, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Every order of the five filters over all documents, per source."""
+    labels = read_table(spark, d, "labels").select(
+        "doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    return tries.audit(tries.masks(read_table(spark, d, "documents"), labels))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -142,10 +171,35 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_credentials": op11_credentials,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """All rounds as steps of one statement; the nearest entry is the least
+    distance * entries + index."""
+    near = """a{k} AS MATERIALIZED (SELECT x.id, x.p, any_value(x.pt) AS pt, min({n} * CAST(list_sum(
+        [(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x.pt, b.pt)]) AS BIGINT) + b.e) AS d FROM x JOIN b{k} b ON b.p = x.p GROUP BY x.id, x.p)"""
+    move = """s{k} AS (SELECT p, d % {n} AS e, i, sum(pt[i]) AS s, count(*) AS c FROM a{k}, unnest(range(1, len(pt) + 1)) t(i) GROUP BY p, d % {n}, i),
+        b{j} AS MATERIALIZED (SELECT p, e, list(CAST((s - ((s % c) + c) % c) // c AS BIGINT) ORDER BY i) AS pt FROM s{k} GROUP BY p, e
+            UNION ALL SELECT p, e, pt FROM b{k} b WHERE NOT EXISTS (SELECT 1 FROM s{k} s WHERE s.p = b.p AND s.e = b.e))"""
+    steps = ",\n        ".join(x for k in range(rounds) for x in (near.format(k=k, n=entries), move.format(k=k, j=k + 1, n=entries)))
+    return f"""WITH v AS (SELECT vec_id AS id, label, [TRY_CAST(floor(4096 * CAST(y AS DOUBLE)) AS BIGINT) FOR y IN embedding] AS c FROM embeddings
+            WHERE embedding IS NOT NULL AND len([y FOR y IN embedding IF y IS NULL OR NOT isfinite(y)]) = 0),
+        x AS MATERIALIZED (SELECT id, p, c[p * (len(c) // {parts}) + 1:(p + 1) * (len(c) // {parts})] AS pt FROM v, unnest(range({parts})) t(p)),
+        b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY id) - 1 AS e, pt FROM x
+            QUALIFY row_number() OVER (PARTITION BY p ORDER BY id) <= {entries}),
+        {steps}, {near.format(k=rounds, n=entries)},
+        r AS (SELECT id, string_agg(lpad(format('{{:x}}', d % {entries}), 2, '0'), '' ORDER BY p) AS code,
+            CAST(sum(d // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY id),
+        h AS (SELECT sha256(string_agg(array_to_string(pt, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+        SELECT v.id AS vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM v JOIN r ON r.id = v.id, h"""
+
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": f"""WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
         phrase AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
@@ -168,4 +222,28 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_vector_codes": _vector_codes_sql(),
+    "op13_filter_audit": """WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+        f AS (SELECT doc_id, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+                100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM w),
+        l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+            FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letter a, letter b, letter c, letter d, letter e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        step AS (SELECT o AS filter_order, CAST(k AS INT) AS step, [strpos('ABCDE', y) FOR y IN string_split(o[:k - 1], '') IF y <> ''] AS before,
+            strpos('ABCDE', o[k]) AS f, o[k] AS x FROM orders, unnest(range(1, 6)) t(k)),
+        r AS (SELECT part, filter_order, step, x, m.fails[f] AS fail, len([b FOR b IN before IF m.fails[b]]) = 0 AS alive,
+            len([b FOR b IN m.fails IF b]) = 1 AS sole, n, good, toxic FROM m, step),
+        s AS (SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (WHERE alive AND NOT fail), 0) AS kept,
+            coalesce(sum(n) FILTER (WHERE alive AND fail), 0) AS removed, coalesce(sum(n) FILTER (WHERE fail AND NOT alive), 0) AS redundant,
+            coalesce(sum(n) FILTER (WHERE fail AND sole), 0) AS unique_fails,
+            coalesce(sum(good) FILTER (WHERE alive AND fail), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE alive AND fail), 0) AS toxic_lost
+            FROM r GROUP BY part, filter_order, step, x)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+            CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+            CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM s""",
 }
