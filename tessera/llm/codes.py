@@ -203,7 +203,7 @@ def compress(df: DataFrame, vector_col: str = "embedding", id_col: str = "vec_id
     width = -(-(longest or 0) // parts)
     # the largest number there can be: the square of a gap between two sums
     top = scale * max(abs(low or 0.0), abs(high or 0.0)) + 1
-    exact = (2 * top * max(width, 1)) ** 2 >= 2.0 ** 61 or top >= 2.0 ** 31
+    exact = 2 * top * max(width, 1) >= 2.0 ** 30
     vec = quantised(F.col("vec"), scale, exact)
     if width * parts != (longest or 0):
         vec = F.concat(vec, F.array_repeat(F.lit(0).cast("decimal(38,0)" if exact else "int"), width * parts - longest))
