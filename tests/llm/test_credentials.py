@@ -68,7 +68,7 @@ def test_interval_join_against_all_pairs():
         hi = lo + rng.randrange(40)
         # no part lies across the border of a scope
         others = [o for o in others if o.end <= lo or lo <= o.start and o.end <= hi or hi <= o.start]
-        for p in mine:
+        for p in (m for m in mine if lo <= m.start and m.end <= hi):
             got = credentials.nearest(p, others, lo, hi, 7)
             want = brute_nearest(p, others, lo, hi, 7)
             gap = lambda o: o and max(0, o.start - p.end, p.start - o.end)
