@@ -5,10 +5,10 @@ sequences of their own; the rest of each document (shorter than a window) is
 packed by retrieval: a BM25 inverted index, sharded, returns the unused
 neighbours of a seed document, which greedily fill its window.
 
-1. Tokenise (Arrow batches). Words, cut at ASCII white space, are tokenised
-   once and remembered by the worker: no token reaches over white space and letter
-   case does not matter to the vocabulary, so the ids are those of the whole
-   text. Per document one row leaves:
+1. Tokenise (Arrow batches). Pieces of a text, or its words at ASCII white
+   space, are tokenised once and remembered by the worker, at most ``KEEP`` of them:
+   no token reaches over a piece and letter case does not matter to the vocabulary,
+   so the ids are those of the whole text. Per document one row leaves:
    counts, checksums of its pieces, and its terms (token ids with counts).
    The rows are checkpointed, so tokens are made once.
 2. Corpus statistics over all documents: documents per term (at most one row
@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +40,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -52,19 +52,24 @@ WINDOW = 4096
 END_ID = 2
 SHARD_DOCS = 2048
 K1, B = 1.2, 0.75
-#: Above so many remembered words only the last batch's are kept.
-KEEP = 600_000
-#: Words, in lower case, that are one run of letters in composed normal form,
-#: or such a run and one of signs (an apostrophe can join both, so it is none).
-_LATIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: So many pieces are remembered (some 50 MB); characters encoded at once.
+KEEP, CHUNK = 250_000, 1 << 21
+#: Letters above ASCII of plain texts; in composed normal form, also in lower case.
+_LETTERS = r"\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}\x{152}\x{153}"
+_NOT_PLAIN = rf"[^\t\n\r\x20-~{_LETTERS}]"
+#: The vocabulary's own pieces of such a text but for runs of letters: contractions, single digits, runs of signs.
+_PIECE = rf"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-z0-9{_LETTERS}]+)"
 
 
 class Encoder:
     """Whole texts to little-endian 32-bit ids, remembering words.
 
-    A new word that is one run of Latin letters needs no pattern to be split
-    and is already in normal form, so it goes to the same model without them;
-    one that ends in a single ``.`` or ``,`` is the word before it and the sign."""
+    The vocabulary cuts a text into pieces and encodes each by itself, so a
+    piece, or a word between white space, has the same ids wherever it stands.
+    Plain texts are cut into pieces by Arrow kernels, whose dictionary leaves
+    each different piece once; the ids are gathered by its codes. Other texts are
+    cut into words. New runs of letters go to the model many at a time, as one
+    text without the pattern."""
 
     def __init__(self, vocabulary: str, end_id: int = END_ID, keep: int = KEEP):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,49 +81,83 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if mark and token.endswith(mark)]] = True
         self.end = np.array([end_id], "<u4").tobytes()
-        self.keep, self.known = keep, {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn_letters(self, words: list[bytes], lower: list[str]) -> None:
-        """Many words as one text; the ids that end a word cut its ids apart."""
-        for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
-            ids = np.array(self.letters.encode(" ".join(lower[k:k + 20_000]), add_special_tokens=False).ids, "<u4")
-            raw, cut = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            self.known.update((w, raw[a:b]) for w, a, b in zip(part, [0, *cut], cut, strict=False))
-
-    def _learn(self, words: set[bytes]) -> None:
-        runs = {w: None for w in words if w.isalpha()}      # of bytes: a-z only, they are in lower case
-        ended, others = [], []
-        for w in words.difference(runs):
-            m = _LATIN(w.decode("utf-8").lower())
-            if m is None:
-                others.append(w)
-            elif m[2]:
-                ended.append((w, m[1].encode(), m[2].encode()))
-            else:
-                runs[w] = m[1]
-        known = self.known
-        runs.update((base, None) for _, base, _ in ended if base not in known and base not in runs)
-        self._learn_letters(list(runs), [s or w.decode("utf-8") for w, s in runs.items()])
-        others += {sign for _, _, sign in ended}.difference(known)
-        for k in range(0, len(others), 10_000):
-            part = others[k:k + 10_000]
-            known.update(zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True))
-        known.update([(w, known[base] + known[sign]) for w, base, sign in ended])
+        #: The remembered pieces by number, and their ids end to end: piece k has flat[start[k]:start[k + 1]].
+        self.keep, self.known = keep, {"": 0}
+        self.flat, self.start = np.zeros(0, "<u4"), np.zeros(2, np.int64)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, number of ids of each text)."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in got for i in ids], "<u4"), np.array([len(ids) for ids in got], np.int64)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of runs of letters: many as one text, cut behind the ids that end a word."""
+        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def _learn(self, words: list[str], of_letters: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of which the first ``of_letters`` are runs of plain letters."""
+        some = [self._letters(words[k:min(k + 20_000, of_letters)]) for k in range(0, of_letters, 20_000)]
+        some += [self._ids(words[k:k + 20_000]) for k in range(of_letters, len(words), 20_000)]
+        return tuple(np.concatenate(x) for x in zip((self.flat[:0], self.start[:0]), *some, strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text, some ``CHUNK`` characters of them at a time."""
+        chunk, size = [], 0
+        for t in texts:
+            chunk.append(t or "")
+            size += len(chunk[-1])
+            if size >= CHUNK:
+                yield from self._encode(chunk)
+                chunk, size = [], 0
+        yield from self._encode(chunk)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        column = pa.array(texts, pa.large_string())
         # a special token's name counts in its own letter case: such texts go whole
-        split = [None if "<|" in (t or "") else (t or "").encode("utf-8", "replace").lower().split() for t in texts]
-        words = {w for s in split if s for w in s}
-        self._learn(words.difference(self.known))
-        get = self.known.__getitem__
-        for t, s in zip(texts, split, strict=True):
-            yield (self._ids([t])[0] if s is None else b"".join(map(get, s))) + self.end
-        if len(self.known) > self.keep:
-            self.known = {w: get(w) for w in words}
+        special = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+        plain = ~special & ~pc.match_substring_regex(column, _NOT_PLAIN).to_numpy(zero_copy_only=False)
+        words = {i: [w.decode("utf-8") for w in texts[i].encode("utf-8", "replace").lower().split()]
+                 for i in np.flatnonzero(~special & ~plain).tolist()}
+        apart = pc.replace_substring_regex(pc.utf8_lower(column.filter(pa.array(plain))), _PIECE, r" \1 ")
+        parts = pc.ascii_split_whitespace(apart)
+        coded = parts.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        known, n = self.known, len(self.known)
+        at = np.fromiter((known.get(w, -1) for w in pieces), np.int64, len(pieces))
+        missed = np.flatnonzero(at < 0)
+        letters = np.array([pieces[k][0].isalpha() for k in missed.tolist()], bool)
+        missed = np.concatenate((missed[letters], missed[~letters]))
+        at[missed] = n + np.arange(len(missed))
+        new = [pieces[k] for k in missed.tolist()]
+        new += {w for s in words.values() for w in s if w not in known}.difference(new if words else ())
+        ids, sizes = self._learn(new, int(letters.sum()))
+        flat, start = np.concatenate((self.flat, ids)), np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
+        fresh = {w: n + k for k, w in enumerate(new)} if words else {}
+        # what is frequent is learnt first; the rest is rare, and forgotten with its chunk
+        stay = min(len(new), max(0, self.keep - n))
+        known.update(zip(new[:stay], range(n, n + stay), strict=True))
+        self.start = start[:n + stay + 1]
+        self.flat = flat[:self.start[-1]].copy()
+        gathered = self._gather(flat, start, at[coded.indices.to_numpy()], np.asarray(parts.offsets))
+        for i, t in enumerate(texts):
+            if plain[i]:
+                yield next(gathered) + self.end
+            elif special[i]:
+                yield self._ids([t])[0].tobytes() + self.end
+            else:
+                numbers = np.array([fresh[w] if w in fresh else known[w] for w in words[i]], np.int64)
+                yield next(self._gather(flat, start, numbers, np.array([0, len(numbers)]))) + self.end
+
+    @staticmethod
+    def _gather(flat: np.ndarray, start: np.ndarray, numbers: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
+        """The ids of texts given as numbers of their pieces, cut by ``offsets``."""
+        first = start[numbers]
+        size = start[numbers + 1] - first
+        ends = np.concatenate(([0], np.cumsum(size)))
+        out = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        for a, b in zip(ends[offsets[:-1]].tolist(), ends[offsets[1:]].tolist(), strict=True):
+            yield out[a:b].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -127,7 +166,7 @@ def encoder(vocabulary: str, end_id: int) -> Encoder:
     return Encoder(vocabulary, end_id)
 
 
-ROW = ("n_tokens bigint, full array<bigint>, rest int, rest_crc bigint, terms binary, counts binary")
+ROW = "n_tokens bigint, full array<bigint>, rest int, rest_crc bigint, terms binary, n_terms int"
 
 
 def _tokenise(vocabulary: str, window: int, end_id: int):
@@ -138,21 +177,22 @@ def _tokenise(vocabulary: str, window: int, end_id: int):
             for raw in encoder(vocabulary, end_id).encode(b.column(1).to_pylist()):
                 whole = len(raw) // size * size
                 term, count = np.unique(np.frombuffer(raw, "<u4")[:-1], return_counts=True)
+                both = np.concatenate((term, count))
                 rows.append((len(raw) // 4, [zlib.crc32(raw[k:k + size]) for k in range(0, whole, size)],
                              (len(raw) - whole) // 4, zlib.crc32(raw[whole:]),
-                             term.astype("<u2" if len(term) == 0 or term[-1] < 1 << 16 else "<u4").tobytes(),
-                             np.minimum(count, 65535).astype("<u2").tobytes()))
+                             both.astype("<u2" if both.max(initial=0) < 1 << 16 else "<u4").tobytes(), len(term)))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
-            kinds = (pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.binary(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
-                ["id", "n_tokens", "full", "rest", "rest_crc", "terms", "counts"])
+                ["id", "n_tokens", "full", "rest", "rest_crc", "terms", "n_terms"])
     return run
 
 
-def _terms(terms: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = np.frombuffer(counts, "<u2")
-    return np.frombuffer(terms, "<u2" if len(terms) == len(counts) else "<u4").astype(np.int64), n
+def _terms(terms: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, their counts): two rows of numbers of two bytes, or four where one needs them."""
+    both = np.frombuffer(terms, "<u2" if len(terms) == 4 * n else "<u4").astype(np.int64)
+    return both[:n], both[n:]
 
 
 def _document_frequency(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +263,7 @@ def _pack(window: int, stats):
                 out.append((i, k * window, window, crc, base + seq, 0, 0.0))
                 seq += 1
         own = np.flatnonzero(pdf["rest"].to_numpy() > 0)
-        pairs = [_terms(pdf["terms"][i], pdf["counts"][i]) for i in own]
+        pairs = [_terms(pdf["terms"][i], pdf["n_terms"][i]) for i in own]
         size = pdf["rest"].to_numpy(np.int64)[own]
         index = Index([t for t, _ in pairs], [c for _, c in pairs], pdf["n_tokens"].to_numpy(np.float64)[own], idf, mean)
         for docs in fill(index, size, window):
@@ -248,7 +288,7 @@ def pack(df: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "
     kind = df.schema[id_col].dataType.simpleString()
     rows = cut_lineage(map_arrow(df.select(F.col(id_col), F.col(text_col).cast("string")),
                                  _tokenise(vocabulary, window, end_id), f"id {kind}, {ROW}"))
-    freq = map_arrow(rows.select("terms", "counts"), _document_frequency, "term bigint, docs bigint")
+    freq = map_arrow(rows.select("terms", "n_terms"), _document_frequency, "term bigint, docs bigint")
     freq = freq.groupBy("term").agg(F.sum("docs").alias("docs")).toPandas()     # at most one row per vocabulary entry
     n, total = rows.agg(F.count(F.lit(1)), F.sum("n_tokens")).first()
     docs = np.zeros(int(freq["term"].max()) + 1 if len(freq) else 1)
