@@ -22,6 +22,7 @@ def op1_pii(spark: SparkSession, d: str) -> DataFrame:
     return found.select(
         "doc_id", *[F.size(of([k])).cast("bigint").alias(f"n_{k}") for k in pii.BASE],
         F.sha2(said(of(pii.BASE)), 256).alias("base_sha256"), said(F.col("pii")).alias("spans"),
+        F.size("pii").cast("bigint").alias("n_spans"),
         F.array_join(F.transform("pii", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"))
 
 

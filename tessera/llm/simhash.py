@@ -10,8 +10,9 @@ of l consecutive segments has at most floor(3 l / 8) differences: 0, 0, 1, 1,
 1, 2, 2, 3 for l = 1..8. A chain of five thus has two equal segments followed
 by three of which at least two are equal. Each distinct fingerprint is
 therefore filed under 8 starts x 3 choices of the segment left out: 24 keys
-of 32 exact bits, on which any linked pair must meet. Pairs that meet pass the
-whole chain of budgets and then the full Hamming check.
+of 32 exact bits, on which any linked pair must meet. Pairs that meet go through
+the chain of budgets segment by segment, and only those that pass it through the
+full Hamming check.
 
 No group emits all its pairs: the members of a key are compared in blocks
 inside a task, which emits a spanning forest of the links (at most one row a
@@ -49,6 +50,8 @@ BLOCK = 1024
 SEGMENTS = 8
 #: Shingles whose bits are counted at once (64 bytes each).
 CHUNK = 1 << 14
+#: Pairs of a key that are compared at once.
+PAIRS = 1 << 17
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -98,19 +101,38 @@ def _keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-def _ring(x: np.ndarray, start: int, max_bits: int) -> np.ndarray:
-    """Chains of 1..8 segments from ``start`` within their proportional budgets."""
-    ok = np.ones(x.shape, bool)
-    total = np.zeros(x.shape, np.uint8)
-    for length in range(1, SEGMENTS + 1):
-        total += np.bitwise_count((x >> np.uint64(8 * ((start + length - 1) % SEGMENTS))) & np.uint64(255))
-        ok &= total <= max_bits * length // SEGMENTS
-    return ok
+def chain(x: np.ndarray, start: int, max_bits: int) -> np.ndarray:
+    """Numbers of the differences whose chains of 1..7 segments from ``start``
+    stay within their proportional budgets; a lane that fails leaves at once."""
+    lanes, total = np.arange(len(x)), np.zeros(len(x), np.uint8)
+    for length in range(1, SEGMENTS):
+        segment = np.uint64(8 * ((start + length - 1) % SEGMENTS))
+        total = total + np.bitwise_count((x[lanes] >> segment) & np.uint64(255))
+        ok = total <= max_bits * length // SEGMENTS
+        if not ok.all():
+            lanes, total = lanes[ok], total[ok]
+    return lanes
+
+
+def near_pairs(fp: np.ndarray, start: int, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(i, j, pairs met, pairs left by the chain) with i > j at most ``max_bits``
+    apart, some ``PAIRS`` pairs at a time: the chain first, then the full check."""
+    lo = 1
+    while lo < len(fp):
+        hi = min(len(fp), max(lo + 1, lo + PAIRS // len(fp)))
+        size = np.arange(lo, hi)
+        i = np.repeat(size, size)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size)
+        x = fp[i] ^ fp[j]
+        left = chain(x, start, max_bits)
+        near = left[np.bitwise_count(x[left]) <= max_bits]
+        yield i[near], j[near], len(x), len(left)
+        lo = hi
 
 
 def _forest(fp: np.ndarray, start: int, max_bits: int) -> list[tuple[int, int]]:
     """Spanning links of the fingerprints that share a key: (larger, smaller)."""
-    root = np.arange(len(fp))
+    root = list(range(len(fp)))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -119,16 +141,12 @@ def _forest(fp: np.ndarray, start: int, max_bits: int) -> list[tuple[int, int]]:
         return i
 
     links = []
-    for i in range(1, len(fp)):
-        x = fp[:i] ^ fp[i]
-        near = np.flatnonzero(np.bitwise_count(x) <= max_bits)
-        if len(near):
-            near = near[_ring(x[near], start, max_bits)]
-        for j in near.tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                links.append((i, j))
+    for i, j, _, _ in near_pairs(fp, start, max_bits):
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            ra, rb = find(a), find(b)
+            if ra != rb:
+                root[max(ra, rb)] = min(ra, rb)
+                links.append((a, b))
     return links
 
 

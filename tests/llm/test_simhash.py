@@ -102,3 +102,23 @@ def test_one_row_of_each_component_stays_with_null_and_repeated_ids(spark):
     kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(
         [("1", said["a"]), ("None", said["b"]), ("2", said["c"]), ("3", said["d"]), ("3", said["e"])])
+
+
+def test_the_chain_prunes_before_the_full_check():
+    rng = np.random.default_rng(5)
+    # a key of start 2 that leaves segment 5 out: segments 2, 3, 4 and 6 are equal
+    fixed = sum(255 << 8 * s for s in (2, 3, 4, 6))
+    fp = np.unique(rng.integers(0, 1 << 64, 3000, np.uint64) & np.uint64(~fixed & (1 << 64) - 1) | np.uint64(0x5A5A5A5A5A5A5A5A & fixed))
+    near = fp[:200] ^ np.uint64(1 << 40)
+    fp = np.unique(np.concatenate((fp, near)))
+    met = left = 0
+    links = set()
+    for i, j, m, n in simhash.near_pairs(fp, 2, 3):
+        met, left = met + m, left + n
+        links |= set(zip(i.tolist(), j.tolist()))
+    assert met == len(fp) * (len(fp) - 1) // 2
+    # of the pairs that share the key few pass the chain, and nearly all of these are links
+    assert left < met / 100 and len(links) <= left and len(links) >= 200
+    ints = fp.tolist()
+    want = {(i, j) for i, j in links if (ints[i] ^ ints[j]).bit_count() <= 3}
+    assert links == want
