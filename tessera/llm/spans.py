@@ -189,7 +189,7 @@ def _cut(text: str, found: list, drop: np.ndarray) -> tuple[int, list, str]:
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and reread: rows and numbers stay what they are."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
