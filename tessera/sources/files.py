@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.csv_split import csv_text_split
+
 #: Texts that data-frame tools read as a missing value.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
            "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -86,12 +88,14 @@ def _csv_text(spark: SparkSession, path: str, sep: str, multiline: bool) -> Data
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   required: list[str] | tuple[str, ...] = (), sep: str = ",", multiline: bool = True,
+                   required: list[str] | tuple[str, ...] = (), sep: str = ",", multiline: bool | str = True,
                    missing=MISSING, rejects: str | None = None) -> DataFrame:
     """CSV with a header row, bound by name to ``schema`` (no inference pass).
     With ``rejects``, a column of that name lists the fields of the row whose
-    present value was malformed."""
-    return _typed(_csv_text(spark, path, sep, multiline), schema, set(required), missing, rejects)
+    present value was malformed. ``multiline="split"`` reads files with quoted
+    line breaks by many tasks each (see :mod:`tessera.sources.csv_split`)."""
+    text = csv_text_split(spark, path, sep) if multiline == "split" else _csv_text(spark, path, sep, multiline)
+    return _typed(text, schema, set(required), missing, rejects)
 
 
 def read_json_typed(spark: SparkSession, path: str, schema: T.StructType,
@@ -136,8 +140,13 @@ def cast_rejects(spark: SparkSession, path: str, schema: T.StructType,
     return rows.agg(*[F.count_if(F.array_contains("_rejects", f.name)).alias(f.name) for f in schema.fields])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", quote_all: bool = False) -> None:
+    """With ``quote_all``, every field in quotes, doubled inside, blanks and line breaks as they are."""
+    w = df.write.mode(mode).option("header", True)
+    if quote_all:
+        w = (w.option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False))
+    w.csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
