@@ -10,6 +10,7 @@ and NULL when ``lo == hi``.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 from typing import Sequence
 
@@ -202,3 +203,63 @@ def share_by_label(df: DataFrame, label: str, features: Sequence[str], bins: int
             .select(label, "bin", _edge(F.col("lo"), F.col("hi"), F.col("bin"), bins, digits).alias("lo_edge"),
                     _edge(F.col("lo"), F.col("hi"), F.col("bin") + 1, bins, digits).alias("hi_edge"),
                     F.coalesce("n", F.lit(0)).cast("long").alias("n"), "feature"))
+
+
+def pair_density(df: DataFrame, label: str, features: Sequence[str], bins: int = 20) -> DataFrame:
+    """The off-diagonal panels of a pair plot: exact counts on a ``bins`` x
+    ``bins`` grid for every pair of features by label (non-empty cells):
+    ``(x, y, label, bx, by, n)``. Two scans for any number of features: all
+    ranges in one aggregate, and one in which each row becomes a cell per pair;
+    counts are combined before the shuffle, so at most the grids travel."""
+    df = df.where(F.col(label).isNotNull())
+    value = {f: F.when(present(df, f), F.col(f).cast("double")) for f in features}
+    row = df.agg(*[g(value[f]).alias(f"{g.__name__}_{i}") for i, f in enumerate(features) for g in (F.min, F.max)]).first()
+    edges = {f: _edges(row[f"min_{i}"], row[f"max_{i}"]) for i, f in enumerate(features)}
+    used = [f for f in features if edges[f][0] is not None]
+    kind = df.schema[label].dataType.simpleString()
+    if len(used) < 2:
+        return df.sparkSession.createDataFrame([], f"x string, y string, label {kind}, bx int, by int, n long")
+    at = {f: f"_bin{i}" for i, f in enumerate(used)}
+    binned = df.select(F.col(label).alias("label"), *[bin_index(value[f], *map(F.lit, edges[f]), bins).alias(at[f]) for f in used])
+    cells = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(at[a]).alias("bx"), F.col(at[b]).alias("by"))
+                      for a, b in combinations(used, 2)])
+    return (binned.select("label", F.inline(cells)).where("bx IS NOT NULL AND by IS NOT NULL")
+            .groupBy("x", "y", "label", "bx", "by").agg(F.count(F.lit(1)).alias("n")))
+
+
+def kde_by_label(df: DataFrame, label: str, features: Sequence[str], grid: int = 64, digits: int = 6) -> DataFrame:
+    """The diagonal of a pair plot: a Gaussian density per feature and label on
+    ``grid`` points, ``(feature, label, point, x, density)``.
+
+    Counts on a fine histogram (common edges per feature, points at the bin
+    centres) stand for the rows and are convolved with the kernel, whose width
+    is Scott's: the label's standard deviation times ``n ** -0.2``. Rows are
+    scanned twice, for the ranges, and for the counts, from which the moments
+    come too; the rest is ``grid`` numbers per feature and label. A label
+    without spread, or with one value, has no density."""
+    df = df.where(F.col(label).isNotNull())
+    value = {f: F.when(present(df, f), F.col(f).cast("double")) for f in features}
+    row = df.agg(*[g(value[f]).alias(f"{g.__name__}_{i}") for i, f in enumerate(features) for g in (F.min, F.max)]).first()
+    edges = {f: _edges(row[f"min_{i}"], row[f"max_{i}"]) for i, f in enumerate(features)}
+    used = [f for f in features if edges[f][0] is not None]
+    spark, kind = df.sparkSession, df.schema[label].dataType.simpleString()
+    if not used:
+        return spark.createDataFrame([], f"feature string, label {kind}, point int, x double, density double")
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), bin_index(value[f], *map(F.lit, edges[f]), grid).alias("bin")) for f in used])
+    counts = (df.select(F.col(label).alias("label"), F.inline(cells)).where("bin IS NOT NULL")
+              .groupBy("feature", "label", "bin").agg(F.count(F.lit(1)).alias("n")))
+    step = F.create_map(*[F.lit(x) for f in used for x in (f, (edges[f][1] - edges[f][0]) / grid)])
+    low = F.create_map(*[F.lit(x) for f in used for x in (f, edges[f][0])])
+    centre = low[F.col("feature")] + (F.col("bin") + 0.5) * step[F.col("feature")]
+    per = counts.select("feature", "label", "n", centre.alias("c")).groupBy("feature", "label").agg(
+        F.collect_list(F.struct("c", "n")).alias("cells"), F.sum("n").alias("total"),
+        (F.sum(F.col("n") * F.col("c")) / F.sum("n")).alias("mean"))            # at most `grid` cells each
+    spread = F.aggregate("cells", F.lit(0.0), lambda acc, b: acc + b["n"] * (b["c"] - F.col("mean")) * (b["c"] - F.col("mean")))
+    per = per.where("total > 1").withColumn("h", F.sqrt(spread / (F.col("total") - 1)) * F.pow(F.col("total"), F.lit(-0.2))).where("h > 0")
+    points = per.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    points = points.withColumn("x", low[F.col("feature")] + (F.col("point") + 0.5) * step[F.col("feature")])
+    total = F.aggregate(F.array_sort("cells"), F.lit(0.0), lambda acc, b: acc + b["n"] * F.exp(
+        -0.5 * ((F.col("x") - b["c"]) / F.col("h")) * ((F.col("x") - b["c"]) / F.col("h"))))
+    density = total / (F.col("total") * F.col("h") * F.lit((2 * math.pi) ** 0.5))
+    return points.select("feature", "label", "point", (F.round("x", digits) + F.lit(0.0)).alias("x"),
+                         (F.round(density, digits) + F.lit(0.0)).alias("density"))

@@ -32,6 +32,7 @@ P = """SELECT l.doc_id, l.quality AS y, CAST(d.n_chars > 500 AS INTEGER) AS yhat
   CAST(d.n_chars AS DOUBLE) AS score FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
 
 KEYED = "o_custkey, o_orderpriority"
+LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount")
 
 
 def _last(where: str) -> str:
@@ -126,6 +127,33 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "json_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "named_load": "SELECT * FROM nation",
+    "csv_split_scan": """SELECT doc_id, CASE WHEN trim(text, ' ') <> '' THEN text END AS text, lang, source FROM documents""",
+    "json_columns": "SELECT p_partkey, p_retailprice, p_name, p_brand, p_type, p_size FROM part",
+    "mode_by_sketch": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST((SELECT {c} FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS VARCHAR) AS mode"
+        for c in ("l_returnflag", "l_linestatus", "l_quantity", "l_partkey")),
+    "median_from_sketches": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n, true AS within_error FROM lineitem" for c in ("l_quantity", "l_extendedprice")),
+    "pair_density": f"""WITH r AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in LINE_FEATURES)} FROM lineitem),
+        b AS (SELECT l_returnflag AS label, {", ".join(
+            f"CAST(len([k FOR k IN range(1, 20) IF {c} >= lo_{c} + k * ((hi_{c} - lo_{c}) / 20)]) AS INTEGER) AS {c}" for c in LINE_FEATURES)}
+            FROM lineitem, r WHERE l_returnflag IS NOT NULL)
+        """ + "\n        UNION ALL ".join(
+            f"SELECT '{a}' AS x, '{b}' AS y, label, {a} AS bx, {b} AS by, count(*) AS n FROM b GROUP BY label, {a}, {b}"
+            for a, b in (LINE_FEATURES[:2], LINE_FEATURES[::2], LINE_FEATURES[1:])),
+    "kde_by_label": """WITH v AS (SELECT l_returnflag AS label, f.feature, f.x FROM lineitem,
+            unnest([{'feature': 'l_quantity', 'x': l_quantity}, {'feature': 'l_discount', 'x': l_discount}]) t(f)),
+        r AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM v GROUP BY feature),
+        c AS (SELECT feature, label, bin, lo + (bin + 0.5) * ((hi - lo) / 32) AS c, count(*) AS n FROM (
+            SELECT v.feature, label, lo, hi, len([k FOR k IN range(1, 32) IF x >= lo + k * ((hi - lo) / 32)]) AS bin
+            FROM v JOIN r ON r.feature = v.feature) b GROUP BY feature, label, lo, hi, bin),
+        m AS (SELECT feature, label, sum(n) AS n, sum(n * c) / sum(n) AS mean FROM c GROUP BY feature, label),
+        h AS (SELECT m.feature, m.label, m.n, sqrt(sum(c.n * (c - mean) * (c - mean)) / (m.n - 1)) * pow(m.n, -0.2) AS h
+            FROM m JOIN c ON c.feature = m.feature AND c.label = m.label GROUP BY m.feature, m.label, m.n)
+        SELECT h.feature, h.label, CAST(p AS INTEGER) AS point, round(any_value(lo + (p + 0.5) * ((hi - lo) / 32)), 4) AS x,
+            round(sum(c.n * exp(-0.5 * pow((lo + (p + 0.5) * ((hi - lo) / 32) - c.c) / h, 2))) / (any_value(h.n) * any_value(h) * sqrt(2 * pi())), 4) AS density
+        FROM h JOIN r ON r.feature = h.feature JOIN c ON c.feature = h.feature AND c.label = h.label, unnest(range(32)) t(p)
+        GROUP BY h.feature, h.label, p""",
     "label_histograms": """WITH p AS (SELECT CASE l.quality WHEN 0 THEN 'low' WHEN 1 THEN 'high' END AS label,
                              CAST(d.n_chars AS DOUBLE) AS x FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
         m AS (SELECT MIN(x) lo, MAX(x) hi FROM p WHERE x IS NOT NULL),

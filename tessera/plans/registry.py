@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.expressions import decode_codes, rounded, strip_lower, value_map
 from tessera.operators import (distributions, evaluate, features, keyed, missing, models,
-                               quality, reports, split)
+                               quality, reports, sketches, split)
 from tessera.plans.bindings import (ORDER_BY, ORDER_KEY, SHEET_BANDS, SHEET_ITEMS, SHEET_UNKNOWN,
                                     item_sheet, order_loads, scored_labels, sparse_lines, tables)
 from tessera.session import scratch_dir, scratch_path
@@ -70,6 +70,29 @@ def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_json_typed(spark, path, PART_SCHEMA, required=["p_partkey"])
 
 
+DOC_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("doc_id", T.LongType(), False),
+    T.StructField("lang", T.StringType()),
+])
+
+
+def q_csv_split_scan(spark: SparkSession, d: str) -> DataFrame:
+    """documents (texts with quotes and line breaks) as quoted CSV, read back by many tasks a file."""
+    path = scratch_path(spark, "csv-documents")
+    files.write_csv(tables(spark, d, "documents").select("doc_id", "text", "lang", "source"), path, quote_all=True)
+    return files.read_csv_typed(spark, path, DOC_SCHEMA, required=["doc_id"], multiline="split", missing=("",))
+
+
+def q_json_columns(spark: SparkSession, d: str) -> DataFrame:
+    """part written as column-oriented JSON, read back by name with declared types."""
+    path = scratch_path(spark, "json-columns")
+    part = tables(spark, d, "part").select([f.name for f in PART_SCHEMA.fields])
+    files.write_json_columns(part.withColumn("row", F.col("p_partkey")), path, "row")
+    return files.read_json_columns(spark, path, PART_SCHEMA, required=["p_partkey"])
+
+
 REJECT_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType(), False),
     T.StructField("c_name", T.IntegerType()),           # text: every value is a reject
@@ -285,6 +308,28 @@ def q_impute_mean(spark: SparkSession, d: str) -> DataFrame:
     return features.fit_imputer(g, mean=["value"]).transform(g).withColumn("value", rounded("value"))
 
 
+def q_mode_by_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Most frequent values from frequent-items sketches and an exact count of their candidates."""
+    found = sketches.modes(tables(spark, d, "lineitem"), ["l_returnflag", "l_linestatus", "l_quantity", "l_partkey"])
+    return spark.createDataFrame([(c, str(v)) for c, v in found.items()], "column string, mode string")
+
+
+def q_median_from_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Medians merged from sketches stored per load: do their ranks lie within the stated error?"""
+    li = tables(spark, d, "lineitem").select("l_linenumber", "l_quantity", "l_extendedprice")
+    path = scratch_path(spark, "quantile-sketches")
+    cols = ["l_quantity", "l_extendedprice"]
+    sketches.quantile_sketches(li, "l_linenumber", cols).write.parquet(path)
+    got = {r["column"]: r for r in sketches.merged_quantiles(spark.read.parquet(path)).collect()}
+    long = li.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), (F.col(c) < got[c]["value"]).cast("long").alias("below"),
+        (F.col(c) <= got[c]["value"]).cast("long").alias("upto")) for c in cols])))
+    off = 0.5 * F.count(F.lit(1))
+    err = got[cols[0]]["rank_error"] * F.count(F.lit(1))
+    return long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), (
+        (F.sum("below") <= off + err) & (F.sum("upto") >= off - err)).alias("within_error"))
+
+
 def q_regression_impute(spark: SparkSession, d: str) -> DataFrame:
     g = _gaps(spark, d).select("row_id", "value", "total_qty")
     out = models.regression_impute(g, "value", ["total_qty"])
@@ -472,6 +517,20 @@ def q_density_2d(spark: SparkSession, d: str) -> DataFrame:
                                     "l_returnflag", 20, 20)
 
 
+def _line_features(spark: SparkSession, d: str) -> DataFrame:
+    return tables(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice", "l_discount")
+
+
+def q_pair_density(spark: SparkSession, d: str) -> DataFrame:
+    """Pair-plot panels: every pair of features binned by label in one scan."""
+    return distributions.pair_density(_line_features(spark, d), "l_returnflag", ["l_quantity", "l_extendedprice", "l_discount"], 20)
+
+
+def q_kde_by_label(spark: SparkSession, d: str) -> DataFrame:
+    """Pair-plot diagonal as Gaussian densities per label."""
+    return distributions.kde_by_label(_line_features(spark, d), "l_returnflag", ["l_quantity", "l_discount"], 32, 4)
+
+
 def q_hash_sample(spark: SparkSession, d: str) -> DataFrame:
     ev = tables(spark, d, "events").select("event_id", "event_type", "value")
     return distributions.hash_sample(ev, "event_id", 100, 42)
