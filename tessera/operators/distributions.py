@@ -257,9 +257,9 @@ def kde_by_label(df: DataFrame, label: str, features: Sequence[str], grid: int =
     spread = F.aggregate("cells", F.lit(0.0), lambda acc, b: acc + b["n"] * (b["c"] - F.col("mean")) * (b["c"] - F.col("mean")))
     per = per.where("total > 1").withColumn("h", F.sqrt(spread / (F.col("total") - 1)) * F.pow(F.col("total"), F.lit(-0.2))).where("h > 0")
     points = per.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    points = points.withColumn("x", low[F.col("feature")] + (F.col("point") + 0.5) * step[F.col("feature")])
+    points = points.withColumn("_at", low[F.col("feature")] + (F.col("point") + 0.5) * step[F.col("feature")])
     total = F.aggregate(F.array_sort("cells"), F.lit(0.0), lambda acc, b: acc + b["n"] * F.exp(
-        -0.5 * ((F.col("x") - b["c"]) / F.col("h")) * ((F.col("x") - b["c"]) / F.col("h"))))
+        -0.5 * ((F.col("_at") - b["c"]) / F.col("h")) * ((F.col("_at") - b["c"]) / F.col("h"))))
     density = total / (F.col("total") * F.col("h") * F.lit((2 * math.pi) ** 0.5))
-    return points.select("feature", "label", "point", (F.round("x", digits) + F.lit(0.0)).alias("x"),
+    return points.select("feature", "label", "point", (F.round("_at", digits) + F.lit(0.0)).alias("x"),
                          (F.round(density, digits) + F.lit(0.0)).alias("density"))
