@@ -14,12 +14,12 @@ import math
 from itertools import combinations
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.expressions import md5_rank_key
-from tessera.plans.strategy import BROADCAST_MAX_ROWS, materialize, read_once
+from tessera.plans.strategy import BROADCAST_MAX_ROWS, join_small, materialize, read_once
 
 
 def present(df: DataFrame, col: str) -> Column:
@@ -169,6 +169,28 @@ def hash_sample(df: DataFrame, key: str, k: int = 100, seed: int = 42) -> DataFr
     return df.withColumn("sample_hash", h).orderBy("sample_hash", key).limit(k)
 
 
+def hash_sample_by_group(df: DataFrame, group: str, key: str, k: int = 100, seed: int = 42) -> DataFrame:
+    """A deterministic sample of ``k`` rows per group (NULL is one): those with
+    the smallest ``md5('<seed>:' || key)``, ties by ``key``; a smaller group whole.
+
+    One aggregate counts the rows of each group by the leading zero bits of the
+    hash (at most 61 counts a group, combined map-side). The k smallest hashes lie
+    among the rows with at least as many zeros as the k-th, about 2k rows whatever
+    the group's size; only these are ranked. Keys should be unique."""
+    zeros = F.lit(60) - F.length(F.bin(F.conv(F.substring("sample_hash", 1, 15), 16, 10).cast("long")))
+    # bin(0) is one digit long, like bin(1): both count as 59
+    rows = df.withColumn("sample_hash", md5_rank_key(key, seed)).withColumn("_zeros", zeros)
+    counts = rows.groupBy(group, "_zeros").agg(F.count(F.lit(1)).alias("_n"))
+    # per group, from its counts: the largest number of zeros that k rows reach
+    listed = counts.groupBy(group).agg(F.collect_list(F.struct("_zeros", "_n")).alias("_all"))
+    reach = lambda z: F.aggregate("_all", F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["_zeros"] >= z, e["_n"]).otherwise(0))
+    least = F.coalesce(F.array_max(F.filter(F.transform("_all", lambda e: e["_zeros"]), lambda z: reach(z) >= k)), F.lit(0))
+    cut = listed.select(group, least.alias("_least"))
+    near = join_small(rows, cut, group, null_safe=True).where(F.col("_zeros") >= F.col("_least"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("sample_hash", key))
+    return near.withColumn("_place", place).where(F.col("_place") <= k).drop("_place", "_zeros", "_least")
+
+
 def pairwise_corr(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation for every pair of columns, one aggregate:
     ``(x, y, corr)``. NaN counts as missing, as everywhere."""

@@ -9,10 +9,12 @@ task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import checkpointed, null_safe_join, running_sums
+from tessera.plans.strategy import MAX_BUCKETS, ROWS_PER_BUCKET, checkpointed, null_safe_join, running_sums
 
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -96,6 +98,39 @@ def roc_points(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
         (F.round(_div(F.col("cum_fp").cast("double"), F.lit(neg)), digits) + F.lit(0.0)).alias("fpr"))
 
 
+def roc_vertices(df: DataFrame, y: str, score: str, digits: int = 6,
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """The ROC curve by its corners: the start (0, 0) with a NULL threshold, then
+    the points where the curve turns, and its end. Same curve and area as
+    ``roc_points``; a point on the line between its neighbours is left out.
+
+    A point is left out if its own step and the next one are parallel. The next
+    step is looked up within ranges of the running count; each range hands its
+    first step to the range before."""
+    cum = running_sums(score_counts(df, y, score), ["threshold"], ["tp", "fp"], descending=True)
+    cum = checkpointed(cum.select("threshold", *[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "cum_tp", "cum_fp")]))
+    tot = cum.agg(F.count(F.lit(1)).alias("n"), F.max("cum_tp").alias("pos"), F.max("cum_fp").alias("neg")).first()
+    pos, neg = tot["pos"] or 0, tot["neg"] or 0
+    ranges = min(MAX_BUCKETS, max(1, math.ceil(tot["n"] / rows_per_bucket)))
+    start = F.col("cum_tp") + F.col("cum_fp") - F.col("tp") - F.col("fp")
+    width = max(1, math.ceil((pos + neg) / ranges))
+    placed = cum.withColumn("_start", start).withColumn("_range", F.floor(F.col("_start") / width))
+    # one row a range
+    firsts = placed.groupBy("_range").agg(F.min_by(F.struct("tp", "fp"), "_start").alias("_first"))
+    firsts = firsts.select("_range", F.lead("_first").over(Window.partitionBy(F.lit(0)).orderBy("_range")).alias("_edge"))
+    within = Window.partitionBy("_range").orderBy("_start")
+    steps = (placed.withColumn("_next", F.lead(F.struct("tp", "fp")).over(within))
+             .join(F.broadcast(firsts), "_range").withColumn("_next", F.coalesce("_next", "_edge")))
+    exact = lambda c: F.col(c).cast("decimal(18,0)")  # noqa: E731  products pass 64 bits
+    turns = exact("tp") * exact("_next.fp") != exact("_next.tp") * exact("fp")
+    corners = steps.where(F.col("_next").isNull() | turns).select("threshold", F.col("cum_tp").alias("tp"), F.col("cum_fp").alias("fp"))
+    origin = df.sparkSession.createDataFrame([(None, 0, 0)], "threshold double, tp long, fp long")
+    return origin.unionByName(corners).select(
+        "threshold", "tp", "fp",
+        (F.round(_div(F.col("tp").cast("double"), F.lit(pos)), digits) + F.lit(0.0)).alias("tpr"),
+        (F.round(_div(F.col("fp").cast("double"), F.lit(neg)), digits) + F.lit(0.0)).alias("fpr"))
+
+
 def roc_auc(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """Exact area under the ROC curve with ties (trapezoids between
     consecutive distinct scores): ``sum(fp * (2*ctp - tp)) / (2 * pos * neg)``."""

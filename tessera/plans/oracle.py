@@ -108,6 +108,31 @@ def _newton(steps: int = 12) -> str:
     return ",\n        ".join(out)
 
 
+
+def _chained_sql(rounds: int) -> str:
+    """Two columns and one categorical predictor: the slope is the one within
+    categories, the intercept a category's own; a category without rows takes the first's."""
+    def step(k: int, target: str, other: str) -> str:
+        return f"""m{k}_{target} AS (SELECT f, COUNT(*) AS n, AVG({target}) AS my, AVG(now_{other}) AS mx,
+            COVAR_POP({target}, now_{other}) AS cxy, VAR_POP(now_{other}) AS vx FROM r{k} WHERE {target} IS NOT NULL GROUP BY f),
+        w{k}_{target} AS (SELECT SUM(n * cxy) / SUM(n * vx) AS slope FROM m{k}_{target}),
+        c{k}_{target} AS (SELECT l.f, slope, COALESCE(m.my - slope * m.mx, (SELECT b.my - slope * b.mx FROM m{k}_{target} b
+            ORDER BY b.f LIMIT 1)) AS base FROM (SELECT DISTINCT f FROM r0) l LEFT JOIN m{k}_{target} m ON m.f = l.f, w{k}_{target})"""
+    parts = []
+    for k in range(rounds):
+        parts += [step(k, "a", "b"), step(k, "b", "a"),
+                  f"""r{k + 1} AS (SELECT r.row_id, r.a, r.b, r.flag, r.f, COALESCE(r.a, ca.base + ca.slope * r.now_b) AS now_a,
+            COALESCE(r.b, cb.base + cb.slope * r.now_a) AS now_b FROM r{k} r JOIN c{k}_a ca ON ca.f = r.f JOIN c{k}_b cb ON cb.f = r.f)"""]
+    steps = ",\n        ".join(parts)
+    return f"""WITH g AS (SELECT l_orderkey AS row_id, MAX(CASE WHEN l_linenumber = 2 THEN l_quantity END) AS a,
+            MAX(CASE WHEN l_linenumber = 4 THEN l_quantity END) AS b,
+            MAX(CASE WHEN l_linenumber = 3 THEN l_returnflag END) AS flag FROM lineitem GROUP BY l_orderkey),
+        r0 AS (SELECT *, COALESCE(flag, '~') AS f, COALESCE(a, (SELECT AVG(a) FROM g)) AS now_a,
+            COALESCE(b, (SELECT AVG(b) FROM g)) AS now_b FROM g),
+        {steps}
+        SELECT row_id, ROUND(now_a, 4) + 0.0 AS second, ROUND(now_b, 4) + 0.0 AS fourth, flag FROM r{rounds}"""
+
+
 ORACLE: dict[str, str] = {
     "logreg_coefficients": f"""WITH r AS (SELECT CAST(d.n_chars AS DOUBLE) AS v, l.quality AS y
             FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
@@ -258,6 +283,7 @@ ORACLE: dict[str, str] = {
     "regression_impute": f"""WITH g AS ({GAPS}),
         f AS (SELECT REGR_SLOPE(value, total_qty) AS a, REGR_INTERCEPT(value, total_qty) AS b FROM g)
         SELECT row_id, ROUND(COALESCE(value, b + a * total_qty), 6) + 0.0 AS value FROM g, f""",
+    "chained_impute": _chained_sql(3),
     "label_cast": """SELECT d.doc_id, CAST(COALESCE(l.quality, 0) AS INTEGER) AS label
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "standard_scale": """WITH s AS (SELECT AVG(value) AS m, STDDEV_POP(value) AS sd FROM events)
@@ -268,6 +294,11 @@ ORACLE: dict[str, str] = {
         CAST(event_type = 'purchase' AS DOUBLE) AS event_type_purchase,
         CAST(event_type = 'signup' AS DOUBLE) AS event_type_signup,
         CAST(event_type = 'view' AS DOUBLE) AS event_type_view FROM events""",
+    "one_hot_sparse": """WITH c AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 2 AS i FROM (SELECT DISTINCT o_custkey FROM orders)),
+        p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 2 + (SELECT MAX(i) + 1 FROM c) AS i,
+              row_number() OVER (ORDER BY o_orderpriority) = 1 AS first FROM (SELECT DISTINCT o_orderpriority FROM orders))
+        SELECT o_orderkey, concat_ws(',', CASE WHEN c.i >= 0 THEN CAST(c.i AS VARCHAR) END, CASE WHEN NOT p.first THEN CAST(p.i AS VARCHAR) END) AS indices
+        FROM orders o JOIN c ON c.o_custkey = o.o_custkey JOIN p ON p.o_orderpriority = o.o_orderpriority""",
     "one_hot_unknown": """SELECT event_id,
         CAST(event_type = 'error' AS DOUBLE) AS event_type_error,
         CAST(event_type = 'purchase' AS DOUBLE) AS event_type_purchase,
@@ -341,6 +372,14 @@ ORACLE: dict[str, str] = {
         SELECT threshold, CAST(ctp AS BIGINT) AS tp, CAST(cfp AS BIGINT) AS fp,
                ROUND(CASE WHEN pos = 0 THEN 0 ELSE ctp * 1.0 / pos END, 6) + 0.0 AS tpr,
                ROUND(CASE WHEN neg = 0 THEN 0 ELSE cfp * 1.0 / neg END, 6) + 0.0 AS fpr FROM w""",
+    "roc_vertices": f"""WITH p AS ({P}),
+        g AS (SELECT score AS threshold, SUM(y) AS tp, SUM(1 - y) AS fp FROM p GROUP BY score),
+        w AS (SELECT threshold, tp, fp, SUM(tp) OVER o AS ctp, SUM(fp) OVER o AS cfp, SUM(tp) OVER () AS pos, SUM(fp) OVER () AS neg,
+                     LEAD(tp) OVER o AS ntp, LEAD(fp) OVER o AS nfp FROM g WINDOW o AS (ORDER BY threshold DESC))
+        SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0 AS BIGINT) AS tp, CAST(0 AS BIGINT) AS fp, 0.0::DOUBLE AS tpr, 0.0::DOUBLE AS fpr
+        UNION ALL SELECT threshold, CAST(ctp AS BIGINT), CAST(cfp AS BIGINT),
+               ROUND(CASE WHEN pos = 0 THEN 0 ELSE ctp * 1.0 / pos END, 6) + 0.0,
+               ROUND(CASE WHEN neg = 0 THEN 0 ELSE cfp * 1.0 / neg END, 6) + 0.0 FROM w WHERE ntp IS NULL OR tp * nfp <> ntp * fp""",
     "roc_auc": f"""WITH p AS ({P}),
         g AS (SELECT score, SUM(y) AS tp, SUM(1 - y) AS fp FROM p GROUP BY score),
         w AS (SELECT fp, tp, SUM(tp) OVER (ORDER BY score DESC) AS ctp, SUM(tp) OVER () AS tpos,
@@ -390,6 +429,8 @@ ORACLE: dict[str, str] = {
         FROM lineitem, e GROUP BY ALL""",
     "hash_sample": """SELECT event_id, event_type, value, md5(concat('42:', CAST(event_id AS VARCHAR))) AS sample_hash
         FROM events ORDER BY sample_hash, event_id LIMIT 100""",
+    "hash_sample_by_group": """SELECT event_id, event_type, value, md5(concat('42:', CAST(event_id AS VARCHAR))) AS sample_hash
+        FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY sample_hash, event_id) <= 25""",
     "pairwise_corr": """WITH c AS (SELECT CORR(l_quantity, l_extendedprice) a, CORR(l_quantity, l_discount) b,
                              CORR(l_extendedprice, l_discount) c FROM lineitem)
         SELECT 'l_quantity' AS x, 'l_extendedprice' AS y, ROUND(a, 6) + 0.0 AS corr FROM c UNION ALL

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.expressions import decode_codes, rounded, strip_lower, value_map
-from tessera.operators import (distributions, evaluate, features, keyed, missing, models,
-                               quality, reports, sketches, split)
+from tessera.operators import (chained, distributions, evaluate, features, keyed, missing, models,
+                               quality, reports, sketches, sparse, split)
 from tessera.plans.bindings import (ORDER_BY, ORDER_KEY, SHEET_BANDS, SHEET_ITEMS, SHEET_UNKNOWN,
                                     item_sheet, order_loads, scored_labels, sparse_lines, tables)
 from tessera.session import scratch_dir, scratch_path
@@ -336,6 +336,18 @@ def q_regression_impute(spark: SparkSession, d: str) -> DataFrame:
     return out.select("row_id", rounded("value").alias("value"))
 
 
+def q_chained_impute(spark: SparkSession, d: str) -> DataFrame:
+    """Quantities of lines 2 and 4 of each order, gaps filled in three rounds of
+    regressions on each other and on the return flag of line 3 (which has gaps too)."""
+    line = F.col("l_linenumber")
+    g = tables(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("row_id")).agg(
+        F.max(F.when(line == 2, F.col("l_quantity"))).alias("second"),
+        F.max(F.when(line == 4, F.col("l_quantity"))).alias("fourth"),
+        F.max(F.when(line == 3, F.col("l_returnflag"))).alias("flag"))
+    out = chained.chained_impute(g, ["second", "fourth"], ["flag"], rounds=3)
+    return out.select("row_id", rounded("second", 4).alias("second"), rounded("fourth", 4).alias("fourth"), "flag")
+
+
 def q_label_cast(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = tables(spark, d, "documents", "labels")
     j = docs.select("doc_id").join(labels.select("doc_id", "quality"), "doc_id", "left")
@@ -360,6 +372,13 @@ def q_one_hot(spark: SparkSession, d: str) -> DataFrame:
     return oh.transform(ev, keep=["event_id"])
 
 
+def q_one_hot_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """Index arrays of the customer (a category a customer) and the priority of every order."""
+    orders = tables(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    out = sparse.fit_sparse_one_hot(orders, ["o_custkey", "o_orderpriority"]).transform(orders, keep=["o_orderkey"])
+    return out.select("o_orderkey", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"))
+
+
 def _fit_without_view(ev: DataFrame, strict: bool):
     return features.fit_one_hot(ev.where(F.col("event_type") != F.lit("view")), ["event_type"],
                                 strict=strict)
@@ -414,6 +433,10 @@ def q_roc_points(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.roc_points(_scored(spark, d), "y", "score")
 
 
+def q_roc_vertices(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.roc_vertices(_scored(spark, d), "y", "score")
+
+
 def q_roc_auc(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.roc_auc(_scored(spark, d), "y", "score")
 
@@ -536,6 +559,11 @@ def q_hash_sample(spark: SparkSession, d: str) -> DataFrame:
     return distributions.hash_sample(ev, "event_id", 100, 42)
 
 
+def q_hash_sample_by_group(spark: SparkSession, d: str) -> DataFrame:
+    ev = tables(spark, d, "events").select("event_id", "event_type", "value")
+    return distributions.hash_sample_by_group(ev, "event_type", "event_id", 25, 42)
+
+
 def q_pairwise_corr(spark: SparkSession, d: str) -> DataFrame:
     return distributions.pairwise_corr(tables(spark, d, "lineitem"),
                                        ["l_quantity", "l_extendedprice", "l_discount"])
