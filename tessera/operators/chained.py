@@ -103,13 +103,16 @@ def _products(rows: DataFrame, fit: ChainedFit, gaps: list[int]) -> DataFrame:
                                       F.array(*[F.lit(at + n) for n in range(len(levels) - 1)]))
             cats.append(F.struct(F.try_element_at(place, F.col(f"_cat{k}")).cast("int").alias("i"), F.lit(1.0).alias("v")))
             at += len(levels) - 1
-    held = F.filter(F.array(*entries, *cats), lambda e: e["i"].isNotNull())
+    there = [F.col(f"_have{t}").isNotNull().alias(f"_is{t}") for t in gaps]
+    # a column of its own, as the functions below read it once per entry
+    rows = rows.select(*there, F.filter(F.array(*entries, *cats), lambda e: e["i"].isNotNull()).alias("_held"))
+    held = F.col("_held")
     # positions ascend, so a later entry has the larger number
     pairs = F.flatten(F.transform(held, lambda x, n: F.transform(
         F.slice(held, n + 1, F.size(held)), lambda y: F.struct(
             x["i"].alias("i"), y["i"].alias("j"), (x["v"] * y["v"]).alias("v")))))
-    there = [F.col(f"_have{t}").isNotNull().alias(f"_is{t}") for t in gaps]
-    long = rows.select(*there, F.explode(pairs).alias("p")).select(*[f"_is{t}" for t in gaps], "p.*")
+    flags = [f"_is{t}" for t in gaps]
+    long = rows.select(*flags, F.explode(pairs).alias("p")).select(*flags, "p.*")
     return long.groupBy("i", "j").agg(*[F.sum(F.when(F.col(f"_is{t}"), F.col("v"))).alias(f"s{t}") for t in gaps])
 
 
