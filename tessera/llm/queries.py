@@ -104,8 +104,7 @@ def op7_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
     size = F.octet_length(data).cast("bigint") + 8
     placed = sharding.hilbert_shards(
         docs, "doc_id",
-        {"lang": sharding.text_code(F.col("lang")), "source": sharding.text_code(F.col("source")),
-         "size": sharding.size_code(size)},
+        {"lang": F.col("lang"), "source": F.col("source"), "size": sharding.size_code(size)},
         {"size": size, "text_crc32": F.crc32(data)})
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "cell")

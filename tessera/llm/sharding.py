@@ -1,25 +1,31 @@
 """Sharding along a Hilbert curve through several metadata dimensions.
 
-Each dimension is quantised to ``2**bits`` steps between its smallest and
-largest value, the steps are mapped to their index on the Hilbert curve, rows
-are ordered by (index, id) and the order is cut into ``shards`` runs. Rows
-that are near in *all* dimensions end in the same file, so min/max statistics
-of the files prune filters on any of them.
+Each dimension is quantised to ``2**bits`` steps by rank: its distinct values
+are counted, ordered as whole values, and a value's step is the mean rank of its
+rows. The steps are mapped to their index on the Hilbert curve, rows are
+ordered by that index and the order is cut into ``shards`` runs. Rows that are
+near in *all* dimensions end in the same file, so min/max statistics of the
+files prune filters on any of them.
 
 Law ``rows``: shard sizes differ by at most one row. Shard = floor(rank *
-shards / n), which fixes the result exactly.
+shards / n).
 
-Defined results: NULL in a dimension is its lowest step; NULL ids come first
-in a cell; rows equal in everything take the ranks among them in any order;
-an empty table gives an empty result; other columns are ignored.
+Within a cell rows are ordered by a hash of id and carried columns, so ids may
+have any type that has a hash, and a cell, an id or a copy that holds a third of
+the rows is still ranked by many tasks.
+
+Defined results: NULL in a dimension comes before all its values; NULL ids are
+like any other; rows equal in id and carried columns take the ranks among them
+in any order; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut_lineage, cut_points, ranked
+from tessera.plans.strategy import join_small
 
 BITS = 5
 SHARDS = 24
@@ -27,10 +33,21 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 
 
-def text_code(col: Column) -> Column:
-    """Order-preserving code of a string: its first six UTF-8 bytes as a number."""
-    first = F.rpad(F.hex(F.substring(F.encode(F.coalesce(col, F.lit("")), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(first, 16, 10).cast("bigint")
+def weight_steps(rows: DataFrame, col: str, bits: int, out: str) -> DataFrame:
+    """(value, step): 2**bits times the mean rank of the value's rows as a share of
+    all rows, floored, so a frequent value is far from its neighbours.
+    Values are ordered in ranges; a range's total is one row of a small table."""
+    order = F.asc_nulls_first(col)
+    counts = cut_lineage(rows.groupBy(col).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(order)
+                         .withColumn("part", F.spark_partition_id()))
+    parts = Window.partitionBy(F.lit(0))
+    sizes = counts.groupBy("part").agg(F.sum("n").alias("size")).select(
+        "part", (F.sum("size").over(parts.orderBy("part")) - F.col("size")).alias("before"),
+        F.sum("size").over(parts).alias("total"))
+    within = Window.partitionBy("part").orderBy(order)
+    # one row a range, as many as shuffle partitions
+    placed = counts.join(F.broadcast(sizes), "part").withColumn("at", F.col("before") + F.sum("n").over(within) - F.col("n"))
+    return placed.select(col, F.expr(f"(2 * at + n) * {1 << bits} DIV (2 * total)").alias(out))
 
 
 def size_code(col: Column) -> Column:
@@ -81,30 +98,27 @@ def hilbert_index(steps: list[Column], bits: int = BITS) -> Column:
 def hilbert_shards(df: DataFrame, id_col: str, dims: dict[str, Column], carry: dict[str, Column],
                    shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """id, the carried columns, cell (curve index), shard and slot (gapless
-    from 0 within the shard). ``dims`` maps names to integer columns; ids must
-    be numeric. Only ids, codes and carried columns are shuffled."""
-    codes = [f"dim_{i}" for i in range(len(dims))]
-    rows = cut_lineage(df.select(
-        F.col(id_col).alias("row_id"),
-        *[c.cast("bigint").alias(k) for k, c in zip(codes, dims.values(), strict=True)],
-        *[c.alias(f"carry_{i}") for i, c in enumerate(carry.values())]))
-    stats = rows.agg(F.count(F.lit(1)).alias("n"),
-                     *[f(c).alias(f"{f.__name__}_{c}") for c in codes for f in (F.min, F.max)]).first()
-    n = stats["n"]
-    steps = []
+    from 0 within the shard). ``dims`` maps names to orderable columns. Only ids,
+    dimensions and carried columns are shuffled."""
+    codes, ties = [f"dim_{i}" for i in range(len(dims))], [f"carry_{i}" for i in range(len(carry))]
+    rows = df.select(F.col(id_col).alias("row_id"), *[c.alias(k) for k, c in zip(codes, dims.values(), strict=True)],
+                     *[c.alias(k) for k, c in zip(ties, carry.values(), strict=True)])
+    # content in the high bits; the low ones tell equal rows apart, so that they can be dealt out
+    low = (1 << 24) - 1
+    spread = F.xxhash64("row_id", *ties).bitwiseAND(~low).bitwiseOR(
+        F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(low))
+    rows = cut_lineage(rows.withColumn("spread", spread))
+    n = rows.count()
+    placed = rows
     for c in codes:
-        lo, hi = stats[f"min_{c}"] or 0, stats[f"max_{c}"] or 0
-        width = hi - lo + 1
-        # decimal: the product of a code and 2**bits may pass 64 bits
-        step = F.floor((F.col(c).cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")) * (1 << bits) / width)
-        steps.append(F.coalesce(step.cast("bigint"), F.lit(0).cast("bigint")))
+        placed = join_small(placed, weight_steps(rows, c, bits, f"step_{c}"), c, null_safe=True)
     buckets = min(MAX_BUCKETS, max(64, -(-n // ROWS_PER_BUCKET)))
-    cuts = cut_points(rows, F.col("row_id"), buckets) if n else []
-    placed = rows.withColumn("cell", hilbert_index(steps, bits)).withColumn("all", F.lit(0))
-    ties = [f"carry_{i}" for i in range(len(carry))]
-    placed = ranked(placed, ["all"], ["cell", "row_id", *ties], "row_id", cuts, "rank")
+    cuts = cut_points(rows, F.col("spread"), buckets) if n else []
+    cell = hilbert_index([F.col(f"step_{c}") for c in codes], bits)
+    placed = placed.select("row_id", *ties, "spread", cell.alias("cell"), F.lit(0).alias("all"))
+    placed = ranked(placed, ["all"], ["cell", "spread"], "spread", cuts, "rank")
     shard = F.expr(f"CAST(rank * {shards} DIV {max(n, 1)} AS INT)")
     first = F.expr(f"(CAST(rank * {shards} DIV {max(n, 1)} AS BIGINT) * {n} + {shards - 1}) DIV {shards}")
     return placed.select(
-        F.col("row_id").alias(id_col), *[F.col(f"carry_{i}").alias(k) for i, k in enumerate(carry)],
+        F.col("row_id").alias(id_col), *[F.col(t).alias(k) for t, k in zip(ties, carry, strict=True)],
         "cell", shard.alias("shard"), (F.col("rank") - first).alias("slot"))
