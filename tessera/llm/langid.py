@@ -13,8 +13,10 @@ taken (by Spark, with map-side combine) from a bounded sample of the labelled
 rows: about ``train_docs`` documents per language, chosen by a hash of the id.
 
 Words are runs of letters, lower-cased, marked at their start by a blank, in
-UTF-8; words of more than ``MAX_BYTES`` bytes are cut there, so the work is
-linear in the text.
+UTF-8. Words are scored whole: sums are kept for as many places as the longest
+piece has bytes and scaled up when they get small, so the work is linear in the
+text and memory does not grow with a word. Every piece of the vocabulary that a
+word can hold takes part.
 
 Defined results: NULL texts and texts without letters are ``und`` with score 0;
 ties go to the first language in byte order; without any training row all
@@ -35,18 +37,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import for_workers, map_arrow
+from tessera.plans.strategy import join_small
 
 TRAIN_DOCS = 2000
 ROUNDS = 3
-MAX_BYTES = 24
-#: Longest piece used; longer ones of the vocabulary are left out.
-MAX_PIECE = 12
 SMOOTH = 0.1
 UNKNOWN = "und"
-#: Words whose segmentations are summed at once.
-GROUP = 1 << 15
-#: Scored words a worker keeps for later batches.
-KEEP = 400_000
+#: Bytes of words whose segmentations are summed at once (one word at least).
+GROUP = 1 << 18
+#: Sums below are scaled up.
+TINY = 1e-150
+#: Scored words a worker keeps for later batches, and their characters.
+KEEP, KEEP_CHARS = 400_000, 8_000_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -54,7 +56,7 @@ def words_of(text: str | None) -> list[str]:
     return _LETTERS.findall(text.lower()) if text else []
 
 
-def read_pieces(path: str, longest: int = MAX_PIECE) -> list[bytes]:
+def read_pieces(path: str) -> list[bytes]:
     """The vocabulary's pieces as bytes (byte-level alphabet undone): all single
     bytes, then pieces that hold letters only, with or without a leading blank."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -67,13 +69,14 @@ def read_pieces(path: str, longest: int = MAX_PIECE) -> list[bytes]:
         if all(c in byte_of for c in piece):
             raw = bytes(byte_of[c] for c in piece)
             rest = raw.removeprefix(b" ")
-            if len(raw) <= longest and not any(c < 97 or 122 < c < 128 for c in rest):
+            if not any(c < 97 or 122 < c < 128 for c in rest):
                 found.add(raw)
     return sorted(found)
 
 
 class Lattice:
-    """All pieces at all places of words of one length, by walking a trie."""
+    """All pieces at all places of words, by walking a trie. Words are rows of a
+    byte matrix, padded behind their lengths; padding is never read into a result."""
 
     def __init__(self, pieces: list[bytes]):
         children: list[dict[int, int]] = [{}]
@@ -91,61 +94,92 @@ class Lattice:
         for node, c in enumerate(children):
             self.child[node, list(c.keys())] = list(c.values())
         self.piece = np.array(ends, np.int32)
+        self.longest = max(map(len, pieces))
 
-    def edges(self, words: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, end, word rows, piece numbers) for a matrix of bytes, by start."""
-        length = words.shape[1]
-        for a in range(length):
-            rows, node = np.arange(len(words)), np.zeros(len(words), np.int32)
-            for b in range(a, length):
-                node = self.child[node, words[rows, b]]
-                alive = node >= 0
-                rows, node = rows[alive], node[alive]
-                if not len(rows):
-                    break
-                piece = self.piece[node]
-                whole = piece >= 0
-                yield a, b + 1, rows[whole], piece[whole]
-
-    def forward(self, words: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """(words, languages): summed probability of all segmentations; ``p`` is
-        (pieces, languages)."""
-        total = np.zeros((words.shape[1] + 1, len(words), p.shape[1]))
-        total[0] = 1
-        for a, b, rows, piece in self.edges(words):
-            total[b, rows] += total[a, rows] * p[piece]
-        return total[-1]
-
-    def expected(self, words: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
+    def edges(self, words: np.ndarray, a: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(end, word rows, piece numbers) of the pieces that start at ``a``."""
+        rows, node = np.arange(len(words)), np.zeros(len(words), np.int32)
+        for b in range(a, words.shape[1]):
+            node = self.child[node, words[rows, b]]
+            alive = node >= 0
+            rows, node = rows[alive], node[alive]
+            if not len(rows):
+                return
+            piece = self.piece[node]
+            whole = piece >= 0
+            yield b + 1, rows[whole], piece[whole]
+
+    def forward(self, words: np.ndarray, lens: np.ndarray, p: np.ndarray, trace: np.ndarray | None = None) -> np.ndarray:
+        """(words, languages): log of the summed probability of all segmentations;
+        ``p`` is (pieces, languages). ``trace`` takes the log at every place."""
+        n, length = words.shape
+        size = min(self.longest, length) + 1
+        ring = np.zeros((size, n, p.shape[1]))      # sums at the places a .. a + longest, by place modulo size
+        ring[0] = 1
+        logs, out = np.zeros(ring.shape[1:]), np.zeros(ring.shape[1:])
+        for a in range(length + 1):
+            now = ring[a % size]
+            _scale_up(ring, now, logs)
+            done = np.flatnonzero(lens == a)
+            if len(done):
+                out[done] = np.log(now[done]) + logs[done]
+            if trace is not None:
+                trace[a] = (np.log(now) + logs)[:, 0]
+            if a < length:
+                for b, rows, piece in self.edges(words, a):
+                    ring[b % size, rows] += now[rows] * p[piece]
+            now[:] = 0
+        return out
+
+    def expected(self, words: np.ndarray, lens: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over all segmentations of weighted words."""
-        edges = list(self.edges(words))
-        length = words.shape[1]
-        ahead, back = np.zeros((length + 1, len(words))), np.zeros((length + 1, len(words)))
-        ahead[0], back[length] = 1, 1
-        for a, b, rows, piece in edges:
-            ahead[b, rows] += ahead[a, rows] * p[piece]
-        for a, b, rows, piece in reversed(edges):
-            back[a, rows] += back[b, rows] * p[piece]
-        uses = np.zeros(len(p))
-        for a, b, rows, piece in edges:
-            share = ahead[a, rows] * p[piece] * back[b, rows] / ahead[length, rows]
-            uses += np.bincount(piece, share * weight[rows], len(p))
+        n, length = words.shape
+        ahead = np.zeros((length + 1, n))
+        total = self.forward(words, lens, p[:, None], ahead)[:, 0]
+        size = min(self.longest, length) + 1
+        ring, logs, uses = np.zeros((size, n)), np.zeros(n), np.zeros(len(p))
+        for a in range(length, -1, -1):
+            now = ring[a % size]
+            now[:] = 0
+            for b, rows, piece in self.edges(words, a):
+                step = p[piece] * ring[b % size, rows]
+                now[rows] += step
+                used = step > 0                      # pieces that end within their word
+                rows, step = rows[used], step[used]
+                share = np.exp(ahead[a, rows] + logs[rows] - total[rows]) * step
+                uses += np.bincount(piece[used], share * weight[rows], len(p))
+            now[lens == a] = 1
+            _scale_up(ring, now, logs)
         return uses
 
 
-def matrices(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words as byte matrices by length with their numbers; long words in parts."""
+def _scale_up(ring: np.ndarray, now: np.ndarray, logs: np.ndarray) -> None:
+    """Where ``now``, a slice of ``ring``, has become small, the whole ring is
+    divided by it and its logarithm moves to ``logs``."""
+    small = (now < TINY) & (now > 0)
+    if small.any():
+        factor = np.where(small, now, 1.0)
+        logs += np.log(factor)
+        ring /= factor
+
+
+def matrices(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole words as byte matrices with their lengths and numbers: words of one
+    length together, long ones padded to the next power of two."""
     by: dict[int, tuple[list[bytes], list[int]]] = {}
     for i, w in enumerate(words):
-        raw = b" " + w.encode("utf-8")
-        for k in range(0, len(raw), MAX_BYTES):
-            part, at = by.setdefault(len(s := raw[k:k + MAX_BYTES]), ([], []))
-            part.append(s)
-            at.append(i)
-    for length, (parts, at) in sorted(by.items()):
-        for k in range(0, len(parts), GROUP):
-            m = np.frombuffer(b"".join(parts[k:k + GROUP]), np.uint8).reshape(-1, length)
-            yield m, np.array(at[k:k + GROUP])
+        raw = b" " + w.encode("utf-8", "surrogatepass")
+        width = len(raw) if len(raw) <= 32 else 1 << (len(raw) - 1).bit_length()
+        held, at = by.setdefault(width, ([], []))
+        held.append(raw)
+        at.append(i)
+    for width, (held, at) in sorted(by.items()):
+        group = max(1, GROUP // width)
+        for k in range(0, len(held), group):
+            part = held[k:k + group]
+            lens = np.array([len(w) for w in part])
+            m = np.frombuffer(b"".join(w.ljust(width, b" ") for w in part), np.uint8).reshape(-1, width)
+            yield m[:, :lens.max()], lens, np.array(at[k:k + group])
 
 
 def _fit(pieces: list[bytes], rounds: int):
@@ -153,9 +187,9 @@ def _fit(pieces: list[bytes], rounds: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lattice, p = Lattice(pieces), np.full(len(pieces), 1 / len(pieces))
         n = pdf["n"].to_numpy(np.float64)
-        words = [(m, n[at]) for m, at in matrices(pdf["word"].tolist())]
+        words = [(m, lens, n[at]) for m, lens, at in matrices(pdf["word"].tolist())]
         for _ in range(rounds):
-            uses = sum((lattice.expected(m, w, p) for m, w in words), np.zeros(len(p))) + SMOOTH
+            uses = sum((lattice.expected(m, lens, w, p) for m, lens, w in words), np.zeros(len(p))) + SMOOTH
             p = uses / uses.sum()
         return pd.DataFrame({"lang": key[0], "piece": np.arange(len(p)), "p": p})
     return run
@@ -181,8 +215,8 @@ def train(df: DataFrame, learn: Column, vocabulary: str, text_col: str = "text",
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
     per_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).select(
         F.col("lang").alias("l"), F.least(F.lit(1.0), train_docs / F.col("rows")).alias("share"))
-    # one row a language, as the model sent to every task has one column a language
-    sample = rows.join(F.broadcast(per_lang), F.col("lang") == F.col("l")).where(
+    # one row a language, broadcast if that is small
+    sample = join_small(rows, per_lang.withColumnRenamed("l", "lang"), "lang").where(
         F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000).select("lang", "text")
     counts = map_arrow(sample, _count, "lang string, word string, n bigint")
     for_workers(df.sparkSession)
@@ -200,15 +234,17 @@ def _predict(langs: list[str], pieces: list[bytes], model):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, lattice = model.value, Lattice(pieces)
         known: dict[str, int] = {}
+        held = 0
         table = np.zeros((0, len(langs)))
         for b in it:
             docs = [words_of(t) for t in b.column(1).to_pylist()]
-            if len(known) > KEEP:
-                known, table = {}, table[:0]
+            if len(known) > KEEP or held > KEEP_CHARS:
+                known, table, held = {}, table[:0], 0
             new = list({w for d in docs for w in d}.difference(known))
+            held += sum(map(len, new))
             logs = np.zeros((len(new), len(langs)))
-            for m, at in matrices(new):
-                np.add.at(logs, at, np.log(lattice.forward(m, p)))
+            for m, lens, at in matrices(new):
+                logs[at] = lattice.forward(m, lens, p)
             known.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
             table = np.concatenate((table, logs))
             lang, score = [], []
