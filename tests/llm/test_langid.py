@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm import langid, queries
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def test_forward_sums_all_segmentations():
     pieces = sorted([b" ", b"a", b"b", b"c", b"ab", b"bc", b" a", b"abc", b" ab"])
@@ -87,10 +89,10 @@ def test_long_words_are_summed_whole():
         assert math.isclose(got[i][1], plain_log(raw, pieces, [v / 2 for v in p]), rel_tol=1e-9)
 
 
-def test_query_against_plain_sums(spark, small):
+def test_query_against_plain_sums(spark):
     """Labels and scores of the query from the same probabilities, word by word."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
     langs, pieces, p = langid.train(docs, ~held, path)
     assert max(map(len, pieces)) > 12
@@ -106,7 +108,7 @@ def test_query_against_plain_sums(spark, small):
                     total[b] += total[a] * p[number[raw[a:b]]]
         return np.log(total[-1])
 
-    got = {r.doc_id: r for r in queries.op8_language_id(spark, small).collect()}
+    got = {r.doc_id: r for r in queries.op8_language_id(spark, SMALL).collect()}
     for doc_id, text in docs.select("doc_id", "text").orderBy("doc_id").collect()[::9]:
         words = re.findall(r"[^\W\d_]+", (text or "").lower())
         if not words:
