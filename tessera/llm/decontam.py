@@ -15,9 +15,11 @@ words, longer documents in overlapping pieces):
 * occurrences located by walking to the nearest sampled suffix position,
 * word spans of the occurrences merged per document.
 
-The benchmark is the stated query set. It is read in blocks of at most
-``block_words`` words, so what a task is sent is bounded; the blocks follow
-each other on the rows of a task, and their spans are merged per document.
+The benchmark is the stated query set. It is read in blocks of at most about
+``block_words`` words, one after the other: a block is collected, searched for in
+all stored documents by a job of its own, and let go before the next one is read.
+So the driver and a task hold one block, whatever the benchmark's size. Rows are
+numbered and stored first; the spans of the blocks meet by row number.
 
 Defined results: NULL, empty and wordless texts have no words and no hits;
 items without words are no phrases; an empty benchmark leaves all documents
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_arrow, words_of
+from tessera.llm.common import cut_lineage, map_arrow, words_of
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -279,34 +281,65 @@ def _searcher(phrases: Phrases, shard_words: int):
     return hits
 
 
-def _search(phrases: Phrases, shard_words: int, keep_text: bool):
-    """One block of phrases against batches of documents, adding to what
-    earlier blocks found; the text goes on only if another block follows."""
+def _names(phrases: Phrases, items: set) -> list[str]:
+    return sorted({phrases.names[i] for i in items} - {None})
+
+
+def _search_all(phrases: Phrases, shard_words: int):
+    """All phrases against batches of (id, text): every row with what it holds."""
     hits = _searcher(phrases, shard_words)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            texts = b.column("text").to_pylist()
+            texts = b.column(1).to_pylist()
             n_words, spans, items = hits(texts)
-            before = b.column("found").to_pylist()
             found = []
             for d, text in enumerate(texts):
-                old = before[d] or {"words": [], "items": []}
-                w = merge([*map(tuple, old["words"]), *spans.get(d, [])])
-                names = {phrases.names[i] for i in items.get(d, ())} - {None}
+                w = merge(spans.get(d, []))
                 found.append({"words": w, "chars": char_spans(text, w) if w else [],
-                              "items": sorted(names.union(old["items"]))})
+                              "items": _names(phrases, items.get(d, set()))})
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(found, FOUND)],
+                                             ["id", "n_words", "found"])
+    return run
+
+
+def _search_block(phrases: Phrases, shard_words: int):
+    """One block of phrases against batches of (row, text): the rows with hits only."""
+    hits = _searcher(phrases, shard_words)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            _, spans, items = hits(b.column(1).to_pylist())
+            rows = sorted(spans)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("text") if keep_text else pa.nulls(b.num_rows, pa.string()),
-                 pa.array(n_words, pa.int64()), pa.array(found, FOUND)], ["id", "text", "n_words", "found"])
+                [b.column(0).take(pa.array(rows, pa.int64())),
+                 pa.array([merge(spans[d]) for d in rows], pa.list_(pa.list_(pa.int64()))),
+                 pa.array([_names(phrases, items[d]) for d in rows], pa.list_(pa.string()))], ["row", "words", "items"])
     return run
 
 
-def phrase_blocks(benchmark: DataFrame, item_col: str, item_text: str, window: int, block_words: int) -> Iterator[Phrases]:
-    """The benchmark's phrases in blocks of about ``block_words`` words."""
+def _finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, text, spans of all blocks, items of all blocks) to results."""
+    for b in it:
+        texts = b.column(1).to_pylist()
+        found = []
+        for text, words, items in zip(texts, b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            w = merge([*map(tuple, words or [])])
+            found.append({"words": w, "chars": char_spans(text, w) if w else [], "items": sorted(set(items or []))})
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([len(words_of(t)) for t in texts], pa.int64()), pa.array(found, FOUND)],
+            ["id", "n_words", "found"])
+
+
+def block_count(benchmark: DataFrame, item_text: str, block_words: int) -> int:
+    """Blocks of about ``block_words`` words: a text has at most a word every two characters."""
+    words = benchmark.agg(F.sum(F.length(F.col(item_text).cast("string")) / 2 + 1)).first()[0] or 0
+    return max(1, -(-int(words) // block_words))
+
+
+def phrase_blocks(benchmark: DataFrame, item_col: str, item_text: str, window: int, blocks: int) -> Iterator[Phrases]:
+    """The benchmark's phrases, a block at a time: the next one is read when it is asked for."""
     queries = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
-    words = queries.agg(F.sum(F.length("t") / 2 + 1)).first()[0] or 0       # at most so many words
-    blocks = max(1, -(-int(words) // block_words))
     for k in range(blocks):
         mine = queries.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == k).collect()
         yield Phrases([(r["i"], r["t"]) for r in mine], window)
@@ -318,20 +351,34 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id
     """(id, n_words, words, chars, items) for every row: merged spans in words
     and in code points, and the item ids (strings, sorted) with an occurrence."""
     kind = docs.schema[id_col].dataType.simpleString()
-    found = "struct<words:array<array<bigint>>,chars:array<array<bigint>>,items:array<string>>"
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                      F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast(found).alias("found"))
-    blocks = list(phrase_blocks(benchmark, item_col, item_text, window, block_words))
-    for k, phrases in enumerate(blocks):
-        out = map_arrow(out, _search(phrases, shard_words, k + 1 < len(blocks)),
-                        f"id {kind}, text string, n_words bigint, found {found}")
+    result = (f"id {kind}, n_words bigint, "
+              "found struct<words:array<array<bigint>>,chars:array<array<bigint>>,items:array<string>>")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    blocks = block_count(benchmark, item_text, block_words)
+    each = phrase_blocks(benchmark, item_col, item_text, window, blocks)
+    if blocks == 1:
+        out = map_arrow(texts, _search_all(next(each), shard_words), result)
+    else:
+        # stored, so that a row keeps its number in every block's job
+        rows = cut_lineage(texts.withColumn("row", F.monotonically_increasing_id()))
+        hits = None
+        for phrases in each:
+            part = cut_lineage(map_arrow(rows.select("row", "text"), _search_block(phrases, shard_words),
+                                         "row bigint, words array<array<bigint>>, items array<string>"))
+            hits = part if hits is None else hits.unionByName(part)
+        # a row meets at most one row a block
+        hits = hits.groupBy(F.col("row").alias("hit")).agg(F.flatten(F.collect_list("words")).alias("words"),
+                                                           F.flatten(F.collect_list("items")).alias("items"))
+        met = rows.join(hits, F.col("row") == F.col("hit"), "left").select("id", "text", "words", "items")
+        out = map_arrow(met, _finish, result)
     return out.select(F.col("id").alias(id_col), "n_words", "found.*")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
                       shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The rows, with all their columns, that hold no occurrence."""
+    """The rows, with all their columns, that hold no occurrence. What a block
+    leaves is stored before the next one is searched for."""
     at = docs.columns.index(text_col)
 
     def clean(phrases: Phrases):
@@ -343,8 +390,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield b.filter(pa.array([d not in spans for d in range(b.num_rows)], pa.bool_()))
         return run
 
-    for phrases in phrase_blocks(benchmark, item_col, item_text, window, block_words):
+    blocks = block_count(benchmark, item_text, block_words)
+    for k, phrases in enumerate(phrase_blocks(benchmark, item_col, item_text, window, blocks)):
         docs = map_arrow(docs, clean(phrases), docs.schema)
+        if k + 1 < blocks:
+            docs = cut_lineage(docs)
     return docs
 
 

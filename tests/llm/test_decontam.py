@@ -1,6 +1,8 @@
+import gc
 import hashlib
 import random
 import re
+import weakref
 
 import numpy as np
 
@@ -69,6 +71,35 @@ def test_shards_pieces_blocks_and_short_items(spark):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs + [docs[3]] if not want[d][1])
 
 
+def test_one_block_at_a_time(spark, monkeypatch):
+    """Twenty blocks: each is searched by a job of its own, and is let go before the next one is read."""
+    docs = [(k, f"w{k} x{k} y{k} z{k} tail") for k in range(60)] + [(0, "w1 x1 y1 z1 w2 x2 y2 z2"), (None, "w3 x3 y3 z3")]
+    bench = [(k, f"w{k} x{k} y{k} z{k}") for k in range(0, 40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    alive, most = weakref.WeakSet(), []
+    made = decontam.Phrases.__init__
+
+    def counted(self, *args):
+        gc.collect()
+        alive.add(self)
+        most.append(len(alive))
+        made(self, *args)
+
+    monkeypatch.setattr(decontam.Phrases, "__init__", counted)
+    words = decontam.block_count(items, "text", 1) // 20 + 1
+    assert decontam.block_count(items, "text", words) >= 19
+    found = decontam.find_leaks(df, items, window=4, block_words=words)
+    kept = decontam.drop_contaminated(df, items, window=4, block_words=words)
+    assert len(most) >= 38 and max(most) <= 2              # the one searched for last, and the one being made
+    for plan in (found, kept):
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = sorted(((r.doc_id, r["items"], positions(r.words)) for r in found.collect() if r.words), key=str)
+    want = [(k, [str(k)], {0, 1, 2, 3}) for k in range(40)] + [(0, ["1", "2"], set(range(8))), (None, ["3"], {0, 1, 2, 3})]
+    assert got == sorted(want, key=str) and found.count() == 62
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40, 60))
+
+
 def test_removal_spans(spark):
     item = "one two three four five six seven eight nine ten eleven"
     text = "Before. ONE two-three four, five six seven eight nine ten! eleven twelve"
