@@ -9,12 +9,20 @@ does. Results are new DataFrames; versions are written by
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.strategy import null_safe_anti, null_safe_full_outer
+from tessera.plans.strategy import BROADCAST_MAX_BYTES, checkpointed, null_safe_anti, null_safe_full_outer
+
+# A Bloom filter block: four 64-bit words, two bits of each set per key.
+BLOOM_WORDS = [f"_bloom_{i}" for i in range(4)]
+# Bits of the filter per incoming key; about one other key in a hundred passes.
+BLOOM_BITS = 12
+# Size of a block as a broadcast row.
+BLOOM_ROW_BYTES = 80
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -49,6 +57,64 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str]) -> Da
     return incoming.select(*base.columns).unionByName(kept)
 
 
+def _bloom_block(keys: Sequence[str], blocks: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(blocks)).alias("_bloom_block")
+
+
+def _bloom_masks(keys: Sequence[str]) -> list[Column]:
+    """The bits of a key in each word of its block, from a second hash of it."""
+    other = F.xxhash64(*keys, F.lit(1))
+
+    def bit(k: int) -> Column:
+        place = F.shiftrightunsigned(other, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+    return [bit(2 * i).bitwiseOR(bit(2 * i + 1)).alias(w) for i, w in enumerate(BLOOM_WORDS)]
+
+
+def bloom_filter(incoming: DataFrame, key: str | Sequence[str], blocks: int) -> DataFrame:
+    """A Bloom filter of the keys as a table of at most ``blocks`` rows: the
+    words of a block are the bits of its keys or-ed together, a mergeable
+    aggregate. Filters of one ``blocks`` merge the same way."""
+    keys = _keys(key)
+    bits = incoming.select(_bloom_block(keys, blocks), *_bloom_masks(keys))
+    return bits.groupBy("_bloom_block").agg(*[F.bit_or(w).alias(w) for w in BLOOM_WORDS])
+
+
+def bloom_split(base: DataFrame, bloom: DataFrame, key: str | Sequence[str],
+                blocks: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is surely not in the filter, rows whose key may be).
+    Each row meets its block by number; ``bloom`` is broadcast, so no row moves."""
+    keys = _keys(key)
+    met = base.withColumn("_bloom_block", _bloom_block(keys, blocks)).join(F.broadcast(bloom), "_bloom_block", "left")
+    hit = F.lit(True)
+    for w, mask in zip(BLOOM_WORDS, _bloom_masks(keys), strict=True):
+        hit = hit & (F.col(w).bitwiseAND(mask) == mask)
+    hit = F.coalesce(hit, F.lit(False))
+    return met.where(~hit).select(*base.columns), met.where(hit).select(*base.columns)
+
+
+def upsert_bloom(base: DataFrame, incoming: DataFrame, key: str | Sequence[str], bits: int = BLOOM_BITS) -> DataFrame:
+    """:func:`upsert` against a large store that is not bucketed: a Bloom filter
+    of the incoming keys tells most stored rows to stay where they are, and
+    only those that may be replaced are shuffled to the anti join, which
+    decides exactly. The store is read once for either part.
+
+    The filter has ``bits`` bits a key, known before it is built. Where it
+    would not fit a broadcast (some seventeen million keys), or the key's types
+    differ between the sides (their hashes would too), all rows are shuffled:
+    :func:`upsert`. The result is the same."""
+    keys = _keys(key)
+    if any(base.schema[k].dataType != incoming.schema[k].dataType for k in keys):
+        return upsert(base, incoming, keys)
+    incoming = checkpointed(incoming)
+    blocks = max(1, math.ceil(incoming.count() * bits / (64 * len(BLOOM_WORDS))))
+    if blocks * BLOOM_ROW_BYTES > BROADCAST_MAX_BYTES:
+        return upsert(base, incoming, keys)
+    stay, maybe = bloom_split(base, bloom_filter(incoming, keys, blocks), keys, blocks)
+    return upsert(maybe, incoming, keys).select(*base.columns).unionByName(stay)
+
+
 def upsert_counters(raw_incoming: DataFrame, base: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """One row: ``csv_rows`` (incoming rows before de-duplication), ``unique``
     keys, ``csv_dupes`` removed, ``inserted`` (new keys), ``updated``

@@ -201,6 +201,17 @@ ORACLE: dict[str, str] = {
         WHERE rn = 1""",
     "upsert_by_key": UPSERT,
     "stream_upsert": UPSERT,
+    "upsert_bloom": UPSERT,
+    "constraint_violations": """WITH inc AS (SELECT * FROM documents WHERE lang = 'en' OR lang IS NULL),
+        old AS (SELECT DISTINCT source, n_chars FROM documents WHERE lang <> 'en'),
+        k AS (SELECT source, n_chars, COUNT(*) AS n FROM inc WHERE source IS NOT NULL AND n_chars IS NOT NULL GROUP BY ALL),
+        t AS (SELECT k.n, o.source IS NOT NULL AS is_old FROM k LEFT JOIN old o ON o.source = k.source AND o.n_chars = k.n_chars)
+        SELECT 'not null lang' AS "constraint", COUNT(*) - COUNT(lang) AS n FROM inc UNION ALL
+        SELECT 'not null source', COUNT(*) - COUNT(source) FROM inc UNION ALL
+        SELECT 'not null n_chars', COUNT(*) - COUNT(n_chars) FROM inc UNION ALL
+        SELECT 'key source, n_chars', COALESCE(CAST(SUM(CASE WHEN is_old THEN n ELSE n - 1 END) AS BIGINT), 0) FROM t UNION ALL
+        SELECT 'reference doc_id to labels', COUNT(*) FROM inc WHERE doc_id IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = inc.doc_id)""",
     "upsert_counters": f"""WITH base AS ({BASE}), inc AS ({INC}),
         raw AS (SELECT COUNT(*) AS csv_rows FROM orders WHERE o_orderdate >= TIMESTAMP '{LOAD_CUTOFF}'),
         u AS (SELECT COUNT(*) AS uniq FROM inc),

@@ -20,7 +20,7 @@ from tessera.operators import (chained, distributions, evaluate, features, keyed
 from tessera.plans.bindings import (ORDER_BY, ORDER_KEY, SHEET_BANDS, SHEET_ITEMS, SHEET_UNKNOWN,
                                     item_sheet, order_loads, scored_labels, sparse_lines, tables)
 from tessera.session import scratch_dir, scratch_path
-from tessera.sources import catalog, files
+from tessera.sources import catalog, constraints, files
 from tessera.sources.tables import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,24 @@ def q_upsert_by_key(spark: SparkSession, d: str) -> DataFrame:
     return keyed.upsert(base, inc, ORDER_KEY)
 
 
+def q_upsert_bloom(spark: SparkSession, d: str) -> DataFrame:
+    """The same upsert, shuffling only stored rows that a Bloom filter of the incoming keys lets through."""
+    _, _, base, inc = _loads(spark, d)
+    return keyed.upsert_bloom(base, inc, ORDER_KEY)
+
+
+DOC_RULES = constraints.Constraints(not_null=("lang",), key=("source", "n_chars"), references=(
+    constraints.Reference(("doc_id",), "labels", ("doc_id",)),))
+
+
+def q_constraint_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in English or of no language as a load against the others: NULL
+    languages, taken keys (a source and a length) and documents without a label."""
+    docs, labels = tables(spark, d, "documents", "labels")
+    english = F.coalesce(F.col("lang") == "en", F.lit(True))
+    return constraints.violations(docs.where(english), DOC_RULES, docs.where(~english), {"labels": labels})
+
+
 def q_upsert_counters(spark: SparkSession, d: str) -> DataFrame:
     _, inc_raw, base, _inc = _loads(spark, d)
     return keyed.upsert_counters(inc_raw, base, ORDER_KEY)

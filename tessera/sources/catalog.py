@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources import constraints
 from tessera.sources.tables import TABLE_NAMES, read_table
 
 
@@ -24,10 +25,14 @@ def tables_exist(spark: SparkSession, expected: Sequence[str]) -> bool:
 
 
 def create_tables(spark: SparkSession, schemas: Mapping[str, T.StructType],
-                  force: bool = False, drop_order: Sequence[str] | None = None) -> list[str]:
+                  force: bool = False, drop_order: Sequence[str] | None = None,
+                  declared: Mapping[str, constraints.Constraints] | None = None) -> list[str]:
     """Create each table with its declared schema if absent; with ``force``,
     drop (children first, ``drop_order``) and recreate. Without ``force`` it
-    is a no-op when all tables exist. Returns the tables created."""
+    is a no-op when all tables exist. Returns the tables created.
+
+    NOT NULL of the schema and the ``declared`` keys and references are kept
+    with the table; ``constraints.insert_rows`` refuses a load against them."""
     names = list(schemas)
     if not force and tables_exist(spark, names):
         return []
@@ -38,7 +43,9 @@ def create_tables(spark: SparkSession, schemas: Mapping[str, T.StructType],
     for t, schema in schemas.items():
         if spark.catalog.tableExists(t):
             continue
+        rules = constraints.of_schema(schema, (declared or {}).get(t))
         spark.createDataFrame([], schema).write.format("parquet").saveAsTable(t)
+        constraints.keep(spark, t, rules)
         created.append(t)
     return created
 
