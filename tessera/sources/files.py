@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.sources.csv_split import csv_text_split
+from tessera.sources.json_split import json_cells
 
 #: Texts that data-frame tools read as a missing value.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
            "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 _CORRUPT = "_malformed_record"
+#: Rows of a written column-oriented object: it is one row while it is written.
+OBJECT_ROWS = 100_000
 
 
 def _string_schema(schema: T.StructType) -> T.StructType:
@@ -121,29 +124,27 @@ def read_json_typed(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_json_columns(spark: SparkSession, path: str, schema: T.StructType,
                       required: list[str] | tuple[str, ...] = (), rejects: str | None = None) -> DataFrame:
-    """Column-oriented JSON, ``{"col": {"0": v, ...}, ...}``, one object a file
-    or one a line. Each column is read as a map of index to value; the maps are
-    exploded and values of one index and file meet again, by one aggregate. An
-    index that a column lacks is a missing value of it."""
-    maps = T.StructType([T.StructField(f.name, T.MapType(T.StringType(), T.StringType())) for f in schema.fields])
-    raw = (spark.read.schema(maps).option("multiLine", True).option("mode", "FAILFAST").json(path)
-           .select(F.col("_metadata.file_path").alias("_file"), *[F.col(f"`{f.name}`") for f in schema.fields]))
-    def column(i: int, name: str) -> Column:
-        entries = F.map_entries(F.coalesce(F.col(f"`{name}`"), F.create_map().cast("map<string,string>")))
-        return F.transform(entries, lambda e: F.struct(e["key"].alias("index"), F.lit(i).alias("field"), e["value"].alias("value")))
-
-    cells = F.flatten(F.array(*[column(i, f.name) for i, f in enumerate(schema.fields)]))
-    met = raw.select("_file", F.inline(cells)).groupBy("_file", "index").agg(*[
+    """Column-oriented JSON, ``{"col": {"0": v, ...}, ...}``, any number of
+    objects a file and any number of tasks (see :mod:`tessera.sources.json_split`).
+    Values of one index and object meet again by one aggregate. An index that a
+    column lacks is a missing value of it."""
+    cells = json_cells(spark, path, schema.names)
+    met = cells.groupBy("file", "object", "index").agg(*[
         F.max(F.when(F.col("field") == i, F.col("value"))).alias(f.name) for i, f in enumerate(schema.fields)])
-    return _typed(met.drop("_file", "index"), schema, set(required), missing=("\0",), rejects=rejects)
+    return _typed(met.drop("file", "object", "index"), schema, set(required), missing=("\0",), rejects=rejects)
 
 
 def write_json_columns(df: DataFrame, path: str, index: str) -> None:
-    """One column-oriented object per task: every other column as a map from ``index`` to its value."""
+    """Column-oriented objects, one a line: every other column as a map from
+    ``index`` to its value. A task's rows make one object for each
+    ``OBJECT_ROWS`` of them; rows of one index share it, and a second one raises."""
     cols = [c for c in df.columns if c != index]
     part = df.select(F.spark_partition_id().alias("_part"), *[F.col(c) for c in df.columns])
-    held = part.groupBy("_part").agg(*[F.map_from_entries(F.collect_list(F.struct(F.col(index).cast("string"), F.col(c)))).alias(c) for c in cols])
-    held.drop("_part").write.json(path)
+    most = part.groupBy("_part").count().agg(F.max("count")).first()[0] or 1
+    key = F.col(index).cast("string")
+    part = part.withColumn("_object", F.pmod(F.xxhash64(key), F.lit(-(-most // OBJECT_ROWS))))
+    held = part.groupBy("_part", "_object").agg(*[F.map_from_entries(F.collect_list(F.struct(key, F.col(c)))).alias(c) for c in cols])
+    held.drop("_part", "_object").write.json(path)
 
 
 def _reject_column_oriented(raw: DataFrame, schema: T.StructType) -> None:
